@@ -1 +1,130 @@
-"""placeholder"""
+"""Co-mention graph queries (UNITS binding) and graph analytics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry import params
+from quarry.operators import mentions as M
+from quarry.plans import sql as Q
+from quarry.plans.catalog import register
+from quarry.sources import bindings as B
+
+
+def _edges(spark, sf):
+    return M.edges(B.units(spark, sf))
+
+
+@register("mentions", lambda: f"""WITH {Q.mention_ctes()}
+SELECT period, unit_id, entity, score, sentiment FROM mrows""")
+def mentions(spark, sf):
+    """(unit, entity) mentions by case-insensitive substring."""
+    return M.mention_rows(B.units(spark, sf)).select("period", "unit_id", "entity", "score", "sentiment")
+
+
+@register("edges", lambda: f"""WITH {Q.mention_ctes()}
+SELECT period, src, dst, weight, num_mentions, average_sentiment FROM edges""")
+def edges(spark, sf):
+    """J3 + G1: weighted co-mention edges per period."""
+    return _edges(spark, sf)
+
+
+@register("edge_sentiment", lambda: f"""WITH {Q.mention_ctes()}
+SELECT period, src AS node_1, dst AS node_2, average_sentiment,
+       CASE WHEN average_sentiment < {params.EDGE_THRESHOLDS[0]} THEN 'Negative'
+            WHEN average_sentiment > {params.EDGE_THRESHOLDS[1]} THEN 'Positive' ELSE 'Neutral' END AS relation_type,
+       num_mentions, weight AS total_weight
+FROM edges""")
+def edge_sentiment(spark, sf):
+    """G3 + L2 (flagship): edge sentiment table sorted by |mean| desc."""
+    return M.edge_sentiment(_edges(spark, sf))
+
+
+@register("edge_widths", lambda: f"""WITH {Q.mention_ctes()},
+mm AS (SELECT period, min(weight) AS mn, max(weight) AS mx FROM edges GROUP BY period)
+SELECT e.period, src, dst, weight, num_mentions, average_sentiment,
+       CASE WHEN mx <> mn THEN 0.5 + (weight - mn) / (mx - mn) * 9.5 ELSE 5.25 END AS normalized_weight
+FROM edges e JOIN mm USING (period)""")
+def edge_widths(spark, sf):
+    """Min-max normalised edge widths."""
+    return M.edge_widths(_edges(spark, sf))
+
+
+@register("node_sentiment", lambda: f"""WITH {Q.mention_ctes()}
+SELECT period, entity, avg_sentiment, mentions FROM nsent""")
+def node_sentiment(spark, sf):
+    """Mean sentiment and mention count per entity."""
+    return M.node_sentiment(B.units(spark, sf))
+
+
+@register("company_mentions", lambda: f"""WITH {Q.units_ctes()},
+cm AS (SELECT period, unnest({Q.mentions_list('text', [(c, [c.lower()]) for c in params.COMPANIES])}) AS entity FROM units)
+SELECT period, entity, CAST(count(*) AS BIGINT) AS mentions FROM cm GROUP BY ALL""")
+def company_mentions(spark, sf):
+    """A10: comparison-company mention counter."""
+    return M.company_mentions(B.units(spark, sf))
+
+
+@register("neighbourhood", lambda: f"""WITH {Q.mention_ctes()}
+SELECT node, neighbor, period, weight, average_sentiment FROM sym""")
+def neighbourhood(spark, sf):
+    """Symmetric neighbour listing."""
+    return M.neighbourhood(_edges(spark, sf))
+
+
+@register("graph_overview", lambda: f"""WITH {Q.mention_ctes()},
+v AS (SELECT period, CAST(count(*) AS BIGINT) AS nodes FROM deg GROUP BY period),
+m AS (SELECT period, CAST(count(*) AS BIGINT) AS edges FROM edges GROUP BY period)
+SELECT period, nodes, edges,
+       CASE WHEN nodes > 1 THEN 2.0::DOUBLE * edges / (nodes * (nodes - 1)) ELSE 0.0 END AS density,
+       CASE WHEN nodes > 0 THEN 2.0::DOUBLE * edges / nodes ELSE 0.0 END AS average_degree
+FROM v JOIN m USING (period)""")
+def graph_overview(spark, sf):
+    """node/edge counts, density, average degree."""
+    return M.graph_overview(_edges(spark, sf))
+
+
+@register("degree_centrality", lambda: f"""WITH {Q.mention_ctes()}
+SELECT period, node, degree,
+       CASE WHEN count(*) OVER (PARTITION BY period) > 1
+            THEN degree / (count(*) OVER (PARTITION BY period) - 1) ELSE 0.0 END AS degree_centrality
+FROM deg""")
+def degree_centrality(spark, sf):
+    """Degree centrality."""
+    return M.degree_centrality(_edges(spark, sf))
+
+
+@register("top_degree_nodes", lambda: f"""WITH {Q.mention_ctes()},
+dc AS (SELECT period, node, CAST(degree AS DOUBLE) AS value FROM deg),
+r AS (SELECT period, node, 'degree' AS metric, value,
+             row_number() OVER (PARTITION BY period ORDER BY value DESC, node) AS rank FROM dc)
+SELECT * FROM r WHERE rank <= 3""")
+def top_degree_nodes(spark, sf):
+    """Top-3 nodes per centrality metric (degree)."""
+    return M.top_n_per_metric(M.degrees(_edges(spark, sf)), ["degree"], 3)
+
+
+@register("average_node_sentiment", lambda: f"""WITH {Q.mention_ctes()}
+SELECT period, round(coalesce(avg(avg_sentiment), 0.0), 9) AS avg_node_sentiment FROM nsent GROUP BY period""")
+def average_node_sentiment(spark, sf):
+    """Graph average node sentiment."""
+    return M.average_node_sentiment(M.node_sentiment(B.units(spark, sf)))
+
+
+_P1, _P2 = params.ENTITY_ALIASES[0][0], params.ENTITY_ALIASES[1][0]
+
+
+def _co_sql():
+    al = dict(params.ENTITY_ALIASES)
+    conds = []
+    for p in (_P1, _P2):
+        toks = [p.lower()] + [a.lower() for a in al[p]]
+        conds.append("(" + " OR ".join(f"contains(lower(text), {Q.S(t)})" for t in toks) + ")")
+    return f"""WITH {Q.units_ctes()}
+SELECT kind AS type, text, period, created_utc, score, author, unit_id FROM units WHERE {' AND '.join(conds)}"""
+
+
+@register("co_mentions", _co_sql)
+def co_mentions(spark, sf):
+    """P20: texts naming two given entities (aliases with spaces kept)."""
+    return M.co_mentions(B.units(spark, sf), _P1, _P2)

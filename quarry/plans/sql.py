@@ -102,3 +102,32 @@ word_stats AS (
          CAST(sum(CAST(round(sentiment * 10000) AS BIGINT)) AS DOUBLE) / count(sentiment) / 10000.0::DOUBLE AS avg_sentiment
   FROM term_docs GROUP BY period, token
 )"""
+
+
+def mentions_list(x: str, table=None) -> str:
+    from quarry.operators.mentions import alias_table
+    table = alias_table() if table is None else table
+    items = []
+    for ent, aliases in sorted(table, key=lambda t: t[0]):
+        cond = " OR ".join(f"contains(lower({x}), {S(a)})" for a in aliases)
+        items.append(f"CASE WHEN {cond} THEN {S(ent)} END")
+    return f"list_filter([{', '.join(items)}], lambda e: e IS NOT NULL)"
+
+
+def mention_ctes() -> str:
+    return f"""{units_ctes()},
+um AS (SELECT *, {mentions_list('text')} AS mentions FROM units),
+mrows AS (SELECT period, unit_id, kind, score, sentiment, unnest(mentions) AS entity FROM um),
+upairs AS (SELECT period, score, sentiment, unnest(flatten(list_transform(range(1, len(mentions)),
+              lambda i: list_transform(range(i + 1, len(mentions) + 1),
+                 lambda j: {{'src': mentions[i], 'dst': mentions[j]}})))) AS pair
+           FROM um WHERE len(mentions) >= 2),
+edges AS (SELECT period, pair.src AS src, pair.dst AS dst, CAST(sum(score) AS BIGINT) AS weight,
+                 CAST(count(*) AS BIGINT) AS num_mentions,
+                 CAST(sum(CAST(round(sentiment * 10000) AS BIGINT)) AS DOUBLE) / count(sentiment) / 10000.0::DOUBLE AS average_sentiment
+          FROM upairs GROUP BY ALL),
+sym AS (SELECT period, src AS node, dst AS neighbor, weight, average_sentiment FROM edges
+        UNION ALL SELECT period, dst, src, weight, average_sentiment FROM edges),
+deg AS (SELECT period, node, CAST(count(*) AS BIGINT) AS degree FROM sym GROUP BY ALL),
+nsent AS (SELECT period, entity, CAST(sum(CAST(round(sentiment * 10000) AS BIGINT)) AS DOUBLE) / count(sentiment) / 10000.0::DOUBLE AS avg_sentiment,
+                 CAST(count(*) AS BIGINT) AS mentions FROM mrows GROUP BY ALL)"""
