@@ -150,3 +150,11 @@ def mean_e4(c) -> Column:
     division. Bit-identical across partitionings (and across engines)."""
     c = _c(c)
     return F.sum(F.round(c * 10000).cast("long")).cast("double") / F.count(c) / F.lit(10000.0)
+
+
+def round_doubles(df, places: int = 6):
+    """T21 for result tables: round every double column (float sums are
+    partition-order dependent in the last bits)."""
+    return df.select(*[F.round(F.col(f.name), places).alias(f.name)
+                       if f.dataType.typeName() in ("double", "float") else F.col(f.name)
+                       for f in df.schema.fields])

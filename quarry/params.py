@@ -100,3 +100,16 @@ def sql_str(s: str) -> str:
 
 def sql_list(values: list[str]) -> str:
     return "[" + ", ".join(sql_str(v) for v in values) + "]"
+
+# Fixed values for the price binding: per-symbol beta constants, target and
+# peers of the herding (CSAD) study, and the feature date floor.
+BETAS: list[tuple[str, float]] = [
+    ("AUTOMOBILE", 1.8), ("BUILDING", 0.9), ("FURNITURE", 1.1),
+    ("HOUSEHOLD", 0.7), ("MACHINERY", 1.3),
+]
+TARGET_SYMBOL = "AUTOMOBILE"
+PEER_SYMBOLS = ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+FEATURE_DATE_FLOOR = "1995-03-01"
+RSI_PERIOD = 14
+VOL_WINDOW = 10
+N_VOLUME_LAGS = 10
