@@ -128,3 +128,145 @@ SELECT kind AS type, text, period, created_utc, score, author, unit_id FROM unit
 def co_mentions(spark, sf):
     """P20: texts naming two given entities (aliases with spaces kept)."""
     return M.co_mentions(B.units(spark, sf), _P1, _P2)
+
+
+# ---- iterative graph analytics on the per-period co-mention graph --------
+
+from quarry.functions.text import round_doubles  # noqa: E402
+from quarry.operators import graph as G  # noqa: E402
+
+K = ["period"]
+
+
+def _g_sql(body: str) -> str:
+    return f"""WITH {Q.mention_ctes()}, {Q.bfs_ctes()} {body}"""
+
+
+@register("graph_distances", lambda: _g_sql("SELECT g AS period, s, v, d, sigma FROM apsp"))
+def graph_distances(spark, sf):
+    """All-pairs hop distances and shortest-path counts (BFS loop)."""
+    return G.bfs_all_pairs(_edges(spark, sf), K).select("period", "s", "v", "d", "sigma")
+
+
+@register("graph_paths", lambda: _g_sql(""",
+n AS (SELECT g, count(DISTINCT s) AS n_nodes FROM apsp GROUP BY g),
+r AS (SELECT g, s, count(*) AS r, min(v) AS comp FROM apsp GROUP BY g, s),
+c AS (SELECT g, min(r) AS min_r, count(DISTINCT comp) AS n_components FROM r GROUP BY g),
+p AS (SELECT g, max(d) AS diameter, avg(d) AS a FROM apsp WHERE s <> v GROUP BY g)
+SELECT n.g AS period, n.n_nodes, c.min_r = n.n_nodes AS is_connected, c.n_components,
+       coalesce(p.diameter, 0) AS diameter,
+       round(CASE WHEN c.min_r = n.n_nodes THEN coalesce(p.a, 0.0) ELSE 'inf'::DOUBLE END, 6) AS avg_shortest_path
+FROM n JOIN c USING (g) LEFT JOIN p USING (g)"""))
+def graph_paths(spark, sf):
+    """Connectivity, components, diameter, mean path length."""
+    return round_doubles(G.path_metrics(_edges(spark, sf), K))
+
+
+@register("components", lambda: _g_sql("SELECT g AS period, s AS node, min(v) AS component FROM apsp GROUP BY g, s"))
+def components_q(spark, sf):
+    """Connected components by min-label propagation."""
+    return G.components(_edges(spark, sf), K)
+
+
+@register("closeness", lambda: _g_sql(""",
+n AS (SELECT g, count(DISTINCT s) AS nv FROM apsp GROUP BY g),
+c AS (SELECT g, v, count(*) AS r, sum(d) AS tot FROM apsp GROUP BY g, v)
+SELECT c.g AS period, v AS node, round(CASE WHEN tot > 0 AND nv > 1 THEN ((r - 1) / tot) * ((r - 1) / (nv - 1)) ELSE 0.0 END, 6) AS closeness
+FROM c JOIN n USING (g)"""))
+def closeness(spark, sf):
+    """Closeness centrality (component-size corrected)."""
+    e = _edges(spark, sf)
+    return round_doubles(G.closeness(G.bfs_all_pairs(e, K), K))
+
+
+@register("betweenness", lambda: _g_sql(""",
+n AS (SELECT g, count(DISTINCT s) AS nv FROM apsp GROUP BY g),
+t AS (SELECT a.g, a.v AS node, sum(CAST(a.sigma AS DOUBLE) * b.sigma / st.sigma) AS raw
+      FROM apsp a JOIN apsp b ON a.g = b.g AND a.v = b.s
+      JOIN apsp st ON st.g = a.g AND st.s = a.s AND st.v = b.v
+      WHERE a.s <> a.v AND b.v <> b.s AND a.s <> b.v AND a.d + b.d = st.d GROUP BY a.g, a.v),
+allv AS (SELECT DISTINCT g, s AS node FROM apsp)
+SELECT allv.g AS period, allv.node, round(coalesce(raw, 0.0) * CASE WHEN nv > 2 THEN 1.0 / ((nv - 1) * (nv - 2)) ELSE 0.0 END, 6) AS betweenness
+FROM allv JOIN n USING (g) LEFT JOIN t ON t.g = allv.g AND t.node = allv.node"""))
+def betweenness(spark, sf):
+    """Normalised betweenness (Brandes accumulation, level loop)."""
+    return round_doubles(G.betweenness(_edges(spark, sf), K))
+
+
+@register("clustering", lambda: f"""WITH {Q.mention_ctes()},
+gs AS (SELECT DISTINCT period, src, dst FROM edges UNION SELECT DISTINCT period, dst, src FROM edges),
+dg AS (SELECT period, src AS node, count(*) AS deg FROM gs GROUP BY ALL),
+tr AS (SELECT a.period, a.src AS node, count(*) AS t2 FROM gs a JOIN gs b ON a.period = b.period AND a.src = b.src AND a.dst < b.dst
+       JOIN gs c ON c.period = a.period AND c.src = a.dst AND c.dst = b.dst GROUP BY ALL)
+SELECT dg.period, dg.node, CAST(deg AS BIGINT) AS deg, CAST(coalesce(t2, 0) AS BIGINT) AS triangles,
+       round(CASE WHEN deg >= 2 THEN 2.0 * coalesce(t2, 0) / (deg * (deg - 1)) ELSE 0.0 END, 6) AS clustering
+FROM dg LEFT JOIN tr USING (period, node)""")
+def clustering(spark, sf):
+    """Local clustering coefficients (degree-ordered triangle listing)."""
+    return round_doubles(G.clustering(_edges(spark, sf), K))
+
+
+@register("average_clustering", lambda: f"""WITH {Q.mention_ctes()},
+gs AS (SELECT DISTINCT period, src, dst FROM edges UNION SELECT DISTINCT period, dst, src FROM edges),
+dg AS (SELECT period, src AS node, count(*) AS deg FROM gs GROUP BY ALL),
+tr AS (SELECT a.period, a.src AS node, count(*) AS t2 FROM gs a JOIN gs b ON a.period = b.period AND a.src = b.src AND a.dst < b.dst
+       JOIN gs c ON c.period = a.period AND c.src = a.dst AND c.dst = b.dst GROUP BY ALL)
+SELECT period, round(avg(CASE WHEN deg >= 2 THEN 2.0 * coalesce(t2, 0) / (deg * (deg - 1)) ELSE 0.0 END), 6) AS avg_clustering
+FROM dg LEFT JOIN tr USING (period, node) GROUP BY period""")
+def average_clustering(spark, sf):
+    """Average clustering coefficient per graph."""
+    c = G.clustering(_edges(spark, sf), K)
+    return round_doubles(c.groupBy("period").agg(F.avg("clustering").alias("avg_clustering")))
+
+
+@register("bridges", lambda: f"""WITH {Q.mention_ctes()},
+gs AS (SELECT DISTINCT period AS g, src, dst FROM edges UNION SELECT DISTINCT period, dst, src FROM edges),
+und AS (SELECT g, src AS ra, dst AS rb FROM gs WHERE src < dst),
+reach AS (WITH RECURSIVE rr(g, ra, rb, node) USING KEY (g, ra, rb, node) AS (
+    SELECT g, ra, rb, ra FROM und
+    UNION
+    (SELECT f.g, f.ra, f.rb, x.dst FROM rr f JOIN gs x ON x.g = f.g AND x.src = f.node
+     WHERE NOT ((x.src = f.ra AND x.dst = f.rb) OR (x.src = f.rb AND x.dst = f.ra))
+       AND NOT EXISTS (SELECT 1 FROM recurring.rr q WHERE q.g = f.g AND q.ra = f.ra AND q.rb = f.rb AND q.node = x.dst)))
+  SELECT * FROM rr)
+SELECT g AS period, ra AS src, rb AS dst FROM und
+WHERE NOT EXISTS (SELECT 1 FROM reach r WHERE r.g = und.g AND r.ra = und.ra AND r.rb = und.rb AND r.node = und.rb)""")
+def bridges(spark, sf):
+    """Bridges (scenario label propagation, one scenario per edge)."""
+    return G.bridges(_edges(spark, sf), K)
+
+
+@register("articulation_points", lambda: f"""WITH {Q.mention_ctes()},
+gs AS (SELECT DISTINCT period AS g, src, dst FROM edges UNION SELECT DISTINCT period, dst, src FROM edges),
+nb AS (SELECT g, src AS v, min(dst) AS first_nb, count(*) AS deg FROM gs GROUP BY g, src HAVING count(*) >= 2),
+reach AS (WITH RECURSIVE rr(g, v, node) USING KEY (g, v, node) AS (
+    SELECT g, v, first_nb FROM nb
+    UNION
+    (SELECT f.g, f.v, x.dst FROM rr f JOIN gs x ON x.g = f.g AND x.src = f.node
+     WHERE x.dst <> f.v AND NOT EXISTS (SELECT 1 FROM recurring.rr q WHERE q.g = f.g AND q.v = f.v AND q.node = x.dst)))
+  SELECT * FROM rr)
+SELECT nb.g AS period, nb.v AS node FROM nb
+WHERE EXISTS (SELECT 1 FROM gs x WHERE x.g = nb.g AND x.src = nb.v
+              AND NOT EXISTS (SELECT 1 FROM reach r WHERE r.g = nb.g AND r.v = nb.v AND r.node = x.dst))""")
+def articulation_points(spark, sf):
+    """Articulation points (scenario label propagation, one per node)."""
+    return G.articulation_points(_edges(spark, sf), K)
+
+
+@register("communities")
+def communities(spark, sf):
+    """G17 + G19: first Girvan-Newman split memberships and sizes."""
+    gn = G.girvan_newman_split(_edges(spark, sf), K)
+    size = gn.groupBy("period", "community").agg(F.count("*").alias("size"))
+    return gn.join(size, ["period", "community"])
+
+
+@register("top_centrality_nodes")
+def top_centrality_nodes(spark, sf):
+    """Top-3 nodes per centrality metric (degree, betweenness, closeness)."""
+    e = _edges(spark, sf)
+    ap = G.bfs_all_pairs(e, K)
+    dc = M.degree_centrality(e).select("period", "node", "degree_centrality")
+    m = (dc.join(G.betweenness(e, K, ap), ["period", "node"])
+         .join(G.closeness(ap, K), ["period", "node"]))
+    return M.top_n_per_metric(round_doubles(m), ["degree_centrality", "betweenness", "closeness"], 3)

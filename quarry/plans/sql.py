@@ -131,3 +131,17 @@ sym AS (SELECT period, src AS node, dst AS neighbor, weight, average_sentiment F
 deg AS (SELECT period, node, CAST(count(*) AS BIGINT) AS degree FROM sym GROUP BY ALL),
 nsent AS (SELECT period, entity, CAST(sum(CAST(round(sentiment * 10000) AS BIGINT)) AS DOUBLE) / count(sentiment) / 10000.0::DOUBLE AS avg_sentiment,
                  CAST(count(*) AS BIGINT) AS mentions FROM mrows GROUP BY ALL)"""
+
+
+def bfs_ctes(edges_cte: str = "edges", key: str = "period") -> str:
+    """``gsym`` (symmetric edges) and ``apsp`` (BFS levels with path counts)
+    over an edge CTE (key, src, dst)."""
+    return f"""gsym AS (SELECT DISTINCT {key} AS g, src, dst FROM {edges_cte} WHERE src <> dst
+              UNION SELECT DISTINCT {key}, dst, src FROM {edges_cte} WHERE src <> dst),
+apsp AS (WITH RECURSIVE bfs(g, s, v, d, sigma) USING KEY (g, s, v) AS (
+    SELECT DISTINCT g, src, src, 0, CAST(1 AS BIGINT) FROM gsym
+    UNION
+    (SELECT f.g, f.s, x.dst, min(f.d) + 1, CAST(sum(f.sigma) AS BIGINT) FROM bfs f JOIN gsym x ON x.g = f.g AND x.src = f.v
+     WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs r WHERE r.g = f.g AND r.s = f.s AND r.v = x.dst)
+     GROUP BY f.g, f.s, x.dst))
+  SELECT * FROM bfs)"""
