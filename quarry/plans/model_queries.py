@@ -1 +1,149 @@
-"""placeholder"""
+"""Regression (R1-R13) queries over the price feature frame, plus ML."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.functions.text import round_doubles
+from quarry.operators import ols as O
+from quarry.operators import series as X
+from quarry.plans import series_queries as SQ
+from quarry.plans.catalog import register
+from quarry.sources import prices as P
+
+WINDOW = ("1996-01-01", "2000-12-31")
+BASE_X = (["rsi", "pe", "log_return", "volatility", "daily_trend", "quarter", "csad"]
+          + [f"delta_volume_{i}_days_back" for i in range(1, 11)])
+Y = "volume"
+
+
+def regression_frame(spark, sf):
+    """P3 window over the feature frame with merged deltas."""
+    f = X.price_features(P.prices(spark, sf), P.eps(spark, sf), P.betas(spark))
+    f = X.merged_deltas(f)
+    lo, hi = WINDOW
+    return f.filter(F.col("date").between(F.to_date(F.lit(lo)), F.to_date(F.lit(hi)))).checkpoint(eager=True)
+
+
+def _fit(spark, sf, cov="HC3", cols=None):
+    df = regression_frame(spark, sf)
+    cols = cols or BASE_X
+    g = O.gram(df, cols, Y)
+    f = O.fit_from_gram(g, Y, cols)
+    if cov == "HC3":
+        f = O.hc3(df, f)
+    return df, g, f
+
+
+@register("regression_fit")
+def regression_fit(spark, sf):
+    """OLS with HC3 errors; coefficient table and equation."""
+    _, _, f = _fit(spark, sf)
+    rows = [r + (O.equation(f),) for r in O.coef_table(f)]
+    return spark.createDataFrame(rows, "term string, coef double, std_err double, z double, p_value double, "
+                                       "ci_low double, ci_high double, equation string")
+
+
+@register("regression_single", lambda: f"""WITH {SQ.feat_sql()},
+f AS (SELECT * FROM feat WHERE {SQ._notnull_sql(SQ.FEATURE_COLS)} AND date BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}')
+SELECT round(regr_intercept(volume, csad), 4) AS intercept, round(regr_slope(volume, csad), 4) AS slope,
+       round(regr_r2(volume, csad), 6) AS r_squared, CAST(count(*) AS BIGINT) AS n FROM f""")
+def regression_single(spark, sf):
+    """R1 + R4 (one predictor): Gram-matrix OLS checked against regr_*."""
+    df = regression_frame(spark, sf)
+    g = O.gram(df, ["csad"], Y)
+    f = O.fit_from_gram(g, Y, ["csad"])
+    st = O.summary_stats(f)
+    return spark.createDataFrame([(round(float(f.beta[0]), 4), round(float(f.beta[1]), 4),
+                                   round(st["r_squared"], 6), int(f.n))],
+                                 "intercept double, slope double, r_squared double, n bigint")
+
+
+@register("residuals", lambda: f"""WITH {SQ.feat_sql()},
+f AS (SELECT * FROM feat WHERE {SQ._notnull_sql(SQ.FEATURE_COLS)} AND date BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}'),
+c AS (SELECT regr_intercept(volume, csad) AS b0, regr_slope(volume, csad) AS b1 FROM f)
+SELECT date, round(b0 + b1 * csad, 3) AS fitted, round(volume - (b0 + b1 * csad), 3) AS resid FROM f, c""")
+def residuals(spark, sf):
+    """Fitted values and residuals per row (single predictor)."""
+    df = regression_frame(spark, sf)
+    f = O.fit_from_gram(O.gram(df, ["csad"], Y), Y, ["csad"])
+    return df.select("date", F.round(O.fitted_expr(f), 3).alias("fitted"),
+                     F.round(O._resid_expr(f), 3).alias("resid"))
+
+
+@register("regression_summary")
+def regression_summary(spark, sf):
+    """Fit statistics, residual diagnostics, Breusch-Pagan."""
+    df, _, f = _fit(spark, sf)
+    st = O.summary_stats(f)
+    st.update(O.residual_diagnostics(df, f))
+    st.update({f"bp_{k}": v for k, v in O.breusch_pagan(df, f).items()})
+    rows = [(k, float(v)) for k, v in st.items()]
+    return spark.createDataFrame(rows, "metric string, value double")
+
+
+@register("anova")
+def anova(spark, sf):
+    """Type-II ANOVA with explained share, sorted."""
+    _, _, f = _fit(spark, sf, cov="nonrobust")
+    return spark.createDataFrame(O.anova_type2(f), "term string, sum_sq double, df double, F double, "
+                                                   "p_value double, explained_pct double")
+
+
+@register("backward_selection")
+def backward_selection(spark, sf):
+    """Backward elimination steps (HC3 p-values)."""
+    df, g, _ = _fit(spark, sf, cov="nonrobust")
+    _, steps = O.backward_selection(df, g, Y, BASE_X, "HC3")
+    return spark.createDataFrame(steps, "step int, action string, variable string, p_value double, n_vars int")
+
+
+@register("vif")
+def vif(spark, sf):
+    """Variance inflation factors incl. the intercept."""
+    _, g, _ = _fit(spark, sf, cov="nonrobust")
+    return spark.createDataFrame(O.vif(g, BASE_X), "feature string, vif double")
+
+
+@register("qq_points")
+def qq_points(spark, sf):
+    """Normal Q-Q pairs of the residuals."""
+    df, _, f = _fit(spark, sf, cov="nonrobust")
+    return O.qq_points(df, f)
+
+
+APPROACHES = {
+    "individual_deltas": BASE_X,
+    "sum_delta": [c for c in BASE_X if not c.startswith("delta_volume_")] + ["delta_volume_sum"],
+    "weighted_delta": [c for c in BASE_X if not c.startswith("delta_volume_")] + ["delta_volume_weighted"],
+    "avg_delta": [c for c in BASE_X if not c.startswith("delta_volume_")] + ["delta_volume_avg"],
+    "short_long_delta": [c for c in BASE_X if not c.startswith("delta_volume_")]
+    + ["delta_volume_short_term", "delta_volume_long_term"],
+    "no_deltas": [c for c in BASE_X if not c.startswith("delta_volume_")],
+    "sum_2_5_deltas": [c for c in BASE_X if c not in ("delta_volume_2_days_back", "delta_volume_5_days_back")]
+    + ["delta_volume_sum_2_5"],
+    "sum_9_10_deltas": [c for c in BASE_X if c not in ("delta_volume_9_days_back", "delta_volume_10_days_back")]
+    + ["delta_volume_sum_9_10"],
+    "sum_2_5_9_10_deltas": [c for c in BASE_X if c not in ("delta_volume_2_days_back", "delta_volume_5_days_back",
+                                                          "delta_volume_9_days_back", "delta_volume_10_days_back")]
+    + ["delta_volume_sum_2_5", "delta_volume_sum_9_10"],
+}
+
+
+@register("delta_comparison")
+def delta_comparison(spark, sf):
+    """Nine delta feature sets from one superset Gram pass (HC3 pass
+    per set for the significance count)."""
+    df = regression_frame(spark, sf)
+    allc = sorted({c for v in APPROACHES.values() for c in v})
+    g = O.gram(df, allc, Y)
+    rows = []
+    for name, cols in APPROACHES.items():
+        f = O.hc3(df, O.fit_from_gram(g, Y, cols))
+        st = O.summary_stats(f)
+        sig = sum(1 for r in O.coef_table(f) if r[0] != "Intercept" and r[4] <= 0.05)
+        rows.append((name, float(st["r_squared"]), float(st["adj_r_squared"]), float(st["aic"]),
+                     float(st["bic"]), len(cols), int(sig)))
+    return round_doubles(spark.createDataFrame(
+        rows, "approach string, r_squared double, adj_r_squared double, aic double, bic double, "
+              "num_features int, significant_vars int"))
