@@ -1 +1,183 @@
-"""placeholder"""
+"""Path (GEO) and assignment (ASSIGN) queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.functions.text import round_doubles
+from quarry.operators import spatial as SP
+from quarry.plans.catalog import register
+from quarry.sources import geo as GE
+
+PLACES_SQL = """
+places AS (SELECT n.n_nationkey AS key, n.n_name || ', ' || r.r_name AS place, r.r_name AS state,
+                  -20.0::DOUBLE + n.n_regionkey * 10.0::DOUBLE AS lat, -80.0::DOUBLE + n.n_regionkey * 40.0::DOUBLE AS lon,
+                  ['red', 'blue', 'green'][n.n_nationkey % 3 + 1] AS colour
+           FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey),
+adj AS (SELECT DISTINCT a.place, b.place AS neighbor FROM places a JOIN places b
+        ON (a.state = b.state OR abs(a.key - b.key) = 1) WHERE a.place <> b.place)"""
+
+
+def hav(l1, o1, l2, o2):
+    return (f"2 * {SP.EARTH_KM}::DOUBLE * asin(sqrt(pow(sin((radians({l2}) - radians({l1})) / 2), 2) + "
+            f"cos(radians({l1})) * cos(radians({l2})) * pow(sin((radians({o2}) - radians({o1})) / 2), 2)))")
+
+
+COSTS_SQL = PLACES_SQL + f""",
+costs AS (SELECT a.place, a.neighbor, CASE WHEN pa.state = pb.state THEN 0.0 ELSE {hav('pa.lat', 'pa.lon', 'pb.lat', 'pb.lon')} END AS cost
+          FROM adj a JOIN places pa ON pa.place = a.place JOIN places pb ON pb.place = a.neighbor)"""
+
+GOALS = ", ".join(str(k) for k in GE.GOAL_KEYS)
+STARTS = ", ".join(str(k) for k in GE.START_KEYS)
+
+
+def _geo(spark, sf):
+    p = GE.places(spark, sf)
+    return p, GE.adjacency(spark, sf)
+
+
+@register("adjacency", f"WITH {PLACES_SQL} SELECT place, neighbor FROM adj")
+def adjacency(spark, sf):
+    """SP1 + S12 shape: adjacency without self loops."""
+    return GE.adjacency(spark, sf)
+
+
+@register("place_parts", f"""WITH {PLACES_SQL}
+SELECT DISTINCT trim(split_part(place, ',', 1)) AS county, trim(split_part(place, ',', -1)) AS state,
+       trim(regexp_replace(colour || ': ' || place, '^(red|blue|green)[: ]+', '')) AS plain FROM places""")
+def place_parts(spark, sf):
+    """T23 + L6: split place ids, strip colour prefixes, distinct values."""
+    p = GE.places(spark, sf)
+    county, state = GE.split_place("place")
+    return p.select(county.alias("county"), state.alias("state"),
+                    GE.strip_colour(F.concat_ws(": ", "colour", "place")).alias("plain")).distinct()
+
+
+@register("edge_costs", f"WITH {COSTS_SQL} SELECT place, neighbor, round(cost, 6) AS cost FROM costs")
+def edge_costs(spark, sf):
+    """SP2 + T22: edge costs from state coordinates (0 within a state)."""
+    p, a = _geo(spark, sf)
+    return round_doubles(SP.edge_costs(a, p))
+
+
+@register("nearest_goal", f"""WITH {PLACES_SQL},
+g AS (SELECT place AS goal, lat AS gl, lon AS go FROM places WHERE key IN ({GOALS})),
+d AS (SELECT p.place, g.goal, {hav('p.lat', 'p.lon', 'g.gl', 'g.go')} AS h FROM places p, g)
+SELECT place, round(min(h), 6) AS h, arg_min(goal, (h, goal)) AS nearest_goal FROM d GROUP BY place""")
+def nearest_goal(spark, sf):
+    """SP3: distance to the nearest goal."""
+    p = GE.places(spark, sf)
+    return round_doubles(SP.nearest_goal(p, p.filter(F.col("key").isin(GE.GOAL_KEYS))))
+
+
+@register("neighbour_weights", f"""WITH {COSTS_SQL},
+g AS (SELECT place AS goal, lat AS gl, lon AS go FROM places WHERE key IN ({GOALS})),
+hh AS (SELECT p.place, min({hav('p.lat', 'p.lon', 'g.gl', 'g.go')}) AS h FROM places p, g GROUP BY p.place),
+j AS (SELECT c.place, c.neighbor, hn.h AS hn, hp.h AS hp, CASE WHEN c.neighbor IN (SELECT goal FROM g) THEN 1 ELSE 0 END AS ng
+      FROM costs c JOIN hh hn ON hn.place = c.neighbor JOIN hh hp ON hp.place = c.place)
+SELECT place, neighbor, round(CASE WHEN max(ng) OVER (PARTITION BY place) = 1 THEN CAST(ng AS DOUBLE)
+       ELSE exp(-(hn - hp) / 100.0) / sum(exp(-(hn - hp) / 100.0)) OVER (PARTITION BY place) END, 6) AS probability FROM j""")
+def neighbour_weights(spark, sf):
+    """SP7: softmax-like neighbour weights at temperature 100."""
+    p, a = _geo(spark, sf)
+    c = SP.edge_costs(a, p)
+    goals = p.filter(F.col("key").isin(GE.GOAL_KEYS))
+    return round_doubles(SP.neighbour_weights(c, SP.nearest_goal(p, goals), goals, 100.0))
+
+
+def _paths(spark, sf):
+    p, a = _geo(spark, sf)
+    c = SP.edge_costs(a, p)
+    starts = p.filter(F.col("key").isin(GE.START_KEYS))
+    goals = p.filter(F.col("key").isin(GE.GOAL_KEYS))
+    return p, c, starts, goals
+
+
+@register("nearest_goal_paths")
+def nearest_goal_paths(spark, sf):
+    """SP4: least-cost path from each start to the nearest same-colour goal."""
+    p, c, starts, goals = _paths(spark, sf)
+    paths = SP.shortest_paths(c, starts)
+    return round_doubles(SP.path_to_nearest_goal(paths, starts, goals))
+
+
+@register("greedy_paths")
+def greedy_paths(spark, sf):
+    """SP6 (SP5 shares the kernel): greedy descent toward the nearest goal."""
+    p, c, starts, goals = _paths(spark, sf)
+    return SP.greedy_descent(c, SP.nearest_goal(p, goals), starts, goals, 5)
+
+
+@register("aligned_paths")
+def aligned_paths(spark, sf):
+    """SP8: step-aligned routes (last place repeated)."""
+    p, c, starts, goals = _paths(spark, sf)
+    paths = SP.shortest_paths(c, starts)
+    best = SP.path_to_nearest_goal(paths, starts, goals).filter(F.col("goal").isNotNull())
+    return SP.align_paths(best.select("start", F.split("route", " -> ").alias("path")))
+
+
+ASSIGN_SQL = PLACES_SQL + """,
+ed AS (SELECT pa.key AS i, pb.key AS j FROM adj a JOIN places pa ON pa.place = a.place JOIN places pb ON pb.place = a.neighbor),
+dom(v) AS (VALUES (0), (1), (2)),
+acost AS (SELECT i, j, a.v AS vi, b.v AS vj,
+                 100 + (least(i, j) * 31 + greatest(i, j) * 17 + (CASE WHEN i < j THEN a.v ELSE b.v END) * 7
+                        + (CASE WHEN i < j THEN b.v ELSE a.v END) * 3) % 100 AS cost
+          FROM ed, dom a, dom b),
+asg AS (SELECT key AS agent, key % 3 AS value FROM places),
+lc AS (SELECT c.i AS agent, c.vi AS value, CAST(sum(c.cost) AS BIGINT) AS cost FROM acost c JOIN asg b ON b.agent = c.j AND b.value = c.vj GROUP BY ALL),
+br AS (SELECT l.agent, a.value AS current, arg_min(l.value, (l.cost, CASE WHEN l.value <> a.value THEN 1 ELSE 0 END, l.value)) AS best_value,
+              max(CASE WHEN l.value = a.value THEN l.cost END) AS current_cost, min(l.cost) AS best_cost
+       FROM lc l JOIN asg a ON a.agent = l.agent GROUP BY l.agent, a.value)"""
+
+
+def _assign(spark, sf):
+    return GE.assignment_costs(spark, sf), GE.initial_values(spark, sf)
+
+
+@register("assignment_cost", f"""WITH {ASSIGN_SQL}
+SELECT CAST(sum(cost) AS BIGINT) AS global_cost FROM acost c JOIN asg a ON a.agent = c.i AND a.value = c.vi
+JOIN asg b ON b.agent = c.j AND b.value = c.vj WHERE c.i < c.j""")
+def assignment_cost(spark, sf):
+    """C1 + J11: total assignment cost, each edge once."""
+    c, a = _assign(spark, sf)
+    return SP.global_cost(c, a)
+
+
+@register("assignment_local_costs", f"WITH {ASSIGN_SQL} SELECT agent, value, cost FROM lc")
+def assignment_local_costs(spark, sf):
+    """Local cost per (agent, candidate value)."""
+    c, a = _assign(spark, sf)
+    return SP.local_costs(c, a)
+
+
+@register("assignment_best_response", f"""WITH {ASSIGN_SQL}
+SELECT agent, current, best_value, current_cost, best_cost, current_cost - best_cost AS gain FROM br""")
+def assignment_best_response(spark, sf):
+    """Best response and gain per agent."""
+    c, a = _assign(spark, sf)
+    return SP.best_response(c, a)
+
+
+@register("assignment_winners", f"""WITH {ASSIGN_SQL},
+g AS (SELECT agent, current_cost - best_cost AS gain, * EXCLUDE (agent) FROM br),
+beaten AS (SELECT DISTINCT e.i AS agent FROM (SELECT DISTINCT i, j FROM acost) e JOIN g gi ON gi.agent = e.i JOIN g gj ON gj.agent = e.j
+           WHERE gj.gain > gi.gain OR (gj.gain = gi.gain AND e.j < e.i))
+SELECT agent, current, best_value, current_cost, best_cost, gain FROM g
+WHERE gain > 0 AND agent NOT IN (SELECT agent FROM beaten)""")
+def assignment_winners(spark, sf):
+    """C4: neighbourhood winners."""
+    c, a = _assign(spark, sf)
+    return SP.winners(c, SP.best_response(c, a))
+
+
+@register("assignment_convergence")
+def assignment_convergence(spark, sf):
+    """Mean global cost per iteration over three initial assignments."""
+    c = GE.assignment_costs(spark, sf).checkpoint(eager=True)
+    runs = None
+    for run in range(3):
+        r = SP.mgm_rounds(c, GE.initial_values(spark, sf, run), 10).withColumn("run", F.lit(run))
+        runs = r if runs is None else runs.unionByName(r)
+    return runs.groupBy(F.lit("nations").alias("graph"), F.lit("mgm").alias("algorithm"), "iteration") \
+        .agg(F.avg("global_cost").alias("avg_cost"))
