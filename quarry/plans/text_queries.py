@@ -159,3 +159,101 @@ SELECT period, rank, token, score, CAST(count AS BIGINT) AS count FROM r WHERE r
 def positive_words(spark, sf):
     """Top positive words by own polarity, min frequency 3."""
     return W.positive_words(B.units(spark, sf))
+
+
+# ---- text models (M1-M6) ---------------------------------------------------
+
+from quarry.operators import topics as TP  # noqa: E402
+
+
+@register("bag_of_words", lambda: f"""WITH {Q.terms_ctes()}
+SELECT period, unit_id, token, CAST(n AS BIGINT) AS n FROM term_docs""")
+def bag_of_words(spark, sf):
+    """M1: bag-of-words counts per document."""
+    return W.term_docs(B.units(spark, sf)).select("period", "unit_id", "token", F.col("n").cast("bigint").alias("n"))
+
+
+@register("vocab_pruned", lambda: f"""WITH {Q.terms_ctes()},
+n AS (SELECT period, count(DISTINCT unit_id) AS nd FROM term_docs GROUP BY period),
+d AS (SELECT period, token, count(DISTINCT unit_id) AS df FROM term_docs GROUP BY ALL)
+SELECT period, token, CAST(df AS BIGINT) AS df, CAST(nd AS BIGINT) AS N FROM d JOIN n USING (period) WHERE df >= 2 AND df <= 0.8 * nd""")
+def vocab_pruned(spark, sf):
+    """M2: vocabulary pruned by document frequency (>= 2, <= 80%)."""
+    td = W.term_docs(B.units(spark, sf))
+    return TP.vocab_pruned(td, ["period"], "unit_id").select(
+        "period", "token", F.col("df").cast("bigint").alias("df"), F.col("N").cast("bigint").alias("N"))
+
+
+def _tfidf_sql(extra=None, grouped=False, ngram=2, top=50):
+    stop = params.sql_list(params.STOP_WORDS + (extra or []))
+    toks = f"list_filter(regexp_extract_all(lower(doc), '\\b[a-z_]{{3,}}\\b'), lambda t: NOT list_contains({stop}, t))"
+    grams = f"list_concat(tk, list_transform(range(1, len(tk)), lambda i: tk[i] || ' ' || tk[i + 1]))" if ngram == 2 else "tk"
+    if grouped:
+        docs = f"""docs AS (SELECT period, post_id AS doc_id, string_agg({Q.replace_aliases('text')}, ' ' ORDER BY unit_id) AS doc
+                  FROM units WHERE text <> '' GROUP BY period, post_id)"""
+    else:
+        docs = f"docs AS (SELECT period, unit_id AS doc_id, {Q.replace_aliases('text')} AS doc FROM units WHERE text <> '')"
+    return f"""WITH {Q.units_ctes()}, {docs},
+t1 AS (SELECT period, doc_id, {toks} AS tk FROM docs),
+t2 AS (SELECT period, doc_id, unnest({grams}) AS term FROM t1),
+tf AS (SELECT period, doc_id, term, count(*) AS tf FROM t2 GROUP BY ALL),
+dfr AS (SELECT period, term, count(*) AS df FROM tf GROUP BY ALL),
+nd AS (SELECT period, count(*) AS N FROM docs GROUP BY period),
+w AS (SELECT tf.period, tf.doc_id, tf.term, tf * (ln((1.0 + N) / (1.0 + df)) + 1.0) AS w, N
+      FROM tf JOIN dfr USING (period, term) JOIN nd USING (period)),
+nw AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY period, doc_id)) AS nw FROM w),
+m AS (SELECT period, term, sum(nw) / max(N) AS score FROM nw GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY period ORDER BY score DESC, term) AS rank FROM m)
+SELECT period, term, round(score, 6) AS score, rank FROM r WHERE rank <= {top}"""
+
+
+@register("tfidf_words", lambda: _tfidf_sql())
+def tfidf_words(spark, sf):
+    """M3: top-50 mean TF-IDF uni/bi-grams per period."""
+    d = TP.alias_docs(B.units(spark, sf))
+    t = TP.tfidf_top(d, ["period"], "unit_id", "doc", params.STOP_WORDS, 2, 50)
+    return t.select("period", "term", F.round("score", 6).alias("score"), "rank")
+
+
+@register("tfidf_grouped", lambda: _tfidf_sql(TP.EXTRA_STOP, grouped=True, ngram=1, top=20))
+def tfidf_grouped(spark, sf):
+    """M4 + T15: TF-IDF over per-post concatenated documents, extra stop words."""
+    u = B.units(spark, sf).filter(F.col("text") != "").withColumn("doc1", Q_alias())
+    g = u.groupBy("period", "post_id").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("unit_id", "doc1"))), lambda s: s["doc1"]), " ").alias("doc"))
+    t = TP.tfidf_top(g, ["period"], "post_id", "doc", params.STOP_WORDS + TP.EXTRA_STOP, 1, 20)
+    return t.select("period", "term", F.round("score", 6).alias("score"), "rank")
+
+
+def Q_alias():
+    from quarry.functions.text import replace_aliases
+    return replace_aliases("text")
+
+
+def _bow_vocab(spark, sf):
+    td = W.term_docs(B.units(spark, sf)).checkpoint(eager=True)
+    voc = TP.vocab_pruned(td, ["period"], "unit_id")
+    return td, voc
+
+
+@register("lsa_topics")
+def lsa_topics(spark, sf):
+    """M5: LSA topics per period (RowMatrix SVD, 5 topics x 8 terms)."""
+    td, voc = _bow_vocab(spark, sf)
+    out = None
+    for (p,) in td.select("period").distinct().collect():   # one SVD per period (4 periods)
+        b = td.filter(F.col("period") == p)
+        v = voc.filter(F.col("period") == p)
+        bb = b.join(v.select("token"), "token", "left_semi")
+        r = TP.lsa_topics(bb, "unit_id", v, 5, 8).withColumn("period", F.lit(p))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("lda_topics")
+def lda_topics(spark, sf):
+    """M6: LDA topics (2 topics, seed 42, 8 terms) over all periods."""
+    td, voc = _bow_vocab(spark, sf)
+    v = voc.select("token").distinct()
+    b = td.join(v, "token", "left_semi")
+    return TP.lda_topics(b.withColumn("doc", F.concat_ws("-", "period", "unit_id")), "doc", v, 2, 10, 8, 42)
