@@ -147,3 +147,141 @@ def delta_comparison(spark, sf):
     return round_doubles(spark.createDataFrame(
         rows, "approach string, r_squared double, adj_r_squared double, aic double, bic double, "
               "num_features int, significant_vars int"))
+
+
+# ---- machine learning on TAB / VEC ----------------------------------------
+
+from quarry.operators import ml as ML  # noqa: E402
+from quarry.operators import tabular as TB  # noqa: E402
+from quarry.plans.tab_sql import TAB_SQL  # noqa: E402
+from quarry.session import table  # noqa: E402
+from quarry.sources.tabular import tab  # noqa: E402
+
+RULE_PRED = "CASE WHEN past_accidents >= 3 THEN 1 ELSE 0 END"
+
+
+def _rule_pred(spark, sf):
+    """A transparent rule classifier (so metrics are SQL-checkable)."""
+    t = tab(spark, sf)
+    return t.select("id", F.col("outcome").alias("label"),
+                    F.when(F.col("past_accidents") >= 3, 1).otherwise(0).alias("prediction"))
+
+
+@register("prediction_accuracy", f"""WITH {TAB_SQL}
+SELECT round(avg(CASE WHEN outcome = {RULE_PRED} THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       round(1 - avg(CASE WHEN outcome = {RULE_PRED} THEN 1.0 ELSE 0.0 END), 6) AS error_rate,
+       CAST(count(*) AS BIGINT) AS n FROM tab""")
+def prediction_accuracy(spark, sf):
+    """ML15: accuracy / error rate of a prediction column."""
+    return round_doubles(ML.accuracy(_rule_pred(spark, sf)))
+
+
+@register("confusion_matrix", f"""WITH {TAB_SQL}
+SELECT outcome AS label, CAST(sum(CASE WHEN {RULE_PRED} = 0 THEN 1 ELSE 0 END) AS BIGINT) AS "0",
+       CAST(sum(CASE WHEN {RULE_PRED} = 1 THEN 1 ELSE 0 END) AS BIGINT) AS "1" FROM tab GROUP BY outcome""")
+def confusion_matrix(spark, sf):
+    """ML11: confusion matrix."""
+    return ML.confusion(_rule_pred(spark, sf))
+
+
+@register("classification_report", f"""WITH {TAB_SQL},
+p AS (SELECT outcome AS y, {RULE_PRED} AS p FROM tab),
+cl AS (SELECT DISTINCT y AS c FROM p UNION SELECT DISTINCT p FROM p),
+r AS (SELECT c, (SELECT count(*) FROM p WHERE y = c AND p = c) AS tp, (SELECT count(*) FROM p WHERE y = c) AS support,
+             (SELECT count(*) FROM p WHERE p = c) AS pred_n FROM cl),
+r2 AS (SELECT CAST(c AS VARCHAR) AS class, CASE WHEN pred_n > 0 THEN tp / pred_n ELSE 0.0 END AS precision,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall, CAST(support AS BIGINT) AS support FROM r),
+r3 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM r2)
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, support, round(f1, 6) AS f1 FROM r3
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), CAST(sum(support) AS BIGINT), round(avg(f1), 6) FROM r3
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+       CAST(sum(support) AS BIGINT), round(sum(f1 * support) / sum(support), 6) FROM r3""")
+def classification_report(spark, sf):
+    """ML10 + ML12: per-class precision / recall / F1 and averages."""
+    return round_doubles(ML.class_report(_rule_pred(spark, sf)))
+
+
+def _ml_frame(spark, sf):
+    t = TB.knn_impute(tab(spark, sf), "id", ["credit_score", "annual_mileage"])
+    t = TB.encode_categories(t, ["vehicle_type", "married", "children"], "id")
+    t = t.withColumn("label", F.col("outcome").cast("double")).drop("outcome")
+    a, cols = ML.assemble(t, "label", exclude=["id"])
+    return a.checkpoint(eager=True), cols
+
+
+@register("tree_grid")
+def tree_grid(spark, sf):
+    """ML1 + ML3 + ML4 + ML13: tree sweep (depth x criterion), best model's
+    feature importances."""
+    a, cols = _ml_frame(spark, sf)
+    train, test = TB.hash_split(a, "id", 80)
+    rows, best = ML.tree_grid(train, "label", [2, 4, 6], ["gini", "entropy"])
+    imp = best.featureImportances.toArray()
+    out = [("grid", d, i, acc, None, None) for d, i, acc in rows]
+    out += [("importance", None, None, None, c, float(v)) for c, v in zip(cols, imp)]
+    return spark.createDataFrame(out, "kind string, max_depth int, impurity string, accuracy double, "
+                                      "feature string, importance double")
+
+
+@register("split_ratio_study")
+def split_ratio_study(spark, sf):
+    """ML2 + A29: mean accuracy per train ratio over repeated seeded splits."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    a, _ = _ml_frame(spark, sf)
+    rows = []
+    for ratio in [0.1 * i for i in range(1, 10)]:
+        for rep in range(10):
+            tr, te = a.randomSplit([ratio, 1 - ratio], seed=rep)
+            m = DecisionTreeClassifier(labelCol="label", maxDepth=5, seed=42).fit(tr)
+            acc = ML.accuracy(m.transform(te)).first()["accuracy"]
+            rows.append((round(ratio, 1), rep, float(acc)))
+    df = spark.createDataFrame(rows, "ratio double, repeat int, accuracy double")
+    return df.groupBy("ratio").agg(F.avg("accuracy").alias("mean_accuracy"))
+
+
+@register("mlp_grid")
+def mlp_grid(spark, sf):
+    """ML5 + ML6 + F9 + ML14: MLP grid with 3-fold CV on min-max scaled
+    features (scaler fitted on train only); best model scores the test rows."""
+    a, cols = _ml_frame(spark, sf)
+    train, test = TB.hash_split(a, "id", 80)
+    sc = ML.scale_fit(train)
+    rows, best = ML.mlp_grid(sc.transform(train), "label", len(cols), [[5], [8, 4]], [50, 100])
+    acc = ML.accuracy(best.transform(sc.transform(test))).first()["accuracy"]
+    rows.append(("best_on_test", 0, float(acc)))
+    return spark.createDataFrame(rows, "layers string, max_iter int, accuracy double")
+
+
+@register("svm_grid")
+def svm_grid(spark, sf):
+    """ML9 + ML13: linear SVM, 5-fold F1 over C (regParam = 1/(n*C))."""
+    a, _ = _ml_frame(spark, sf)
+    train, _ = TB.hash_split(a, "id", 80)
+    sc = ML.scale_fit(train)
+    n = train.count()
+    rows, _ = ML.svm_grid(sc.transform(train), "label", [1.0 / (n * c) for c in (0.1, 1.0, 10.0)])
+    return spark.createDataFrame(rows, "reg_param double, f1 double")
+
+
+def _vec(spark, sf):
+    from pyspark.ml.functions import array_to_vector
+    e = table(spark, sf, "embeddings")
+    return e.select("vec_id", F.col("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+
+
+@register("kmeans_clusters")
+def kmeans_clusters(spark, sf):
+    """ML7 + ML8 + A25: KMeans(k=2) relabelled by majority class; cluster
+    vs class distribution."""
+    p = ML.kmeans_relabel(_vec(spark, sf), "label", 2, 42)
+    return p.groupBy("prediction", "cluster_label", "label").agg(F.count("*").alias("n"))
+
+
+@register("pca_projection")
+def pca_projection(spark, sf):
+    """F16: 2-component PCA of the embeddings with explained variance."""
+    p, ev = ML.pca2(_vec(spark, sf))
+    from pyspark.ml.functions import vector_to_array
+    out = p.select("vec_id", vector_to_array("pca").alias("pc"))
+    return out.select("vec_id", F.col("pc")[0].alias("pc1"), F.col("pc")[1].alias("pc2"),
+                      F.lit(ev[0]).alias("explained_1"), F.lit(ev[1]).alias("explained_2"))
