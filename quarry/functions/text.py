@@ -158,3 +158,35 @@ def round_doubles(df, places: int = 6):
     return df.select(*[F.round(F.col(f.name), places).alias(f.name)
                        if f.dataType.typeName() in ("double", "float") else F.col(f.name)
                        for f in df.schema.fields])
+
+
+def replace_table(c, pairs: list[tuple[str, str]]) -> Column:
+    """T8 (re-aimed demojize): replace every listed symbol by its name,
+    from a caller-supplied (symbol, name) table."""
+    col = _c(c)
+    for sym, name in pairs:
+        col = F.replace(col, F.lit(sym), F.lit(name))
+    return col
+
+
+def lemmatize_tokens(tokens, lemmas: list[tuple[str, str]]) -> Column:
+    """T9 (re-aimed lemmatiser): map each token through a caller-supplied
+    (form, lemma) table compiled into a literal map; unknown forms stay."""
+    m = F.create_map(*[x for a, b in lemmas for x in (F.lit(a), F.lit(b))]) if lemmas else None
+    t = _c(tokens)
+    if m is None:
+        return t
+    return F.transform(t, lambda w: F.coalesce(F.try_element_at(m, w), w))
+
+
+def alpha_tokens(c, min_len: int = 1, strip_punct: bool = False, exclude: list[str] | None = None) -> Column:
+    """Whitespace tokens, alphabetic only (or punctuation-stripped),
+    lower-cased, at least ``min_len`` chars, minus ``exclude``."""
+    toks = F.split(F.lower(_c(c)), " ")
+    if strip_punct:
+        toks = F.transform(toks, lambda w: F.regexp_replace(w, r"[^\w]", ""))
+        keep = lambda w: F.length(w) >= min_len
+    else:
+        keep = lambda w: w.rlike("^[a-z]+$") & (F.length(w) >= min_len)
+    ex = F.array(*[F.lit(x) for x in (exclude or [])]) if exclude else None
+    return F.filter(toks, (lambda w: keep(w) & ~F.array_contains(ex, w)) if ex is not None else keep)
