@@ -406,3 +406,28 @@ def _knn_fill(spark, df, id_col, target, coords, k, rows_per_block, mean_value):
     allr = recv.select(id_col).join(res, id_col, "left")
     del present, no_block
     return allr.select(id_col, F.coalesce("__fill", F.lit(mean_value)).alias("__fill"))
+
+
+def insurance_features(df: DataFrame, id_col: str = "id") -> DataFrame:
+    """the full pre-processing chain in the reference order (Q14):
+    KNN imputation -> licence-age repair -> category codes -> credit bins ->
+    mileage/experience ratio (raw experience) log-bins -> mileage bins ->
+    age weight band -> experience quality log-bins -> experience band ->
+    risk index v2 band -> violation and accident log-bins."""
+    x = knn_impute(df, id_col, ["credit_score", "annual_mileage"])
+    x = fix_driving_age(x)
+    x = encode_categories(x, ["vehicle_type", "married", "children"], id_col).checkpoint(eager=True)
+    x = quantile_bin(x, "credit_score")
+    x = x.withColumn("mileage_experience_ratio", F.col("annual_mileage") / (1 + F.col("driving_experience")))
+    x = quantile_bin_log(x, "mileage_experience_ratio")
+    x = quantile_bin(x, "annual_mileage")
+    x = x.withColumn("age", band("age", *AGE_WEIGHT))
+    x = x.withColumn("experience_quality", F.col("driving_experience") / (1 + F.col("past_accidents")))
+    x = quantile_bin_log(x, "experience_quality")
+    x = x.withColumn("driving_experience", band("driving_experience", *EXP_WEIGHT))
+    ri = 0.4 * F.col("speeding_violations") + 0.4 * F.col("past_accidents") \
+        + 0.2 * F.col("driving_experience") * F.col("age")
+    x = x.withColumn("driver_risk_index", band(ri, *RISK_BAND))
+    x = quantile_bin_log(x, "speeding_violations")
+    x = quantile_bin_log(x, "past_accidents")
+    return x

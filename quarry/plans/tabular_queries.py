@@ -292,3 +292,9 @@ def train_test_split(spark, sf):
     return per.agg(F.sum("c").cast("bigint").alias("n_total"),
                    F.sum((F.col("c") > 1).cast("long")).alias("n_overlap"),
                    F.count("*").cast("bigint").alias("n_distinct"))
+
+
+@register("insurance_features")
+def insurance_features(spark, sf):
+    """full insurance pre-processing chain."""
+    return TB.insurance_features(tab(spark, sf))
