@@ -248,7 +248,6 @@ def uniform_bins(spark, sf):
 
 
 @register("minmax_scaled", f"""WITH {TAB_SQL},
-tr AS (SELECT * FROM tab WHERE (hash(id) % 100) >= 0),
 m AS (SELECT min(age) AS a0, max(age) AS a1, min(annual_mileage) AS m0, max(annual_mileage) AS m1 FROM tab)
 SELECT id, round((age - a0) / (a1 - a0), 6) AS age, round((annual_mileage - m0) / (m1 - m0), 6) AS annual_mileage FROM tab, m""")
 def minmax_scaled(spark, sf):
