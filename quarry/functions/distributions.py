@@ -33,7 +33,9 @@ def _betacf(a: float, b: float, x: float) -> float:
 
 
 def betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
+    """Regularised incomplete beta I_x(a, b); NaN for invalid arguments."""
+    if not (a > 0 and b > 0) or math.isnan(x):
+        return float("nan")
     if x <= 0:
         return 0.0
     if x >= 1:
@@ -45,7 +47,9 @@ def betainc(a: float, b: float, x: float) -> float:
 
 
 def gammaincc(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x)."""
+    """Regularised upper incomplete gamma Q(a, x); NaN for invalid arguments."""
+    if not a > 0 or math.isnan(x):
+        return float("nan")
     if x <= 0:
         return 1.0
     if x < a + 1:
@@ -77,12 +81,14 @@ def gammaincc(a: float, x: float) -> float:
 
 def t_sf2(t: float, df: float) -> float:
     """Two-sided p-value of Student's t."""
-    if math.isnan(t):
+    if math.isnan(t) or not df > 0:
         return float("nan")
     return betainc(df / 2.0, 0.5, df / (df + t * t))
 
 
 def f_sf(f: float, d1: float, d2: float) -> float:
+    if math.isnan(f) or not (d1 > 0 and d2 > 0):
+        return float("nan")
     if f <= 0:
         return 1.0
     return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))

@@ -134,6 +134,10 @@ def hc3(df: DataFrame, f: Fit) -> Fit:
 def summary_stats(f: Fit) -> dict:
     """R^2, adj. R^2, F, log-likelihood, AIC, BIC, n, df."""
     n, k = f.n, len(f.names)
+    if n <= k:
+        nan = float("nan")
+        return {"r_squared": nan, "adj_r_squared": nan, "f_statistic": nan, "f_pvalue": nan,
+                "log_likelihood": nan, "aic": nan, "bic": nan, "n": n, "df_model": k - 1, "df_resid": n - k}
     r2 = 1 - f.ssr / f.sst if f.sst > 0 else float("nan")
     adj = 1 - (1 - r2) * (n - 1) / (n - k) if n > k else float("nan")
     llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(f.ssr / n) + 1) if f.ssr > 0 else float("inf")
@@ -195,7 +199,7 @@ def anova_type2(f: Fit) -> list[tuple]:
     robust fit the Wald form with the robust variance times sigma^2), F, p,
     share of the total including the residual, sorted by share."""
     dfr = f.n - len(f.names)
-    sigma2 = f.ssr / dfr
+    sigma2 = f.ssr / dfr if dfr > 0 else float("nan")
     rows = []
     for i, nm in enumerate(f.names):
         if nm == "Intercept":
@@ -204,7 +208,7 @@ def anova_type2(f: Fit) -> list[tuple]:
         fstat = f.beta[i] ** 2 / var if var > 0 else float("nan")
         rows.append((nm, fstat * sigma2, 1.0, fstat, D.f_sf(fstat, 1, dfr)))
     rows.append(("Residual", f.ssr, float(dfr), float("nan"), float("nan")))
-    tot = sum(r[1] for r in rows)
+    tot = sum(r[1] for r in rows) or float("nan")
     out = [(r[0], float(r[1]), float(r[2]), float(r[3]), float(r[4]), float(r[1] / tot)) for r in rows]
     return sorted(out, key=lambda r: -r[5])
 
@@ -260,7 +264,12 @@ def residual_diagnostics(df: DataFrame, f: Fit, order: str = "date") -> dict:
     r = df.select(e.alias("e"), F.col(order)).withColumn("de", F.col("e") - F.lag("e").over(w))
     m = r.agg(F.sum(F.col("de") ** 2).alias("num"), F.sum(F.col("e") ** 2).alias("den"),
               F.skewness("e").alias("skew"), F.kurtosis("e").alias("kurt"), F.count("e").alias("n")).first()
-    n, s, k = m["n"], m["skew"], m["kurt"] + 3.0
+    n = m["n"]
+    if n < 8 or m["skew"] is None or not m["den"]:
+        nan = float("nan")
+        return {"durbin_watson": nan, "skew": nan, "kurtosis": nan, "jarque_bera": nan, "jb_pvalue": nan,
+                "omnibus": nan, "omnibus_pvalue": nan, "cond_no": nan}
+    s, k = m["skew"], m["kurt"] + 3.0
     jb = n / 6.0 * (s * s + (k - 3) ** 2 / 4.0)
     om = _omnibus(s, k, n)
     ev = np.linalg.eigvalsh(f.xtx_inv)
@@ -294,6 +303,9 @@ def _omnibus(s: float, k: float, n: int) -> float:
 def breusch_pagan(df: DataFrame, f: Fit) -> dict:
     """Auxiliary regression of e^2 on the same design; LM = n R^2."""
     cols = [c for c in f.names if c != "Intercept"]
+    if f.n <= len(cols) + 1:
+        nan = float("nan")
+        return {"lm": nan, "lm_pvalue": nan, "f_value": nan, "f_pvalue": nan, "heteroscedastic": False}
     aux = df.select(*cols, (_resid_expr(f) ** 2).alias("__e2"))
     g = gram(aux, cols, "__e2")
     fa = fit_from_gram(g, "__e2", cols)
