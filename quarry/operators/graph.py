@@ -237,27 +237,38 @@ def articulation_points(edges: DataFrame, keys: list[str]) -> DataFrame:
 
 def girvan_newman_split(edges: DataFrame, keys: list[str], max_rounds: int = 10_000) -> DataFrame:
     """G17 + G19: remove the highest edge-betweenness edge (ties: smallest
-    (src, dst)) until the component count rises; return memberships
-    (keys, node, community) and sizes via a group count."""
-    cur = edges.select(*keys, "src", "dst")
-    base = components(cur, keys).groupBy(*keys).agg(F.countDistinct("component").alias("c0"))
+    (src, dst)) until the component count rises; returns memberships
+    (keys, node, community). One BFS per round serves both the component
+    count and the edge betweenness."""
+    cur = edges.select(*keys, "src", "dst").checkpoint(eager=True)
     allnodes = nodes(symmetric(cur, keys), keys)
+
+    def comps(ap):
+        c = ap.groupBy(*keys, F.col("s").alias("node")).agg(F.min("v").alias("component"))
+        return allnodes.join(c, keys + ["node"], "left").select(
+            *keys, "node", F.coalesce("component", "node").alias("component"))
+
+    ap = bfs_all_pairs(cur, keys)
+    base = comps(ap).groupBy(*keys).agg(F.countDistinct("component").alias("c0")).checkpoint(eager=True)
     done = None
     for _ in range(max_rounds):
-        eb = edge_betweenness(cur, keys)
+        eb = edge_betweenness(cur, keys, ap)
         w = Window.partitionBy(*keys).orderBy(F.col("eb").desc(), "src", "dst")
         drop = eb.withColumn("r", F.row_number().over(w)).filter("r = 1").select(*keys, "src", "dst")
-        cur = cur.join(drop, keys + ["src", "dst"], "left_anti").checkpoint(eager=True)
-        comp = components(cur, keys)
-        comp = allnodes.join(comp, keys + ["node"], "left").select(
-            *keys, "node", F.coalesce("component", "node").alias("component"))
+        a, b = F.least("src", "dst"), F.greatest("src", "dst")
+        cur = (cur.withColumn("_a", a).withColumn("_b", b)
+               .join(drop.select(*keys, F.col("src").alias("_a"), F.col("dst").alias("_b")), keys + ["_a", "_b"], "left_anti")
+               .drop("_a", "_b")).checkpoint(eager=True)
+        ap = bfs_all_pairs(cur, keys) if not cur.isEmpty() else None
+        comp = comps(ap) if ap is not None else allnodes.withColumn("component", F.col("node"))
         cnt = comp.groupBy(*keys).agg(F.countDistinct("component").alias("c1")).join(base, keys)
-        split = cnt.filter(F.col("c1") > F.col("c0")).select(*keys)
+        split = cnt.filter(F.col("c1") > F.col("c0")).select(*keys).checkpoint(eager=True)
         fin = comp.join(split, keys, "left_semi")
         done = fin if done is None else done.unionByName(fin)
-        base = base.join(split, keys, "left_anti")
-        cur = cur.join(split, keys, "left_anti")
         done = done.checkpoint(eager=True)
+        base = base.join(split, keys, "left_anti").checkpoint(eager=True)
+        cur = cur.join(split, keys, "left_anti").checkpoint(eager=True)
         if base.isEmpty() or cur.isEmpty():
             break
+        ap = ap.join(split, keys, "left_anti")
     return done.withColumnRenamed("component", "community")

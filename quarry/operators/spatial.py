@@ -44,13 +44,21 @@ def nearest_goal(places: DataFrame, goals: DataFrame, max_goals: int = 10_000) -
     return places.select("place", best["h"].alias("h"), best["goal"].alias("nearest_goal"))
 
 
-def shortest_paths(costs: DataFrame, starts: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def shortest_paths(costs: DataFrame, starts: DataFrame, max_rounds: int = 10_000,
+                   beam: int | None = None, h: DataFrame | None = None) -> DataFrame:
     """SP4 kernel: least-cost paths from every start (independent sources,
-    Q15 fixed) to every reachable node: (start, node, cost, hops, path)."""
+    Q15 fixed) to every reachable node: (start, node, cost, hops, path).
+    SP5: with ``beam`` = k and a heuristic ``h`` (place, h), a node only
+    expands its k neighbours nearest a goal (ties: name)."""
     best = starts.select(F.col("place").alias("start"), F.col("place").alias("node"), F.lit(0.0).alias("cost"),
                          F.lit(0).alias("hops"), F.array(F.col("place")).alias("path"))
     frontier = best
     c2 = costs.select(F.col("place").alias("node"), "neighbor", F.col("cost").alias("cost_e"))
+    if beam is not None:
+        hh = h.select(F.col("place").alias("neighbor"), F.col("h").alias("hn"))
+        wb = Window.partitionBy("node").orderBy("hn", "neighbor")
+        c2 = c2.join(hh, "neighbor").withColumn("_r", F.row_number().over(wb)).filter(F.col("_r") <= beam) \
+            .drop("_r", "hn")
     for i in range(max_rounds):
         cand = (frontier.join(c2, "node")
                 .filter(~F.array_contains("path", F.col("neighbor")))

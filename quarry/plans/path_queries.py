@@ -101,6 +101,14 @@ def nearest_goal_paths(spark, sf):
     return round_doubles(SP.path_to_nearest_goal(paths, starts, goals))
 
 
+@register("beam_paths")
+def beam_paths(spark, sf):
+    """SP5: beam search (k = 3 neighbours nearest a goal per expansion)."""
+    p, c, starts, goals = _paths(spark, sf)
+    paths = SP.shortest_paths(c, starts, beam=3, h=SP.nearest_goal(p, goals))
+    return round_doubles(SP.path_to_nearest_goal(paths, starts, goals))
+
+
 @register("greedy_paths")
 def greedy_paths(spark, sf):
     """SP6 (SP5 shares the kernel): greedy descent toward the nearest goal."""
