@@ -93,7 +93,31 @@ def _paths(spark, sf):
     return p, c, starts, goals
 
 
-@register("nearest_goal_paths")
+def _sp_sql(beam=None):
+    return f"""WITH {COSTS_SQL},
+sp AS (WITH RECURSIVE r(start, node, cost, hops, path) USING KEY (start, node) AS (
+    SELECT place, place, 0.0::DOUBLE, 0, [place] FROM places WHERE key IN ({STARTS})
+    UNION
+    (SELECT start, node, b.cost, b.hops, b.path FROM (
+        SELECT f.start, c.neighbor AS node,
+               arg_min({{'cost': f.cost + c.cost, 'hops': f.hops + 1, 'path': list_append(f.path, c.neighbor)}},
+                       (f.cost + c.cost, f.hops + 1, array_to_string(list_append(f.path, c.neighbor), '|'))) AS b
+        FROM r f JOIN costs c ON c.place = f.node
+        WHERE NOT list_contains(f.path, c.neighbor)
+        GROUP BY f.start, c.neighbor) x
+     WHERE NOT EXISTS (SELECT 1 FROM recurring.r q WHERE q.start = x.start AND q.node = x.node
+                       AND (q.cost, q.hops, array_to_string(q.path, '|')) <= (x.b.cost, x.b.hops, array_to_string(x.b.path, '|')))))
+  SELECT * FROM r),
+st AS (SELECT place AS start, colour AS sc FROM places WHERE key IN ({STARTS})),
+gl AS (SELECT place AS node, colour AS gc FROM places WHERE key IN ({GOALS})),
+best AS (SELECT sp.start, arg_min({{'node': sp.node, 'cost': cost, 'hops': hops, 'path': path}}, (cost, hops, array_to_string(path, '|'))) AS b
+         FROM sp JOIN gl ON gl.node = sp.node JOIN st ON st.start = sp.start WHERE gc = sc GROUP BY sp.start)
+SELECT st.start, b.node AS goal, round(b.cost, 6) AS cost, b.hops AS hops,
+       coalesce(array_to_string(b.path, ' -> '), 'No path found.') AS route
+FROM st LEFT JOIN best USING (start)"""
+
+
+@register("nearest_goal_paths", _sp_sql)
 def nearest_goal_paths(spark, sf):
     """SP4: least-cost path from each start to the nearest same-colour goal."""
     p, c, starts, goals = _paths(spark, sf)
