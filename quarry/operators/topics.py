@@ -103,3 +103,25 @@ def alias_docs(units: DataFrame) -> DataFrame:
 
 
 EXTRA_STOP = [e.lower().split()[0] for e, _ in params.ENTITY_ALIASES]
+
+
+def term_npmi(term_docs: DataFrame, keys: list[str], doc_id: str, terms: DataFrame) -> DataFrame:
+    """M8 (NPMI part of the c_v coherence): boolean document co-occurrence of
+    the given top terms, NPMI = ln(p12 / (p1 p2)) / -ln(p12) per pair.
+    Only the listed terms enter the self-join, so pairs are bounded by
+    (top terms)^2 per document."""
+    n = term_docs.groupBy(*keys).agg(F.countDistinct(doc_id).alias("N"))
+    t = term_docs.join(F.broadcast(terms.select(*keys, "token")), keys + ["token"], "left_semi") \
+        .select(*keys, doc_id, "token").distinct()
+    p1 = t.groupBy(*keys, "token").agg(F.count("*").alias("c1"))
+    a, b = t.alias("a"), t.alias("b")
+    pairs = (a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys + [doc_id]] + [F.col("a.token") < F.col("b.token")])
+             .select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.token").alias("w1"), F.col("b.token").alias("w2"))
+             .groupBy(*keys, "w1", "w2").agg(F.count("*").alias("c12")))
+    j = (pairs.join(p1.select(*keys, F.col("token").alias("w1"), F.col("c1")), keys + ["w1"])
+         .join(p1.select(*keys, F.col("token").alias("w2"), F.col("c1").alias("c2")), keys + ["w2"])
+         .join(n, keys))
+    p12 = F.col("c12") / F.col("N")
+    pmi = F.ln(p12 / ((F.col("c1") / F.col("N")) * (F.col("c2") / F.col("N"))))
+    npmi = F.when(F.col("c12") == F.col("N"), F.lit(1.0)).otherwise(pmi / -F.ln(p12))
+    return j.select(*keys, "w1", "w2", "c12", npmi.alias("npmi"))

@@ -113,3 +113,9 @@ FEATURE_DATE_FLOOR = "1995-03-01"
 RSI_PERIOD = 14
 VOL_WINDOW = 10
 N_VOLUME_LAGS = 10
+
+# A small (form, lemma) table for the re-aimed lemmatiser.
+LEMMAS: list[tuple[str, str]] = [
+    ("things", "thing"), ("erings", "ering"), ("tions", "tion"), ("eas", "ea"),
+    ("thes", "the"), ("ered", "er"), ("ering", "er"),
+]

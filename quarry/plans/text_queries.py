@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry import params
-from quarry.functions.text import rnd
+from quarry.functions.text import explode_nonempty, rnd
 from quarry.operators import words as W
 from quarry.plans import sql as Q
 from quarry.plans.catalog import register
@@ -257,3 +257,50 @@ def lda_topics(spark, sf):
     v = voc.select("token").distinct()
     b = td.join(v, "token", "left_semi")
     return TP.lda_topics(b.withColumn("doc", F.concat_ws("-", "period", "unit_id")), "doc", v, 2, 10, 8, 42)
+
+
+@register("lda_topics_legacy")
+def lda_topics_legacy(spark, sf):
+    """M7: older LDA variant, 5 topics, 15 passes, comments only."""
+    u = B.units(spark, sf).filter(F.col("kind") == "comment")
+    td = W.term_docs(u).checkpoint(eager=True)
+    v = TP.vocab_pruned(td, ["period"], "unit_id").select("token").distinct()
+    b = td.join(v, "token", "left_semi")
+    return TP.lda_topics(b.withColumn("doc", F.concat_ws("-", "period", "unit_id")), "doc", v, 5, 15, 8, 42)
+
+
+@register("term_npmi", lambda: f"""WITH {Q.terms_ctes()},
+top AS (SELECT period, token FROM (SELECT period, token, row_number() OVER (PARTITION BY period ORDER BY count DESC, token) AS r
+        FROM word_stats) WHERE r <= 10),
+t AS (SELECT DISTINCT d.period, d.unit_id, d.token FROM term_docs d JOIN top USING (period, token)),
+n AS (SELECT period, count(DISTINCT unit_id) AS N FROM term_docs GROUP BY period),
+p1 AS (SELECT period, token, count(*) AS c1 FROM t GROUP BY ALL),
+pr AS (SELECT a.period, a.token AS w1, b.token AS w2, count(*) AS c12 FROM t a JOIN t b
+       ON a.period = b.period AND a.unit_id = b.unit_id AND a.token < b.token GROUP BY ALL)
+SELECT pr.period, w1, w2, CAST(c12 AS BIGINT) AS c12,
+       round(CASE WHEN c12 = N THEN 1.0 ELSE ln((c12 / N) / ((x.c1 / N) * (y.c1 / N))) / -ln(c12 / N) END, 6) AS npmi
+FROM pr JOIN p1 x ON x.period = pr.period AND x.token = w1 JOIN p1 y ON y.period = pr.period AND y.token = w2
+JOIN n ON n.period = pr.period""")
+def term_npmi(spark, sf):
+    """M8 (NPMI part): document co-occurrence NPMI of the top-10 terms."""
+    u = B.units(spark, sf)
+    st = W.word_stats(u)
+    top = W.most_common_words(st, 10, min_freq=0).select("period", "token")
+    r = TP.term_npmi(W.term_docs(u), ["period"], "unit_id", top)
+    return r.select("period", "w1", "w2", F.col("c12").cast("bigint").alias("c12"), F.round("npmi", 6).alias("npmi"))
+
+
+def _lemma_sql():
+    m = "MAP {" + ", ".join(f"{Q.S(a)}: {Q.S(b)}" for a, b in params.LEMMAS) + "}"
+    return f"""WITH {Q.units_ctes()},
+t AS (SELECT period, unnest(list_transform({Q.tokenize('text')}, lambda w: coalesce({m}[w], w))) AS lemma FROM units)
+SELECT period, lemma, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY ALL"""
+
+
+@register("lemma_counts", _lemma_sql)
+def lemma_counts(spark, sf):
+    """Tokens mapped through a (form, lemma) table, counted per period."""
+    from quarry.functions.text import lemmatize_tokens, tokenize
+    u = B.units(spark, sf).withColumn("lem", lemmatize_tokens(tokenize("text"), params.LEMMAS))
+    e = explode_nonempty(u, "lem", "lemma", "period")
+    return e.groupBy("period", "lemma").agg(F.count("*").cast("bigint").alias("n"))
