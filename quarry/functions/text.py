@@ -59,8 +59,12 @@ def fold_accents(c) -> Column:                      # T3
     """NFKD + drop non-ASCII, as a JVM expression (no Python UDF)."""
     src, dst, multi = _fold_table()
     col = F.translate(_c(c), src, dst)
-    for ch, rep in multi:
-        col = F.replace(col, F.lit(ch), F.lit(rep))
+    if multi:
+        chain = col
+        for ch, rep in multi:
+            chain = F.replace(chain, F.lit(ch), F.lit(rep))
+        # the multi-character replacements only run on the rare rows that need them
+        col = F.when(col.rlike("[" + "".join(re.escape(ch) for ch, _ in multi) + "]"), chain).otherwise(col)
     return F.regexp_replace(col, NON_ASCII_RE, "")
 
 

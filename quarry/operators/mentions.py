@@ -156,7 +156,7 @@ def top_n_per_metric(df: DataFrame, metric_cols: list[str], n: int = 3) -> DataF
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metric_cols])).alias("mv"))
     long = long.select("period", "node", "mv.metric", "mv.value")
     w = Window.partitionBy("period", "metric").orderBy(F.col("value").desc(), F.col("node"))
-    return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return long.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= n)
 
 
 def average_node_sentiment(ns: DataFrame) -> DataFrame:

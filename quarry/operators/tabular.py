@@ -357,12 +357,12 @@ def _knn_fill(spark, df, id_col, target, coords, k, rows_per_block, mean_value):
     lo_arr = F.array(*[F.lit(float("-inf"))] + [F.lit(e) for e in edges])
     hi_arr = F.array(*[F.lit(e) for e in edges] + [F.lit(float("inf"))])
     nbk = len(edges) + 1
-    donors = donors.withColumn("__b", bucket(F.col(f"__d_{block}")))
+    donors = donors.withColumn("__b", bucket(F.col(f"__d_{block}"))).checkpoint(eager=True)
     present = [F.col(c).isNotNull() for c in coords]
     has_block = F.col(block).isNotNull()
     rv = recv.select(id_col, *coords)
     no_block = rv.filter(~has_block)
-    rv = rv.filter(has_block).withColumn("__b", bucket(F.col(block)))
+    rv = rv.filter(has_block).withColumn("__b", bucket(F.col(block))).checkpoint(eager=True)
     results = []
     radius = 1
     pending = rv
@@ -391,12 +391,12 @@ def _knn_fill(spark, df, id_col, target, coords, k, rows_per_block, mean_value):
                                       F.count("*").alias("__n"), F.first(bound).alias("__bound"))
         done_all = radius >= nbk
         ok = agg.filter(((F.col("__n") >= k) & (F.col("__kd") < F.col("__bound"))) | F.lit(done_all))
-        ok = ok.checkpoint() if nd > 1_000_000 else ok
+        ok = ok.checkpoint(eager=True)   # cuts lineage; each round reads it twice
         results.append(ok.select(id_col, "__fill"))
         if done_all:
             break
-        pending = pending.join(ok.select(id_col), id_col, "left_anti")
-        if pending.limit(1).count() == 0:
+        pending = pending.join(ok.select(id_col), id_col, "left_anti").checkpoint(eager=True)
+        if pending.isEmpty():
             break
         radius *= 2
     res = results[0]

@@ -39,7 +39,7 @@ def tfidf_top(docs: DataFrame, keys: list[str], doc_id: str, text: str, stop_wor
     norm = w.withColumn("nw", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*keys, doc_id))))
     mean = norm.groupBy(*keys, "term").agg((F.sum("nw") / F.first("N")).alias("score"))
     r = Window.partitionBy(*keys).orderBy(F.col("score").desc(), F.col("term"))
-    return mean.withColumn("rank", F.row_number().over(r)).filter(F.col("rank") <= top_n)
+    return mean.withColumn("rank", F.row_number().over(r).cast("bigint")).filter(F.col("rank") <= top_n)
 
 
 def vocab_pruned(term_docs: DataFrame, keys: list[str], doc_id: str, no_below: int = 2,

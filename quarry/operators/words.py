@@ -55,7 +55,7 @@ def most_common_words(stats: DataFrame, n: int = 50,
     """Top-n frequent words per period (ties: token ascending)."""
     w = Window.partitionBy("period").orderBy(F.col("count").desc(), F.col("token"))
     return (frequent_words(stats, min_freq)
-            .withColumn("rank", F.row_number().over(w))
+            .withColumn("rank", F.row_number().over(w).cast("bigint"))
             .filter(F.col("rank") <= n)
             .select("period", "rank", "token", "count",
                     "avg_sentiment"))
@@ -67,9 +67,9 @@ def sentiment_extremes(stats: DataFrame, n: int = 10,
     f = frequent_words(stats, min_freq)
     wn = Window.partitionBy("period").orderBy(F.col("avg_sentiment"), F.col("token"))
     wp = Window.partitionBy("period").orderBy(F.col("avg_sentiment").desc(), F.col("token").desc())
-    neg = f.withColumn("rank", F.row_number().over(wn)).filter(F.col("rank") <= n) \
+    neg = f.withColumn("rank", F.row_number().over(wn).cast("bigint")).filter(F.col("rank") <= n) \
         .withColumn("kind", F.lit("most_negative"))
-    pos = f.withColumn("rank", F.row_number().over(wp)).filter(F.col("rank") <= n) \
+    pos = f.withColumn("rank", F.row_number().over(wp).cast("bigint")).filter(F.col("rank") <= n) \
         .withColumn("kind", F.lit("most_positive"))
     return neg.unionByName(pos).select(
         "period", "kind", "rank", "token", "avg_sentiment", "count")
@@ -116,7 +116,7 @@ def word_contexts(units: DataFrame, k: int = 3, preview: int = 100, **kw) -> Dat
     first = t.groupBy("period", "token", "text").agg(
         F.min(F.struct("unit_id", "sentiment")).alias("f"))
     w = Window.partitionBy("period", "token").orderBy(F.col("f.unit_id"))
-    return (first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return (first.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
             .select("period", "token", "rank", F.col("f.sentiment").alias("sentiment"),
                     F.substring("text", 1, preview).alias("preview")))
 
@@ -155,5 +155,5 @@ def positive_words(units: DataFrame, top_n: int = 10, min_freq: int = 3) -> Data
     agg = per_doc.groupBy("period", "token").agg(F.sum("n").alias("count"))
     scored = agg.filter(F.col("count") >= min_freq).withColumn("score", compound_score("token"))
     w = Window.partitionBy("period").orderBy(F.col("score").desc(), F.col("token"))
-    return (scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
+    return (scored.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= top_n)
             .select("period", "rank", "token", "score", F.col("count").cast("bigint").alias("count")))

@@ -50,7 +50,7 @@ x4 AS (SELECT x3.*, b.beta,
               CASE WHEN ttm_eps <> 0 THEN close / ttm_eps END AS pe,
               CASE WHEN nf >= 14 THEN (CASE WHEN al = 0 AND ag = 0 THEN 'NaN'::DOUBLE WHEN al = 0 THEN 100.0
                                              ELSE 100.0 - 100.0 / (1.0 + ag / al) END) END AS rsi,
-              close / open AS daily_trend, isodow(date) - 1 AS weekday, CAST(quarter(date) AS DOUBLE) AS quarter
+              close / open AS daily_trend, CAST(isodow(date) - 1 AS INTEGER) AS weekday, CAST(quarter(date) AS DOUBLE) AS quarter
        FROM x3 LEFT JOIN betas b USING (symbol)),
 rets AS (SELECT symbol, date, log_return FROM x4 WHERE log_return IS NOT NULL),
 csad AS (SELECT t.date, avg(abs(t.log_return - p.log_return)) AS csad FROM rets t JOIN rets p ON t.date = p.date

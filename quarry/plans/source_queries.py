@@ -13,7 +13,7 @@ from quarry.sources import files as FS
 
 POSTS_SQL = f"""{Q.UNITS_RAW},
 titles AS (SELECT post_id, raw_text AS title, created_utc, score, author FROM units_raw WHERE turn = 0),
-crows AS (SELECT post_id, turn - 1 AS pos, author, raw_text AS body, score FROM units_raw WHERE turn > 0)"""
+crows AS (SELECT post_id, CAST(turn - 1 AS INTEGER) AS pos, author, raw_text AS body, score FROM units_raw WHERE turn > 0)"""
 
 
 @register("posts", f"""WITH {POSTS_SQL}

@@ -44,7 +44,7 @@ def comment_rows(posts: DataFrame, keep: list[str]) -> DataFrame:
 def top_posts(posts: DataFrame, keys: list[str], n: int = 50, order: str = "score", tie: str = "post_id") -> DataFrame:
     """Top-n posts per key (e.g. channel, keyword) by score."""
     w = Window.partitionBy(*keys).orderBy(F.col(order).desc(), F.col(tie))
-    return posts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return posts.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= n)
 
 
 def first_comments(posts: DataFrame, keep: list[str], limit: int = 20) -> DataFrame:

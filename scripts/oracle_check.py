@@ -28,6 +28,20 @@ def norm(v):
     return v
 
 
+SPARK_FAM = {"int": "INT32", "bigint": "INT64", "smallint": "INT16", "tinyint": "INT8", "double": "FLOAT64",
+             "float": "FLOAT32", "string": "STRING", "boolean": "BOOL", "date": "DATE",
+             "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+DUCK_FAM = {"INTEGER": "INT32", "BIGINT": "INT64", "SMALLINT": "INT16", "TINYINT": "INT8", "DOUBLE": "FLOAT64",
+            "FLOAT": "FLOAT32", "VARCHAR": "STRING", "BOOLEAN": "BOOL", "DATE": "DATE", "TIMESTAMP": "TIMESTAMP",
+            "HUGEINT": "INT128"}
+
+
+def type_diffs(df, cur):
+    st = {f.name: SPARK_FAM.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    dt = {d[0]: DUCK_FAM.get(str(d[1]), str(d[1])) for d in cur.description}
+    return [(c, st[c], dt.get(c)) for c in st if dt.get(c) != st[c]]
+
+
 def canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = sorted((tuple(norm(r[i]) for i in order) for r in rows), key=repr)
@@ -68,6 +82,9 @@ def main():
             print(f"FAIL {name}: duckdb error {str(e)[:400]}")
             bad += 1
             continue
+        td = type_diffs(df, cur)
+        if td:
+            print(f"TYPE {name}: {td}")
         c1, r1 = canon(scols, srows)
         c2, r2 = canon(dcols, drows)
         if c1 != c2:
