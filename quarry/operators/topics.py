@@ -51,50 +51,52 @@ def vocab_pruned(term_docs: DataFrame, keys: list[str], doc_id: str, no_below: i
     return j.filter((F.col("df") >= no_below) & (F.col("df") <= F.lit(no_above) * F.col("N")))
 
 
-def lsa_topics(bow: DataFrame, doc_id: str, vocab: DataFrame, k: int = 5, n_terms: int = 8) -> DataFrame:
+def count_vectors(docs: DataFrame, terms: str, min_df: float = 2.0, max_df: float = 0.8):
+    """M1 + M2 with pyspark.ml: vocabulary pruned by document frequency
+    (>= min_df documents, <= max_df of them) and per-document count vectors."""
+    from pyspark.ml.feature import CountVectorizer
+    d = docs.filter(F.size(terms) > 0).checkpoint(eager=True)
+    model = CountVectorizer(inputCol=terms, outputCol="features", minDF=min_df, maxDF=max_df).fit(d)
+    # iterative learners scan the vectors many times: materialise them once
+    return model.transform(d).select("features").checkpoint(eager=True), model.vocabulary
+
+
+def lsa_topics(docs: DataFrame, terms: str, k: int = 5, n_terms: int = 8) -> DataFrame:
     """M5: truncated SVD of the (uncentred) document-term count matrix with
     the distributed RowMatrix; topic i lists the n_terms largest |weights|,
     sign fixed so the largest-magnitude weight is positive."""
-    from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import RowMatrix
-    idx = vocab.select("token").distinct().withColumn(
-        "tid", F.row_number().over(Window.orderBy("token")) - 1)   # vocabulary (model size), small
-    nv = idx.count()
-    if nv == 0:
-        return bow.sparkSession.createDataFrame([], "topic int, rank int, token string, weight double")
-    b = bow.join(F.broadcast(idx), "token")
-    rows = b.groupBy(doc_id).agg(F.collect_list(F.struct("tid", "n")).alias("e"))  # one document's terms
-    rdd = rows.rdd.map(lambda r: Vectors.sparse(nv, sorted((x["tid"], float(x["n"])) for x in r["e"])))
-    svd = RowMatrix(rdd).computeSVD(min(k, nv), computeU=False)
+    from pyspark.mllib.util import MLUtils
+    vec, vocab = count_vectors(docs, terms)
+    spark = docs.sparkSession
+    if not vocab:
+        return spark.createDataFrame([], "topic int, rank int, token string, weight double")
+    rows = MLUtils.convertVectorColumnsFromML(vec.select("features"), "features").rdd.map(lambda r: r[0])
+    svd = RowMatrix(rows).computeSVD(min(k, len(vocab)), computeU=False)
     v = svd.V.toArray()
-    toks = {r["tid"]: r["token"] for r in idx.collect()}
     out = []
     for t in range(v.shape[1]):
         col = v[:, t]
         sgn = 1.0 if col[abs(col).argmax()] >= 0 else -1.0
-        order = sorted(range(nv), key=lambda i: (-abs(col[i]), toks[i]))[:n_terms]
+        order = sorted(range(len(vocab)), key=lambda i: (-abs(col[i]), vocab[i]))[:n_terms]
         for rk, i in enumerate(order, 1):
-            out.append((t, rk, toks[i], float(sgn * col[i])))
-    return bow.sparkSession.createDataFrame(out, "topic int, rank int, token string, weight double")
+            out.append((t, rk, vocab[i], float(sgn * col[i])))
+    return spark.createDataFrame(out, "topic int, rank int, token string, weight double")
 
 
-def lda_topics(bow: DataFrame, doc_id: str, vocab: DataFrame, k: int = 2, max_iter: int = 10,
+def lda_topics(docs: DataFrame, terms: str, k: int = 2, max_iter: int = 10,
                n_terms: int = 8, seed: int = 42) -> DataFrame:
-    """M6 / M7: online LDA; top terms with their topic probabilities."""
+    """M6 / M7: online LDA on count vectors; top terms with their weights."""
     from pyspark.ml.clustering import LDA
-    from pyspark.ml.linalg import Vectors, VectorUDT
-    idx = vocab.select("token").distinct().withColumn("tid", F.row_number().over(Window.orderBy("token")) - 1)
-    nv = idx.count()
-    b = bow.join(F.broadcast(idx), "token")
-    rows = b.groupBy(doc_id).agg(F.collect_list(F.struct("tid", "n")).alias("e"))
-    to_vec = F.udf(lambda e: Vectors.sparse(nv, sorted((x["tid"], float(x["n"])) for x in e)), VectorUDT())
-    data = rows.select(doc_id, to_vec("e").alias("features"))
-    model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed).fit(data)
+    vec, vocab = count_vectors(docs, terms)
+    model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed).fit(vec)
     t = model.describeTopics(n_terms)
     ex = t.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("pos", "z"))
+    # vocabulary (model state) as a small indexed table joined to the top terms
+    voc = docs.sparkSession.createDataFrame(list(enumerate(vocab)), "tid int, token string")
     ex = ex.select("topic", (F.col("pos") + 1).alias("rank"), F.col("z.termIndices").alias("tid"),
                    F.col("z.termWeights").alias("weight"))
-    return ex.join(F.broadcast(idx), "tid").select("topic", "rank", "token", "weight")
+    return ex.join(voc, "tid").select("topic", "rank", "token", "weight")
 
 
 def alias_docs(units: DataFrame) -> DataFrame:

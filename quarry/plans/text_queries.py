@@ -230,43 +230,29 @@ def Q_alias():
     return replace_aliases("text")
 
 
-def _bow_vocab(spark, sf):
-    td = W.term_docs(B.units(spark, sf)).checkpoint(eager=True)
-    voc = TP.vocab_pruned(td, ["period"], "unit_id")
-    return td, voc
-
-
 @register("lsa_topics")
 def lsa_topics(spark, sf):
     """M5: LSA topics per period (RowMatrix SVD, 5 topics x 8 terms)."""
-    td, voc = _bow_vocab(spark, sf)
+    ut = W.unit_terms(B.units(spark, sf)).select("period", "unit_id", "terms").checkpoint(eager=True)
     out = None
-    for (p,) in td.select("period").distinct().collect():   # one SVD per period (4 periods)
-        b = td.filter(F.col("period") == p)
-        v = voc.filter(F.col("period") == p)
-        bb = b.join(v.select("token"), "token", "left_semi")
-        r = TP.lsa_topics(bb, "unit_id", v, 5, 8).withColumn("period", F.lit(p))
+    for (p,) in ut.select("period").distinct().collect():   # one SVD per period (a small parameter set)
+        r = TP.lsa_topics(ut.filter(F.col("period") == p), "terms", 5, 8).withColumn("period", F.lit(p))
         out = r if out is None else out.unionByName(r)
     return out
 
 
 @register("lda_topics")
 def lda_topics(spark, sf):
-    """M6: LDA topics (2 topics, seed 42, 8 terms) over all periods."""
-    td, voc = _bow_vocab(spark, sf)
-    v = voc.select("token").distinct()
-    b = td.join(v, "token", "left_semi")
-    return TP.lda_topics(b.withColumn("doc", F.concat_ws("-", "period", "unit_id")), "doc", v, 2, 10, 8, 42)
+    """M6: LDA topics (2 topics, seed 42, 8 terms)."""
+    ut = W.unit_terms(B.units(spark, sf)).select("unit_id", "terms")
+    return TP.lda_topics(ut, "terms", 2, 10, 8, 42)
 
 
 @register("lda_topics_legacy")
 def lda_topics_legacy(spark, sf):
     """M7: older LDA variant, 5 topics, 15 passes, comments only."""
     u = B.units(spark, sf).filter(F.col("kind") == "comment")
-    td = W.term_docs(u).checkpoint(eager=True)
-    v = TP.vocab_pruned(td, ["period"], "unit_id").select("token").distinct()
-    b = td.join(v, "token", "left_semi")
-    return TP.lda_topics(b.withColumn("doc", F.concat_ws("-", "period", "unit_id")), "doc", v, 5, 15, 8, 42)
+    return TP.lda_topics(W.unit_terms(u).select("unit_id", "terms"), "terms", 5, 15, 8, 42)
 
 
 @register("term_npmi", lambda: f"""WITH {Q.terms_ctes()},
