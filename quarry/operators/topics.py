@@ -56,6 +56,8 @@ def count_vectors(docs: DataFrame, terms: str, min_df: float = 2.0, max_df: floa
     (>= min_df documents, <= max_df of them) and per-document count vectors."""
     from pyspark.ml.feature import CountVectorizer
     d = docs.filter(F.size(terms) > 0).checkpoint(eager=True)
+    if max_df < 1.0 and max_df * d.count() < min_df:
+        return None, []          # no term can pass both bounds (empty dictionary)
     model = CountVectorizer(inputCol=terms, outputCol="features", minDF=min_df, maxDF=max_df).fit(d)
     # iterative learners scan the vectors many times: materialise them once
     return model.transform(d).select("features").checkpoint(eager=True), model.vocabulary
@@ -89,6 +91,8 @@ def lda_topics(docs: DataFrame, terms: str, k: int = 2, max_iter: int = 10,
     """M6 / M7: online LDA on count vectors; top terms with their weights."""
     from pyspark.ml.clustering import LDA
     vec, vocab = count_vectors(docs, terms)
+    if not vocab:
+        return docs.sparkSession.createDataFrame([], "topic int, rank int, token string, weight double")
     model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed).fit(vec)
     t = model.describeTopics(n_terms)
     ex = t.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("pos", "z"))
