@@ -37,12 +37,20 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only set one when unset (tests)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions manage checkpoints themselves
+        return d or ""
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        d = sc.getCheckpointDir()
     if not d:
+        # only for local runs / tests: the cluster names a shared folder
         d = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - static conf in some deployments
+            pass
+    sc.setCheckpointDir(d)
     return d
 
 
