@@ -35,6 +35,12 @@ def term_docs(units: DataFrame, **kw) -> DataFrame:
     return t.groupBy("period", "unit_id", "sentiment", "token").agg(F.count("*").alias("n"))
 
 
+def text_key(c: str = "text"):
+    """128-bit content key of a text (two independent 64-bit hashes), used to
+    de-duplicate by text without shuffling whole documents."""
+    return F.struct(F.xxhash64(F.col(c)).alias("h1"), F.xxhash64(F.lit("#"), F.col(c)).alias("h2"))
+
+
 def word_stats(units: DataFrame, **kw) -> DataFrame:
     """A1 + A2: total count, documents containing the term, and mean unit
     sentiment over those documents (one observation per document)."""
@@ -97,9 +103,10 @@ def entity_sentiments(units: DataFrame, stats: DataFrame,
     spark = units.sparkSession
     ents = spark.createDataFrame([(e,) for e in (entities or params.entities())], "name string") \
         .withColumn("token", slug("name"))
-    ctx = (explode_nonempty(unit_terms(units, **kw), "terms", "token", "period", "text", "sentiment")
+    ut = unit_terms(units, **kw).withColumn("tk", text_key())
+    ctx = (explode_nonempty(ut, "terms", "token", "period", "tk", "sentiment")
            .join(F.broadcast(ents.select("token")), "token")
-           .dropDuplicates(["period", "token", "text"])
+           .dropDuplicates(["period", "token", "tk"])
            .groupBy("period", "token").agg(F.stddev_pop("sentiment").alias("sentiment_std_dev")))
     return (stats.join(F.broadcast(ents), "token")
             .join(ctx, ["period", "token"], "left")
@@ -111,14 +118,17 @@ def entity_sentiments(units: DataFrame, stats: DataFrame,
 def word_contexts(units: DataFrame, k: int = 3, preview: int = 100, **kw) -> DataFrame:
     """First k distinct texts per word in unit order, with sentiment and
     a ``preview``-character prefix for display (the full text is matched)."""
-    t = explode_nonempty(unit_terms(units, **kw), "terms", "token",
-                         "period", "unit_id", "text", "sentiment")
-    first = t.groupBy("period", "token", "text").agg(
-        F.min(F.struct("unit_id", "sentiment")).alias("f"))
+    # distinct texts by a content hash; only a ``preview``-char prefix
+    # travels through the shuffle, never the whole document
+    ut = unit_terms(units, **kw).withColumn("tk", text_key()) \
+        .withColumn("pv", F.substring("text", 1, preview))
+    t = explode_nonempty(ut, "terms", "token", "period", "unit_id", "tk", "pv", "sentiment")
+    first = t.groupBy("period", "token", "tk").agg(
+        F.min(F.struct("unit_id", "sentiment", "pv")).alias("f"))
     w = Window.partitionBy("period", "token").orderBy(F.col("f.unit_id"))
     return (first.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
             .select("period", "token", "rank", F.col("f.sentiment").alias("sentiment"),
-                    F.substring("text", 1, preview).alias("preview")))
+                    F.col("f.pv").alias("preview")))
 
 
 def sentiment_over_time(entity_stats: DataFrame, periods: list[str] | None = None) -> DataFrame:
