@@ -30,7 +30,9 @@ def tfidf_top(docs: DataFrame, keys: list[str], doc_id: str, text: str, stop_wor
     idf = ln((1+N)/(1+df)) + 1, tf = raw count, rows L2-normalised."""
     from quarry.functions.text import ngrams
     d = docs.withColumn("__t", sk_terms(F.col(text), stop_words)).withColumn("__g", ngrams("__t", ngram_max, sep=" "))
-    n_docs = docs.groupBy(*keys).agg(F.count("*").alias("N"))
+    # a document may arrive as several rows (e.g. a post and its comments);
+    # term counts add up per doc_id, so no text is concatenated or collected
+    n_docs = docs.groupBy(*keys).agg(F.countDistinct(doc_id).alias("N"))
     occ = explode_nonempty(d, "__g", "term", *keys, doc_id)
     tf = occ.groupBy(*keys, doc_id, "term").agg(F.count("*").alias("tf"))
     df_ = tf.groupBy(*keys, "term").agg(F.count("*").alias("df"))

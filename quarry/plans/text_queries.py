@@ -218,10 +218,10 @@ def tfidf_words(spark, sf):
 @register("tfidf_grouped", lambda: _tfidf_sql(TP.EXTRA_STOP, grouped=True, ngram=1, top=20))
 def tfidf_grouped(spark, sf):
     """M4 + T15: TF-IDF over per-post concatenated documents, extra stop words."""
-    u = B.units(spark, sf).filter(F.col("text") != "").withColumn("doc1", Q_alias())
-    g = u.groupBy("period", "post_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("unit_id", "doc1"))), lambda s: s["doc1"]), " ").alias("doc"))
-    t = TP.tfidf_top(g, ["period"], "post_id", "doc", params.STOP_WORDS + TP.EXTRA_STOP, 1, 20)
+    # unigram term counts of a post's texts add up per post_id, which equals
+    # the counts of their space-joined concatenation (T15) without building it
+    u = TP.alias_docs(B.units(spark, sf))
+    t = TP.tfidf_top(u, ["period"], "post_id", "doc", params.STOP_WORDS + TP.EXTRA_STOP, 1, 20)
     return t.select("period", "term", F.round("score", 6).alias("score"), "rank")
 
 
