@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.llm.common import documents
 
@@ -33,3 +34,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.op6_rules import rules
     return rules(documents(spark, sf_dir))
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.op1_substrings import remove_repeated
+    return remove_repeated(documents(spark, sf_dir)).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.op3_runs import remove_repeated
+    return remove_repeated(documents(spark, sf_dir)).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
