@@ -6,6 +6,7 @@ temporaries stay small whatever the batch or document sizes are."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -139,3 +140,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def crc_mod(column, modulus: int):
     """crc32 of the id as text, modulo ``modulus`` (a null id: of the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a Parquet table in the shared checkpoint folder: cuts
+    lineage, and later plans know its real size."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """With a broadcast hint if the frame has at most ``rows`` rows, as counted
+    now; larger frames are left to the shuffle join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

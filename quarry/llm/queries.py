@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import documents
+from quarry.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +48,15 @@ def op3_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.op3_runs import remove_repeated
     return remove_repeated(documents(spark, sf_dir)).select(
         "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.op7_simhash import near_duplicates
+    return near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.op9_winnow import decontaminate
+    return decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
