@@ -28,9 +28,11 @@ CAPACITY = 4096
 END_ID = 1
 SALTS = 256
 #: Distinct words whose ids a task keeps between slices.
-CACHE_WORDS = 300_000
-#: A word that ends in one of these after a plain letter: the marks are a token run of their own.
-MARKED = re.compile("^(.*[a-zß-öø-ÿ])([.,!?]+)$", re.S)
+CACHE_WORDS = 250_000
+#: A run of these after a plain letter is split off by the tokenizer itself, so
+#: word and marks can be encoded, and cached, apart.
+MARKS, PLAIN_END = ".,!?", "[a-zß-öø-ÿ]$"
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
 class WordEncoder:
@@ -39,56 +41,62 @@ class WordEncoder:
     Words are encoded once per task while the cache holds them."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        # a word of plain lower-case letters is unchanged by the normaliser and not split
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = {"": 0}
         self.ids = [np.zeros(0, np.uint32)]
-        self.sizes: list[int] = []
+        self.sizes: list[np.ndarray] = [np.zeros(1, np.int64)]
 
     def add(self, words: list[str]) -> None:
-        if not words:
-            return
-        for at in range(0, len(words), 4096):
-            some = words[at:at + 4096]
-            encoded = self.tokenizer.encode_batch([some[i:i + 64] for i in range(0, len(some), 64)],
-                                                  is_pretokenized=True, add_special_tokens=False)
-            for i, e in enumerate(encoded):
-                n = len(some[i * 64:i * 64 + 64])
-                self.sizes.extend(np.bincount(np.asarray(e.word_ids, dtype=np.int64), minlength=n).tolist())
-                self.ids.append(np.asarray(e.ids, dtype=np.uint32))
-            for w in some:
-                self.known[w] = len(self.known)
+        """Encodes words that are not known yet."""
+        plain = [w for w in words if PLAIN.fullmatch(w)]
+        for at in range(0, len(plain), 4096):
+            some = plain[at:at + 4096]
+            for e in self.plain.encode_batch_fast([some[i:i + 64] for i in range(0, len(some), 64)],
+                                                  is_pretokenized=True, add_special_tokens=False):
+                ids = np.asarray(e.ids, dtype=np.uint32)
+                self.ids.append(ids)
+                self.sizes.append(np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1))
+        other = [w for w in words if not PLAIN.fullmatch(w)]
+        for at in range(0, len(other), 64):
+            some = other[at:at + 64]
+            e = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            self.ids.append(np.asarray(e.ids, dtype=np.uint32))
+            self.sizes.append(np.bincount(np.asarray(e.word_ids, dtype=np.int64), minlength=len(some)))
+        self.known.update(zip(plain + other, range(len(self.known), len(self.known) + len(words))))
 
     def encode(self, flat: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each word, all ids in order)."""
-        codes, distinct = codes_of(flat)
+        special = pc.match_substring(flat, "<|")  # the strings of special tokens are matched before lower-casing
+        lower = pc.ascii_lower(flat)
+        codes, distinct = codes_of(pc.if_else(special, flat, lower) if pc.any(special).as_py() else lower)
+        stem = pc.utf8_rtrim(distinct, MARKS)
+        plain = pc.match_substring_regex(stem, PLAIN_END)
+        tail = pc.extract_regex(distinct, f"(?P<marks>[{MARKS}]*)$").field(0)
+        stem_code, stems = codes_of(pc.if_else(plain, stem, distinct))
+        tail_code, tails = codes_of(pc.if_else(plain, tail, ""))
+        stems, tails = stems.to_pylist(), tails.to_pylist()
         if len(self.known) > CACHE_WORDS:
             self.clear()
-        parts = []
-        for w in distinct.to_pylist():
-            if "<|" not in w:  # the strings of special tokens are matched before lower-casing
-                w = w.translate(ASCII_LOWER)
-                m = MARKED.match(w)
-                parts.append(m.groups() if m else (w,))
-            else:
-                parts.append((w,))
-        self.add(list(dict.fromkeys(p for ps in parts for p in ps if p not in self.known)))
-        pool, sizes = np.concatenate(self.ids), np.asarray(self.sizes, dtype=np.int64)
-        self.ids = [pool]
+        self.add([w for w in dict.fromkeys(stems + tails) if w not in self.known])
+        pool, sizes = np.concatenate(self.ids), np.concatenate(self.sizes)
+        self.ids, self.sizes = [pool], [sizes]
         starts = np.cumsum(sizes) - sizes
-        # piece list of every distinct word, then of every word
-        n_parts = np.fromiter(map(len, parts), np.int64, len(parts))
-        part_ids = np.fromiter((self.known[p] for ps in parts for p in ps), np.int64, int(n_parts.sum()))
-        all_parts = part_ids[spread(np.cumsum(n_parts) - n_parts, n_parts, codes)]
-        owner = np.repeat(np.arange(len(codes)), n_parts[codes])
-        ids = pool[spread(starts, sizes, all_parts)]
-        return np.bincount(owner, weights=sizes[all_parts], minlength=len(codes)).astype(np.int64), ids
-
-
-ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
+        known = self.known
+        first = np.fromiter((known[w] for w in stems), np.int64, len(stems))[stem_code]
+        second = np.fromiter((known[w] for w in tails), np.int64, len(tails))[tail_code]
+        parts = np.stack([first[codes], second[codes]], axis=1)
+        return sizes[parts].sum(axis=1), pool[spread(starts, sizes, parts.ravel())]
 
 
 def spread(starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -110,7 +118,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer_path)
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", 4 << 20):
                 counts, flat = words_of(part.column(1))
                 sizes, ids = encoder.encode(flat)
                 ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(counts)] if len(counts) else []

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import documents
+from quarry.llm.common import crc_mod, documents
 from quarry.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,32 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.op9_winnow import decontaminate
     return decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.op5_quality import CUT, score, train
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    held = crc_mod("doc_id", 5) == 0
+    model = train(docs.where(~held), labels.where(~held))
+    return score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+
+
+@query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.op8_language import identify, train
+    docs = table(spark, sf_dir, "documents")
+    held = crc_mod("doc_id", 3) == 1
+    model = train(docs.where(~held))
+    return identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "languages")
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.op10_toxicity import score, train
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    held = crc_mod("doc_id", 5) == 0
+    known = labels.where(~held)
+    prior = known.agg(F.avg("toxic")).first()[0] or 0.0  # class prior: share of toxic texts among the labelled ones
+    model = train(docs.where(~held), known.where("toxic = 1"), prior)
+    return score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
