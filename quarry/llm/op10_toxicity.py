@@ -23,7 +23,9 @@ FEATURES = 1 << 18
 POSITIVES, UNLABELLED = 3_000, 9_000
 #: A feature counts if so many positives have it.
 LEAST_DOCS = 5
-EPOCHS, RATE, L1 = 150, 0.1, 2e-4
+EPOCHS, RATE = 150, 0.1
+#: The L1 step is the larger of these, the second over the number of positives: fewer positives, fewer features.
+L1, L1_POSITIVES = 1e-4, 0.05
 #: Lengths of the word beginnings that are features beside the whole words.
 BEGINNINGS = (4, 5)
 MARKS = ".,;:!?\"'()[]{}<>|*#$%&-_/"
@@ -76,7 +78,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     is_pos = np.arange(len(docs)) < len(positive)
     w = np.zeros(len(used) + 1)
     w[-1] = np.log(prior / (1 - prior))
-    first, second = np.zeros(len(w)), np.zeros(len(w))
+    first, second, shrink = np.zeros(len(w)), np.zeros(len(w)), max(L1, L1_POSITIVES / n_pos)
     for step in range(1, EPOCHS + 1):
         z = np.bincount(row, weights=w[col], minlength=len(docs)) + w[-1]
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -91,7 +93,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
         second = 0.99 * second + 0.01 * grad * grad
         scale = RATE / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-6)
         w -= scale * first / (1 - 0.9 ** step)
-        w[:-1] = np.sign(w[:-1]) * np.maximum(np.abs(w[:-1]) - np.minimum(scale[:-1] * L1, 1.0), 0)
+        w[:-1] = np.sign(w[:-1]) * np.maximum(np.abs(w[:-1]) - np.minimum(scale[:-1] * shrink, 1.0), 0)
     weights = np.zeros(FEATURES)
     weights[used] = w[:-1]
     return Model(weights, float(w[-1]))
