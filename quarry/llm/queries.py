@@ -89,3 +89,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     prior = known.agg(F.avg("toxic")).first()[0] or 0.0  # class prior: share of toxic texts among the labelled ones
     model = train(docs.where(~held), known.where("toxic = 1"), prior)
     return score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.op2_language_model import score
+    scored = score(documents(spark, sf_dir), crc_mod("doc_id", 7) != 2)
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
