@@ -32,6 +32,11 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def text_version(text_col: str):
+    """Hash of the text: tells rows with the same id and different texts apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def per_slice(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
               size_col: str = "text", max_bytes: int = SLICE_BYTES):
     """A mapInArrow function that applies ``fn`` to slices of at most

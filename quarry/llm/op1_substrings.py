@@ -15,6 +15,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quarry.llm.common import codes_of, gram_names, words_of
 from quarry.llm.segments import Method, Units, applied, mixed, unit_mask, with_spans
@@ -76,3 +77,21 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     return applied(with_spans(docs, WORDS, id_col, text_col), text_col, keep,
                    [("kept", "string", pa.string()), ("n_words", "long", pa.int64()), ("n_removed", "long", pa.int64())])
+
+
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The rows with ``text_col`` replaced by the words left (a null text stays
+    null) and ``length_col``, if there is one, by its length; other columns
+    unchanged. A text of which nothing is left stays as an empty one."""
+    done = remove_repeated(docs, id_col, text_col)
+    row = F.col("row")
+    columns = []
+    for f in docs.schema.fields:
+        if f.name == text_col:
+            value = F.when(row[text_col].isNotNull(), F.col("kept"))
+        elif f.name == length_col:
+            value = F.when(row[text_col].isNotNull(), F.length("kept")).otherwise(row[f.name]).cast(f.dataType)
+        else:
+            value = row[f.name]
+        columns.append(value.alias(f.name))
+    return done.select(*columns)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import NO_ID, id_text, per_slice, words_of, written
+from quarry.llm.common import NO_ID, id_text, per_slice, text_version, words_of, written
 
 SHINGLE = 4
 SEED = 42
@@ -53,11 +53,13 @@ def simhash(counts: np.ndarray, flat: pa.Array, shingle: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ``fp`` (the 64 bits as a signed long) of every row."""
+    """doc_id, ``version`` (hash of the text) and ``fp`` (the 64 bits as a signed
+    long) of every row."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         fp = simhash(*words_of(batch.column(1), lower=True), shingle)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
-    return id_text(docs, id_col, text_col).mapInArrow(per_slice(run), "doc_id long, fp long")
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp.view(np.int64))], names=["doc_id", "version", "fp"])
+    return (id_text(docs, id_col, text_col).withColumn("version", text_version("text"))
+            .mapInArrow(per_slice(run), "doc_id long, version long, fp long"))
 
 
 def entries(fp: np.ndarray, distance: int, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -187,8 +189,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, segments: int = SEGMENTS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ``fingerprint`` (16 hex digits) and ``component_id`` of every
-    row: the smallest id among all rows reachable over fingerprints at most
+    """doc_id, ``version`` (hash of the text), ``fingerprint`` (16 hex digits)
+    and ``component_id`` of every row: the smallest id among all rows reachable over fingerprints at most
     ``distance`` bits apart. A null or wordless text has fingerprint 0, linked
     like any other. Rows without an id are linked, but never name a component
     (null if no row of it has an id). Repeated rows give repeated results."""
@@ -198,4 +200,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(names, "root").select("fp", F.expr(f"nullif(component_id, {NO_ID})").alias("component_id"))
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return rows.join(named, "fp").select("doc_id", "version", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows, all columns unchanged, that stand for their component: the one
+    with the component's id (with several texts under that id: one of them; of
+    repeated rows: one). Rows without an id stay only where their whole
+    component has none, one per text."""
+    found = written(near_duplicates(docs, id_col=id_col, text_col=text_col, **options))
+    chosen = (found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("version").alias("version"))
+              .unionByName(found.where("doc_id is null and component_id is null").select("doc_id", "version").distinct())
+              .select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")))
+    again = found.groupBy("doc_id", "version").count().where("count > 1").limit(1).count()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), text_version(text_col).alias("version"))
+    kept = rows.join(chosen, F.col("id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")), "left_semi")
+    return (kept.dropDuplicates(["id", "version"]) if again else kept).select("row.*")

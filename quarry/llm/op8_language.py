@@ -144,3 +144,14 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                                           names=["doc_id", "lang_pred", "score", "languages"])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         per_slice(run), "doc_id long, lang_pred string, score double, languages array<string>")
+
+
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows, all columns unchanged, whose language is not ``und``."""
+    schema = docs.schema
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = pc.fill_null(batch.column(batch.schema.get_field_index(text_col)).cast(pa.string()), "")
+        known = np.asarray(pc.match_substring_regex(texts, r"\p{L}"))
+        return batch.filter(pa.array(known & (mixtures(model, texts).sum(axis=1) > 0)))
+    return docs.mapInArrow(per_slice(run, text_col), schema)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import NO_ID, small, written
+from quarry.llm.common import NO_ID, small, text_version, written
 
 SPAN = 13
 K = 8
@@ -50,7 +50,7 @@ def with_kept(df: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, ``n_words``, ``n_hit`` (words inside any occurrence of an
+    """Per row: doc_id, ``version`` (hash of the text), ``n_words``, ``n_hit`` (words inside any occurrence of an
     item window), ``n_items`` (items with such windows), ``items_sha256`` and
     ``contaminated`` (at least a twentieth of the words is hit). An item of
     fewer than 13 words, but not none, is one window. A null text has no words;
@@ -67,7 +67,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     kept_items = small(with_kept(long_items).select(F.explode_outer("kept").alias("hash")).distinct(), SMALL_HASHES)
 
     rank = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    base = docs.select(rank.alias("key"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("version"),
+    base = docs.select(rank.alias("key"), text_version(text_col).alias("version"),
                        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     hits = (with_kept(base.select("key", "version", words(F.col("text")).alias("words")))
             .select("key", "version", F.explode_outer("kept").alias("hash"))
@@ -100,6 +100,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hit = F.coalesce("n_hit", F.lit(0))
     return (found.select("key", "version", "doc_id", F.col("n_words").cast("long").alias("n_words"))
             .join(covered, ["key", "version"], "left").join(named, ["key", "version"], "left")
-            .select("doc_id", "n_words", hit.cast("long").alias("n_hit"), F.size(none).cast("long").alias("n_items"),
+            .select("doc_id", "version", "n_words", hit.cast("long").alias("n_hit"), F.size(none).cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", none), 256).alias("items_sha256"),
                     ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated")))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, all columns unchanged, that are not contaminated."""
+    bad = written(decontaminate(docs, benchmark, id_col, text_col).where("contaminated")
+                  .select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).distinct())
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), text_version(text_col).alias("version"))
+    return rows.join(small(bad, SMALL_HASHES), F.col("id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")), "left_anti").select("row.*")

@@ -53,13 +53,13 @@ def op3_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.op7_simhash import near_duplicates
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir)).drop("version")
 
 
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.op9_winnow import decontaminate
-    return decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("version")
 
 
 @query
