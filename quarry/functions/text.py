@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from functools import lru_cache, reduce
 
@@ -34,24 +35,21 @@ def remove_urls(c) -> Column:                       # T2
 
 @lru_cache(maxsize=1)
 def _fold_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Accent-folding table derived from Unicode NFKD over the Latin,
-    punctuation and ligature blocks: single-character results go into a
-    ``translate`` map, multi-character ones into a short replace list.
-    Everything still non-ASCII afterwards is dropped (as an ASCII encode
-    with errors ignored would)."""
+    """Accent-folding table derived from Unicode NFKD over all code points:
+    single-character results go into a ``translate`` map, multi-character ones
+    into a replace map. Everything still non-ASCII afterwards is dropped (as an
+    ASCII encode with errors ignored would)."""
     src, dst, multi = [], [], []
-    ranges = [(0x80, 0x250), (0x1E00, 0x1F00), (0x2000, 0x2070), (0xFB00, 0xFB07)]
-    for lo, hi in ranges:
-        for cp in range(lo, hi):
-            ch = chr(cp)
-            folded = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode()
-            if folded == ch:
-                continue
-            if len(folded) == 1:
-                src.append(ch)
-                dst.append(folded)
-            elif len(folded) > 1:
-                multi.append((ch, folded))
+    for cp in range(0x80, sys.maxunicode + 1):
+        ch = chr(cp)
+        if not unicodedata.decomposition(ch):
+            continue
+        folded = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode()
+        if len(folded) == 1:
+            src.append(ch)
+            dst.append(folded)
+        elif len(folded) > 1:
+            multi.append((ch, folded))
     return "".join(src), "".join(dst), tuple(multi)
 
 
@@ -59,12 +57,10 @@ def fold_accents(c) -> Column:                      # T3
     """NFKD + drop non-ASCII, as a JVM expression (no Python UDF)."""
     src, dst, multi = _fold_table()
     col = F.translate(_c(c), src, dst)
-    if multi:
-        chain = col
-        for ch, rep in multi:
-            chain = F.replace(chain, F.lit(ch), F.lit(rep))
-        # the multi-character replacements only run on the rare rows that need them
-        col = F.when(col.rlike("[" + "".join(re.escape(ch) for ch, _ in multi) + "]"), chain).otherwise(col)
+    table = F.create_map(*[F.lit(x) for pair in multi for x in pair])
+    letters = F.transform(F.regexp_extract_all(col, F.lit("(?s)."), 0), lambda x: F.coalesce(F.try_element_at(table, x), x))
+    # the multi-character replacements only run on the rare rows that need them
+    col = F.when(col.rlike("[" + "".join(ch for ch, _ in multi) + "]"), F.concat_ws("", letters)).otherwise(col)
     return F.regexp_replace(col, NON_ASCII_RE, "")
 
 
@@ -137,7 +133,7 @@ def polarity_label(score, threshold: float = params.SENTIMENT_THRESHOLD) -> Colu
 
 
 def rnd(c, places: int = 6) -> Column:              # T21
-    return F.round(_c(c), places)
+    return F.bround(_c(c), places)
 
 
 def explode_nonempty(df, array_col: str, alias: str, *keep: str):

@@ -87,7 +87,7 @@ def grow(df: DataFrame, attrs: list[str], label: str, mode: str = "standard",
         if level.filter(~F.col("is_leaf")).isEmpty():
             break
         splits = level.filter(~F.col("is_leaf")).select("node", "split_attr")
-        rows = (live.join(F.broadcast(splits), "node")
+        rows = (live.join(splits, "node")
                 .withColumn("node", F.concat(F.col("node"), F.lit("/"), F.col("split_attr"), F.lit("="), value_of))
                 .drop("split_attr")).checkpoint(eager=True)
     return out
@@ -148,7 +148,6 @@ def predict(df: DataFrame, tree: DataFrame, id_col: str) -> DataFrame:
     """D5 (Q11 fixed): walk rows down the node table level by level with
     joins; an unseen branch value stops at the node and takes its majority."""
     t = tree.select("node", "parent", "branch_value", "split_attr", "majority", "is_leaf")
-    t = F.broadcast(t) if tree.count() < 1_000_000 else t
     attrs = [r[0] for r in tree.select("split_attr").distinct().collect() if r[0]]
     cur = df.withColumn("node", F.lit("root"))
     done = None

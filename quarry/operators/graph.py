@@ -235,7 +235,7 @@ def articulation_points(edges: DataFrame, keys: list[str]) -> DataFrame:
     return j.filter(F.col("c_after") > F.col("c_before")).select(*keys, F.col("sid").alias("node"))
 
 
-def girvan_newman_split(edges: DataFrame, keys: list[str], max_rounds: int = 10_000) -> DataFrame:
+def girvan_newman_split(edges: DataFrame, keys: list[str]) -> DataFrame:
     """G17 + G19: remove the highest edge-betweenness edge (ties: smallest
     (src, dst)) until the component count rises; returns memberships
     (keys, node, community). One BFS per round serves both the component
@@ -251,7 +251,7 @@ def girvan_newman_split(edges: DataFrame, keys: list[str], max_rounds: int = 10_
     ap = bfs_all_pairs(cur, keys)
     base = comps(ap).groupBy(*keys).agg(F.countDistinct("component").alias("c0")).checkpoint(eager=True)
     done = None
-    for _ in range(max_rounds):
+    while True:  # every round removes an edge, so it ends
         eb = edge_betweenness(cur, keys, ap)
         w = Window.partitionBy(*keys).orderBy(F.col("eb").desc(), "src", "dst")
         drop = eb.withColumn("r", F.row_number().over(w)).filter("r = 1").select(*keys, "src", "dst")

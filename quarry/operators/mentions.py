@@ -90,13 +90,13 @@ def edge_widths(e: DataFrame, lo: float = 0.5, hi: float = 10.0) -> DataFrame:
 
 
 def edge_sentiment(e: DataFrame, thresholds=params.EDGE_THRESHOLDS) -> DataFrame:
-    """G3 + L2: relation label from the mean (strict thresholds), sorted by
-    absolute mean descending."""
+    """G3 + L2: relation label from the unrounded mean (strict thresholds), mean
+    to 3 places (half to even), sorted by its absolute value descending."""
     lo, hi = thresholds
     rel = (F.when(F.col("average_sentiment") < lo, "Negative")
            .when(F.col("average_sentiment") > hi, "Positive").otherwise("Neutral"))
     return (e.select("period", F.col("src").alias("node_1"), F.col("dst").alias("node_2"),
-                     "average_sentiment", rel.alias("relation_type"), "num_mentions",
+                     F.bround("average_sentiment", 3).alias("average_sentiment"), rel.alias("relation_type"), "num_mentions",
                      F.col("weight").alias("total_weight"))
             .orderBy(F.col("period"), F.abs("average_sentiment").desc(), "node_1", "node_2"))
 

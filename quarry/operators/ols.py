@@ -181,17 +181,12 @@ def _t_ppf975(df: float) -> float:
     return (lo + hi) / 2
 
 
-def equation(f: Fit) -> str:
-    """General equation text."""
-    lines = [f"{f.y} ="]
-    i = 0
-    for nm in f.names:
-        if nm == "Intercept":
-            lines.append("    b0")
-        else:
-            i += 1
-            lines.append(f"    b{i}·{nm}")
-    return "\n".join(lines)
+def equation(coefficients: DataFrame, y: str) -> DataFrame:
+    """The general equation as one row, from the coefficient table (columns
+    ``position`` and ``term``, the intercept first)."""
+    part = F.transform(F.array_sort(F.collect_list(F.struct("position", "term"))),
+                       lambda x: F.concat(F.lit("b"), x["position"], F.when(x["position"] > 0, F.concat(F.lit(" * "), x["term"])).otherwise("")))
+    return coefficients.agg(F.concat_ws(" + ", part).alias("terms")).select(F.concat(F.lit(f"{y} = "), "terms").alias("equation"))
 
 
 def anova_type2(f: Fit) -> list[tuple]:

@@ -65,7 +65,7 @@ def trailing_eps(eps: DataFrame, k: int = 4) -> DataFrame:
     w = Window.partitionBy("symbol").orderBy("publish_date", "date").rowsBetween(-(k - 1), 0)
     return eps.select("symbol", "publish_date",
                       F.when(F.count("quarterly_eps").over(w) == k,
-                             F.round(F.sum("quarterly_eps").over(w), 2)).alias("ttm_eps"))
+                             F.bround(F.sum("quarterly_eps").over(w), 2)).alias("ttm_eps"))
 
 
 def asof_ttm(prices: DataFrame, ttm: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Spatial paths and assignment costs (SP1-SP8, C1-C4, A31, T22).
+"""Spatial paths and assignment costs (SP1-SP8, C1-C4, T22).
 
 Path search is a frontier relaxation loop over DataFrames: every start runs
 at once; each round joins the improved frontier with the edge list and keeps
@@ -44,7 +44,7 @@ def nearest_goal(places: DataFrame, goals: DataFrame, max_goals: int = 10_000) -
     return places.select("place", best["h"].alias("h"), best["goal"].alias("nearest_goal"))
 
 
-def shortest_paths(costs: DataFrame, starts: DataFrame, max_rounds: int = 10_000,
+def shortest_paths(costs: DataFrame, starts: DataFrame,
                    beam: int | None = None, h: DataFrame | None = None) -> DataFrame:
     """SP4 kernel: least-cost paths from every start (independent sources,
     Q15 fixed) to every reachable node: (start, node, cost, hops, path).
@@ -59,7 +59,7 @@ def shortest_paths(costs: DataFrame, starts: DataFrame, max_rounds: int = 10_000
         wb = Window.partitionBy("node").orderBy("hn", "neighbor")
         c2 = c2.join(hh, "neighbor").withColumn("_r", F.row_number().over(wb)).filter(F.col("_r") <= beam) \
             .drop("_r", "hn")
-    for i in range(max_rounds):
+    while True:
         cand = (frontier.join(c2, "node")
                 .filter(~F.array_contains("path", F.col("neighbor")))
                 .select("start", F.col("neighbor").alias("node"), (F.col("cost") + F.col("cost_e")).alias("cost"),
@@ -176,15 +176,3 @@ def winners(costs: DataFrame, br: DataFrame) -> DataFrame:
               .select(F.col("i").alias("agent")).distinct())
     return br.filter(F.col("gain") > 0).join(beaten, "agent", "left_anti")
 
-
-def mgm_rounds(costs: DataFrame, assign: DataFrame, iterations: int = 10) -> DataFrame:
-    """Repeated C2-C4 with winners committing their best value; the global
-    cost per iteration (the data behind A31)."""
-    out = []
-    cur = assign.checkpoint(eager=True)
-    spark = assign.sparkSession
-    for it in range(iterations):
-        out.append((it, global_cost(costs, cur).first()[0]))
-        w = winners(costs, best_response(costs, cur)).select("agent", F.col("best_value").alias("nv"))
-        cur = cur.join(w, "agent", "left").select("agent", F.coalesce("nv", "value").alias("value")).checkpoint(eager=True)
-    return spark.createDataFrame(out, "iteration int, global_cost bigint")

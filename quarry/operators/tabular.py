@@ -292,120 +292,121 @@ def minmax_apply(df: DataFrame, fitted: dict) -> DataFrame:
     return df.select(*cols)
 
 
-def hash_split(df: DataFrame, key: str, train_pct: int = 80, seed: int = 42):
-    """Deterministic train/test split by a hash of the key; the
-    test set is the anti-join complement of train."""
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
-    train = df.filter(h < train_pct)
-    test = df.join(train.select(key), key, "left_anti")
-    return train, test
+def hash_split(df: DataFrame, key: str, train_pct: int = 80, seed: int = 42, percentile: Column | None = None):
+    """Deterministic train/test split by a percentile (0..99) of the
+    key, a hash by default; the test set is the complement, so no join runs. A
+    null key is hashed like any other; a null percentile is test."""
+    p = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) if percentile is None else percentile
+    in_train = F.coalesce(p < train_pct, F.lit(False))
+    return df.filter(in_train), df.filter(~in_train)
 
 
 # ---------------------------------------------------------------- KNN impute
 
 
-def knn_impute(df: DataFrame, id_col: str, cols: list[str] | None = None, k: int = 5,
-               rows_per_block: int = 64) -> DataFrame:
+def knn_impute(df: DataFrame, id_col: str, cols: list[str] | None = None, k: int = 5) -> DataFrame:
     """KNN imputation with nan-Euclidean distance over the columns
     that have nulls (Q12 kept); mean of the k nearest donors that have the
-    value; the column mean when no donor shares a coordinate.
-
-    Exact and shuffle-based, without an all-pairs join: donors are blocked by
-    quantile buckets of one present coordinate; a receiver compares only
-    against donors in buckets within radius r of its own, and is accepted
-    when its k-th distance is below the distance to the edge of the searched
-    range (nothing outside can be nearer). Unresolved receivers retry with a
-    doubled radius. Donors sharing the same coordinates are first reduced to
-    the k smallest ids (a hot value cannot flood a block)."""
+    value (ties: smaller id). A donor is eligible if it shares a present
+    coordinate; the squared distance is scaled by total / shared coordinates.
+    Without an eligible donor the column mean is used."""
     if cols is None:
         nulls = null_counts(df.select(*[c for c in df.columns if c != id_col])).collect()
         cols = [r["column"] for r in nulls if r["nulls"] > 0]
         cols = [c for c in cols if c in columns_by_type(df)]
     out = df
     means = df.agg(*[F.avg(c).alias(c) for c in cols]).first() if cols else {}
-    spark = df.sparkSession
     for target in cols:
         coords = [c for c in cols if c != target]
-        fill = _knn_fill(spark, df, id_col, target, coords, k, rows_per_block, means[target])
+        fill = _knn_fill(df, id_col, target, coords, k, means[target])
         out = out.join(fill, id_col, "left").withColumn(
             target, F.coalesce(F.col(target), F.col("__fill"))).drop("__fill")
     return out
 
 
-def _knn_fill(spark, df, id_col, target, coords, k, rows_per_block, mean_value):
-    recv = df.filter(F.col(target).isNull())
+#: Donors per grid cell that the first search radius aims at.
+DONORS_PER_CELL = 32
+
+
+def _present(coords: list[str]) -> Column:
+    return F.concat(*[F.col(c).isNotNull().cast("int").cast("string") for c in coords])
+
+
+def _knn_fill(df, id_col, target, coords, k, mean_value):
+    """Fill values per receiver id. Receivers with equal coordinates are one
+    query; donors with equal coordinates are reduced to k. Each pair of
+    present-column patterns (at most 4^coordinates, those that occur) is
+    searched on a numeric grid over their first shared coordinate."""
+    receivers = df.filter(F.col(target).isNull())
     if not coords:
-        return recv.select(id_col, F.lit(mean_value).alias("__fill"))
-    block = coords[0]
-    nc = len(coords) + 1  # columns entering the distance
-    # receivers need the blocking coordinate; others fall back per present set
-    donors = df.filter(F.col(target).isNotNull())
-    for c in coords:
-        donors = donors.filter(F.col(c).isNotNull())
-    # a donor is eligible for a receiver when it has every coordinate the
-    # receiver has; with all-present donors this is always true
-    wdup = Window.partitionBy(*coords).orderBy(id_col)
-    donors = (donors.withColumn("__r", F.row_number().over(wdup)).filter(F.col("__r") <= k)
-              .select(F.col(id_col).alias("__did"), F.col(target).alias("__dv"),
-                      *[F.col(c).alias(f"__d_{c}") for c in coords]))
-    nd = donors.count()
-    nb = max(1, nd // rows_per_block)
-    qs = [i / nb for i in range(1, nb)]
-    edges = donors.agg(F.percentile_approx(f"__d_{block}", qs, 10000)).first()[0] if qs else []
-    edges = sorted(set(float(e) for e in (edges or [])))
-    bucket = lambda c: sum((F.when(c >= F.lit(e), 1).otherwise(0) for e in edges), F.lit(0))
-    lo_arr = F.array(*[F.lit(float("-inf"))] + [F.lit(e) for e in edges])
-    hi_arr = F.array(*[F.lit(e) for e in edges] + [F.lit(float("inf"))])
-    nbk = len(edges) + 1
-    donors = donors.withColumn("__b", bucket(F.col(f"__d_{block}"))).checkpoint(eager=True)
-    present = [F.col(c).isNotNull() for c in coords]
-    has_block = F.col(block).isNotNull()
-    rv = recv.select(id_col, *coords)
-    no_block = rv.filter(~has_block)
-    rv = rv.filter(has_block).withColumn("__b", bucket(F.col(block))).checkpoint(eager=True)
-    results = []
-    radius = 1
-    pending = rv
+        return receivers.select(id_col, F.lit(mean_value).alias("__fill"))
+    xs = [F.col(c).cast("double").alias(f"__q{i}") for i, c in enumerate(coords)]
+    queries = receivers.select(_present(coords).alias("__p"), *xs).distinct().checkpoint(eager=True)
+    alike = Window.partitionBy(*coords).orderBy(id_col)
+    donors = (df.filter(F.col(target).isNotNull()).withColumn("__r", F.row_number().over(alike)).filter(F.col("__r") <= k)
+              .select(_present(coords).alias("__p"), F.col(id_col).alias("__id"), F.col(target).cast("double").alias("__v"),
+                      *[F.col(c).cast("double").alias(f"__d{i}") for i, c in enumerate(coords)])).checkpoint(eager=True)
+    asked, given = ([r[0] for r in x.select("__p").distinct().collect()] for x in (queries, donors))
+    found = None
+    for p in asked:
+        for q in given:
+            both = [i for i in range(len(coords)) if p[i] == q[i] == "1"]
+            if both:
+                near = _nearest(queries.filter(F.col("__p") == p), donors.filter(F.col("__p") == q), len(coords), both, k)
+                found = near if found is None else found.unionByName(near)
+    keys = [f"__q{i}" for i in range(len(coords))]
+    if found is None:
+        return receivers.select(id_col, F.lit(mean_value).alias("__fill"))
+    best = Window.partitionBy(*keys).orderBy("__dist", "__id")
+    fills = (found.withColumn("__r", F.row_number().over(best)).filter(F.col("__r") <= k)
+             .groupBy(*keys).agg(F.avg("__v").alias("__fill")))
+    rows = receivers.select(id_col, *xs).alias("r").join(
+        fills.alias("f"), [F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}")) for c in keys], "left")
+    return rows.select(id_col, F.coalesce("__fill", F.lit(mean_value)).alias("__fill"))
+
+
+def _nearest(queries, donors, n_coords, both, k):
+    """The k nearest donors of every query over the shared coordinates, exact.
+    Cells are plain arithmetic on one coordinate, so the plan does not grow with
+    the data; a query is done when its k-th distance is below the distance to
+    the edge of the searched cells, else the radius doubles."""
+    x, d = f"__q{both[0]}", f"__d{both[0]}"
+    keys = [c for c in queries.columns if c.startswith("__q")]
+    m = donors.agg(F.min(d).alias("a"), F.max(d).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    width = (m["b"] - m["a"]) * DONORS_PER_CELL / m["n"] or 1.0
+    last = int((m["b"] - m["a"]) // width)
+
+    def cell(c):
+        return F.greatest(F.lit(-1), F.least(F.lit(last + 1), F.floor((F.col(c) - F.lit(m["a"])) / F.lit(width)))).cast("long")
+    donors = donors.withColumn("__cell", cell(d)).drop("__p")
+    pending = queries.drop("__p").withColumn("__at", cell(x))
+    scale = (n_coords + 1) / len(both)
+    square = sum(((F.col(f"__q{i}") - F.col(f"__d{i}")) ** 2 for i in both), F.lit(0.0))
+    done, radius = None, 1
     while True:
-        offs = F.sequence(F.greatest(F.col("__b") - radius, F.lit(0)), F.least(F.col("__b") + radius, F.lit(nbk - 1)))
-        cand = pending.select("*", F.explode(offs).alias("__cb"))
-        j = cand.join(donors.withColumnRenamed("__b", "__cb"), "__cb")
-        sq = None
-        npres = None
-        for c in coords:
-            d = F.when(F.col(c).isNotNull(), (F.col(c) - F.col(f"__d_{c}")) ** 2).otherwise(F.lit(0.0))
-            p = F.when(F.col(c).isNotNull(), 1).otherwise(0)
-            sq = d if sq is None else sq + d
-            npres = p if npres is None else npres + p
-        dist = F.sqrt(sq * F.lit(float(nc)) / npres)
-        w = Window.partitionBy(id_col).orderBy("__dist", "__did")
-        top = (j.withColumn("__dist", dist).withColumn("__rk", F.row_number().over(w))
-               .filter(F.col("__rk") <= k))
-        lo_b = F.greatest(F.col("__b") - radius, F.lit(0))
-        hi_b = F.least(F.col("__b") + radius, F.lit(nbk - 1))
-        bound = F.least(F.col(block) - F.element_at(lo_arr, lo_b + 1),
-                        F.element_at(hi_arr, hi_b + 1) - F.col(block))
-        # distances scale by sqrt(nc / present); the bound is on one axis
-        bound = bound * F.sqrt(F.lit(float(nc)) / npres)
-        agg = top.groupBy(id_col).agg(F.avg("__dv").alias("__fill"), F.max("__dist").alias("__kd"),
-                                      F.count("*").alias("__n"), F.first(bound).alias("__bound"))
-        done_all = radius >= nbk
-        ok = agg.filter(((F.col("__n") >= k) & (F.col("__kd") < F.col("__bound"))) | F.lit(done_all))
-        ok = ok.checkpoint(eager=True)   # cuts lineage; each round reads it twice
-        results.append(ok.select(id_col, "__fill"))
-        if done_all:
-            break
-        pending = pending.join(ok.select(id_col), id_col, "left_anti").checkpoint(eager=True)
+        low, high = F.col("__at") - radius, F.col("__at") + radius
+        cells = F.sequence(F.greatest(low, F.lit(0)), F.least(high, F.lit(last)))
+        ask = pending.select("*", F.explode(F.when(F.greatest(low, F.lit(0)) <= F.least(high, F.lit(last)), cells)).alias("__cell"))
+        near = ask.join(donors, "__cell").withColumn("__dist", F.sqrt(square * F.lit(scale)))
+        order = Window.partitionBy(*keys).orderBy("__dist", "__id")
+        near = near.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= k)
+        # distance to the first unsearched cell on either side; none is left beyond the ends
+        left = F.when(low > 0, F.col(x) - (F.lit(m["a"]) + low * F.lit(width))).otherwise(F.lit(float("inf")))
+        right = F.when(high < last, F.lit(m["a"]) + (high + 1) * F.lit(width) - F.col(x)).otherwise(F.lit(float("inf")))
+        edge = F.least(left, right) * F.lit(scale ** 0.5)
+        all_seen = (low <= 0) & (high >= last)
+        whole = Window.partitionBy(*keys)
+        near = (near.withColumn("__edge", edge).withColumn("__all", all_seen)
+                .withColumn("__n", F.count(F.lit(1)).over(whole)).withColumn("__far", F.max("__dist").over(whole))
+                .filter(F.col("__all") | ((F.col("__n") >= k) & (F.col("__far") < F.col("__edge") * (1 - 1e-9))))
+                .select(*keys, "__dist", "__id", "__v")).checkpoint(eager=True)
+        done = near if done is None else done.unionByName(near)
+        settled = near.select(*keys).distinct()
+        match = [F.col(f"p.{c}").eqNullSafe(F.col(f"s.{c}")) for c in keys]
+        pending = pending.alias("p").join(settled.alias("s"), match, "left_anti").checkpoint(eager=True)
         if pending.isEmpty():
-            break
-        radius *= 2
-    res = results[0]
-    for r in results[1:]:
-        res = res.unionByName(r)
-    # receivers without the blocking coordinate or without any donor: mean
-    allr = recv.select(id_col).join(res, id_col, "left")
-    del present, no_block
-    return allr.select(id_col, F.coalesce("__fill", F.lit(mean_value)).alias("__fill"))
+            return done
+        radius *= 4
 
 
 def insurance_features(df: DataFrame, id_col: str = "id") -> DataFrame:

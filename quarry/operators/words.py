@@ -137,14 +137,16 @@ def sentiment_over_time(entity_stats: DataFrame, periods: list[str] | None = Non
     periods = periods or sorted(p for p, _, _ in params.PERIODS)
     m = entity_stats.groupBy("name").pivot("period", periods).agg(F.first("average_sentiment"))
     return m.select(F.col("name").alias("entity"),
-                    *[F.coalesce(F.col(f"`{p}`"), F.lit(0.0)).alias(p) for p in periods])
+                    *[F.bround(F.coalesce(F.col(f"`{p}`"), F.lit(0.0)), 4).alias(p) for p in periods])
 
 
-def polarity_histogram(stats: DataFrame, threshold: float = 0.05) -> DataFrame:
-    """Count of words per polarity label of their mean sentiment,
+def polarity_histogram(stats: DataFrame, threshold: float = params.SENTIMENT_THRESHOLD) -> DataFrame:
+    """Count of words per polarity label of each word's own sentiment,
     zero-filled over the label set."""
-    lab = (F.when(F.col("avg_sentiment") >= threshold, "positive")
-           .when(F.col("avg_sentiment") <= -threshold, "negative").otherwise("neutral"))
+    from quarry.functions.sentiment import with_compound
+    from quarry.functions.text import polarity_label
+    lab = polarity_label("word_sentiment", threshold)
+    stats = with_compound(stats, "token", "word_sentiment")
     spark = stats.sparkSession
     labels = spark.createDataFrame([("positive",), ("neutral",), ("negative",)], "label string")
     periods = stats.select("period").distinct()

@@ -30,7 +30,7 @@ def edges(spark, sf):
 
 
 @register("edge_sentiment", lambda: f"""WITH {Q.mention_ctes()}
-SELECT period, src AS node_1, dst AS node_2, average_sentiment,
+SELECT period, src AS node_1, dst AS node_2, round_even(average_sentiment, 3) AS average_sentiment,
        CASE WHEN average_sentiment < {params.EDGE_THRESHOLDS[0]} THEN 'Negative'
             WHEN average_sentiment > {params.EDGE_THRESHOLDS[1]} THEN 'Positive' ELSE 'Neutral' END AS relation_type,
        num_mentions, weight AS total_weight

@@ -37,11 +37,18 @@ def _fit(spark, sf, cov="HC3", cols=None):
 
 @register("regression_fit")
 def regression_fit(spark, sf):
-    """OLS with HC3 errors; coefficient table and equation."""
+    """OLS with HC3 errors; coefficient table."""
     _, _, f = _fit(spark, sf)
-    rows = [r + (O.equation(f),) for r in O.coef_table(f)]
-    return spark.createDataFrame(rows, "term string, coef double, std_err double, z double, p_value double, "
-                                       "ci_low double, ci_high double, equation string")
+    return spark.createDataFrame(O.coef_table(f), "term string, coef double, std_err double, z double, p_value double, "
+                                                  "ci_low double, ci_high double")
+
+
+@register("regression_equation", f"SELECT '{Y} = b0' || {' || '.join(repr(f' + b{i} * {x}') for i, x in enumerate(BASE_X, 1))} AS equation")
+def regression_equation(spark, sf):
+    """General equation text of the fitted model."""
+    _, _, f = _fit(spark, sf, cov=None)
+    terms = spark.createDataFrame([(i, r[0]) for i, r in enumerate(O.coef_table(f))], "position int, term string")
+    return O.equation(terms, Y)
 
 
 @register("regression_single", lambda: f"""WITH {SQ.feat_sql()},

@@ -202,14 +202,3 @@ def assignment_winners(spark, sf):
     c, a = _assign(spark, sf)
     return SP.winners(c, SP.best_response(c, a))
 
-
-@register("assignment_convergence")
-def assignment_convergence(spark, sf):
-    """Mean global cost per iteration over three initial assignments."""
-    c = GE.assignment_costs(spark, sf).checkpoint(eager=True)
-    runs = None
-    for run in range(3):
-        r = SP.mgm_rounds(c, GE.initial_values(spark, sf, run), 10).withColumn("run", F.lit(run))
-        runs = r if runs is None else runs.unionByName(r)
-    return runs.groupBy(F.lit("nations").alias("graph"), F.lit("mgm").alias("algorithm"), "iteration") \
-        .agg(F.avg("global_cost").alias("avg_cost"))

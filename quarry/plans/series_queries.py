@@ -29,7 +29,7 @@ eps AS (SELECT symbol, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS date,
         FROM so GROUP BY ALL),
 eps2 AS (SELECT *, CAST(date + INTERVAL 3 MONTH - INTERVAL 1 DAY + INTERVAL 40 DAY AS DATE) AS publish_date FROM eps),
 ttm AS (SELECT symbol, publish_date,
-               CASE WHEN count(quarterly_eps) OVER w = 4 THEN round(sum(quarterly_eps) OVER w, 2) END AS ttm_eps
+               CASE WHEN count(quarterly_eps) OVER w = 4 THEN round_even(sum(quarterly_eps) OVER w, 2) END AS ttm_eps
         FROM eps2 WINDOW w AS (PARTITION BY symbol ORDER BY publish_date, date ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)),
 betas(symbol, beta) AS (VALUES {BETAS})"""
 

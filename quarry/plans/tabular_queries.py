@@ -279,18 +279,39 @@ def knn_impute(spark, sf):
     return round_doubles(out.select("id", "credit_score", "annual_mileage"))
 
 
+THREE = {"credit_score": "credit_score", "annual_mileage": "annual_mileage", "driving_experience": "CASE WHEN id % 5 <> 0 THEN driving_experience END"}
+
+
+def _knn3_sql():
+    """All pairs, from the definition of the distance."""
+    cols = list(THREE)
+    ctes = [TAB_SQL, "t3 AS (SELECT id, " + ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in THREE.items()) + " FROM tab)"]
+    for t in cols:
+        a, b = [c for c in cols if c != t]
+        seen = {c: f"(r.{c} IS NOT NULL AND d.{c} IS NOT NULL)" for c in (a, b)}
+        parts = " + ".join(f"CASE WHEN {seen[c]} THEN (r.{c} - d.{c}) * (r.{c} - d.{c}) ELSE 0 END" for c in (a, b))
+        n = " + ".join(f"CAST({seen[c]} AS INTEGER)" for c in (a, b))
+        ctes.append(f"""k_{t} AS (SELECT id, avg(v) AS fill FROM (
+  SELECT r.id, d.{t} AS v, row_number() OVER (PARTITION BY r.id ORDER BY sqrt(({parts}) * 3.0 / ({n})), d.id) AS k
+  FROM t3 r, t3 d WHERE r.{t} IS NULL AND d.{t} IS NOT NULL AND ({n}) > 0) WHERE k <= 5 GROUP BY id)""")
+    out = ", ".join(f"round(coalesce(t3.{c}, (SELECT fill FROM k_{c} WHERE k_{c}.id = t3.id), (SELECT avg({c}) FROM t3)), 6) AS {c}" for c in cols)
+    return f"WITH {', '.join(ctes)} SELECT t3.id, {out} FROM t3"
+
+
+@register("knn_impute_three", _knn3_sql)
+def knn_impute_three(spark, sf):
+    """KNN imputation over three columns with mixed nulls, so donors
+    and receivers share one or two coordinates."""
+    t = tab(spark, sf).select("id", *[F.expr(e).cast("double").alias(c) for c, e in THREE.items()])
+    return round_doubles(TB.knn_impute(t, "id", list(THREE)).select("id", *THREE))
+
+
 @register("train_test_split", f"""WITH {TAB_SQL}
-SELECT CAST(count(*) AS BIGINT) AS n_total, CAST(0 AS BIGINT) AS n_overlap, CAST(count(*) AS BIGINT) AS n_distinct FROM tab""")
+SELECT id, CASE WHEN id * 7 % 100 < 80 THEN 'train' ELSE 'test' END AS part FROM tab""")
 def train_test_split(spark, sf):
-    """Deterministic hash split; test = anti-join complement.
-    Checked as a partition property: together whole, pairwise disjoint."""
-    t = tab(spark, sf)
-    tr, te = TB.hash_split(t, "id")
-    both = tr.select("id", F.lit(1).alias("a")).unionByName(te.select("id", F.lit(2).alias("a")))
-    per = both.groupBy("id").agg(F.count("*").alias("c"))
-    return per.agg(F.sum("c").cast("bigint").alias("n_total"),
-                   F.sum((F.col("c") > 1).cast("long")).alias("n_overlap"),
-                   F.count("*").cast("bigint").alias("n_distinct"))
+    """Deterministic split by an arithmetic key; test is the complement."""
+    train, test = TB.hash_split(tab(spark, sf), "id", percentile=F.pmod(F.col("id") * 7, F.lit(100)))
+    return train.select("id", F.lit("train").alias("part")).unionByName(test.select("id", F.lit("test").alias("part")))
 
 
 @register("insurance_features")

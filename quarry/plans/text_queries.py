@@ -115,7 +115,7 @@ def entity_sentiments(spark, sf):
 
 def _over_time_sql():
     periods = sorted(p for p, _, _ in params.PERIODS)
-    cols = ", ".join(f"coalesce(max(CASE WHEN period = {Q.S(p)} THEN average_sentiment END), 0.0) AS \"{p}\""
+    cols = ", ".join(f"round_even(coalesce(max(CASE WHEN period = {Q.S(p)} THEN average_sentiment END), 0.0), 4) AS \"{p}\""
                      for p in periods)
     return f"""WITH {_entity_sql_ctes()} SELECT name AS entity, {cols} FROM es GROUP BY name"""
 
@@ -138,7 +138,8 @@ def word_contexts(spark, sf):
 
 
 @register("polarity_histogram", lambda: f"""WITH {Q.terms_ctes()},
-lab AS (SELECT period, CASE WHEN avg_sentiment >= 0.05 THEN 'positive' WHEN avg_sentiment <= -0.05 THEN 'negative' ELSE 'neutral' END AS label FROM word_stats),
+own AS (SELECT period, token, {Q.sentiment('token')} AS score FROM word_stats),
+lab AS (SELECT period, {Q.polarity('score')} AS label FROM own),
 g AS (SELECT DISTINCT period, l.label FROM word_stats, (VALUES ('positive'), ('neutral'), ('negative')) l(label))
 SELECT g.period, g.label, CAST(coalesce(n, 0) AS BIGINT) AS n
 FROM g LEFT JOIN (SELECT period, label, count(*) AS n FROM lab GROUP BY ALL) c USING (period, label)""")
@@ -225,11 +226,6 @@ def tfidf_grouped(spark, sf):
     return t.select("period", "term", F.round("score", 6).alias("score"), "rank")
 
 
-def Q_alias():
-    from quarry.functions.text import replace_aliases
-    return replace_aliases("text")
-
-
 @register("lsa_topics")
 def lsa_topics(spark, sf):
     """M5: LSA topics per period (RowMatrix SVD, 5 topics x 8 terms)."""

@@ -45,12 +45,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = sc.getCheckpointDir()
     if not d:
         # only for local runs / tests: the cluster names a shared folder
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # noqa: BLE001 - static conf in some deployments
             pass
-    sc.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:  # one folder per application; Spark makes a new one on every call
+        sc.setCheckpointDir(d)
     return d
 
 

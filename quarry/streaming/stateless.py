@@ -9,7 +9,6 @@ checkpointed sink."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quarry.functions.sentiment import with_compound
 from quarry.functions.text import normalize_text, polarity_label
@@ -40,9 +39,3 @@ def start_sink(df: DataFrame, out_path: str, checkpoint: str, trigger_once: bool
     w = w.trigger(availableNow=True) if trigger_once else w
     return w.start()
 
-
-def mention_counts_by_window(scored: DataFrame, ts: str, window: str = "1 day", watermark: str = "1 day") -> DataFrame:
-    """Windowed mention counts with a watermark for late rows."""
-    m = scored.select(ts, F.explode("mentions").alias("entity"))
-    return (m.withWatermark(ts, watermark).groupBy(F.window(ts, window), "entity")
-            .agg(F.count("*").alias("mentions")))

@@ -51,7 +51,7 @@ def test_knn_impute_brute_force(spark):
     b[::11] = np.nan
     rows = [(i, None if np.isnan(a[i]) else float(a[i]), None if np.isnan(b[i]) else float(b[i])) for i in range(n)]
     df = spark.createDataFrame(rows, "id int, a double, b double")
-    got = {r.id: (r.a, r.b) for r in TB.knn_impute(df, "id", ["a", "b"], rows_per_block=16).collect()}
+    got = {r.id: (r.a, r.b) for r in TB.knn_impute(df, "id", ["a", "b"]).collect()}
     for i in range(n):
         for t, o in ((0, 1), (1, 0)):
             col, other = (a, b) if t == 0 else (b, a)
