@@ -26,4 +26,4 @@ def register(name: str, sql: str | Callable[[], str] | None = None):
 def load_all() -> None:
     from quarry.plans import (text_queries, graph_queries, series_queries,  # noqa: F401
                               tabular_queries, path_queries, model_queries,
-                              tree_queries, source_queries)
+                              tree_queries, source_queries, file_queries)

@@ -17,11 +17,14 @@ COMMENT_SCHEMA = "array<struct<author:string,body:string,score:bigint>>"
 
 
 def read_posts(spark: SparkSession, glob: str) -> DataFrame:
-    """S1 + L5: one CSV per entity (multi-line quoted), concatenated; the
-    entity slug comes from the file name; comments decoded (S2)."""
+    """S1 + L5: one CSV (or one ``entity=`` folder) per entity, multi-line
+    quoted, concatenated; the entity slug comes from the folder or file name;
+    comments decoded (S2)."""
     df = (spark.read.schema(POST_SCHEMA).option("header", True).option("multiLine", True)
           .option("escape", '"').csv(glob))
     ent = F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv$", 1)
+    if "entity" in df.columns:
+        ent = F.col("entity").cast("string")
     return df.select(ent.alias("entity"), "title", F.to_timestamp("created_utc").alias("created_utc"),
                      "score", "num_comments", parse_comment_literal("comments").alias("comments"))
 
@@ -35,6 +38,25 @@ def parse_comment_literal(c) -> Column:
                                            "allowBackslashEscapingAnyCharacter": "true"})
 
 
+def comment_literal(c) -> Column:
+    """Inverse of S2: array<struct<author, body, score>> as the text of a Python
+    list of dicts."""
+    def quoted(x):
+        x = F.regexp_replace(F.regexp_replace(x, r"\\", r"\\\\"), "'", r"\\'")
+        return F.concat(F.lit("'"), F.regexp_replace(F.regexp_replace(x, "\n", r"\\n"), "\r", r"\\r"), F.lit("'"))
+    one = F.transform(c, lambda x: F.concat(F.lit("{'author': "), quoted(x["author"]), F.lit(", 'body': "), quoted(x["body"]),
+                                            F.lit(", 'score': "), x["score"].cast("string"), F.lit("}")))
+    return F.concat(F.lit("["), F.array_join(one, ", "), F.lit("]"))
+
+
+def write_posts(posts: DataFrame, path: str) -> None:
+    """Posts (``entity`` first) in the layout that ``read_posts`` reads."""
+    (posts.select("entity", "title", F.col("created_utc").cast("string").alias("created_utc"), "score", "num_comments",
+                  comment_literal("comments").alias("comments"))
+     .write.partitionBy("entity").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def comment_rows(posts: DataFrame, keep: list[str]) -> DataFrame:
     """S3: one row per comment with its position and the post context."""
     return posts.select(*keep, F.posexplode_outer("comments").alias("pos", "c")).select(
@@ -58,13 +80,13 @@ def first_comments(posts: DataFrame, keep: list[str], limit: int = 20) -> DataFr
 
 def write_partitioned(df: DataFrame, path: str, part: str = "period", fmt: str = "csv") -> None:
     """One dataset partitioned by ``part`` (per-period files)."""
-    w = df.write.mode("overwrite").partitionBy(part)
+    w = df.write.partitionBy(part)
     (w.option("header", True).csv(path) if fmt == "csv" else w.format(fmt).save(path))
 
 
 def write_predictions(df: DataFrame, path: str, target: str = "target") -> None:
     """Scored rows with a ``target`` column (Parquet instead of Excel)."""
-    df.withColumnRenamed("prediction", target).write.mode("overwrite").parquet(path)
+    df.withColumnRenamed("prediction", target).write.parquet(path)
 
 
 def report_rows(report: str, section: str, metrics: dict) -> list[tuple]:
@@ -74,4 +96,4 @@ def report_rows(report: str, section: str, metrics: dict) -> list[tuple]:
 
 def write_report(spark: SparkSession, rows: list[tuple], path: str) -> None:
     spark.createDataFrame(rows, "report string, section string, metric string, value string") \
-        .write.mode("overwrite").partitionBy("report").option("header", True).csv(path)
+        .write.partitionBy("report").option("header", True).csv(path)

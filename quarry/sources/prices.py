@@ -79,10 +79,11 @@ def read_vendor_prices(spark: SparkSession, path: str, symbol: str | None = None
           .schema(VENDOR_SCHEMA).csv(path))
     num = lambda c: F.regexp_replace(F.col(c), ",", "").cast("double")
     out = df.select(
+        *[c for c in df.columns if c == "symbol"],
         F.to_date(F.try_to_timestamp(F.col("Date"), F.lit("MM/dd/yyyy"))).alias("date"),
         num("Price").alias("close"), num("Open").alias("open"),
         num("High").alias("high"), num("Low").alias("low"),
-        parse_volume("Vol.").alias("volume"),
+        parse_volume("`Vol.`").alias("volume"),
         (F.regexp_replace(F.col("Change %"), "%", "").cast("double") / 100).alias("change"))
     return out.withColumn("symbol", F.lit(symbol)) if symbol else out
 

@@ -35,8 +35,11 @@ def tab(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_acctbal") > 0).cast("int").alias("outcome"))
 
 
-def read_training_table(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Read the training table and drop its ID column."""
-    r = spark.read.option("header", True).option("inferSchema", True)
-    df = r.csv(path) if fmt == "csv" else r.format(fmt).load(path)
+TRAINING_SCHEMA = ("ID long, age long, driving_experience long, credit_score double, annual_mileage double, speeding_violations long, "
+                   "past_accidents long, vehicle_type string, married string, children string, outcome int")
+
+
+def read_training_table(spark: SparkSession, path: str, fmt: str = "csv", schema: str = TRAINING_SCHEMA) -> DataFrame:
+    """Read the training table with its declared schema and drop its ID column."""
+    df = spark.read.schema(schema).option("header", True).csv(path) if fmt == "csv" else spark.read.format(fmt).load(path)
     return df.drop("ID")
