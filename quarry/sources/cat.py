@@ -17,9 +17,11 @@ DAY_PARTS = [(0, 360, "Early Morning"), (360, 720, "Morning"), (720, 1080, "Afte
 
 def cat_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_tax", "l_returnflag", "l_linestatus",
-        "l_shipdate")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_tax", "l_returnflag", "l_shipdate")
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    label = (F.when(F.month("l_shipdate").between(6, 8), F.col("l_quantity") > 15)
+             .when(F.col("p_brand").endswith("1"), F.col("l_quantity") > 34)
+             .otherwise(F.col("l_returnflag") == "R").cast("int"))
     h = F.lpad((F.col("l_orderkey") % 24).cast("string"), 2, "0")
     return li.join(p, "l_partkey").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"),
@@ -30,7 +32,8 @@ def cat_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("quantity"),
         F.col("l_tax").alias("tax"),
         F.col("l_returnflag").alias("flag"),
-        (F.col("l_linestatus") == "F").cast("int").alias("label"))
+        # a label that follows season, quantity and carrier, with every 11th row flipped
+        F.when((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 11 == 0, 1 - label).otherwise(label).alias("label"))
 
 
 def season(c) -> F.Column:                      # P12
