@@ -82,11 +82,11 @@ def edges(units: DataFrame, **kw) -> DataFrame:
 
 def edge_widths(e: DataFrame, lo: float = 0.5, hi: float = 10.0) -> DataFrame:
     """Min-max edge width per period; (lo+hi)/2 when all weights equal."""
-    w = Window.partitionBy("period")
-    mn, mx = F.min("weight").over(w), F.max("weight").over(w)
+    ends = e.groupBy("period").agg(F.min("weight").alias("__mn"), F.max("weight").alias("__mx"))
+    mn, mx = F.col("__mn"), F.col("__mx")
     width = F.when(mx != mn, F.lit(lo) + (F.col("weight") - mn) / (mx - mn) * F.lit(hi - lo)) \
         .otherwise(F.lit((hi + lo) / 2))
-    return e.withColumn("normalized_weight", width)
+    return e.join(ends, "period").withColumn("normalized_weight", width).drop("__mn", "__mx")
 
 
 def edge_sentiment(e: DataFrame, thresholds=params.EDGE_THRESHOLDS) -> DataFrame:
@@ -145,8 +145,8 @@ def graph_overview(e: DataFrame) -> DataFrame:
 def degree_centrality(e: DataFrame) -> DataFrame:
     """Degree / (V - 1) per node."""
     d = degrees(e)
-    v = F.count("*").over(Window.partitionBy("period"))
-    return d.select("period", "node", "degree",
+    v = F.col("__v")
+    return d.join(d.groupBy("period").agg(F.count("*").alias("__v")), "period").select("period", "node", "degree",
                     F.when(v > 1, F.col("degree") / (v - 1)).otherwise(F.lit(0.0)).alias("degree_centrality"))
 
 

@@ -92,17 +92,19 @@ def path_to_nearest_goal(paths: DataFrame, starts: DataFrame, goals: DataFrame)
                       F.coalesce(F.array_join("b.path", " -> "), F.lit("No path found.")).alias("route"))
 
 
-def greedy_descent(costs: DataFrame, h: DataFrame, starts: DataFrame, goals: DataFrame, max_steps: int = 5) -> DataFrame:
+def greedy_descent(costs: DataFrame, h: DataFrame, starts: DataFrame, goals: DataFrame) -> DataFrame:
     """SP6: from each start move to the unvisited neighbour nearest a goal
-    (ties: name) for at most ``max_steps`` hops, stopping at a goal."""
+    (ties: name), until a goal or a dead end."""
     gs = goals.select(F.col("place").alias("node")).withColumn("is_goal", F.lit(True))
     cur = starts.select(F.col("place").alias("start"), F.col("place").alias("node"), F.array(F.col("place")).alias("path"))
     hh = h.select(F.col("place").alias("neighbor"), F.col("h").alias("hn"))
-    for _ in range(max_steps):
+    while True:  # every step lengthens a path of distinct places, so it ends
         act = cur.join(F.broadcast(gs), "node", "left").filter(F.col("is_goal").isNull()).drop("is_goal")
         step = (act.join(costs.select(F.col("place").alias("node"), "neighbor"), "node")
                 .filter(~F.array_contains("path", F.col("neighbor"))).join(hh, "neighbor"))
-        mv = step.groupBy("start").agg(F.min_by("neighbor", F.struct("hn", "neighbor")).alias("nxt"))
+        mv = step.groupBy("start").agg(F.min_by("neighbor", F.struct("hn", "neighbor")).alias("nxt")).checkpoint(eager=True)
+        if mv.isEmpty():
+            break
         cur = (cur.join(mv, "start", "left")
                .select("start", F.coalesce("nxt", "node").alias("node"),
                        F.when(F.col("nxt").isNotNull(), F.array_append("path", F.col("nxt"))).otherwise(F.col("path"))

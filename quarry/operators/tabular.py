@@ -234,7 +234,19 @@ def quantile_bin(df: DataFrame, col: str, out: str | None = None, n_bins: int =
         b = F.least(b, F.lit(max(len(edges) - 2, 0)))
     if labels:
         b = F.element_at(F.array(*[F.lit(x) for x in labels]), b + 1)
-    return df.withColumn(out, b)
+    return df.withColumn(out, F.when(F.col(col).isNotNull(), b))
+
+
+def categorize(df: DataFrame, keep: list[str], trend: str = "daily_trend") -> DataFrame:
+    """every column but ``keep`` to quantile labels 1 / 2 / 3, and ``trend``
+    to 1 above 1, else -1; nulls stay null."""
+    out = df
+    for c in df.columns:
+        if c not in keep and c != trend:
+            out = quantile_bin(out, c, n_bins=3, labels=[1, 2, 3])
+    if trend in df.columns:
+        out = out.withColumn(trend, F.when(F.col(trend).isNotNull(), F.when(F.col(trend) > 1, 1).otherwise(-1)))
+    return out
 
 
 def log_shift(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -249,13 +261,13 @@ def quantile_bin_log(df: DataFrame, col: str, out: str | None = None, n_bins: in
     out = out or col
     nd = df.agg(F.countDistinct(col)).first()[0]
     if nd <= 1:
-        return df.withColumn(out, F.lit(0))
+        return df.withColumn(out, F.when(F.col(col).isNotNull(), F.lit(0)))
     tmp = f"__log_{col}"
     d = log_shift(df, col, tmp)
     edges = _quantile_edges(d, tmp, min(n_bins, nd))
     inner = edges[1:-1]
     b = sum((F.when(F.col(tmp) >= F.lit(float(e)), 1).otherwise(0) for e in inner), F.lit(0))
-    return d.withColumn(out, F.least(b, F.lit(max(len(edges) - 2, 0)))).drop(tmp)
+    return d.withColumn(out, F.when(F.col(col).isNotNull(), F.least(b, F.lit(max(len(edges) - 2, 0))))).drop(tmp)
 
 
 def uniform_bin(df: DataFrame, col: str, out: str | None = None, n_bins: int = 3,
@@ -271,7 +283,7 @@ def uniform_bin(df: DataFrame, col: str, out: str | None = None, n_bins: int = 3
         b = sum((F.when(F.col(col) >= F.lit(float(e)), 1).otherwise(0) for e in edges[1:-1]), F.lit(0))
     if labels:
         b = F.element_at(F.array(*[F.lit(x) for x in labels]), b + 1)
-    return df.withColumn(out, b)
+    return df.withColumn(out, F.when(F.col(col).isNotNull(), b))
 
 
 def minmax_fit(train: DataFrame, cols: list[str]) -> dict:

@@ -60,7 +60,8 @@ def count_vectors(docs: DataFrame, terms: str, min_df: float = 2.0, max_df: floa
     d = docs.filter(F.size(terms) > 0).checkpoint(eager=True)
     if max_df < 1.0 and max_df * d.count() < min_df:
         return None, []          # no term can pass both bounds (empty dictionary)
-    model = CountVectorizer(inputCol=terms, outputCol="features", minDF=min_df, maxDF=max_df).fit(d)
+    # no cut by vocabulary size: only the document-frequency bounds decide
+    model = CountVectorizer(inputCol=terms, outputCol="features", minDF=min_df, maxDF=max_df, vocabSize=(1 << 31) - 1).fit(d)
     # iterative learners scan the vectors many times: materialise them once
     return model.transform(d).select("features").checkpoint(eager=True), model.vocabulary
 

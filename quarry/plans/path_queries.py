@@ -137,7 +137,7 @@ def beam_paths(spark, sf):
 def greedy_paths(spark, sf):
     """SP6 (SP5 shares the kernel): greedy descent toward the nearest goal."""
     p, c, starts, goals = _paths(spark, sf)
-    return SP.greedy_descent(c, SP.nearest_goal(p, goals), starts, goals, 5)
+    return SP.greedy_descent(c, SP.nearest_goal(p, goals), starts, goals)
 
 
 @register("aligned_paths")

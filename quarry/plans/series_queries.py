@@ -94,6 +94,23 @@ def eps(spark, sf):
     return round_doubles(P.eps(spark, sf))
 
 
+def _categorize_sql() -> str:
+    """Edges by linear interpolation; a value on an edge goes up."""
+    cols = {"open": "open", "close": "close"}
+    edges = ", ".join(f"quantile_cont({c}, {100 / 3 / 100!r}) AS {c}1, quantile_cont({c}, {200 / 3 / 100!r}) AS {c}2" for c in cols)
+    bins = ", ".join(f"1 + CAST(p.{c} >= {c}1 AS INTEGER) + CAST(p.{c} >= {c}2 AS INTEGER) AS {c}" for c in cols)
+    return f"""WITH {BASE_SQL}, e AS (SELECT {edges} FROM prices)
+SELECT symbol, date, {bins}, volume, CASE WHEN p.close / p.open > 1 THEN 1 ELSE -1 END AS daily_trend FROM prices p, e"""
+
+
+@register("categorized_prices", _categorize_sql)
+def categorized_prices(spark, sf):
+    """price columns to quantile labels 1 / 2 / 3, the trend to 1 / -1."""
+    from quarry.operators.tabular import categorize
+    p = P.prices(spark, sf).withColumn("daily_trend", F.col("close") / F.col("open"))
+    return categorize(p, ["symbol", "date", "volume"])
+
+
 @register("price_window", f"""WITH {BASE_SQL}
 SELECT symbol, date, round(close, 6) AS close FROM prices WHERE date BETWEEN DATE '1996-01-01' AND DATE '1996-06-30'""")
 def price_window(spark, sf):

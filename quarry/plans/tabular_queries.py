@@ -227,8 +227,7 @@ SELECT id, CASE WHEN {col} IS NULL THEN NULL ELSE (CASE WHEN {x} >= e1 THEN 1 EL
 def quantile_bins(spark, sf):
     """Three quantile bins (value on an edge goes up)."""
     t = tab(spark, sf)
-    b = TB.quantile_bin(t, "credit_score", "credit_bin")
-    return b.select("id", F.when(F.col("credit_score").isNotNull(), F.col("credit_bin")).alias("credit_bin"))
+    return TB.quantile_bin(t, "credit_score", "credit_bin").select("id", "credit_bin")
 
 
 @register("log_quantile_bins", lambda: _qb_sql("speeding_violations", "violation_bin", log=True))

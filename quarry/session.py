@@ -57,5 +57,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deals a scan of fewer partitions than cores out by ``keys``, for work
+    that costs far more than the shuffle (text cleaning); larger scans stay."""
+    spark = df.sparkSession
+    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism, *keys)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quarry import params
 from quarry.functions.sentiment import with_compound
 from quarry.functions.text import normalize_text, polarity_label
-from quarry.session import table
+from quarry.session import spread, table
 
 
 def period_of(ts, periods=None) -> Column:
@@ -32,7 +32,7 @@ def period_of(ts, periods=None) -> Column:
 def post_units_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as posts: turn 0 is the title, later turns comments.
     created_utc = order date of order ``conv_id`` plus ``conv_id`` hours."""
-    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), "conv_id", "turn")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("conv_id"), F.col("o_orderdate"))
     j = conv.join(orders, "conv_id", "left")

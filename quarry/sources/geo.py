@@ -42,7 +42,10 @@ def adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = places(spark, sf_dir)
     a = p.select(F.col("key").alias("ka"), F.col("place").alias("place"), F.col("state").alias("sa"))
     b = p.select(F.col("key").alias("kb"), F.col("place").alias("neighbor"), F.col("state").alias("sb"))
-    same = a.join(b, (F.col("sa") == F.col("sb")) | (F.abs(F.col("ka") - F.col("kb")) == 1))
+    # one equi-join per way of being neighbours
+    same = a.join(b, F.col("sa") == F.col("sb"))
+    for step in (1, -1):
+        same = same.unionByName(a.join(b, F.col("kb") == F.col("ka") + step))
     return same.filter(F.col("place") != F.col("neighbor")).select("place", "neighbor").distinct()
 
 
