@@ -40,6 +40,14 @@ def word_units(texts: pa.Array) -> Units:
     return Units(counts, prefix)
 
 
+def word_groups(texts: list[bytes], windows: np.ndarray) -> np.ndarray:
+    if not texts:
+        return np.zeros(0, np.uint64)
+    u = word_units(pa.array(texts, pa.binary()).cast(pa.string()))
+    begin = np.cumsum(u.counts) - u.counts
+    return np.minimum.reduceat(u.prefix_hash, np.stack([begin, begin + u.counts - PREFIX_WORDS + 1], axis=1).ravel())[::2]
+
+
 def cut_words(text: str, starts: list[int], ends: list[int]) -> list[bytes]:
     words = text.encode().split()
     return [b" ".join(words[a:b]) + b"\n" for a, b in zip(starts, ends)]
@@ -59,7 +67,7 @@ def smaller_has_window(texts: list[bytes], windows: np.ndarray, ids: np.ndarray)
     return owner > least[leaf]
 
 
-WORDS = Method(WINDOW, PREFIX_WORDS, word_units, cut_words, smaller_has_window, most_windows=32)
+WORDS = Method(WINDOW, PREFIX_WORDS, word_units, cut_words, word_groups, smaller_has_window, most_windows=32)
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from quarry.llm.segments import Method, Units, applied, mixed, unit_mask, with_spans
 
 WINDOW = 50
-PREFIX = 16
+PREFIX = 24
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
@@ -29,19 +29,27 @@ def byte_units(texts: pa.Array) -> Units:
     return Units(counts, gram_hash(np.frombuffer(data, np.uint8), PREFIX))
 
 
+def byte_groups(texts: list[bytes], windows: np.ndarray) -> np.ndarray:
+    size = windows + WINDOW - 1
+    low = gram_hash(np.frombuffer(b"".join(texts), np.uint8), PREFIX)
+    begin = np.cumsum(size) - size
+    return np.minimum.reduceat(low, np.stack([begin, begin + size - PREFIX + 1], axis=1).ravel())[::2] if len(texts) else low
+
+
 def cut_bytes(text: str, starts: list[int], ends: list[int]) -> list[bytes]:
     data = text.encode()
     return [data[a:b] for a, b in zip(starts, ends)]
 
 
 def gram_hash(data: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n bytes (n a power of two) from each position; positions
-    nearer to the end keep a hash of fewer bytes."""
+    """Hash of the n bytes from each position; positions nearer to the end keep
+    a hash of fewer bytes."""
     h, width = _TABLE[data], 1
     while width < n:
-        if len(h) > width:
-            h[:-width] = h[:-width] * np.uint64(0xD6E8FEB86659FD93) + (h[width:] ^ (h[width:] >> np.uint64(32)))
-        width *= 2
+        step = min(width, n - width)  # the last step may overlap
+        if len(h) > step:
+            h[:-step] = h[:-step] * np.uint64(0xD6E8FEB86659FD93) + (h[step:] ^ (h[step:] >> np.uint64(32)))
+        width += step
     return mixed(h)
 
 
@@ -65,6 +73,7 @@ class RunLengthIndex:
         previous = self.text[sa - 1]
         change = np.flatnonzero(np.diff(previous, prepend=-1))
         self.start, self.symbol = change, previous[change]
+        self.run_of = np.repeat(np.arange(len(change), dtype=np.int32), np.diff(np.append(change, n)))  # rank support
         length = np.diff(np.append(change, n))
         counts = np.bincount(previous, minlength=258)
         first = np.cumsum(counts) - counts
@@ -77,9 +86,10 @@ class RunLengthIndex:
         self.by_symbol, self.group = order, np.append(group, len(order))
         self.first_sample, self.last_sample = sa[change], sa[change + length - 1]
         # rows that agree on ``window`` bytes: runs of rows, each with its least label
-        self.class_start = np.flatnonzero(lcp_breaks)
+        class_start = np.flatnonzero(lcp_breaks)
+        self.class_of = np.repeat(np.arange(len(class_start), dtype=np.int32), np.diff(np.append(class_start, n)))
         owner = np.asarray(labels, dtype=np.int64)[np.searchsorted(ends, sa, side="right")]
-        self.least = np.minimum.reduceat(owner, self.class_start)
+        self.least = np.minimum.reduceat(owner, class_start)
         self.rows = n
 
     def _suffixes(self, mark: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,8 +105,10 @@ class RunLengthIndex:
             part[:max(n - k, 0)] = text[k:]
             part[left < k] = 0
             key = (key << 9) | part
-        sa = np.argsort(key, kind="stable")
+        sa = np.argsort(key)
         sorted_key = key[sa]
+        short = np.flatnonzero(left[sa] < 7)  # equal short suffixes go by text
+        sa[short] = sa[short][np.argsort(np.unique(sorted_key[short], return_inverse=True)[1] * n + sa[short])]
         # a suffix of under 7 bytes ends in a mark; those tie only with shorter ones, and text order settles them
         new = np.empty(n, bool)
         new[0] = True
@@ -113,7 +125,7 @@ class RunLengthIndex:
             at = sa[rows]
             # suffixes still tied at this depth are longer than it: what follows exists in the same text
             following = rank[at + depth]
-            order = np.lexsort((following, rank[at]))
+            order = np.argsort(rank[at] * (n + 1) + following)
             sa[rows] = at = at[order]
             follow, head = following[order], rank[at]
             fresh = np.empty(len(rows), bool)
@@ -139,9 +151,6 @@ class RunLengthIndex:
         differ[1:] = (tail[1:] != tail[:-1]) | (rank[at[1:]] != rank[at[:-1]])
         breaks[rows] |= differ
 
-    def _run_of(self, row: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.start, row, side="right") - 1
-
     def _shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Bytes that the suffixes at a and b share, up to ``window``."""
         out = np.zeros(len(a), np.int64)
@@ -176,7 +185,7 @@ class RunLengthIndex:
             live = order[:np.searchsorted(-size[order], -step, side="left")]
             at = ends[live] - 1 - step
             c, q = data[at], row[live]
-            run = self._run_of(q)
+            run = self.run_of[q]
             stay = self.symbol[run] == c
             where, got = pos[live], np.minimum(have[live] + 1, self.window)
             jump = np.flatnonzero(~stay)
@@ -188,7 +197,7 @@ class RunLengthIndex:
             row[live], pos[live], have[live] = q, where, got
             length[at] = got
             full = got >= self.window
-            label[at[full]] = self.least[np.searchsorted(self.class_start, q[full], side="right") - 1]
+            label[at[full]] = self.least[self.class_of[q[full]]]
         cut = ends[:-1]
         return np.split(length, cut), np.split(label, cut)
 
@@ -242,7 +251,7 @@ def smaller_has_window(texts: list[bytes], windows: np.ndarray, ids: np.ndarray)
     return np.repeat(ids, windows) > least[at]
 
 
-BYTES = Method(WINDOW, PREFIX, byte_units, cut_bytes, smaller_has_window)
+BYTES = Method(WINDOW, PREFIX, byte_units, cut_bytes, byte_groups, smaller_has_window, slice_bytes=2 << 20)
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

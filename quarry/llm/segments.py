@@ -37,6 +37,10 @@ from quarry.llm.common import NO_ID, runs, slices
 SLICE = 8 << 20
 FLUSH = 32 << 20
 BUCKET_BYTES = 8 << 20
+#: Bytes of segments that are resolved at a time.
+PART = 1 << 20
+#: A slice decides itself the groups of which it holds so many segments.
+LOCAL = 6
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,9 +74,13 @@ class Method:
     units: Callable[[pa.Array], Units]
     #: (text, starts, ends) -> the bytes of units start .. end - 1
     cut: Callable[[str, list[int], list[int]], list[bytes]]
+    #: (segment bytes, windows of each) -> group hash of each: its smallest prefix hash
+    groups: Callable[[list[bytes], np.ndarray], np.ndarray]
     #: (segment bytes, windows of each, ids) -> mask over all windows: a smaller id has it
     resolve: Callable[[list[bytes], np.ndarray, np.ndarray], np.ndarray]
     most_windows: int = 64
+    #: bytes of text that are hashed at a time
+    slice_bytes: int = 8 << 20
 
 
 def segments_of(u: Units, m: Method) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -135,14 +143,32 @@ def unpacked(data: bytes, n: int, kinds: list) -> list[np.ndarray]:
 
 
 #: Kinds of blobs and their columns. NAMED: segments of one bucket (steps of id, version, start, windows, name).
-#: SEEN: (id, name) of segments that their slice has found twice. FOUND: those segments (id, version, start, windows, key).
+#: SEEN: (id, name) of segments that their slice has found twice. FOUND: those segments (id, version, start, windows).
 #: SPANS: settled spans (id, version, start, end).
 NAMED, SEEN, FOUND, SPANS, BODY = range(5)
 KINDS = {NAMED: [np.int64, np.int64, np.int32, np.int16, np.uint32], SEEN: [np.int64, np.uint32],
-         FOUND: [np.int64, np.int64, np.int32, np.int16, np.int64], SPANS: [np.int64, np.int64, np.int32, np.int32],
-         BODY: [np.int64, np.int64, np.int32, np.int16, np.int64, np.uint32]}
-BLOBS = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("n", pa.int32()), ("meta", pa.binary()), ("body", pa.binary())])
-BLOBS_DDL = "bucket long, kind int, n int, meta binary, body binary"
+         FOUND: [np.int64, np.int64, np.int32, np.int16], SPANS: [np.int64, np.int64, np.int32, np.int32],
+         BODY: [np.int64, np.int64, np.int32, np.int16, np.uint16]}
+BLOBS = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("n", pa.int64()), ("meta", pa.binary()), ("body", pa.binary())])
+BLOBS_DDL = "bucket long, kind int, n long, meta binary, body binary"
+
+
+def in_parts(m: Method, texts: list[bytes], windows: np.ndarray, ids: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """``resolve`` over segments in parts of whole groups (equal ``key``), each
+    of about PART bytes, so that an index stays small."""
+    order = np.argsort(key, kind="stable")
+    size = np.cumsum(np.fromiter((len(texts[i]) for i in order.tolist()), np.int64, len(order)))
+    fresh = np.flatnonzero(np.diff(key[order], prepend=-1))  # where groups begin
+    before = np.concatenate(([0], size))[fresh] // PART
+    cuts = fresh[np.diff(before, prepend=-1) > 0]
+    out = np.zeros(int(windows.sum()), bool)
+    base = np.cumsum(windows) - windows
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
+        o = order[a:b]
+        mask = m.resolve([texts[i] for i in o.tolist()], windows[o], ids[o])
+        n = windows[o]
+        out[np.repeat(base[o] - (np.cumsum(n) - n), n) + np.arange(len(mask))] = mask
+    return out
 
 
 def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -171,7 +197,7 @@ def named(m: Method, buckets: int):
     """mapInArrow over (_id, _version, text): names of the segments."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
+            for part in slices(batch, "text", m.slice_bytes):
                 ids, version = (np.asarray(part.column(i), dtype=np.int64) for i in (0, 1))
                 u = m.units(part.column(2))
                 doc, at, windows, group = segments_of(u, m)
@@ -186,7 +212,7 @@ def named(m: Method, buckets: int):
                 if twice.any():
                     t = np.flatnonzero(twice)
                     place = (int(abs(int(ids[0]))) * 31 + len(doc)) % buckets
-                    yield place, FOUND, len(t), packed([own[t], ver[t], start[t].astype(np.int32), windows[t].astype(np.int16), key[t]]), None
+                    yield place, FOUND, len(t), packed([own[t], ver[t], start[t].astype(np.int32), windows[t].astype(np.int16)]), None
                     first = t[np.unique(key[t], return_index=True)[1]]
                     for b, o in by_bucket(bucket[first]):
                         o = first[o]
@@ -202,9 +228,7 @@ def met(table: pa.Table) -> pa.Table:
     """applyInArrow over a bucket of names: the segments that another document
     may share (SEEN names stand for two documents at least)."""
     out, ids, names, full = [], [], [], []
-    bucket = 0
-    for b, kind, n, meta in zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "n", "meta"))):
-        bucket = b
+    for kind, n, meta in zip(*(table.column(c).to_pylist() for c in ("kind", "n", "meta"))):
         cols = unpacked(meta, n, KINDS[kind])
         if kind == FOUND:
             out.append(cols)
@@ -223,22 +247,30 @@ def met(table: pa.Table) -> pa.Table:
         for i, cols in zip(ids, full):
             if cols is not None:
                 o = np.flatnonzero(mask[at:at + len(i)])
-                out.append([c[o] for c in cols[:4]] + [(bucket << 32) + cols[4][o].astype(np.int64)])
+                out.append([c[o] for c in cols[:4]])
             at += len(i)
-    cols = [np.concatenate(c).astype(np.int64) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
-    return pa.table({"_id": cols[0], "_version": cols[1], "key": cols[4], "at": (cols[2] << 16) + cols[3]})
+    cols = [np.concatenate(c).astype(np.int64) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
+    return pa.table({"_id": cols[0], "_version": cols[1], "at": (cols[2] << 16) + cols[3]})
+
+
+def keys_of(m: Method, texts: list[bytes], windows: np.ndarray, buckets: int) -> np.ndarray:
+    """bucket * 2^32 + name of each segment."""
+    group = mixed(m.groups(texts, windows))
+    return ((group % np.uint64(buckets)).astype(np.int64) << 32) + (group >> np.uint64(32)).astype(np.int64)
 
 
-def cut_out(m: Method, text_col: str):
+def cut_out(m: Method, buckets: int, text_col: str):
     """mapInArrow over (row, _id, _version, segments): segment bodies, one blob
     per bucket and flush, and the spans that a slice settles."""
     def flush(held: list) -> Iterator[tuple]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         ids, version, start, windows, key = (np.concatenate(c) for c in zip(*(h[:5] for h in held)))
         texts = [t for h in held for t in h[5]]
-        size = np.fromiter(map(len, texts), np.uint32, len(texts))
-        for b, o in by_bucket(key >> 32):
-            yield b, BODY, len(o), packed([ids[o], version[o], start[o].astype(np.int32), windows[o].astype(np.int16), key[o], size[o]]), squeeze(b"".join([texts[i] for i in o]))
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        # a word segment may be any length: those over 64 KiB travel with their size in parts
+        high, size = size >> 16, (size & 0xFFFF).astype(np.uint16)
+        for b, o in by_bucket((key >> 32) * 65536 + high):
+            yield b >> 16, BODY, len(o) | (b & 0xFFFF) << 40, packed([np.diff(ids[o], prepend=0), version[o], start[o].astype(np.int32), windows[o].astype(np.int16), size[o]]), squeeze(b"".join([texts[i] for i in o]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         held, size, number = [], 0, 0
@@ -247,19 +279,20 @@ def cut_out(m: Method, text_col: str):
             batch = pa.RecordBatch.from_arrays([text, *batch.columns[1:]], names=["text", "_id", "_version", "segments"])
             for part in slices(batch, "text", SLICE):
                 n = np.diff(np.asarray(part.column(3).offsets))
-                flat = part.column(3).flatten()
+                at = np.asarray(part.column(3).flatten(), dtype=np.int64)
                 doc = np.repeat(np.arange(part.num_rows), n)
-                key, at = (np.asarray(flat.field(i), dtype=np.int64) for i in (0, 1))
                 start, windows = at >> 16, at & 0xFFFF
                 ids, version = (np.asarray(part.column(i), dtype=np.int64)[doc] for i in (1, 2))
                 texts = []
                 bounds = np.cumsum(n)
                 for t, a, b in zip(part.column(0).to_pylist(), (bounds - n).tolist(), bounds.tolist()):
                     texts += m.cut(t or "", start[a:b].tolist(), (start[a:b] + windows[a:b] + m.window - 1).tolist())
+                key = keys_of(m, texts, windows, buckets)
                 settled = np.zeros(len(doc), bool)
-                twice = np.flatnonzero(shared(key, ids))
+                _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+                twice = np.flatnonzero(times[which] >= LOCAL)
                 if len(twice):
-                    mask = m.resolve([texts[i] for i in twice.tolist()], windows[twice], ids[twice])
+                    mask = in_parts(m, [texts[i] for i in twice.tolist()], windows[twice], ids[twice], key[twice])
                     ends = np.cumsum(windows[twice])
                     settled[twice] = np.add.reduceat(mask.astype(np.int64), ends - windows[twice]) == windows[twice]
                     s, a, b = spans_of(mask, windows[twice], start[twice], m.window)
@@ -278,24 +311,27 @@ def cut_out(m: Method, text_col: str):
     return lambda batches: in_batches(rows(batches))
 
 
-def settle(m: Method):
+def settle(m: Method, buckets: int):
     """applyInArrow over a bucket of bodies: the spans of its removed windows."""
     def run(table: pa.Table) -> pa.Table:
         out, metas, texts = [], [], []
         for kind, n, meta, body in zip(*(table.column(c).to_pylist() for c in ("kind", "n", "meta", "body"))):
+            n, high = n & 0xFFFFFFFF, n >> 40
             cols = unpacked(meta, n, KINDS[kind])
             if kind == SPANS:
                 out.append(cols)
                 continue
-            metas.append(cols[:5])
-            raw, ends = zstandard.decompress(body), np.cumsum(cols[5].astype(np.int64))
-            texts += [raw[a:b] for a, b in zip((ends - cols[5]).tolist(), ends.tolist())]
+            metas.append([np.cumsum(cols[0]), *cols[1:4]])
+            size = cols[4].astype(np.int64) + (high << 16)
+            raw, ends = zstandard.decompress(body), np.cumsum(size)
+            texts += [raw[a:b] for a, b in zip((ends - size).tolist(), ends.tolist())]
         if metas:
-            ids, version, start, windows, key = (np.concatenate(c) for c in zip(*metas))
+            ids, version, start, windows = (np.concatenate(c) for c in zip(*metas))
+            key = keys_of(m, texts, windows.astype(np.int64), buckets)
             twice = np.flatnonzero(shared(key, ids))
             if len(twice):
                 windows = windows[twice].astype(np.int64)
-                mask = m.resolve([texts[i] for i in twice.tolist()], windows, ids[twice])
+                mask = in_parts(m, [texts[i] for i in twice.tolist()], windows, ids[twice], key[twice])
                 s, a, b = spans_of(mask, windows, start[twice].astype(np.int64), m.window)
                 out.append([ids[twice][s], version[twice][s], a, b])
         cols = [np.concatenate(c).astype(np.int64) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
@@ -310,16 +346,16 @@ def with_spans(docs: DataFrame, m: Method, id_col: str, text_col: str) -> DataFr
     rank = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     again = docs.groupBy(rank.alias("i")).count().where("count > 1").limit(1).count()
-    version = F.xxhash64(text) if again else F.lit(0).cast("long")
+    version = F.xxhash64(text) if again else F.pmod(rank, F.lit(1))  # not a literal: that would drop out of the join keys
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(64, -(-int(size) // BUCKET_BYTES))
     names = docs.select(rank.alias("_id"), version.alias("_version"), text.alias("text")).mapInArrow(named(m, buckets), BLOBS_DDL)
-    wanted = (names.groupBy("bucket").applyInArrow(met, "_id long, _version long, key long, at long")
-              .groupBy("_id", "_version").agg(F.collect_list(F.struct("key", "at")).alias("segments")))
+    wanted = (names.groupBy("bucket").applyInArrow(met, "_id long, _version long, at long")
+              .groupBy("_id", "_version").agg(F.collect_list("at").alias("segments")))
     # both joins read this side whole, so that one exchange of the texts serves both
     rows = docs.select(F.struct("*").alias("row"), rank.alias("_id"), version.alias("_version"))
-    bodies = rows.join(wanted, ["_id", "_version"]).select("row", "_id", "_version", "segments").mapInArrow(cut_out(m, text_col), BLOBS_DDL)
-    spans = (bodies.groupBy("bucket").applyInArrow(settle(m), "_id long, _version long, span long")
+    bodies = rows.join(wanted, ["_id", "_version"]).select("row", "_id", "_version", "segments").mapInArrow(cut_out(m, buckets, text_col), BLOBS_DDL)
+    spans = (bodies.groupBy("bucket").applyInArrow(settle(m, buckets), "_id long, _version long, span long")
              .groupBy("_id", "_version").agg(F.collect_list("span").alias("_spans")))
     return rows.join(spans, ["_id", "_version"], "left").select("row", "_spans")
 
