@@ -11,10 +11,12 @@ does not meet in one task."""
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,8 @@ from quarry.llm.common import checkpointed, codes_of, id_text, slices, words_of
 CAPACITY = 4096
 END_ID = 1
 SALTS = 256
-#: Distinct words whose ids a task keeps between slices.
-CACHE_WORDS = 250_000
+#: Distinct words whose ids a worker keeps between slices.
+CACHE_WORDS = 200_000
 #: A run of these after a plain letter is split off by the tokenizer itself, so
 #: word and marks can be encoded, and cached, apart.
 MARKS, PLAIN_END = ".,!?", "[a-zß-öø-ÿ]$"
@@ -38,9 +40,10 @@ PLAIN = re.compile("[a-zß-öø-ÿ]+")
 class WordEncoder:
     """Ids of white-space separated words with a tokenizer that never joins
     across white space; the ids of a text are those of its words in order.
-    Words are encoded once per task while the cache holds them."""
+    Words are encoded once per Python worker while the cache holds them."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread; threads of its own would also split its heap
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         # a word of plain lower-case letters is unchanged by the normaliser and not split
@@ -106,6 +109,12 @@ def spread(starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarr
     return np.repeat(starts[which] - before, n) + np.arange(int(n.sum()))
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> WordEncoder:
+    """One encoder per Python worker: Spark reuses workers for many tasks."""
+    return WordEncoder(path)
+
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -116,7 +125,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                         ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = worker_encoder(tokenizer_path)
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
                 counts, flat = words_of(part.column(1))
