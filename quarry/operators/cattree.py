@@ -63,7 +63,7 @@ def _children(rows: DataFrame, splits: DataFrame, attrs: list[str]) -> DataFrame
     """One row per branch of each split: (parent, branch_value, node). The id is
     the parent's, the attribute's index and the value's ordinal, so any value,
     also null, names its own branch."""
-    values = (rows.join(splits, "node").select("node", "split_attr", _value_of(attrs, "split_attr").alias("branch_value")).distinct())
+    values = rows.join(splits, "node").select("node", "split_attr", _value_of(attrs, "split_attr").alias("branch_value")).distinct()
     index = F.coalesce(*[F.when(F.col("split_attr") == a, F.lit(i)) for i, a in enumerate(attrs)])
     ordinal = F.row_number().over(Window.partitionBy("node").orderBy(F.col("branch_value").asc_nulls_first()))
     return values.select(F.col("node").alias("parent"), "split_attr", "branch_value",
@@ -201,14 +201,15 @@ def fold_of(df: DataFrame, label: str, id_col: str, k: int, seed: int = 42) -> D
             .drop("__h", "__part", "__rank", "__l", "__q", "__first"))
 
 
-def kfold_error(df: DataFrame, attrs: list[str], label: str, id_col: str, k: int = 2, seed: int = 42) -> DataFrame:
+def kfold_error(df: DataFrame, attrs: list[str], label: str, id_col: str, k: int = 2, seed: int = 42,
+                max_depth: int | None = None) -> DataFrame:
     """Stratified k-fold error; per fold the error of a pruned tree trained
     on the other folds."""
     f = fold_of(df, label, id_col, k, seed).checkpoint(eager=True)
     out = []
     for i in range(k):
         train, test = f.filter(F.col("fold") != i), f.filter(F.col("fold") == i)
-        tree = chi2_prune(grow(train, attrs, label))
+        tree = chi2_prune(grow(train, attrs, label, max_depth=max_depth))
         pred = predict(test, tree, id_col).join(test.select(id_col, label), id_col)
         err = pred.agg(F.avg((F.col("prediction") != F.col(label)).cast("double"))).first()[0]
         out.append((i, None if err is None else float(err)))
