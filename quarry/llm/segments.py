@@ -346,7 +346,7 @@ def with_spans(docs: DataFrame, m: Method, id_col: str, text_col: str) -> DataFr
     rank = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     again = docs.groupBy(rank.alias("i")).count().where("count > 1").limit(1).count()
-    version = F.xxhash64(text) if again else F.pmod(rank, F.lit(1))  # not a literal: that would drop out of the join keys
+    version = F.xxhash64(text) if again else F.coalesce(F.pmod(rank, F.lit(1)), F.lit(0).cast("long"))  # a literal would drop out of the join keys; never null, or the joins' sides differ
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(64, -(-int(size) // BUCKET_BYTES))
     names = docs.select(rank.alias("_id"), version.alias("_version"), text.alias("text")).mapInArrow(named(m, buckets), BLOBS_DDL)
