@@ -37,7 +37,7 @@ def word_units(texts: pa.Array) -> Units:
         more = held[:len(held) - k] < PREFIX_BYTES
         prefix[:len(held) - k] = np.where(more, mixed(prefix[:len(held) - k] * np.uint64(31) + hashes[k:]), prefix[:len(held) - k])
         held[:len(held) - k] += np.where(more, size[k:], PREFIX_BYTES)
-    return Units(counts, prefix)
+    return Units(counts, prefix, size + 1)
 
 
 def word_groups(texts: list[bytes], windows: np.ndarray) -> np.ndarray:

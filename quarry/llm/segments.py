@@ -16,7 +16,11 @@ plan is shared:
    of the slice has is final and, if its whole segment is, not shipped.
 4. ``resolve`` decides the windows of a bucket; spans go back by document.
 
-The number of buckets follows the corpus size, so a bucket fits in a task."""
+The number of buckets follows the corpus size, so a bucket fits in a task. A
+group of more than PART bytes (the buckets of names sum them) would not: its
+segments are cut into single windows, which go to buckets of their own by the
+hash of the whole window. Equal windows still meet, and of equal windows a slice
+ships one, so neither a group nor a window can outgrow a task."""
 
 from __future__ import annotations
 
@@ -37,8 +41,14 @@ from quarry.llm.common import NO_ID, runs, slices
 SLICE = 8 << 20
 FLUSH = 32 << 20
 BUCKET_BYTES = 8 << 20
-#: Bytes of segments that are resolved at a time.
+#: Bytes of segments that are resolved at a time; larger groups are split by whole windows.
 PART = 1 << 20
+#: Bytes of segments are counted in steps of so many.
+STEP = 16
+#: Buckets of single windows for each bucket of segments (a window is shipped whole, so they take more room).
+SPREAD = 8
+#: Single windows that are cut out at a time.
+AT_ONCE = 1 << 18
 #: A slice decides itself the groups of which it holds so many segments.
 LOCAL = 6
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -61,10 +71,11 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass
 class Units:
-    """The units of a slice of documents: ``counts`` per document and the
-    prefix hash at each unit."""
+    """The units of a slice of documents: ``counts`` per document, the prefix
+    hash at each unit and its bytes (None: one each)."""
     counts: np.ndarray
     prefix_hash: np.ndarray
+    size: np.ndarray | None = None
 
 
 @dataclass(frozen=True)
@@ -142,13 +153,15 @@ def unpacked(data: bytes, n: int, kinds: list) -> list[np.ndarray]:
     return out
 
 
-#: Kinds of blobs and their columns. NAMED: segments of one bucket (steps of id, version, start, windows, name).
-#: SEEN: (id, name) of segments that their slice has found twice. FOUND: those segments (id, version, start, windows).
-#: SPANS: settled spans (id, version, start, end).
+#: Kinds of blobs and their columns. NAMED: segments of one bucket (steps of id, version, start, windows, name, STEPs of bytes).
+#: SEEN: (id, name, STEPs of bytes) of segments that their slice has found twice. FOUND: those segments (id, version, start,
+#: windows, name, bucket). SPANS: settled spans (id, version, start, end).
 NAMED, SEEN, FOUND, SPANS, BODY = range(5)
-KINDS = {NAMED: [np.int64, np.int64, np.int32, np.int16, np.uint32], SEEN: [np.int64, np.uint32],
-         FOUND: [np.int64, np.int64, np.int32, np.int16], SPANS: [np.int64, np.int64, np.int32, np.int32],
+KINDS = {NAMED: [np.int64, np.int64, np.int32, np.int16, np.uint32, np.uint16], SEEN: [np.int64, np.uint32, np.uint32],
+         FOUND: [np.int64, np.int64, np.int32, np.int16, np.uint32, np.int32], SPANS: [np.int64, np.int64, np.int32, np.int32],
          BODY: [np.int64, np.int64, np.int32, np.int16, np.uint16]}
+#: In start * 2^16 + windows of a segment: its group is too large.
+MARK = 1 << 15
 BLOBS = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("n", pa.int64()), ("meta", pa.binary()), ("body", pa.binary())])
 BLOBS_DDL = "bucket long, kind int, n long, meta binary, body binary"
 
@@ -178,6 +191,12 @@ def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(bucket[order[a]]), order[a:b]
 
 
+def each_document(doc: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the runs of equal values."""
+    at = np.flatnonzero(np.diff(doc, prepend=-1))
+    return list(zip(at.tolist(), [*at[1:].tolist(), len(doc)]))
+
+
 def in_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
 
@@ -208,30 +227,39 @@ def named(m: Method, buckets: int):
                 start = at - (np.cumsum(u.counts) - u.counts)[doc]
                 own, ver = ids[doc], version[doc]
                 key = (bucket << 32) + name.astype(np.int64)
+                length = windows + m.window - 1
+                if u.size is not None:
+                    ends = np.concatenate(([0], np.cumsum(u.size)))
+                    length = ends[at + length] - ends[at]
+                steps = -(-length // STEP)
                 twice = shared(key, own)
                 if twice.any():
                     t = np.flatnonzero(twice)
                     place = (int(abs(int(ids[0]))) * 31 + len(doc)) % buckets
-                    yield place, FOUND, len(t), packed([own[t], ver[t], start[t].astype(np.int32), windows[t].astype(np.int16)]), None
-                    first = t[np.unique(key[t], return_index=True)[1]]
+                    yield place, FOUND, len(t), packed([own[t], ver[t], start[t].astype(np.int32), windows[t].astype(np.int16), name[t], bucket[t].astype(np.int32)]), None
+                    _, first, which = np.unique(key[t], return_index=True, return_inverse=True)
+                    held = np.bincount(which, weights=steps[t])
+                    first = t[first]
                     for b, o in by_bucket(bucket[first]):
+                        held_here = np.minimum(held[o], 0xFFFFFFFF).astype(np.uint32)
                         o = first[o]
-                        yield b, SEEN, len(o), packed([own[o], name[o]]), None
+                        yield b, SEEN, len(o), packed([own[o], name[o], held_here]), None
                 once = np.flatnonzero(~twice)
                 for b, o in by_bucket(bucket[once]):
                     o = once[o]
-                    yield b, NAMED, len(o), packed([np.diff(own[o], prepend=0), ver[o], start[o].astype(np.int32), windows[o].astype(np.int16), name[o]]), None
+                    yield b, NAMED, len(o), packed([np.diff(own[o], prepend=0), ver[o], start[o].astype(np.int32), windows[o].astype(np.int16), name[o],
+                                                    np.minimum(steps[o], 0xFFFF).astype(np.uint16)]), None
     return lambda batches: in_batches(rows(batches))
 
 
 def met(table: pa.Table) -> pa.Table:
     """applyInArrow over a bucket of names: the segments that another document
-    may share (SEEN names stand for two documents at least)."""
+    may share (SEEN names stand for two documents at least), and their groups."""
     out, ids, names, full = [], [], [], []
-    for kind, n, meta in zip(*(table.column(c).to_pylist() for c in ("kind", "n", "meta"))):
+    for bucket, kind, n, meta in zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "n", "meta"))):
         cols = unpacked(meta, n, KINDS[kind])
         if kind == FOUND:
-            out.append(cols)
+            out.append([*cols[:4], (cols[5].astype(np.int64) << 32) + cols[4]])
         elif kind == SEEN:  # two entries: the group is shared whatever else holds it
             ids += [cols[0], np.full(n, -1)]
             names += [cols[1], cols[1]]
@@ -240,17 +268,30 @@ def met(table: pa.Table) -> pa.Table:
             cols[0] = np.cumsum(cols[0])
             ids.append(cols[0])
             names.append(cols[1 + 3])
-            full.append(cols)
+            full.append([*cols[:4], (bucket << 32) + cols[4].astype(np.int64)])
     if ids:
         mask = shared(np.concatenate(names), np.concatenate(ids))
         at = 0
         for i, cols in zip(ids, full):
             if cols is not None:
                 o = np.flatnonzero(mask[at:at + len(i)])
-                out.append([c[o] for c in cols[:4]])
+                out.append([c[o] for c in cols])
             at += len(i)
-    cols = [np.concatenate(c).astype(np.int64) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
-    return pa.table({"_id": cols[0], "_version": cols[1], "at": (cols[2] << 16) + cols[3]})
+    cols = [np.concatenate(c).astype(np.int64) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
+    return pa.table({"_id": cols[0], "_version": cols[1], "at": (cols[2] << 16) + cols[3], "key": cols[4]})
+
+
+def large(table: pa.Table) -> pa.Table:
+    """applyInArrow over a bucket of names: its groups of more than PART bytes."""
+    names, steps, bucket = [np.zeros(0, np.uint32)], [np.zeros(0)], 0
+    for bucket, kind, n, meta in zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "n", "meta"))):
+        if kind != FOUND:
+            cols = unpacked(meta, n, KINDS[kind])
+            names.append(cols[1 if kind == SEEN else 4])
+            steps.append(cols[-1].astype(np.float64))
+    code, distinct = pd.factorize(np.concatenate(names))
+    held = np.bincount(code, weights=np.concatenate(steps), minlength=len(distinct))
+    return pa.table({"_large": (bucket << 32) + distinct[held * STEP > PART].astype(np.int64)})
 
 
 def keys_of(m: Method, texts: list[bytes], windows: np.ndarray, buckets: int) -> np.ndarray:
@@ -259,9 +300,24 @@ def keys_of(m: Method, texts: list[bytes], windows: np.ndarray, buckets: int) ->
     return ((group % np.uint64(buckets)).astype(np.int64) << 32) + (group >> np.uint64(32)).astype(np.int64)
 
 
+def whole_keys(texts: list[bytes], buckets: int) -> np.ndarray:
+    """bucket * 2^32 + name of each single window; these buckets follow those of the segments."""
+    h = mixed(pd.util.hash_array(np.fromiter(texts, object, len(texts)), categorize=False))
+    return ((buckets + (h % np.uint64(SPREAD * buckets))).astype(np.int64) << 32) + (h >> np.uint64(32)).astype(np.int64)
+
+
+def smaller_has(texts: list[bytes], ids: np.ndarray) -> np.ndarray:
+    """Mask of the single windows that a smaller id has as well."""
+    d = np.asarray(pa.array(texts, pa.binary()).dictionary_encode().indices, dtype=np.int64)
+    least = np.full(int(d.max()) + 1 if len(d) else 0, np.iinfo(np.int64).max)
+    np.minimum.at(least, d, ids)
+    return ids > least[d]
+
+
 def cut_out(m: Method, buckets: int, text_col: str):
-    """mapInArrow over (row, _id, _version, segments): segment bodies, one blob
-    per bucket and flush, and the spans that a slice settles."""
+    """mapInArrow over (row, _id, _version, segments): segment bodies (of large
+    groups, marked in their windows, each window by itself), one blob per bucket
+    and flush, and the spans that a slice settles."""
     def flush(held: list) -> Iterator[tuple]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         ids, version, start, windows, key = (np.concatenate(c) for c in zip(*(h[:5] for h in held)))
@@ -281,27 +337,53 @@ def cut_out(m: Method, buckets: int, text_col: str):
                 n = np.diff(np.asarray(part.column(3).offsets))
                 at = np.asarray(part.column(3).flatten(), dtype=np.int64)
                 doc = np.repeat(np.arange(part.num_rows), n)
-                start, windows = at >> 16, at & 0xFFFF
+                start, windows, split = at >> 16, at & 0x7FFF, (at & MARK) > 0
                 ids, version = (np.asarray(part.column(i), dtype=np.int64)[doc] for i in (1, 2))
-                texts = []
-                bounds = np.cumsum(n)
-                for t, a, b in zip(part.column(0).to_pylist(), (bounds - n).tolist(), bounds.tolist()):
-                    texts += m.cut(t or "", start[a:b].tolist(), (start[a:b] + windows[a:b] + m.window - 1).tolist())
-                key = keys_of(m, texts, windows, buckets)
-                settled = np.zeros(len(doc), bool)
+                text = part.column(0).to_pylist()
+
+                def cut(o: np.ndarray, first: np.ndarray, k: np.ndarray) -> list[bytes]:
+                    """k windows from unit ``first`` of each of the segments o"""
+                    out = []
+                    for a, b in each_document(doc[o]):
+                        out += m.cut(text[doc[o[a]]] or "", first[a:b].tolist(), (first[a:b] + k[a:b] + m.window - 1).tolist())
+                    return out
+                found = []
+                all_split = np.flatnonzero(split)
+                rounds = np.cumsum(windows[all_split]) // AT_ONCE
+                for o in np.split(all_split, np.flatnonzero(np.diff(rounds)) + 1) if len(all_split) else []:
+                    k = windows[o]
+                    own = np.repeat(o, k)
+                    place = start[own] + np.arange(len(own)) - np.repeat(np.cumsum(k) - k, k)
+                    texts = cut(own, place, np.ones_like(own))
+                    mask = smaller_has(texts, ids[own])
+                    s, a, b = spans_of(mask, k, start[o], m.window)
+                    found.append((o[s], a, b))
+                    go = np.flatnonzero(~mask)
+                    texts = [texts[i] for i in go.tolist()]
+                    held.append((ids[own[go]], version[own[go]], place[go], np.ones_like(go), whole_keys(texts, buckets), texts))
+                    size += sum(map(len, texts))
+                    if size > FLUSH:
+                        yield from flush(held)
+                        held, size = [], 0
+                o = np.flatnonzero(~split)
+                ids_, start_, windows_ = ids[o], start[o], windows[o]
+                texts = cut(o, start_, windows_)
+                key = keys_of(m, texts, windows_, buckets)
+                settled = np.zeros(len(o), bool)
                 _, which, times = np.unique(key, return_inverse=True, return_counts=True)
                 twice = np.flatnonzero(times[which] >= LOCAL)
                 if len(twice):
-                    mask = in_parts(m, [texts[i] for i in twice.tolist()], windows[twice], ids[twice], key[twice])
-                    ends = np.cumsum(windows[twice])
-                    settled[twice] = np.add.reduceat(mask.astype(np.int64), ends - windows[twice]) == windows[twice]
-                    s, a, b = spans_of(mask, windows[twice], start[twice], m.window)
-                    if len(s):
-                        own = twice[s]
-                        number += 1
-                        yield int(key[own[0]] >> 32) + number, SPANS, len(s), packed([ids[own], version[own], a.astype(np.int32), b.astype(np.int32)]), None
+                    mask = in_parts(m, [texts[i] for i in twice.tolist()], windows_[twice], ids_[twice], key[twice])
+                    ends = np.cumsum(windows_[twice])
+                    settled[twice] = np.add.reduceat(mask.astype(np.int64), ends - windows_[twice]) == windows_[twice]
+                    s, a, b = spans_of(mask, windows_[twice], start_[twice], m.window)
+                    found.append((o[twice[s]], a, b))
+                own, a, b = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+                if len(own):
+                    number += 1
+                    yield (int(ids[own[0]]) + number) % buckets, SPANS, len(own), packed([ids[own], version[own], a.astype(np.int32), b.astype(np.int32)]), None
                 go = np.flatnonzero(~settled)
-                held.append((ids[go], version[go], start[go], windows[go], key[go], [texts[i] for i in go.tolist()]))
+                held.append((ids_[go], version[o[go]], start_[go], windows_[go], key[go], [texts[i] for i in go.tolist()]))
                 size += sum(map(len, held[-1][5]))
                 if size > FLUSH:
                     yield from flush(held)
@@ -314,8 +396,8 @@ def cut_out(m: Method, buckets: int, text_col: str):
 def settle(m: Method, buckets: int):
     """applyInArrow over a bucket of bodies: the spans of its removed windows."""
     def run(table: pa.Table) -> pa.Table:
-        out, metas, texts = [], [], []
-        for kind, n, meta, body in zip(*(table.column(c).to_pylist() for c in ("kind", "n", "meta", "body"))):
+        out, metas, texts, bucket = [], [], [], 0
+        for bucket, kind, n, meta, body in zip(*(table.column(c).to_pylist() for c in ("bucket", "kind", "n", "meta", "body"))):
             n, high = n & 0xFFFFFFFF, n >> 40
             cols = unpacked(meta, n, KINDS[kind])
             if kind == SPANS:
@@ -327,8 +409,13 @@ def settle(m: Method, buckets: int):
             texts += [raw[a:b] for a, b in zip((ends - size).tolist(), ends.tolist())]
         if metas:
             ids, version, start, windows = (np.concatenate(c) for c in zip(*metas))
-            key = keys_of(m, texts, windows.astype(np.int64), buckets)
-            twice = np.flatnonzero(shared(key, ids))
+            if bucket >= buckets:  # single windows
+                gone = smaller_has(texts, ids)
+                out.append([ids[gone], version[gone], start[gone], start[gone] + m.window])
+                twice = ()
+            else:
+                key = keys_of(m, texts, windows.astype(np.int64), buckets)
+                twice = np.flatnonzero(shared(key, ids))
             if len(twice):
                 windows = windows[twice].astype(np.int64)
                 mask = in_parts(m, [texts[i] for i in twice.tolist()], windows, ids[twice], key[twice])
@@ -350,8 +437,12 @@ def with_spans(docs: DataFrame, m: Method, id_col: str, text_col: str) -> DataFr
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(64, -(-int(size) // BUCKET_BYTES))
     names = docs.select(rank.alias("_id"), version.alias("_version"), text.alias("text")).mapInArrow(named(m, buckets), BLOBS_DDL)
-    wanted = (names.groupBy("bucket").applyInArrow(met, "_id long, _version long, at long")
-              .groupBy("_id", "_version").agg(F.collect_list("at").alias("segments")))
+    # one entry for PART bytes of names at most; both sides read one exchange of the names
+    too_large = F.broadcast(names.groupBy("bucket").applyInArrow(large, "_large long"))
+    at = F.col("at") + F.when(F.col("_large").isNotNull(), MARK).otherwise(0)
+    wanted = (names.groupBy("bucket").applyInArrow(met, "_id long, _version long, at long, key long")
+              .join(too_large, F.col("key") == F.col("_large"), "left")
+              .groupBy("_id", "_version").agg(F.collect_list(at).alias("segments")))
     # both joins read this side whole, so that one exchange of the texts serves both
     rows = docs.select(F.struct("*").alias("row"), rank.alias("_id"), version.alias("_version"))
     bodies = rows.join(wanted, ["_id", "_version"]).select("row", "_id", "_version", "segments").mapInArrow(cut_out(m, buckets, text_col), BLOBS_DDL)

@@ -1,6 +1,7 @@
 """op1 and op3 against brute force, the run-length index against brute force."""
 
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -96,6 +97,29 @@ def test_parts_and_cuts_do_not_change_the_result(monkeypatch, sample):
     assert got == want
 
 
+@pytest.mark.parametrize("method,phrase,units,width", [(op3_runs.BYTES, " which that table by phrase very ", lambda t: t.encode(), 50),
+                                                       (op1_substrings.WORDS, " these dozen words are in every row of the whole table too ", word_list, 13)])
+def test_a_phrase_in_most_rows_is_not_resolved_as_one_group(spark, method, phrase, units, width):
+    rng = random.Random(3)
+
+    def word():
+        return "".join(rng.choices("abcdefghij", k=6))
+    rows = [(i, phrase.join(" ".join(word() for _ in range(4)) for _ in range(4))) for i in range(15_000)]
+    rows += [(15_000 + i, "x " + rows[i * 7][1][10:]) for i in range(300)]  # repeats over the phrase
+    whole, most = method.resolve, 2 * segments.PART
+
+    def resolve(texts, windows, ids):
+        assert sum(map(len, texts)) <= most
+        return whole(texts, windows, ids)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["row"]["doc_id"]: r["_spans"] or [] for r in segments.with_spans(docs, replace(method, resolve=resolve), "doc_id", "text").collect()}
+    want = brute(rows, units, width)
+    for i, t in rows:
+        n, removed, _ = want[(i, t)]
+        assert int(segments.unit_mask(np.array(got[i], np.int64), n).sum()) == removed
+    assert sum(removed for _, removed, _ in want.values()) > 300
+
+
 def test_gram_names_are_exact():
     rng = np.random.default_rng(1)
     for n in (1, 2, 3, 8, 13):
