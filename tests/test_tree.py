@@ -2,7 +2,10 @@
 
 from collections import Counter, defaultdict
 
+import pytest
+
 from quarry.operators import cattree as CT
+from quarry.plans import tree_queries
 
 ATTRS = ["a", "b"]
 ROWS = [(i, a, b, y) for i, (a, b, y) in enumerate(
@@ -46,3 +49,17 @@ def test_pruning_cuts_what_chance_explains(spark):
 
 def test_critical_value():
     assert abs(CT.critical_value(1, 0.05) - 3.841458820694124) < 1e-9 and abs(CT.critical_value(5, 0.05) - 11.070497693516351) < 1e-8
+
+
+@pytest.mark.parametrize("query", ["tree_lines", "tree_predictions", "tree_kfold"])
+def test_queries_grow_the_full_tree(monkeypatch, spark, query):
+    grow, open_nodes = CT.grow, []
+
+    def watched(df, attrs, label, *args, **kwargs):
+        tree = grow(df, attrs, label, *args, **kwargs)
+        mixed = tree.filter("is_leaf AND n_pos > 0 AND n_pos < n")
+        open_nodes.append(mixed.filter(f"depth < {len(attrs)}").count())
+        return tree
+    monkeypatch.setattr(CT, "grow", watched)
+    assert getattr(tree_queries, query)(spark, "/root/testdata/sf0.001").count() > 0
+    assert open_nodes and not any(open_nodes)  # only used-up attributes leave a mixed leaf
