@@ -1,12 +1,13 @@
-"""Substring dedup with prefix-partitioned suffix trees.
+"""Substring dedup by minimiser groups and exact window names.
 
-Suffixes are grouped by a variable-length prefix: the shortest run of words
-that holds ``PREFIX_BYTES`` bytes, at most ``PREFIX_WORDS`` words, so common
-short words make longer prefixes. A group's suffixes are cut to ``window``
-words, which is all the depth that matters; its tree is kept as names of word
-paths (paths of 1, 2, 4, 8 .. words, joined pairwise). A node at depth
-``window`` with leaves of two documents or more is a repeat; neighbouring
-repeats of a document join into maximal ones."""
+Every position has the hash of a variable-length prefix: the shortest run of
+words that holds ``PREFIX_BYTES`` bytes, at most ``PREFIX_WORDS`` words, so
+common short words make longer prefixes. The smallest hash inside a window of
+``window`` words names its group (see ``segments``). In a group every window has
+an exact name (names of 1, 2, 4, 8 .. words, joined pairwise). This stands in
+for a suffix tree: there is one depth, ``window``, and there are no inner nodes.
+A name with two documents or more is a repeat; neighbouring repeats of a
+document join into maximal ones."""
 
 from __future__ import annotations
 
@@ -54,8 +55,8 @@ def cut_words(text: str, starts: list[int], ends: list[int]) -> list[bytes]:
 
 
 def smaller_has_window(texts: list[bytes], windows: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Mask over all windows of the segments: the node of the window's path
-    holds a leaf of a smaller document."""
+    """Mask over all windows of the segments: a smaller document has a window of
+    the same name."""
     counts, flat = words_of(pa.array(texts, pa.binary()).cast(pa.string()))
     names = gram_names(codes_of(flat)[0], WINDOW)
     first = np.cumsum(counts) - counts
