@@ -20,9 +20,9 @@ def query(fn):
     return fn
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -96,3 +96,11 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.op2_language_model import score
     scored = score(documents(spark, sf_dir), crc_mod("doc_id", 7) != 2)
     return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.op11_bpe import encode
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encode(documents(spark, sf_dir), tokenizer_path(), decoded=True).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
