@@ -43,4 +43,19 @@ SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0)
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM t LEFT JOIN cover ON cover.doc_id = t.id LEFT JOIN named ON named.doc_id = t.id WHERE side = 'd'"""
 
-ORACLES = {"op1_substring_dedup": SUBSTRING_DEDUP, "op3_run_dedup": RUN_DEDUP, "op9_decontamination": DECONTAMINATION}
+#: Scores of every document that holds a term of the item, the 20 best of each item.
+SEARCH = r"""WITH low AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+t AS (SELECT side, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM low),
+size AS (SELECT id AS doc_id, count(*) AS n FROM t WHERE side = 'd' GROUP BY id),
+total AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+asked AS (SELECT id AS item_id, term, count(*) AS q FROM t WHERE side = 'b' GROUP BY id, term),
+post AS (SELECT id AS doc_id, term, count(*) AS tf FROM t WHERE side = 'd' AND term IN (SELECT term FROM asked) GROUP BY id, term),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+           FROM (SELECT term, count(*) AS df FROM post GROUP BY term), total),
+scored AS (SELECT item_id, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+           FROM asked JOIN post USING (term) JOIN weight USING (term) JOIN size USING (doc_id), total GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 20"""
+
+ORACLES = {"op1_substring_dedup": SUBSTRING_DEDUP, "op3_run_dedup": RUN_DEDUP, "op9_decontamination": DECONTAMINATION, "op12_search": SEARCH}

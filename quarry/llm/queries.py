@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import crc_mod, documents
+from quarry.llm.common import crc_mod, documents, written
 from quarry.llm.oracles import ORACLES  # noqa: F401 - read by the entry point
 from quarry.session import table
 
@@ -104,3 +104,23 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encode(documents(spark, sf_dir), tokenizer_path(), decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.op12_search import search
+    return search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def aligned(docs: DataFrame) -> DataFrame:
+    """Digest columns of the alignment of the two public vocabularies."""
+    from quarry.llm.op13_align import align, with_counts
+    found = align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    linked = written(found.select("doc_id", "n_a", "n_b", "n_groups", digest, "link_a", "link_b"))
+    return with_counts(linked).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(documents(spark, sf_dir))
