@@ -13,7 +13,9 @@ order. Texts with white space beyond ASCII stay whole."""
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -25,17 +27,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import codes_of, id_text, slices, written
-from quarry.llm.op11_bpe import byte_letters, spans
+from quarry.llm.op11_bpe import MergeRounds, byte_letters, spans
 
-#: Distinct segments that a Python worker keeps between slices.
-CACHE_SEGMENTS = 150_000
-SLICE = 2 << 20
+#: Distinct segments that a Python worker keeps between slices, and encodes at a time.
+CACHE_SEGMENTS, LEARN = 150_000, 20_000
+SLICE = 1 << 20
+#: Links that a task looks up or counts at a time (a longer document is taken alone).
+LINKS = 400_000
 #: Rows of the table of pair counts that a pass over the links holds: whole B ids,
 #: each of which has at most as many rows as there are A ids.
 PAIRS = 2_000_000
 #: White space other than ASCII, as the A pattern knows it.
 WIDE_BLANKS = "[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 BLANK = "\u2581"  # B's letter for a space
+#: Segments of these characters are split by the pattern below, which is the fixed pattern of byte-level vocabularies
+#: for them, with a mark after each segment; all others are encoded by A's library.
+PLAIN, MARK = r"\A[ -~\n]*\z", "\x1e"
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9\x1e]+|\s+(?![^\s\x1e])|\s+|\x1e", re.ASCII)
 
 
 def _lengths(tokens: list[bytes]) -> np.ndarray:
@@ -92,6 +100,12 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_side = Side([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)])
         self.blank = self.b.piece_to_id(BLANK)
+        with open(a_path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        ids = model["vocab"]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        self.rounds = MergeRounds(np.array([(ids[x], ids[y], ids[x + y]) for x, y in pairs], dtype=np.int64), max(ids.values()) + 1)
+        self.letters = np.array([ids[c] for c in byte_letters()], dtype=np.int64)
         self.clear()
 
     def clear(self) -> None:
@@ -107,10 +121,26 @@ class Aligner:
         found = self.b.encode([s[1:] if s[0] == " " else s for s in segments], num_threads=1)
         return [[self.blank] if s == " " else ids if s[0] == " " else ids[1:] for s, ids in zip(segments, found)]
 
+    def a_ids(self, plain: list[str], others: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all segments in order, ids of each): merge rounds for the plain ones."""
+        codes, distinct = codes_of(pa.array(PIECES.findall("".join(s + MARK for s in plain)), pa.string()))
+        raw = [p.encode() for p in distinct.to_pylist()]
+        ids, sizes = self.rounds.merge(self.letters[np.frombuffer(b"".join(raw), np.uint8)], _lengths(raw))
+        marks = np.asarray(pc.equal(distinct, MARK))
+        starts, sizes = np.cumsum(sizes) - sizes, np.where(marks, 0, sizes)
+        segment = np.cumsum(marks[codes]) - marks[codes]
+        n = sizes[codes]
+        more = [e.ids for e in self.a.encode_batch_fast(others, add_special_tokens=False)]
+        return (np.concatenate((ids[spans(starts[codes], n)], np.fromiter(chain.from_iterable(more), np.int64))),
+                np.concatenate((np.bincount(segment, weights=n, minlength=len(plain)).astype(np.int64)[:len(plain)], _lengths(more))))
+
     def learn(self, new: list[str]) -> None:
-        a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
+        plain = np.asarray(pc.match_substring_regex(pa.array(new, pa.string()), PLAIN)).tolist()
+        plain, others = [s for s, p in zip(new, plain) if p], [s for s, p in zip(new, plain) if not p]
+        a, na = self.a_ids(plain, others)
+        new = plain + others
         b = self.b_ids(new)
-        (a, na), (b, nb) = ((np.fromiter(chain.from_iterable(x), np.int64), _lengths(x)) for x in (a, b))
+        b, nb = np.fromiter(chain.from_iterable(b), np.int64), _lengths(b)
         raw = [s.encode() for s in new]
         data, sizes = np.frombuffer(b"".join(raw), np.uint8), _lengths(raw)
         good = self.a_side.same(a, na, data, sizes) & self.b_side.same(b, nb, data, sizes)
@@ -145,8 +175,9 @@ class Aligner:
         if len(self.known) > CACHE_SEGMENTS:
             self.clear()
         distinct = distinct.to_pylist()
-        if new := [s for s in distinct if s not in self.known]:
-            self.learn(new)
+        new = [s for s in distinct if s not in self.known]
+        for k in range(0, len(new), LEARN):
+            self.learn(new[k:k + LEARN])
         at = np.fromiter((self.known[s] for s in distinct), np.int64, len(distinct))[codes]
         whole = np.ones(len(texts), bool)
         whole[owner[~self.good[at]]] = False  # one segment differs: the text has no tokens
@@ -177,7 +208,9 @@ def segments(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     cut = np.flatnonzero(((data[1:] == 0x20) | (data[1:] == 0x0A)) & seen) + 1
     text = np.searchsorted(ends, cut, side="right") - 1
     cut = cut[~whole[text]]
-    starts = np.union1d(ends[:-1], cut)
+    begins = np.zeros(len(data), bool)
+    begins[ends[:-1]] = begins[cut] = True
+    starts = np.flatnonzero(begins)
     flat = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, ends[-1]).astype(np.int32)), pa.py_buffer(data))
     return which[np.searchsorted(ends, starts, side="right") - 1], flat
 
@@ -210,6 +243,18 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
         run, "doc_id long, n_a long, n_b long, n_groups long, groups string, link_a array<int>, link_b array<int>")
 
 
+def _link_slices(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut to at most ``LINKS`` links in the list column ``at``, or one row."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(batch.column(at)), 0), dtype=np.int64))
+        start = 0
+        while start < batch.num_rows:
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + LINKS, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def pair_counts(linked: DataFrame) -> DataFrame:
     """How many links hold each pair: (a, b, n). Tasks count their own pairs first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +263,7 @@ def pair_counts(linked: DataFrame) -> DataFrame:
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array((keys >> 32).astype(np.int32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(sums)],
                                               names=["a", "b", "n"])
-        for batch in batches:
+        for batch in _link_slices(batches, 0):
             a, b = (np.asarray(batch.column(i).flatten(), dtype=np.int64) for i in (0, 1))
             new, n = np.unique(a << 32 | b, return_counts=True)
             keys, of = np.unique(np.concatenate((keys, new)), return_inverse=True)
@@ -272,9 +317,7 @@ def _add(frame: DataFrame, at: int, table) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, n, best = table.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _link_slices(batches, at):
             lists = batch.column(at)
             a, b = (np.asarray(batch.column(i).flatten(), dtype=np.int64) for i in (at, at + 1))
             row = np.repeat(np.arange(batch.num_rows), np.asarray(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64))
