@@ -152,6 +152,15 @@ def mean_e4(c) -> Column:
     return F.sum(F.round(c * 10000).cast("long")).cast("double") / F.count(c) / F.lit(10000.0)
 
 
+def ratio_half_even(total: Column, n: Column) -> Column:
+    """The whole number nearest to total / n (n > 0), a half to the even
+    one, in integer arithmetic."""
+    rest = F.pmod(total, n)
+    low = F.floor((total - rest) / n).cast("long")
+    up = (2 * rest > n) | ((2 * rest == n) & (F.pmod(low, F.lit(2)) == 1))
+    return low + up.cast("long")
+
+
 def round_doubles(df, places: int = 6):
     """T21 for result tables: round every double column (float sums are
     partition-order dependent in the last bits)."""

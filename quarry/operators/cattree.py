@@ -13,15 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import distributions as D
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    """Checkpoint that also forgets the size estimate. A plain checkpoint keeps
-    the estimate of its plan; joins multiply those, so over seven levels they
-    become numbers whose digits take longer to multiply than the rows to read."""
-    spark = df.sparkSession
-    j = df.checkpoint(eager=True)._jdf
-    return DataFrame(spark._jsparkSession.createDataFrame(j.toJavaRDD(), j.schema()), spark)
+from quarry.session import written
 
 
 def _long(df: DataFrame, attrs: list[str], label: str) -> DataFrame:
@@ -95,30 +87,30 @@ def grow(df: DataFrame, attrs: list[str], label: str, mode: str = "standard",
     says which attributes are used up. A null attribute value is a branch of
     its own; rows with a null label are left out."""
     limit = len(attrs) if max_depth is None else min(max_depth, len(attrs))
-    rows = _cut(df.filter(F.col(label).isNotNull()).select(*attrs, label).withColumn("node", F.lit("root")))
+    rows = written(df.filter(F.col(label).isNotNull()).select(*attrs, label).withColumn("node", F.lit("root")))
     born = df.sparkSession.createDataFrame([("root", None, None)], "node string, parent string, branch_value string")
     out = None
     for depth in range(limit + 1):
         st = rows.groupBy("node").agg(F.count("*").alias("n"), F.sum(F.col(label)).cast("long").alias("n_pos"))
         st = st.withColumn("majority", F.when(F.col("n_pos") > F.col("n") - F.col("n_pos"), 1).otherwise(0))
         leaf = (F.col("n_pos") == 0) | (F.col("n_pos") == F.col("n")) | F.lit(depth >= limit)
-        st = _cut(st.withColumn("is_leaf", leaf))
+        st = written(st.withColumn("is_leaf", leaf))
         open_nodes = st.filter(~F.col("is_leaf")).select("node")
         live = rows.join(open_nodes, "node", "left_semi")
         g = attribute_gains(live, attrs, label, mode)
         g = g.filter(~F.col("node").contains(F.concat(F.lit("/"), F.col("ai"), F.lit(":"))))
         w = Window.partitionBy("node").orderBy(F.round("gain", 12).desc(), F.col("ai"))
         best = g.withColumn("r", F.row_number().over(w)).filter("r = 1").select("node", F.col("attr").alias("split_attr"))
-        level = _cut(st.join(born, "node").join(best, "node", "left")
+        level = written(st.join(born, "node").join(best, "node", "left")
                  .select("node", "parent", "branch_value", F.lit(depth).alias("depth"), "split_attr", "n", "n_pos", "majority", "is_leaf",
                          F.coalesce(F.regexp_extract("node", r":(\d+)$", 1).try_cast("int"), F.lit(0)).alias("ordinal")))
         out = level if out is None else out.unionByName(level)
         splits = level.filter(~F.col("is_leaf")).select("node", "split_attr")
         if splits.isEmpty():
             return out
-        children = _cut(_children(live, splits, attrs))
+        children = written(_children(live, splits, attrs))
         born = children.select("node", "parent", "branch_value")
-        rows = _cut(_step(live, children, attrs).drop("node").withColumnRenamed("child", "node"))
+        rows = written(_step(live, children, attrs).drop("node").withColumnRenamed("child", "node"))
     return out
 
 
@@ -177,7 +169,7 @@ def chi2_prune(tree: DataFrame, alpha: float = 0.05, mode: str = "contingency")
 def predict(df: DataFrame, tree: DataFrame, id_col: str) -> DataFrame:
     """D5 (Q11 fixed): walk rows down the node table level by level with
     joins; an unseen branch value stops at the node and takes its majority."""
-    t = _cut(tree)
+    t = written(tree)
     attrs = sorted(r[0] for r in t.select("split_attr").distinct().collect() if r[0])
     splits = t.select(F.col("node").alias("__n"), F.col("split_attr").alias("__s"))
     children = (t.filter(F.col("parent").isNotNull()).join(splits, F.col("parent") == F.col("__n"))
@@ -185,7 +177,7 @@ def predict(df: DataFrame, tree: DataFrame, id_col: str) -> DataFrame:
     cur = df.select(id_col, *attrs).withColumn("node", F.lit("root"))
     done = None
     while True:
-        moved = _cut(_step(cur, children, attrs, "left"))
+        moved = written(_step(cur, children, attrs, "left"))
         stay = moved.filter(F.col("child").isNull()).join(t.select("node", "majority"), "node")
         stay = stay.select(id_col, F.col("majority").alias("prediction"))
         done = stay if done is None else done.unionByName(stay)

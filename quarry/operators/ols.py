@@ -14,10 +14,11 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import distributions as D
+from quarry.operators.ranks import with_previous, with_rank
 
 
 @dataclass
@@ -251,12 +252,11 @@ def vif(g: Gram, cols: list[str]) -> list[tuple]:
 
 
 def residual_diagnostics(df: DataFrame, f: Fit, order: str = "date") -> dict:
-    """Durbin-Watson (lag of residuals by ``order``; a regression panel
-    has one row per date), skew, kurtosis, Jarque-Bera, Omnibus, condition
+    """Durbin-Watson (residual of the row before by ``order``; a regression
+    panel has one row per date), skew, kurtosis, Jarque-Bera, Omnibus, condition
     number."""
     e = _resid_expr(f)
-    w = Window.orderBy(order)
-    r = df.select(e.alias("e"), F.col(order)).withColumn("de", F.col("e") - F.lag("e").over(w))
+    r = with_previous(df.select(e.alias("e"), F.col(order)), "e", order, name="before").withColumn("de", F.col("e") - F.col("before"))
     m = r.agg(F.sum(F.col("de") ** 2).alias("num"), F.sum(F.col("e") ** 2).alias("den"),
               F.skewness("e").alias("skew"), F.kurtosis("e").alias("kurt"), F.count("e").alias("n")).first()
     n = m["n"]
@@ -318,9 +318,8 @@ def qq_points(df: DataFrame, f: Fit) -> DataFrame:
     from quarry.functions.udfs import inv_norm
 
     n = f.n
-    r = df.select(_resid_expr(f).alias("resid"))
-    w = Window.orderBy("resid")
-    i = F.row_number().over(w)
+    r = with_rank(df.select(_resid_expr(f).alias("resid")), "resid")
+    i = F.col("rank").cast("int") + 1
     pos = (F.when(i == 1, F.lit(1 - 0.5 ** (1.0 / n)))
            .when(i == n, F.lit(0.5 ** (1.0 / n)))
            .otherwise((i - 0.3175) / (n + 0.365)))

@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.ranks import quantiles, with_rank
+
 # ---------------------------------------------------------------- statistics
 
 
@@ -38,6 +40,14 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
                     (F.lit(float(mn)) + (F.col("bin") + 1) * F.lit(width)).alias("hi"), "n")
 
 
+def unit_histogram(df: DataFrame, col: str) -> DataFrame:
+    """Rows per whole number from the least to the greatest value, empty
+    ones too; a value counts for the whole number below it, nulls for none."""
+    found = df.where(F.col(col).isNotNull()).groupBy(F.floor(col).cast("long").alias("value")).agg(F.count("*").alias("n"))
+    ends = found.agg(F.min("value").alias("a"), F.max("value").alias("b")).where("a IS NOT NULL")
+    return ends.select(F.explode(F.sequence("a", "b")).alias("value")).join(found, "value", "left").select("value", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def mean_std(df: DataFrame, cols: list[str]) -> DataFrame:
     """Mean and sample std per column (long format)."""
     rows = [F.struct(F.lit(c).alias("column"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"))
@@ -45,15 +55,16 @@ def mean_std(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(F.array(*rows).alias("a")).select(F.inline("a"))
 
 
+QUARTERS = [0.25, 0.5, 0.75]
+
+
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, mean, std, min, 25/50/75% (linear interpolation), max."""
     rows = [F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
                      F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                     F.expr(f"percentile({c}, array(0.25, 0.5, 0.75))").alias("q"),
                      F.max(c).cast("double").alias("max")) for c in cols]
-    out = df.agg(F.array(*rows).alias("a")).select(F.inline("a"))
-    return out.select("column", "count", "mean", "std", "min", F.col("q")[0].alias("p25"),
-                      F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
+    out = df.agg(F.array(*rows).alias("a")).select(F.inline("a")).join(quantiles(df, cols, QUARTERS), "column", "left")
+    return out.select("column", "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -70,19 +81,35 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(F.array(*rows).alias("a")).select(F.inline("a"))
 
 
+def _fences(df: DataFrame, group: str, col: str) -> DataFrame:
+    """Every non-null value with the quartiles and fences of its group."""
+    q = quantiles(df, [col], QUARTERS, by=group).select(
+        F.col(group).alias("__g"), F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    iqr = F.col("q3") - F.col("q1")
+    return df.join(q, F.col(group).eqNullSafe(F.col("__g"))).drop("__g").select(
+        "*", (F.col("q1") - 1.5 * iqr).alias("fence_low"), (F.col("q3") + 1.5 * iqr).alias("fence_high"))
+
+
 def box_stats(df: DataFrame, group: str, col: str) -> DataFrame:
     """Per group quartiles, 1.5 IQR whiskers (extreme values inside the
-    fences) and outlier count."""
-    q = df.groupBy(group).agg(F.expr(f"percentile({col}, array(0.25, 0.5, 0.75))").alias("q"))
-    q = q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
-    j = df.select(group, col).join(q, group)
-    iqr = F.col("q3") - F.col("q1")
-    lo, hi = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
+    fences) and outlier count. Groups without a value have no row."""
+    x = F.col(col)
+    return _fences(df.select(group, col), group, col).groupBy(group, "q1", "median", "q3").agg(
+        F.min(F.when(x >= F.col("fence_low"), x)).cast("double").alias("whisker_low"),
+        F.max(F.when(x <= F.col("fence_high"), x)).cast("double").alias("whisker_high"),
+        F.sum(((x < F.col("fence_low")) | (x > F.col("fence_high"))).cast("long")).alias("outliers"))
+
+
+def box_outliers(df: DataFrame, group: str, col: str) -> DataFrame:
+    """The rows outside the fences of their group."""
     x = F.col(col)
-    return j.groupBy(group, "q1", "median", "q3").agg(
-        F.min(F.when(x >= lo, x)).cast("double").alias("whisker_low"),
-        F.max(F.when(x <= hi, x)).cast("double").alias("whisker_high"),
-        F.sum(((x < lo) | (x > hi)).cast("long")).alias("outliers"))
+    return _fences(df, group, col).where((x < F.col("fence_low")) | (x > F.col("fence_high"))).select(*df.columns)
+
+
+def group_quartiles(df: DataFrame, group: str, col: str) -> DataFrame:
+    """The quartiles drawn inside each group's distribution."""
+    return quantiles(df, [col], QUARTERS, by=group).select(
+        group, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
 
 
 def group_histogram(df: DataFrame, group: str, col: str, bins: int = 10) -> DataFrame:
@@ -109,14 +136,16 @@ def outcome_crosstab(df: DataFrame, col: str, label: str = "outcome") -> DataFra
 def majority_class(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     """Mode of ``label`` per key, smallest label on ties."""
     c = df.groupBy(*keys, label).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*keys).orderBy(F.col("n").desc(), F.col(label)) if keys else \
-        Window.orderBy(F.col("n").desc(), F.col(label))
+    if not keys:
+        return c.orderBy(F.col("n").desc(), F.col(label)).limit(1)
+    w = Window.partitionBy(*keys).orderBy(F.col("n").desc(), F.col(label))
     return c.withColumn("r", F.row_number().over(w)).filter("r = 1").drop("r")
 
 
 def medians(df: DataFrame, cols: list[str]) -> DataFrame:
     """Exact medians (linear interpolation)."""
-    return df.agg(*[F.expr(f"percentile({c}, 0.5)").alias(c) for c in cols])
+    q = quantiles(df, cols, [0.5])
+    return q.agg(*[F.max(F.when(F.col("column") == c, F.col("q0"))).alias(c) for c in cols])
 
 
 def pivot_mean(df: DataFrame, idx: str, col: str, val: str, values: list) -> DataFrame:
@@ -181,72 +210,72 @@ def columns_by_type(df: DataFrame, numeric: bool = True) -> list[str]:
 
 
 def first_appearance_codes(df: DataFrame, col: str, order: str) -> DataFrame:
-    """Integer code per category by first appearance in ``order``.
-    The code table has one row per distinct value (small) and is joined back
-    with a broadcast hash join."""
+    """Integer code per category by first appearance in ``order``."""
     first = df.groupBy(col).agg(F.min(order).alias("_first"))
-    codes = first.select(col, (F.dense_rank().over(Window.orderBy("_first")) - 1).alias(f"{col}_code"))
-    return codes
+    return with_rank(first, "_first", col, name="_code").select(col, F.col("_code").cast("int").alias(f"{col}_code"))
 
 
 def encode_categories(df: DataFrame, cols: list[str], order: str) -> DataFrame:
+    """F8: every column of ``cols`` as its code; a null category has one too."""
     for c in cols:
-        codes = first_appearance_codes(df, c, order)
-        df = df.join(F.broadcast(codes), c, "left").drop(c).withColumnRenamed(f"{c}_code", c)
+        codes = first_appearance_codes(df, c, order).withColumnRenamed(c, "_c")
+        df = df.join(codes, F.col(c).eqNullSafe(F.col("_c")), "left").drop(c, "_c").withColumnRenamed(f"{c}_code", c)
     return df
 
 
-def constant_to_zero(df: DataFrame, col: str) -> DataFrame:
-    """A constant column becomes 0."""
-    n = df.agg(F.countDistinct(col)).first()[0]
-    return df.withColumn(col, F.lit(0)) if n <= 1 else df
+def constant_to_zero(df: DataFrame, *cols: str) -> DataFrame:
+    """A column with at most one distinct value (nulls aside) becomes 0."""
+    ends = df.agg(*[F.min(c).alias(f"a{i}") for i, c in enumerate(cols)], *[F.max(c).alias(f"b{i}") for i, c in enumerate(cols)]).first()
+    flat = {c for i, c in enumerate(cols) if ends[f"a{i}"] == ends[f"b{i}"]}
+    return df.select(*[F.lit(0).cast(df.schema[c].dataType).alias(c) if c in flat else F.col(c) for c in df.columns])
 
 
 # ---------------------------------------------------------------- binning
 
-def _quantile_edges(df: DataFrame, col: str, n_bins: int, approx: bool = False):
-    st = df.agg(F.countDistinct(col).alias("nd")).first()
-    nd = st["nd"]
-    if nd <= 1:
-        return None
-    n = min(n_bins, nd)
-    qs = [float(q) / 100 for q in np.linspace(0, 100, n + 1)]
-    if approx:
-        e = df.agg(F.percentile_approx(col, qs, 100000)).first()[0]
-    else:
-        e = df.agg(F.expr(f"percentile({col}, array({', '.join(repr(q) for q in qs)}))")).first()[0]
-    keep = [e[0]] + [e[i] for i in range(1, len(e)) if e[i] - e[i - 1] > 1e-8]
-    return keep
 
+def quantile_fit(df: DataFrame, cols: list[str], n_bins: int = 3) -> dict[str, list[float] | None]:
+    """Edges between the quantile bins of every column, all columns in one pass:
+    equal-share quantiles, as many bins as distinct values at most, edges no
+    further than 1e-8 from the one before dropped. None for a column of at most
+    one distinct value. An edge is interpolated from its two neighbouring values
+    in one fixed way, so that a value next to it falls on the same side whatever
+    the partitioning."""
+    distinct = df.agg(*[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    bins = {c: min(n_bins, distinct[f"d{i}"]) for i, c in enumerate(cols)}
+    out: dict[str, list[float] | None] = {c: None for c, n in bins.items() if n <= 1}
+    for n in sorted({n for n in bins.values() if n > 1}):
+        some = [c for c, m in bins.items() if m == n]
+        found = quantiles(df, some, [float(q) / 100 for q in np.linspace(0, 100, n + 1)])
+        for r in found.collect():  # a row a column
+            edges = [r[f"q{i}"] for i in range(n + 1)]
+            out[r["column"]] = [e for e, before in zip(edges[1:], edges) if e - before > 1e-8][:-1]
+    return out
+
+
+def quantile_apply(col: str, edges: list[float] | None, labels: list | None = None) -> Column:
+    """Bin of the column's value, also of values that the fit has not seen: how
+    many edges it reaches; null stays null. ``labels`` maps bin i to labels[i]."""
+    b = sum(((F.col(col) >= F.lit(e)).cast("int") for e in edges or []), F.lit(0))
+    if labels:
+        b = F.element_at(F.array(*[F.lit(v) for v in labels]), b + 1)
+    return F.when(F.col(col).isNotNull(), b)
 
-def quantile_bin(df: DataFrame, col: str, out: str | None = None, n_bins: int = 3,
-                 labels: list | None = None, approx: bool = False) -> DataFrame:
+
+def quantile_bin(df: DataFrame, col: str, out: str | None = None, n_bins: int = 3, labels: list | None = None) -> DataFrame:
     """Ordinal quantile bins (inner edges by linear interpolation,
     a value on an edge goes up, duplicate edges dropped, 0 for a constant
     column). ``labels`` maps bin i -> labels[i]."""
-    out = out or col
-    edges = _quantile_edges(df, col, n_bins, approx)
-    if edges is None:
-        b = F.lit(0)
-    else:
-        inner = edges[1:-1]
-        b = sum((F.when(F.col(col) >= F.lit(float(e)), 1).otherwise(0) for e in inner), F.lit(0))
-        b = F.least(b, F.lit(max(len(edges) - 2, 0)))
-    if labels:
-        b = F.element_at(F.array(*[F.lit(x) for x in labels]), b + 1)
-    return df.withColumn(out, F.when(F.col(col).isNotNull(), b))
+    return df.withColumn(out or col, quantile_apply(col, quantile_fit(df, [col], n_bins)[col], labels))
 
 
 def categorize(df: DataFrame, keep: list[str], trend: str = "daily_trend") -> DataFrame:
     """every column but ``keep`` to quantile labels 1 / 2 / 3, and ``trend``
     to 1 above 1, else -1; nulls stay null."""
-    out = df
-    for c in df.columns:
-        if c not in keep and c != trend:
-            out = quantile_bin(out, c, n_bins=3, labels=[1, 2, 3])
-    if trend in df.columns:
-        out = out.withColumn(trend, F.when(F.col(trend).isNotNull(), F.when(F.col(trend) > 1, 1).otherwise(-1)))
-    return out
+    cols = [c for c in df.columns if c not in keep and c != trend]
+    fitted = quantile_fit(df, cols)
+    up = F.when(F.col(trend).isNotNull(), F.when(F.col(trend) > 1, 1).otherwise(-1)) if trend in df.columns else None
+    return df.select(*[quantile_apply(c, fitted[c], [1, 2, 3]).alias(c) if c in fitted else up.alias(c) if c == trend else F.col(c)
+                       for c in df.columns])
 
 
 def log_shift(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -258,16 +287,9 @@ def log_shift(df: DataFrame, col: str, out: str) -> DataFrame:
 
 def quantile_bin_log(df: DataFrame, col: str, out: str | None = None, n_bins: int = 3) -> DataFrame:
     """quantile bins of the shifted log (constant -> 0)."""
-    out = out or col
-    nd = df.agg(F.countDistinct(col)).first()[0]
-    if nd <= 1:
-        return df.withColumn(out, F.when(F.col(col).isNotNull(), F.lit(0)))
     tmp = f"__log_{col}"
     d = log_shift(df, col, tmp)
-    edges = _quantile_edges(d, tmp, min(n_bins, nd))
-    inner = edges[1:-1]
-    b = sum((F.when(F.col(tmp) >= F.lit(float(e)), 1).otherwise(0) for e in inner), F.lit(0))
-    return d.withColumn(out, F.when(F.col(col).isNotNull(), F.least(b, F.lit(max(len(edges) - 2, 0))))).drop(tmp)
+    return d.withColumn(out or col, quantile_apply(tmp, quantile_fit(d, [tmp], n_bins)[tmp])).drop(tmp)
 
 
 def uniform_bin(df: DataFrame, col: str, out: str | None = None, n_bins: int = 3,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry import params
-from quarry.functions.text import explode_nonempty, mean_e4, ngrams, replace_aliases, rnd, slug, tokenize
+from quarry.functions.text import explode_nonempty, mean_e4, ngrams, ratio_half_even, replace_aliases, rnd, slug, tokenize
 
 
 def unit_terms(units: DataFrame, ngram_max: int = params.NGRAM_MAX,
@@ -48,7 +48,8 @@ def word_stats(units: DataFrame, **kw) -> DataFrame:
     return td.groupBy("period", "token").agg(
         F.sum("n").cast("bigint").alias("count"),
         F.count("*").cast("bigint").alias("n_docs"),
-        mean_e4("sentiment").alias("avg_sentiment"))
+        mean_e4("sentiment").alias("avg_sentiment"),
+        F.sum(F.round(F.col("sentiment") * 10000).cast("long")).alias("sentiment_e4"), F.count("sentiment").alias("sentiment_n"))
 
 
 def frequent_words(stats: DataFrame, min_freq: int = params.MIN_WORD_FREQ) -> DataFrame:
@@ -131,13 +132,16 @@ def word_contexts(units: DataFrame, k: int = 3, preview: int = 100, **kw) -> Dat
                     F.col("f.pv").alias("preview")))
 
 
-def sentiment_over_time(entity_stats: DataFrame, periods: list[str] | None = None) -> DataFrame:
-    """Entity x period matrix of mean sentiment, missing = 0, rounded 4.
-    The pivot receives its value list, so no extra distinct pass runs."""
+def sentiment_over_time(stats: DataFrame, periods: list[str] | None = None, entities: list[str] | None = None) -> DataFrame:
+    """Entity x period matrix of mean sentiment, missing = 0, to 4 places,
+    halves to the even digit. Means are sums of whole ten-thousandths over
+    counts, so they are rounded as fractions and never lie next to a half. The
+    pivot receives its value list, so no extra distinct pass runs."""
     periods = periods or sorted(p for p, _, _ in params.PERIODS)
-    m = entity_stats.groupBy("name").pivot("period", periods).agg(F.first("average_sentiment"))
-    return m.select(F.col("name").alias("entity"),
-                    *[F.bround(F.coalesce(F.col(f"`{p}`"), F.lit(0.0)), 4).alias(p) for p in periods])
+    ents = stats.sparkSession.createDataFrame([(e,) for e in (entities or params.entities())], "name string").withColumn("token", slug("name"))
+    mean = ratio_half_even(F.col("sentiment_e4"), F.col("sentiment_n"))
+    m = stats.withColumn("mean", mean).join(F.broadcast(ents), "token").groupBy("name").pivot("period", periods).agg(F.first("mean"))
+    return m.select(F.col("name").alias("entity"), *[(F.coalesce(F.col(f"`{p}`"), F.lit(0)) / F.lit(10000.0)).alias(p) for p in periods])
 
 
 def polarity_histogram(stats: DataFrame, threshold: float = params.SENTIMENT_THRESHOLD) -> DataFrame:

@@ -95,11 +95,18 @@ def eps(spark, sf):
 
 
 def _categorize_sql() -> str:
-    """Edges by linear interpolation; a value on an edge goes up."""
-    cols = {"open": "open", "close": "close"}
-    edges = ", ".join(f"quantile_cont({c}, {100 / 3 / 100!r}) AS {c}1, quantile_cont({c}, {200 / 3 / 100!r}) AS {c}2" for c in cols)
+    """Edges by linear interpolation from the nearer neighbour; a value on an
+    edge goes up."""
+    cols = ["open", "close"]
+    edges = []
+    for c in cols:
+        for k, q in ((1, 100 / 3 / 100), (2, 200 / 3 / 100)):
+            at = f"({q!r}::DOUBLE * (len({c}_all) - 1))"
+            low, high, w = (f"{c}_all[CAST(floor({at}) AS BIGINT) + 1]", f"{c}_all[CAST(ceil({at}) AS BIGINT) + 1]", f"({at} - floor({at}))")
+            edges.append(f"CASE WHEN {w} < 0.5 THEN {low} + ({high} - {low}) * {w} ELSE {high} - ({high} - {low}) * (1 - {w}) END AS {c}{k}")
+    lists = ", ".join(f"list({c} ORDER BY {c}) AS {c}_all" for c in cols)
     bins = ", ".join(f"1 + CAST(p.{c} >= {c}1 AS INTEGER) + CAST(p.{c} >= {c}2 AS INTEGER) AS {c}" for c in cols)
-    return f"""WITH {BASE_SQL}, e AS (SELECT {edges} FROM prices)
+    return f"""WITH {BASE_SQL}, l AS (SELECT {lists} FROM prices), e AS (SELECT {", ".join(edges)} FROM l)
 SELECT symbol, date, {bins}, volume, CASE WHEN p.close / p.open > 1 THEN 1 ELSE -1 END AS daily_trend FROM prices p, e"""
 
 

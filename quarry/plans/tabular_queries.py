@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from quarry.functions.text import round_doubles
@@ -101,6 +100,41 @@ def box_stats(spark, sf):
     return round_doubles(TB.box_stats(tab(spark, sf), "vehicle_type", "annual_mileage"))
 
 
+_FENCES = """q AS (SELECT vehicle_type, quantile_cont(annual_mileage, 0.25) AS q1, quantile_cont(annual_mileage, 0.75) AS q3 FROM tab GROUP BY vehicle_type)"""
+
+
+@register("box_outliers", f"""WITH {TAB_SQL}, {_FENCES}
+SELECT id, vehicle_type, round(annual_mileage, 6) AS annual_mileage FROM tab JOIN q USING (vehicle_type)
+WHERE annual_mileage < q1 - 1.5 * (q3 - q1) OR annual_mileage > q3 + 1.5 * (q3 - q1)""")
+def box_outliers(spark, sf):
+    """The rows that a box plot draws apart."""
+    return round_doubles(TB.box_outliers(tab(spark, sf).select("id", "vehicle_type", "annual_mileage"), "vehicle_type", "annual_mileage"))
+
+
+@register("group_quartiles", f"""WITH {TAB_SQL}
+SELECT married, round(quantile_cont(age, 0.25), 6) AS q1, round(quantile_cont(age, 0.5), 6) AS median, round(quantile_cont(age, 0.75), 6) AS q3
+FROM tab GROUP BY married""")
+def group_quartiles(spark, sf):
+    """Quartiles inside each group's distribution."""
+    return round_doubles(TB.group_quartiles(tab(spark, sf), "married", "age"))
+
+
+@register("unit_histogram", f"""WITH {TAB_SQL},
+m AS (SELECT min(past_accidents) AS a, max(past_accidents) AS b FROM tab)
+SELECT CAST(v AS BIGINT) AS value, CAST(count(past_accidents) AS BIGINT) AS n
+FROM (SELECT unnest(range(a, b + 1)) AS v FROM m) LEFT JOIN tab ON past_accidents = v GROUP BY v""")
+def unit_histogram(spark, sf):
+    """Bins of width one from the least to the greatest value."""
+    return TB.unit_histogram(tab(spark, sf), "past_accidents")
+
+
+@register("constant_columns", f"""WITH {TAB_SQL}
+SELECT id, CASE WHEN (SELECT count(DISTINCT age) FROM tab WHERE age = 40) <= 1 THEN 0 ELSE age END AS age, driving_experience FROM tab WHERE age = 40""")
+def constant_columns(spark, sf):
+    """A column that is constant among the chosen rows becomes 0."""
+    return TB.constant_to_zero(tab(spark, sf).where("age = 40").select("id", "age", "driving_experience"), "age", "driving_experience")
+
+
 @register("group_histogram", f"""WITH {TAB_SQL},
 m AS (SELECT min(age) AS mn, max(age) AS mx FROM tab)
 SELECT married, CAST(least(floor((age - mn) / ((mx - mn) / 10.0)), 9) AS INTEGER) AS bin, CAST(count(*) AS BIGINT) AS n
@@ -206,21 +240,18 @@ def category_codes(spark, sf):
 
 
 def _qb_sql(col, out, n=3, log=False):
-    qs = [float(q) / 100 for q in np.linspace(0, 100, n + 1)]
-    x = col
-    pre = ""
+    x, pre = col, ""
     if log:
         pre = f", mn AS (SELECT min({col}) AS m FROM tab)"
         x = f"ln(CASE WHEN (SELECT m FROM mn) <= 0 THEN {col} + abs((SELECT m FROM mn)) + 1 ELSE {col} END)"
     return f"""WITH {TAB_SQL} {pre},
-sv AS (SELECT {x} AS x, row_number() OVER (ORDER BY {x}) - 1 AS i FROM tab WHERE {col} IS NOT NULL),
-cn AS (SELECT count(*) AS n FROM sv),
-pp AS (SELECT k, (n - 1) * q AS pos FROM cn, (VALUES (1, {qs[1]!r}), (2, {qs[2]!r})) v(k, q)),
-ee AS (SELECT k, CASE WHEN ceil(pos) = floor(pos) THEN lo.x ELSE (hi.x - lo.x) * (pos - floor(pos)) + lo.x END AS edge
-       FROM pp JOIN sv lo ON lo.i = floor(pos) JOIN sv hi ON hi.i = ceil(pos)),
-e AS (SELECT max(CASE WHEN k = 1 THEN edge END) AS e1, max(CASE WHEN k = 2 THEN edge END) AS e2 FROM ee)
-SELECT id, CASE WHEN {col} IS NULL THEN NULL ELSE (CASE WHEN {x} >= e1 THEN 1 ELSE 0 END)
-       + (CASE WHEN {x} >= e2 THEN 1 ELSE 0 END) END AS {out} FROM tab, e"""
+v AS (SELECT list(CAST(x AS DOUBLE) ORDER BY x) AS l, least({n}, count(DISTINCT x)) AS bins FROM (SELECT {x} AS x FROM tab WHERE {col} IS NOT NULL)),
+k AS (SELECT k, l, pos, CAST(floor(pos) AS BIGINT) + 1 AS i, CAST(ceil(pos) AS BIGINT) + 1 AS j, pos - floor(pos) AS w
+      FROM (SELECT l, k, (k * (100.0::DOUBLE / bins)) / 100 * (len(l) - 1) AS pos FROM (SELECT l, bins, unnest(range(bins + 1)) AS k FROM v WHERE bins > 1))),
+ends AS (SELECT k, CASE WHEN w < 0.5 THEN l[i] + (l[j] - l[i]) * w ELSE l[j] - (l[j] - l[i]) * (1 - w) END AS high FROM k),
+apart AS (SELECT k, high FROM (SELECT *, lag(high) OVER (ORDER BY k) AS before FROM ends) WHERE high - before > 1e-8),
+inner_edges AS (SELECT coalesce(list(high), []) AS e FROM apart WHERE k < (SELECT max(k) FROM apart))
+SELECT id, CASE WHEN x IS NOT NULL THEN CAST(len(list_filter(e, lambda h: x >= h)) AS INTEGER) END AS {out} FROM (SELECT id, {x} AS x FROM tab), inner_edges"""
 
 
 @register("quantile_bins", lambda: _qb_sql("credit_score", "credit_bin"))

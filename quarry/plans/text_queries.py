@@ -9,11 +9,14 @@ from quarry.functions.text import explode_nonempty, rnd
 from quarry.operators import words as W
 from quarry.plans import sql as Q
 from quarry.plans.catalog import register
+from quarry.session import written
 from quarry.sources import bindings as B
 
 
-def _stats(spark, sf):
-    u = B.units(spark, sf)
+def _stats(spark, sf, again=False):
+    """Units and their word statistics; ``again``: the caller reads the units
+    too, so the cleaned texts are written once."""
+    u = written(B.units(spark, sf)) if again else B.units(spark, sf)
     return u, W.word_stats(u)
 
 
@@ -90,7 +93,7 @@ SELECT c.period, total_posts, total_comments, coalesce(total_words, 0) AS total_
 FROM c LEFT JOIN w USING (period)""")
 def summary_stats(spark, sf):
     """Per-period summary statistics."""
-    u, s = _stats(spark, sf)
+    u, s = _stats(spark, sf, again=True)
     return W.summary_stats(u, s)
 
 
@@ -109,22 +112,26 @@ es AS (SELECT s.period, e.name, s.token, s.count AS mention_count, s.avg_sentime
 @register("entity_sentiments", lambda: f"""WITH {_entity_sql_ctes()} SELECT * FROM es""")
 def entity_sentiments(spark, sf):
     """Entity mention count, mean sentiment and std over distinct texts."""
-    u, s = _stats(spark, sf)
+    u, s = _stats(spark, sf, again=True)
     return W.entity_sentiments(u, s)
 
 
 def _over_time_sql():
+    """Sums of ten-thousandths over counts, rounded as fractions, halves to even."""
     periods = sorted(p for p, _, _ in params.PERIODS)
-    cols = ", ".join(f"round_even(coalesce(max(CASE WHEN period = {Q.S(p)} THEN average_sentiment END), 0.0), 4) AS \"{p}\""
-                     for p in periods)
-    return f"""WITH {_entity_sql_ctes()} SELECT name AS entity, {cols} FROM es GROUP BY name"""
+    cols = ", ".join(f"coalesce(max(CASE WHEN period = {Q.S(p)} THEN m END), 0) / 10000.0::DOUBLE AS \"{p}\"" for p in periods)
+    return f"""WITH {_entity_sql_ctes()},
+sums AS (SELECT period, token, CAST(sum(CAST(round(sentiment * 10000) AS BIGINT)) AS BIGINT) AS s, count(sentiment) AS n FROM term_docs GROUP BY period, token),
+parts AS (SELECT period, token, n, ((s % n) + n) % n AS rest, (s - ((s % n) + n) % n) // n AS low FROM sums),
+means AS (SELECT period, token, low + CASE WHEN 2 * rest > n OR (2 * rest = n AND low % 2 <> 0) THEN 1 ELSE 0 END AS m FROM parts)
+SELECT name AS entity, {cols} FROM means JOIN ents USING (token) GROUP BY name"""
 
 
 @register("sentiment_over_time", _over_time_sql)
 def sentiment_over_time(spark, sf):
     """Entity x period sentiment matrix."""
-    u, s = _stats(spark, sf)
-    return W.sentiment_over_time(W.entity_sentiments(u, s))
+    _, s = _stats(spark, sf)
+    return W.sentiment_over_time(s)
 
 
 @register("word_contexts", lambda: f"""WITH {Q.terms_ctes()},

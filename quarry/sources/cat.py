@@ -3,10 +3,12 @@ part, and the categorisation chain (P11-P14, F4-F6, F18)."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.session import table
+from quarry.operators.tabular import medians
+from quarry.session import table, written
 
 # Month -> season map and the part-of-day minute bounds.
 SEASONS = {1: "Winter", 2: "Winter", 3: "Spring", 4: "Spring", 5: "Spring", 6: "Summer",
@@ -64,39 +66,78 @@ def letter_group(c) -> F.Column:                # P14
     return F.when(F.upper(F.substring(c, 1, 1)) <= "K", "Group A-K").otherwise("Group L-Z")
 
 
+def top_values(df: DataFrame, col: str, k: int) -> DataFrame:
+    """L4: the k most frequent values (ties: value asc) as (place, value, n)."""
+    top = df.groupBy(F.col(col).alias("value")).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "value").limit(k)
+    return top.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), "value")) - 1)  # k rows
+
+
+def _kept(col: str, values: list):
+    return F.col(col).isin([v for v in values if v is not None]) | (F.col(col).isNull() if None in values else F.lit(False))
+
+
 def top_k_or_other(df: DataFrame, col: str, k: int = 5, other="Other") -> DataFrame:
-    """F5 (L4 + J9): keep the k most frequent values (ties: value asc),
-    others -> ``other``; the top list is a k-row broadcast side."""
-    c = df.groupBy(col).agg(F.count("*").alias("n"))
-    top = c.withColumn("r", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col(col)))) \
-        .filter(F.col("r") <= k).select(col, F.lit(True).alias("_top"))
-    j = df.join(F.broadcast(top), col, "left")
-    return j.withColumn(col, F.when(F.col("_top"), F.col(col)).otherwise(F.lit(other))).drop("_top")
+    """F5 (L4 + J9): keep the k most frequent values, others -> ``other``."""
+    top = [r["value"] for r in top_values(df, col, k).collect()]
+    return df.withColumn(col, F.when(_kept(col, top), F.col(col)).otherwise(F.lit(other)))
 
 
 def top_k_or_median(df: DataFrame, col: str, k: int = 2) -> DataFrame:
     """F6 (L4 + A27): keep the k most frequent values, others -> median."""
-    med = df.agg(F.expr(f"percentile({col}, 0.5)")).first()[0]
-    c = df.groupBy(col).agg(F.count("*").alias("n"))
-    top = c.withColumn("r", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col(col)))) \
-        .filter(F.col("r") <= k).select(col, F.lit(True).alias("_top"))
-    j = df.join(F.broadcast(top), col, "left")
-    return j.withColumn(col, F.when(F.col("_top"), F.col(col).cast("double"))
-                        .otherwise(F.lit(float(med)))).drop("_top")
+    median = medians(df, [col]).first()[0]
+    top = [r["value"] for r in top_values(df, col, k).collect()]
+    return df.withColumn(col, F.when(_kept(col, top), F.col(col).cast("double")).otherwise(F.lit(median)))
+
+
+def cat_attributes(raw: DataFrame) -> DataFrame:
+    """F18, what needs no fit: season, day type, day part and letter group; the
+    other columns are passed on. One row is treated like many."""
+    weekday = F.when(F.col("dow_sun1") == 1, 7).otherwise(F.col("dow_sun1") - 1)
+    return raw.select("row_id", season("month").alias("season"), weekday_flag(weekday).alias("day_type"), day_part("dep_time_blk").alias("day_part"),
+                      "carrier", "quantity", "tax", letter_group("flag").alias("flag_group"), "label")
+
+
+#: Fitted parameters of the chain, a few rows: which, its place in a list, its text or number.
+CAT_FIT_SCHEMA = "parameter string, place int, text string, number double"
+
+
+def cat_fit(rows: DataFrame) -> DataFrame:
+    """F18, the fitted part: the range of quantity, the five most frequent
+    carriers, the two most frequent taxes and the median tax of ``rows`` (see
+    :func:`cat_attributes`), a table that is read several times. The result can
+    be kept as a file and applied to rows that come later."""
+    def some(parameter, place, text, number):
+        return [F.lit(parameter).alias("parameter"), place.cast("int").alias("place"), text.cast("string").alias("text"), number.cast("double").alias("number")]
+    none, zero = F.lit(None), F.lit(0)
+    ends = rows.agg(F.min("quantity").alias("a"), F.max("quantity").alias("b"))
+    return (ends.select(*some("quantity_low", zero, none, F.col("a")))
+            .unionByName(ends.select(*some("quantity_high", zero, none, F.col("b"))))
+            .unionByName(top_values(rows, "carrier", 5).select(*some("carrier", F.col("place"), F.col("value"), none)))
+            .unionByName(top_values(rows, "tax", 2).select(*some("tax", F.col("place"), none, F.col("value"))))
+            .unionByName(medians(rows, ["tax"]).select(*some("tax_median", zero, none, F.col("tax")))))
+
+
+def cat_apply(rows: DataFrame, fitted: DataFrame) -> DataFrame:
+    """``rows`` (see :func:`cat_attributes`), seen by the fit or not, with
+    the fitted parameters (ten rows) as literals: quantity to Low / Medium /
+    High, carriers and taxes outside the lists to Other and the median. A
+    quantity outside the fitted range goes to the nearest third."""
+    f: dict[str, list] = {}
+    for r in sorted(fitted.collect(), key=lambda r: (r["parameter"], r["place"])):
+        f.setdefault(r["parameter"], []).append(r["text"] if r["parameter"] == "carrier" else r["number"])
+    low, high = f["quantity_low"][0], f["quantity_high"][0]
+    edges = [] if low is None or low == high else np.linspace(low, high, 4)[1:-1].tolist()
+    third = sum((F.when(F.col("quantity") >= F.lit(e), 1).otherwise(0) for e in edges), F.lit(0))
+    quantity = F.element_at(F.array(*map(F.lit, ["Low", "Medium", "High"])), third + 1)
+    tax = F.when(_kept("tax", f.get("tax", [])), F.col("tax").cast("double")).otherwise(F.lit(f["tax_median"][0]))
+    return (rows.withColumn("quantity", F.when(F.col("quantity").isNotNull(), quantity)).withColumn("tax", tax.cast("string"))
+            .withColumn("carrier", F.when(_kept("carrier", f.get("carrier", [])), F.col("carrier")).otherwise("Other")))
 
 
 def cat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """categorised rows, every attribute a string, label 0/1."""
-    from quarry.operators.tabular import uniform_bin
-    r = cat_raw(spark, sf_dir).dropDuplicates()  # S13
-    r = r.select("row_id", season("month").alias("season"), weekday_flag(
-        F.when(F.col("dow_sun1") == 1, 7).otherwise(F.col("dow_sun1") - 1)).alias("day_type"),
-        day_part("dep_time_blk").alias("day_part"), "carrier", "quantity", "tax",
-        letter_group("flag").alias("flag_group"), "label")
-    r = uniform_bin(r, "quantity", "quantity", 3, ["Low", "Medium", "High"])
-    r = top_k_or_other(r, "carrier", 5)
-    r = top_k_or_median(r, "tax", 2).withColumn("tax", F.col("tax").cast("string"))
-    return r
+    rows = written(cat_attributes(cat_raw(spark, sf_dir).dropDuplicates()))  # S13
+    return cat_apply(rows, cat_fit(rows))
 
 
 CAT_ATTRS = ["season", "day_type", "day_part", "carrier", "quantity", "tax", "flag_group"]
