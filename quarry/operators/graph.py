@@ -1,4 +1,4 @@
-"""Graph analytics as iterative DataFrame jobs.
+"""Graph analytics as iterative DataFrame jobs.
 
 Graphs are edge DataFrames ``(keys..., src, dst)`` holding many small
 graphs side by side (one per ``keys`` value, e.g. per period); every loop
@@ -15,6 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators import structure
+from quarry.operators.structure import articulation_points, bridges  # noqa: F401 - G15, G16
+
 CKPT_EVERY = 4
 
 
@@ -61,22 +64,9 @@ def bfs_all_pairs(edges: DataFrame, keys: list[str], sources: DataFrame | None =
 
 
 def components(edges: DataFrame, keys: list[str]) -> DataFrame:
-    """Connected components by iterative min-label propagation:
-    ``(keys, node, component)``; component = smallest node name."""
-    sym = symmetric(edges, keys)
-    lab = nodes(sym, keys).select(*keys, "node", F.col("node").alias("label"))
-    i = 0
-    while True:
-        i += 1
-        prop = (lab.join(sym.withColumnRenamed("src", "node"), keys + ["node"])
-                .groupBy(*keys, F.col("dst").alias("node")).agg(F.min("label").alias("nl")))
-        new = (lab.join(prop, keys + ["node"], "left")
-               .select(*keys, "node", F.least("label", F.coalesce("nl", "label")).alias("label"),
-                       (F.coalesce("nl", "label") < F.col("label")).alias("changed")))
-        new = new.checkpoint(eager=True)
-        if new.filter("changed").isEmpty():
-            return new.select(*keys, "node", F.col("label").alias("component"))
-        lab = new.drop("changed")
+    """``(keys, node, component)``, component = smallest node name; see
+    :func:`quarry.operators.structure.connected`."""
+    return structure.connected(structure.both_ways(edges, keys), keys)
 
 
 def path_metrics(edges: DataFrame, keys: list[str], apsp: DataFrame | None = None) -> DataFrame:
@@ -180,61 +170,6 @@ def clustering(edges: DataFrame, keys: list[str]) -> DataFrame:
     return j.select(*keys, "node", "deg", F.coalesce("t", F.lit(0)).alias("triangles"), cc.alias("clustering"))
 
 
-def _scenario_components(sym: DataFrame, keys: list[str], scen: DataFrame) -> DataFrame:
-    """Min-label propagation over many graph variants at once; ``scen``
-    gives (keys, sid, src, dst) edges of each variant."""
-    lab = scen.select(*keys, "sid", F.col("src").alias("node")).distinct().withColumn("label", F.col("node"))
-    i = 0
-    while True:
-        i += 1
-        prop = (lab.join(scen.withColumnRenamed("src", "node"), keys + ["sid", "node"])
-                .groupBy(*keys, "sid", F.col("dst").alias("node")).agg(F.min("label").alias("nl")))
-        new = (lab.join(prop, keys + ["sid", "node"], "left")
-               .select(*keys, "sid", "node", F.least("label", F.coalesce("nl", "label")).alias("label"),
-                       (F.coalesce("nl", "label") < F.col("label")).alias("changed"))).checkpoint(eager=True)
-        if new.filter("changed").isEmpty():
-            return new.drop("changed")
-        lab = new.drop("changed")
-
-
-def bridges(edges: DataFrame, keys: list[str]) -> DataFrame:
-    """Edges whose removal separates their endpoints. All single-edge
-    removals are propagated together (scenario id = removed edge)."""
-    sym = symmetric(edges, keys)
-    und = sym.filter(F.col("src") < F.col("dst")).select(*keys, F.concat_ws("|", "src", "dst").alias("sid"),
-                                                       F.col("src").alias("ra"), F.col("dst").alias("rb"))
-    scen = (sym.join(und, keys).filter(~(((F.col("src") == F.col("ra")) & (F.col("dst") == F.col("rb")))
-                                         | ((F.col("src") == F.col("rb")) & (F.col("dst") == F.col("ra")))))
-            .select(*keys, "sid", "src", "dst"))
-    # endpoints must exist as nodes even when isolated by the removal
-    iso = und.select(*keys, "sid", F.col("ra").alias("src"), F.col("ra").alias("dst")).unionByName(
-        und.select(*keys, "sid", F.col("rb").alias("src"), F.col("rb").alias("dst")))
-    lab = _scenario_components(sym, keys, scen.unionByName(iso))
-    la = lab.select(*keys, "sid", F.col("node").alias("ra"), F.col("label").alias("la"))
-    lb = lab.select(*keys, "sid", F.col("node").alias("rb"), F.col("label").alias("lb"))
-    j = und.join(la, keys + ["sid", "ra"]).join(lb, keys + ["sid", "rb"])
-    return j.filter(F.col("la") != F.col("lb")).select(*keys, F.col("ra").alias("src"), F.col("rb").alias("dst"))
-
-
-def articulation_points(edges: DataFrame, keys: list[str]) -> DataFrame:
-    """Nodes whose removal increases the number of components among the
-    remaining nodes (degree-1 nodes are skipped: never articulation)."""
-    sym = symmetric(edges, keys)
-    deg = sym.groupBy(*keys, F.col("src").alias("node")).agg(F.count("*").alias("deg"))
-    cand = deg.filter(F.col("deg") >= 2).select(*keys, F.col("node").alias("sid"))
-    scen = (sym.join(cand, keys).filter((F.col("src") != F.col("sid")) & (F.col("dst") != F.col("sid")))
-            .select(*keys, "sid", "src", "dst"))
-    allnodes = nodes(sym, keys)
-    iso = (cand.join(allnodes, keys).filter(F.col("node") != F.col("sid"))
-           .select(*keys, "sid", F.col("node").alias("src"), F.col("node").alias("dst")))
-    lab = _scenario_components(sym, keys, scen.unionByName(iso))
-    after = lab.groupBy(*keys, "sid").agg(F.countDistinct("label").alias("c_after"))
-    base = components(edges, keys).groupBy(*keys).agg(F.countDistinct("component").alias("c_before"))
-    # removing a node of a component keeps the component count unless it splits
-    j = after.join(base, keys)
-    return j.filter(F.col("c_after") > F.col("c_before")).select(*keys, F.col("sid").alias("node"))
-
-
 def girvan_newman_split(edges: DataFrame, keys: list[str]) -> DataFrame:
     """G17 + G19: remove the highest edge-betweenness edge (ties: smallest
     (src, dst)) until the component count rises; returns memberships

@@ -97,3 +97,29 @@ def quantiles(df: DataFrame, cols: list[str], shares: list[float], by: str | Non
     value = between(F.col("low"), F.col("high"), F.col("weight"))
     return s.groupBy(*([by] if by else []), "column").agg(
         *[F.max(F.when(F.col("share") == i, value)).alias(f"q{i}") for i in range(len(shares))])
+
+
+def with_sum_before(df: DataFrame, value: str, by: list[str], *order, name: str) -> DataFrame:
+    """Adds the sum of ``value`` (whole numbers, no nulls) over the rows before
+    in the row's group, 0 for the first. A group may span many partitions: only
+    the first group of a partition has rows before it, and its sum so far is
+    carried over."""
+    frame = _dealt(df, [*by, *order])
+    group = F.struct(*by)
+    ends = frame.groupBy(_part().alias("__p")).agg(F.min_by(group, "__at").alias("__first"), F.max_by(group, "__at").alias("__last"))
+    sums = frame.groupBy(_part().alias("__p"), group.alias("__g")).agg(F.sum(value).alias("__s"))
+    rows = sums.join(F.broadcast(ends), "__p").where(F.col("__g").eqNullSafe(F.col("__first")) | F.col("__g").eqNullSafe(F.col("__last"))).collect()
+    parts: dict[int, dict] = {}  # two groups a partition at most
+    for r in rows:
+        parts.setdefault(r["__p"], {"first": r["__first"], "last": r["__last"]})[r["__g"]] = r["__s"]
+    open_group, so_far, known = None, 0, []
+    for p in sorted(parts):
+        first, last = parts[p]["first"], parts[p]["last"]
+        carried = so_far if first == open_group else 0
+        known.append((p, carried))
+        open_group, so_far = last, parts[p][last] + (carried if first == last else 0)
+    out = _by_part(frame, known, T.StructType([T.StructField("__part", T.LongType()), T.StructField("__carried", T.LongType())]))
+    out = out.join(F.broadcast(ends.withColumnRenamed("__p", "__part")), "__part")
+    inside = Window.partitionBy("__part", *by).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    here = F.coalesce(F.sum(value).over(inside), F.lit(0))
+    return out.select(*df.columns, (here + F.when(group.eqNullSafe(F.col("__first")), F.col("__carried")).otherwise(0)).alias(name))

@@ -134,6 +134,8 @@ def co_mentions(spark, sf):
 
 from quarry.functions.text import round_doubles  # noqa: E402
 from quarry.operators import graph as G  # noqa: E402
+from quarry.operators import structure as ST  # noqa: E402
+from quarry.sources import graphs as GR  # noqa: E402
 
 K = ["period"]
 
@@ -164,7 +166,7 @@ def graph_paths(spark, sf):
 
 @register("components", lambda: _g_sql("SELECT g AS period, s AS node, min(v) AS component FROM apsp GROUP BY g, s"))
 def components_q(spark, sf):
-    """Connected components by min-label propagation."""
+    """Connected components by hooking and shortcutting."""
     return G.components(_edges(spark, sf), K)
 
 
@@ -232,8 +234,8 @@ reach AS (WITH RECURSIVE rr(g, ra, rb, node) USING KEY (g, ra, rb, node) AS (
 SELECT g AS period, ra AS src, rb AS dst FROM und
 WHERE NOT EXISTS (SELECT 1 FROM reach r WHERE r.g = und.g AND r.ra = und.ra AND r.rb = und.rb AND r.node = und.rb)""")
 def bridges(spark, sf):
-    """Bridges (scenario label propagation, one scenario per edge)."""
-    return G.bridges(_edges(spark, sf), K)
+    """Bridges, from the blocks of a search forest."""
+    return ST.bridges(_edges(spark, sf), K)
 
 
 @register("articulation_points", lambda: f"""WITH {Q.mention_ctes()},
@@ -249,8 +251,8 @@ SELECT nb.g AS period, nb.v AS node FROM nb
 WHERE EXISTS (SELECT 1 FROM gs x WHERE x.g = nb.g AND x.src = nb.v
               AND NOT EXISTS (SELECT 1 FROM reach r WHERE r.g = nb.g AND r.v = nb.v AND r.node = x.dst))""")
 def articulation_points(spark, sf):
-    """Articulation points (scenario label propagation, one per node)."""
-    return G.articulation_points(_edges(spark, sf), K)
+    """Articulation points, from the blocks of a search forest."""
+    return ST.articulation_points(_edges(spark, sf), K)
 
 
 @register("communities")
@@ -270,3 +272,83 @@ def top_centrality_nodes(spark, sf):
     m = (dc.join(G.betweenness(e, K, ap), ["period", "node"])
          .join(G.closeness(ap, K), ["period", "node"]))
     return M.top_n_per_metric(round_doubles(m), ["degree_centrality", "betweenness", "closeness"], 3)
+
+
+@register("greedy_communities")
+def greedy_communities(spark, sf):
+    """G18 + G19: communities of greatest modularity per period, with their sizes."""
+    member, _ = ST.greedy_modularity(_edges(spark, sf), K)
+    size = member.groupBy("period", "community").agg(F.count("*").alias("size"))
+    return member.join(size, ["period", "community"])
+
+
+# ---- graphs whose rows grow with the data ---------------------------------
+
+PARTS_SQL = """pairs AS (SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b
+  ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey AND CAST(a.l_quantity AS BIGINT) // 2 = CAST(b.l_quantity AS BIGINT) // 2),
+gs AS (SELECT src, dst FROM pairs UNION ALL SELECT dst, src FROM pairs)"""
+
+BRANDS_SQL = """lines AS (SELECT DISTINCT l_orderkey, p_brand FROM lineitem JOIN part ON p_partkey = l_partkey),
+pairs AS (SELECT a.p_brand AS src, b.p_brand AS dst, count(*) AS weight FROM lines a JOIN lines b ON a.l_orderkey = b.l_orderkey AND a.p_brand < b.p_brand GROUP BY ALL),
+backbone AS (SELECT src, dst, weight FROM pairs ORDER BY weight DESC, src, dst LIMIT 80)"""
+
+
+@register("part_components", f"""WITH RECURSIVE {PARTS_SQL},
+lab(node, c) USING KEY (node) AS (SELECT DISTINCT src, src FROM gs
+  UNION (SELECT x.dst, min(f.c) FROM lab f JOIN gs x ON x.src = f.node JOIN recurring.lab r ON r.node = x.dst WHERE f.c < r.c GROUP BY x.dst))
+SELECT node, c AS component FROM lab""")
+def part_components(spark, sf):
+    """Components of parts ordered together in about the same quantity."""
+    return ST.connected(ST.both_ways(GR.part_pairs(spark, sf), []), [])
+
+
+@register("part_clustering", f"""WITH {PARTS_SQL},
+dg AS (SELECT src AS node, count(*) AS deg FROM gs GROUP BY src),
+tr AS (SELECT a.src AS node, count(*) AS t FROM gs a JOIN gs b ON a.src = b.src AND a.dst < b.dst JOIN pairs c ON c.src = a.dst AND c.dst = b.dst GROUP BY a.src)
+SELECT node, deg, coalesce(t, 0) AS triangles, round(CASE WHEN deg >= 2 THEN 2.0 * coalesce(t, 0) / (deg * (deg - 1)) ELSE 0.0 END, 6) AS clustering
+FROM dg LEFT JOIN tr USING (node)""")
+def part_clustering(spark, sf):
+    """Clustering of the part graph."""
+    return round_doubles(G.clustering(GR.part_pairs(spark, sf), []))
+
+
+@register("part_bridges", f"""WITH {PARTS_SQL},
+reach AS (WITH RECURSIVE rr(ra, rb, node) USING KEY (ra, rb, node) AS (
+    SELECT src, dst, src FROM pairs
+    UNION
+    (SELECT f.ra, f.rb, x.dst FROM rr f JOIN gs x ON x.src = f.node
+     WHERE NOT ((x.src = f.ra AND x.dst = f.rb) OR (x.src = f.rb AND x.dst = f.ra))
+       AND NOT EXISTS (SELECT 1 FROM recurring.rr q WHERE q.ra = f.ra AND q.rb = f.rb AND q.node = x.dst)))
+  SELECT * FROM rr)
+SELECT src, dst FROM pairs WHERE NOT EXISTS (SELECT 1 FROM reach r WHERE r.ra = src AND r.rb = dst AND r.node = dst)""")
+def part_bridges(spark, sf):
+    """Bridges of the part graph."""
+    return ST.bridges(GR.part_pairs(spark, sf), [])
+
+
+@register("part_articulation_points", f"""WITH {PARTS_SQL},
+nb AS (SELECT src AS v, min(dst) AS first_nb FROM gs GROUP BY src HAVING count(*) >= 2),
+reach AS (WITH RECURSIVE rr(v, node) USING KEY (v, node) AS (
+    SELECT v, first_nb FROM nb
+    UNION
+    (SELECT f.v, x.dst FROM rr f JOIN gs x ON x.src = f.node
+     WHERE x.dst <> f.v AND NOT EXISTS (SELECT 1 FROM recurring.rr q WHERE q.v = f.v AND q.node = x.dst)))
+  SELECT * FROM rr)
+SELECT v AS node FROM nb WHERE EXISTS (SELECT 1 FROM gs x WHERE x.src = v AND NOT EXISTS (SELECT 1 FROM reach r WHERE r.v = nb.v AND r.node = x.dst))""")
+def part_articulation_points(spark, sf):
+    """Articulation points of the part graph."""
+    return ST.articulation_points(GR.part_pairs(spark, sf), [])
+
+
+@register("brand_backbone", f"WITH {BRANDS_SQL} SELECT * FROM backbone")
+def brand_backbone(spark, sf):
+    """The brand graph: the 80 pairs of brands that most orders hold together."""
+    return GR.brand_backbone(spark, sf)
+
+
+@register("brand_communities")
+def brand_communities(spark, sf):
+    """Communities of the brand graph and their modularity."""
+    edges = GR.brand_backbone(spark, sf)
+    member, _ = ST.greedy_modularity(edges, [])
+    return round_doubles(member.crossJoin(F.broadcast(ST.modularity(edges, [], member))))  # one number beside 25 brands

@@ -31,8 +31,8 @@ def test_query_matches_oracle(spark, duck, name):
     df = catalog.QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     sql = catalog.ORACLES.get(name)
-    if sql is None:
-        assert rows is not None
+    if sql is None:  # values are checked in the tests of the operator
+        assert rows and len(set(df.columns)) == len(df.columns)
         return
     cur = duck.execute(sql)
     dcols = [d[0] for d in cur.description]
