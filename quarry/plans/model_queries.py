@@ -218,16 +218,17 @@ def _ml_frame(spark, sf):
 
 @register("tree_grid")
 def tree_grid(spark, sf):
-    """ML1 + ML3 + ML4 + ML13: tree sweep (depth x criterion), best model's
-    feature importances."""
+    """ML1 + ML3 + ML4 + ML13: tree sweep (splitter x depth x criterion), the
+    best combination, and its feature importances from the greatest down."""
     a, cols = _ml_frame(spark, sf)
     train, test = TB.hash_split(a, "id", 80)
-    rows, best = ML.tree_grid(train, "label", [2, 4, 6], ["gini", "entropy"])
-    imp = best.featureImportances.toArray()
-    out = [("grid", d, i, acc, None, None) for d, i, acc in rows]
-    out += [("importance", None, None, None, c, float(v)) for c, v in zip(cols, imp)]
-    return spark.createDataFrame(out, "kind string, max_depth int, impurity string, accuracy double, "
-                                      "feature string, importance double")
+    rows, best = ML.tree_grid(train, "label", list(range(2, 11)), ["gini", "entropy"], ["best", "random"])
+    imp = sorted(zip(cols, best.featureImportances.toArray().tolist()), key=lambda x: (-x[1], x[0]))
+    top = max(rows, key=lambda r: r[3])
+    out = [("grid", *r, None, None, r == top, None) for r in rows]
+    out += [("importance", None, None, None, None, c, float(v), None, i) for i, (c, v) in enumerate(imp, 1)]
+    return spark.createDataFrame(out, "kind string, splitter string, max_depth int, impurity string, accuracy double, "
+                                      "feature string, importance double, best boolean, place int")
 
 
 @register("split_ratio_study")
@@ -243,31 +244,47 @@ def split_ratio_study(spark, sf):
             acc = ML.accuracy(m.transform(te)).first()["accuracy"]
             rows.append((round(ratio, 1), rep, float(acc)))
     df = spark.createDataFrame(rows, "ratio double, repeat int, accuracy double")
-    return df.groupBy("ratio").agg(F.avg("accuracy").alias("mean_accuracy"))
+    mean = df.groupBy("ratio").agg(F.avg("accuracy").alias("mean_accuracy"))
+    top = TB.best_by(mean, "mean_accuracy").select(F.col("ratio").alias("best_ratio"))  # ML13: one row
+    return mean.crossJoin(F.broadcast(top)).select("ratio", "mean_accuracy", (F.col("ratio") == F.col("best_ratio")).alias("best"))
+
+
+HIDDEN = [[50, 50], [50, 50, 50], [100, 100], [100, 100, 100]]
 
 
 @register("mlp_grid")
 def mlp_grid(spark, sf):
-    """ML5 + ML6 + F9 + ML14: MLP grid with 3-fold CV on min-max scaled
-    features (scaler fitted on train only); best model scores the test rows."""
+    """ML5 + ML6 + F9: MLP grid (hidden layers x iterations) with 3-fold CV on
+    min-max scaled features (scaler fitted on train only); the best model on the
+    test rows."""
     a, cols = _ml_frame(spark, sf)
     train, test = TB.hash_split(a, "id", 80)
     sc = ML.scale_fit(train)
-    rows, best = ML.mlp_grid(sc.transform(train), "label", len(cols), [[5], [8, 4]], [50, 100])
+    rows, best = ML.mlp_grid(sc.transform(train), "label", len(cols), HIDDEN, [200, 400])
     acc = ML.accuracy(best.transform(sc.transform(test))).first()["accuracy"]
     rows.append(("best_on_test", 0, float(acc)))
     return spark.createDataFrame(rows, "layers string, max_iter int, accuracy double")
 
 
+@register("mlp_target")
+def mlp_target(spark, sf):
+    """ML14: the column ``target`` that a trained network predicts for rows it
+    has not seen; their outcome is never read."""
+    a, cols = _ml_frame(spark, sf)
+    train, test = TB.hash_split(a, "id", 80)
+    sc = ML.scale_fit(train)
+    return ML.predict_target(sc.transform(train), sc.transform(test.drop("label")), len(cols), HIDDEN[0], "label", "id")
+
+
 @register("svm_grid")
 def svm_grid(spark, sf):
-    """ML9 + ML13: linear SVM, 5-fold F1 over C (regParam = 1/(n*C))."""
-    a, _ = _ml_frame(spark, sf)
+    """ML9 + ML13: 5-fold F1 over kernel x C x gamma, and which row is best."""
+    a, cols = _ml_frame(spark, sf)
     train, _ = TB.hash_split(a, "id", 80)
     sc = ML.scale_fit(train)
-    n = train.count()
-    rows, _ = ML.svm_grid(sc.transform(train), "label", [1.0 / (n * c) for c in (0.1, 1.0, 10.0)])
-    return spark.createDataFrame(rows, "reg_param double, f1 double")
+    rows = ML.svm_grid(sc.transform(train), "label", len(cols), ["linear", "rbf", "poly"], [0.1, 1.0, 10.0], [0.01, 0.1])
+    top = max(rows, key=lambda r: r[3])
+    return spark.createDataFrame([(*r, r == top) for r in rows], "kernel string, c double, gamma double, f1 double, best boolean")
 
 
 def _vec(spark, sf):
