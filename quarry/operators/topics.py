@@ -1,8 +1,7 @@
-"""Text models (M1-M8): bag of words, vocabulary pruning, TF-IDF, LSA, LDA.
+"""Text statistics (M1-M4, M8): bag of words, vocabulary pruning, TF-IDF, NPMI.
 
 TF-IDF is written relationally (sklearn's smooth idf and L2 row norm), so
-it stays a pair of aggregations; LSA uses the distributed RowMatrix SVD
-and LDA the online optimiser of pyspark.ml."""
+it stays a pair of aggregations. Topic models are in ``topics_tables``."""
 
 from __future__ import annotations
 
@@ -53,59 +52,6 @@ def vocab_pruned(term_docs: DataFrame, keys: list[str], doc_id: str, no_below: i
     return j.filter((F.col("df") >= no_below) & (F.col("df") <= F.lit(no_above) * F.col("N")))
 
 
-def count_vectors(docs: DataFrame, terms: str, min_df: float = 2.0, max_df: float = 0.8):
-    """M1 + M2 with pyspark.ml: vocabulary pruned by document frequency
-    (>= min_df documents, <= max_df of them) and per-document count vectors."""
-    from pyspark.ml.feature import CountVectorizer
-    d = docs.filter(F.size(terms) > 0).checkpoint(eager=True)
-    if max_df < 1.0 and max_df * d.count() < min_df:
-        return None, []          # no term can pass both bounds (empty dictionary)
-    # no cut by vocabulary size: only the document-frequency bounds decide
-    model = CountVectorizer(inputCol=terms, outputCol="features", minDF=min_df, maxDF=max_df, vocabSize=(1 << 31) - 1).fit(d)
-    # iterative learners scan the vectors many times: materialise them once
-    return model.transform(d).select("features").checkpoint(eager=True), model.vocabulary
-
-
-def lsa_topics(docs: DataFrame, terms: str, k: int = 5, n_terms: int = 8) -> DataFrame:
-    """M5: truncated SVD of the (uncentred) document-term count matrix with
-    the distributed RowMatrix; topic i lists the n_terms largest |weights|,
-    sign fixed so the largest-magnitude weight is positive."""
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    from pyspark.mllib.util import MLUtils
-    vec, vocab = count_vectors(docs, terms)
-    spark = docs.sparkSession
-    if not vocab:
-        return spark.createDataFrame([], "topic int, rank int, token string, weight double")
-    rows = MLUtils.convertVectorColumnsFromML(vec.select("features"), "features").rdd.map(lambda r: r[0])
-    svd = RowMatrix(rows).computeSVD(min(k, len(vocab)), computeU=False)
-    v = svd.V.toArray()
-    out = []
-    for t in range(v.shape[1]):
-        col = v[:, t]
-        sgn = 1.0 if col[abs(col).argmax()] >= 0 else -1.0
-        order = sorted(range(len(vocab)), key=lambda i: (-abs(col[i]), vocab[i]))[:n_terms]
-        for rk, i in enumerate(order, 1):
-            out.append((t, rk, vocab[i], float(sgn * col[i])))
-    return spark.createDataFrame(out, "topic int, rank int, token string, weight double")
-
-
-def lda_topics(docs: DataFrame, terms: str, k: int = 2, max_iter: int = 10,
-               n_terms: int = 8, seed: int = 42) -> DataFrame:
-    """M6 / M7: online LDA on count vectors; top terms with their weights."""
-    from pyspark.ml.clustering import LDA
-    vec, vocab = count_vectors(docs, terms)
-    if not vocab:
-        return docs.sparkSession.createDataFrame([], "topic int, rank int, token string, weight double")
-    model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed).fit(vec)
-    t = model.describeTopics(n_terms)
-    ex = t.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("pos", "z"))
-    # vocabulary (model state) as a small indexed table joined to the top terms
-    voc = docs.sparkSession.createDataFrame(list(enumerate(vocab)), "tid int, token string")
-    ex = ex.select("topic", (F.col("pos") + 1).alias("rank"), F.col("z.termIndices").alias("tid"),
-                   F.col("z.termWeights").alias("weight"))
-    return ex.join(voc, "tid").select("topic", "rank", "token", "weight")
-
-
 def alias_docs(units: DataFrame) -> DataFrame:
     """Documents for TF-IDF: alias-canonicalised non-empty texts."""
     return units.filter(F.col("text") != "").withColumn("doc", replace_aliases("text"))
@@ -115,22 +61,20 @@ EXTRA_STOP = [e.lower().split()[0] for e, _ in params.ENTITY_ALIASES]
 
 
 def term_npmi(term_docs: DataFrame, keys: list[str], doc_id: str, terms: DataFrame) -> DataFrame:
-    """M8 (NPMI part of the c_v coherence): boolean document co-occurrence of
-    the given top terms, NPMI = ln(p12 / (p1 p2)) / -ln(p12) per pair.
-    Only the listed terms enter the self-join, so pairs are bounded by
-    (top terms)^2 per document."""
+    """M8 (document part): boolean document co-occurrence of the given top
+    terms, NPMI = ln(p12 / (p1 p2)) / -ln(p12) per pair; a pair that never
+    occurs together has c12 = 0 and the limit, -1. Only the listed terms enter
+    the self-join, so pairs are bounded by (top terms)^2 per document."""
     n = term_docs.groupBy(*keys).agg(F.countDistinct(doc_id).alias("N"))
-    t = term_docs.join(F.broadcast(terms.select(*keys, "token")), keys + ["token"], "left_semi") \
-        .select(*keys, doc_id, "token").distinct()
+    listed = terms.select(*keys, "token").distinct()
+    t = term_docs.join(F.broadcast(listed), keys + ["token"], "left_semi").select(*keys, doc_id, "token").distinct()
     p1 = t.groupBy(*keys, "token").agg(F.count("*").alias("c1"))
-    a, b = t.alias("a"), t.alias("b")
-    pairs = (a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys + [doc_id]] + [F.col("a.token") < F.col("b.token")])
-             .select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.token").alias("w1"), F.col("b.token").alias("w2"))
-             .groupBy(*keys, "w1", "w2").agg(F.count("*").alias("c12")))
-    j = (pairs.join(p1.select(*keys, F.col("token").alias("w1"), F.col("c1")), keys + ["w1"])
-         .join(p1.select(*keys, F.col("token").alias("w2"), F.col("c1").alias("c2")), keys + ["w2"])
-         .join(n, keys))
+    every = (p1.select(*keys, F.col("token").alias("w1"), "c1").join(p1.select(*keys, F.col("token").alias("w2"), F.col("c1").alias("c2")), keys)
+             .where("w1 < w2"))
+    both = (t.withColumnRenamed("token", "w1").join(t.withColumnRenamed("token", "w2"), [*keys, doc_id]).where("w1 < w2")
+            .groupBy(*keys, "w1", "w2").agg(F.count("*").alias("c12")))
+    j = every.join(both, [*keys, "w1", "w2"], "left").na.fill(0, ["c12"]).join(n, keys)
     p12 = F.col("c12") / F.col("N")
     pmi = F.ln(p12 / ((F.col("c1") / F.col("N")) * (F.col("c2") / F.col("N"))))
-    npmi = F.when(F.col("c12") == F.col("N"), F.lit(1.0)).otherwise(pmi / -F.ln(p12))
+    npmi = F.when(F.col("c12") == 0, F.lit(-1.0)).when(F.col("c12") == F.col("N"), F.lit(1.0)).otherwise(pmi / -F.ln(p12))
     return j.select(*keys, "w1", "w2", "c12", npmi.alias("npmi"))

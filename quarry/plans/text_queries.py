@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import string
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry import params
-from quarry.functions.text import explode_nonempty, rnd
+from quarry.functions.text import explode_nonempty, replace_aliases, rnd, round_doubles, tokenize
+from quarry.operators import topics_tables as TT
 from quarry.operators import words as W
 from quarry.plans import sql as Q
 from quarry.plans.catalog import register
@@ -233,29 +237,79 @@ def tfidf_grouped(spark, sf):
     return t.select("period", "term", F.round("score", 6).alias("score"), "rank")
 
 
+def _unit_tokens(spark, sf):
+    """Tokens of every unit (T10), once."""
+    u = B.units(spark, sf)
+    return written(u.select("period", F.col("unit_id").alias("doc"), tokenize(replace_aliases("text")).alias("toks")))
+
+
 @register("lsa_topics")
 def lsa_topics(spark, sf):
-    """M5: LSA topics per period (RowMatrix SVD, 5 topics x 8 terms)."""
-    ut = W.unit_terms(B.units(spark, sf)).select("period", "unit_id", "terms").checkpoint(eager=True)
-    out = None
-    for (p,) in ut.select("period").distinct().collect():   # one SVD per period (a small parameter set)
-        r = TP.lsa_topics(ut.filter(F.col("period") == p), "terms", 5, 8).withColumn("period", F.lit(p))
-        out = r if out is None else out.unionByName(r)
-    return out
+    """M5: the five greatest singular values of each period and their eight
+    weightiest terms."""
+    occ = explode_nonempty(_unit_tokens(spark, sf), "toks", "token", "period", "doc")
+    vocabulary, counts = TT.counts_with_ids(occ, ["period"], "doc", "token", 2, 0.8)
+    values, weights = TT.truncated_svd(counts, ["period"], 5)
+    return TT.top_terms(weights, vocabulary, ["period"], 8, signed=True).join(F.broadcast(values), ["period", "topic"])
+
+
+#: Words of entity names are no topic words.
+NAMES = sorted({w for e in params.entities() for w in e.lower().split()})
 
 
 @register("lda_topics")
 def lda_topics(spark, sf):
-    """M6: LDA topics (2 topics, seed 42, 8 terms)."""
-    ut = W.unit_terms(B.units(spark, sf)).select("unit_id", "terms")
-    return TP.lda_topics(ut, "terms", 2, 10, 8, 42)
+    """M6: two topics over whole posts (title and comments): words of more than
+    three letters without stop words and names, pruned by document frequency;
+    eight terms each."""
+    u = B.units(spark, sf)
+    dropped = F.array(*[F.lit(w) for w in [*params.STOP_WORDS, *NAMES]])
+    words = F.split(F.translate(F.lower("text"), string.punctuation, ""), r"\s+")
+    u = u.select(F.col("post_id").alias("doc"), F.filter(words, lambda w: (F.length(w) > 3) & ~F.array_contains(dropped, w)).alias("toks"))
+    u = u.withColumn("corpus", F.lit("posts"))
+    vocabulary, counts = TT.counts_with_ids(explode_nonempty(u, "toks", "token", "corpus", "doc"), ["corpus"], "doc", "token", 2, 0.8)
+    weights, _ = TT.lda(counts, ["corpus"], 2, 15, 42)
+    return TT.top_terms(weights, vocabulary, ["corpus"], 8)
 
 
 @register("lda_topics_legacy")
 def lda_topics_legacy(spark, sf):
-    """M7: older LDA variant, 5 topics, 15 passes, comments only."""
-    u = B.units(spark, sf).filter(F.col("kind") == "comment")
-    return TP.lda_topics(W.unit_terms(u).select("unit_id", "terms"), "terms", 5, 15, 8, 42)
+    """M7: older variant: five topics, 15 passes, comments only, split at white
+    space, alphabetic words, nothing pruned; five terms each."""
+    u = B.units(spark, sf).where("kind = 'comment'")
+    u = u.select(F.col("unit_id").alias("doc"), F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w.rlike("^[a-z]+$")).alias("toks"))
+    u = u.withColumn("corpus", F.lit("comments"))
+    vocabulary, counts = TT.counts_with_ids(explode_nonempty(u, "toks", "token", "corpus", "doc"), ["corpus"], "doc", "token")
+    weights, _ = TT.lda(counts, ["corpus"], 5, 15, 42)
+    return TT.top_terms(weights, vocabulary, ["corpus"], 5)
+
+
+_WORD_VECTORS = f"""{{ctes}},
+top AS (SELECT period, token FROM (SELECT period, token, row_number() OVER (PARTITION BY period ORDER BY count DESC, token) AS r
+        FROM word_stats WHERE NOT contains(token, '_')) WHERE r <= 10),
+d AS (SELECT period, toks, len(toks) AS n FROM utok WHERE len(toks) > 0),
+win AS (SELECT period, list_distinct(toks[s + 1:s + {TT.WINDOW}]) AS w FROM (SELECT period, toks, unnest(range(greatest(n - {TT.WINDOW}, 0) + 1)) AS s FROM d)),
+size AS (SELECT period, count(*) AS windows FROM win GROUP BY period),
+hit AS (SELECT win.period, list_filter(w, lambda x: list_contains(l, x)) AS w FROM win JOIN (SELECT period, list(token) AS l FROM top GROUP BY period) USING (period)),
+pairs AS (SELECT period, w1, unnest(w) AS w2 FROM (SELECT period, w, unnest(w) AS w1 FROM hit)),
+both_ AS (SELECT period, w1, w2, count(*) AS n FROM pairs GROUP BY ALL),
+v AS (SELECT a.period, a.token AS w1, b.token AS w2, coalesce(c.n, 0) / windows + {TT.EPSILON} AS p, x.n / windows AS p1, y.n / windows AS p2
+      FROM top a JOIN top b USING (period) JOIN size USING (period) LEFT JOIN both_ c ON c.period = a.period AND c.w1 = a.token AND c.w2 = b.token
+      JOIN both_ x ON x.period = a.period AND x.w1 = a.token AND x.w2 = a.token JOIN both_ y ON y.period = a.period AND y.w1 = b.token AND y.w2 = b.token),
+m AS (SELECT period, w1, w2, ln(p / (p1 * p2)) / -ln(p) AS x FROM v),
+s AS (SELECT period, w2, sum(x) AS y FROM m GROUP BY ALL),
+c AS (SELECT m.period, w1, sum(x * y) / sqrt(sum(x * x) * sum(y * y)) AS cosine FROM m JOIN s ON s.period = m.period AND s.w2 = m.w2 GROUP BY ALL)
+SELECT period, round(avg(cosine), 6) AS coherence FROM c GROUP BY period"""
+
+
+@register("topic_coherence", lambda: f"WITH {_WORD_VECTORS.replace('{ctes}', Q.terms_ctes())}")
+def topic_coherence(spark, sf):
+    """M8: c_v of the ten most frequent words of each period, over sliding windows."""
+    toks = _unit_tokens(spark, sf)
+    counted = explode_nonempty(toks, "toks", "token", "period").where(~F.contains(F.col("token"), F.lit("_"))).groupBy("period", "token").count()
+    w = Window.partitionBy("period").orderBy(F.desc("count"), "token")
+    top = counted.withColumn("r", F.row_number().over(w)).where("r <= 10").select("period", F.lit(0).alias("topic"), "token")
+    return round_doubles(TT.coherence(toks, ["period"], "doc", written(top)).select("period", "coherence"))
 
 
 @register("term_npmi", lambda: f"""WITH {Q.terms_ctes()},
@@ -264,10 +318,12 @@ top AS (SELECT period, token FROM (SELECT period, token, row_number() OVER (PART
 t AS (SELECT DISTINCT d.period, d.unit_id, d.token FROM term_docs d JOIN top USING (period, token)),
 n AS (SELECT period, count(DISTINCT unit_id) AS N FROM term_docs GROUP BY period),
 p1 AS (SELECT period, token, count(*) AS c1 FROM t GROUP BY ALL),
-pr AS (SELECT a.period, a.token AS w1, b.token AS w2, count(*) AS c12 FROM t a JOIN t b
-       ON a.period = b.period AND a.unit_id = b.unit_id AND a.token < b.token GROUP BY ALL)
+co AS (SELECT a.period, a.token AS w1, b.token AS w2, count(*) AS c12 FROM t a JOIN t b
+       ON a.period = b.period AND a.unit_id = b.unit_id AND a.token < b.token GROUP BY ALL),
+pr AS (SELECT a.period, a.token AS w1, b.token AS w2, coalesce(c12, 0) AS c12 FROM p1 a JOIN p1 b ON a.period = b.period AND a.token < b.token
+       LEFT JOIN co ON co.period = a.period AND co.w1 = a.token AND co.w2 = b.token)
 SELECT pr.period, w1, w2, CAST(c12 AS BIGINT) AS c12,
-       round(CASE WHEN c12 = N THEN 1.0 ELSE ln((c12 / N) / ((x.c1 / N) * (y.c1 / N))) / -ln(c12 / N) END, 6) AS npmi
+       round(CASE WHEN c12 = 0 THEN -1.0 WHEN c12 = N THEN 1.0 ELSE ln((c12 / N) / ((x.c1 / N) * (y.c1 / N))) / -ln(c12 / N) END, 6) AS npmi
 FROM pr JOIN p1 x ON x.period = pr.period AND x.token = w1 JOIN p1 y ON y.period = pr.period AND y.token = w2
 JOIN n ON n.period = pr.period""")
 def term_npmi(spark, sf):
