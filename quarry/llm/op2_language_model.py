@@ -33,8 +33,8 @@ CLASSES = FREQUENT + SHAPES + 1
 END, BEGIN = CLASSES - 1, CLASSES
 HASHED = 1 << 12
 SHARDS, STEPS, RATE, PRIOR = 8, 10, 0.1, 20.0
-#: Rows of the weights whose gradients are added up together.
-ROWS = 64
+#: Rows of the weights whose gradients go in one message.
+ROWS = 256
 
 
 def keyed(docs: DataFrame, training: Column, id_col: str, text_col: str) -> DataFrame:
@@ -261,10 +261,10 @@ def train_classes(rows: DataFrame, classes: Classes) -> np.ndarray:
     def unpack(data: bytes) -> np.ndarray:
         return np.frombuffer(zstandard.decompress(data), np.int64).reshape(2, -1)
 
-    def summed(fn, shape: tuple[int, int]) -> np.ndarray:
-        """Sum over the shards of matrices ``fn(code, n)``. A task ships the rows
-        that are not zero in blocks; blocks are added up on the executors, so one
-        matrix reaches the driver, however many shards there are."""
+    def summed(fn, shape: tuple[int, int], kind=np.float32) -> np.ndarray:
+        """Sum over the shards of matrices ``fn(code, n)``. A task sends the rows
+        that are not zero, a block at a time, each row as its greatest value and
+        shares of it."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = None
             for b in batches:
@@ -273,23 +273,15 @@ def train_classes(rows: DataFrame, classes: Classes) -> np.ndarray:
                     held = part if held is None else held + part
             if held is not None:
                 at = np.flatnonzero(held.any(axis=1))
-                cuts = np.flatnonzero(np.diff(at // ROWS, prepend=-1))
-                block = at[cuts] // ROWS
-                rows = [(x.astype(np.int32).tobytes(), held[x].astype(np.float32).tobytes()) for x in np.split(at, cuts[1:])] if len(at) else []
-                yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int64)), pa.array([r[0] for r in rows], pa.binary()),
-                                                  pa.array([r[1] for r in rows], pa.binary())], names=["block", "at", "v"])
-
-        def added(table: pa.Table) -> pa.Table:
-            out, first = np.zeros((ROWS, shape[1])), table.column("block")[0].as_py() * ROWS
-            for at, v in sorted(zip(table.column("at").to_pylist(), table.column("v").to_pylist())):  # one order of adding
-                at = np.frombuffer(at, np.int32)
-                out[at - first] += np.frombuffer(v, np.float32).reshape(len(at), -1)
-            return pa.table({"first": pa.array([first], pa.int64()), "v": pa.array([out.astype(np.float32).tobytes()], pa.binary())})
+                for i in range(0, len(at), ROWS):
+                    some = held[at[i:i + ROWS]]
+                    most = np.abs(some).max(axis=1)
+                    body = [at[i:i + ROWS].astype(np.int32).tobytes(), most.tobytes(), zstandard.compress((some / most[:, None]).astype(kind).tobytes())]
+                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in body], names=["at", "most", "v"])
         total = np.zeros(shape)
-        blocks = shards.mapInArrow(run, "block long, at binary, v binary").groupBy("block").applyInArrow(added, "first long, v binary")
-        for r in blocks.collect():
-            v = np.frombuffer(r["v"], np.float32).reshape(ROWS, -1)[:shape[0] - r["first"]]
-            total[r["first"]:r["first"] + len(v)] = v
+        for r in shards.mapInArrow(run, "at binary, most binary, v binary").collect():
+            at = np.frombuffer(r["at"], np.int32)
+            total[at] += np.frombuffer(zstandard.decompress(r["v"]), kind).reshape(len(at), -1) * np.frombuffer(r["most"], np.float64)[:, None]
         return total
 
     # first estimates need class pairs only: (last, class) and (before last, class)
@@ -301,7 +293,7 @@ def train_classes(rows: DataFrame, classes: Classes) -> np.ndarray:
     weights = started(seen)
     total, memory = max(seen[0].sum(), 1.0), np.zeros(weights.shape)
     for _ in range(STEPS):
-        grad = summed(lambda code, n, w=weights: gradient(w, code, n)[0], weights.shape) / total
+        grad = summed(lambda code, n, w=weights: gradient(w, code, n)[0], weights.shape, np.float16) / total
         memory += grad * grad
         weights = (weights - RATE * grad / (np.sqrt(memory) + 1e-9)).astype(np.float32)
     return weights
