@@ -63,6 +63,21 @@ def with_previous(df: DataFrame, col: str, *order, name: str) -> DataFrame:
     return out.withColumn(name, value).select(*df.columns, name)
 
 
+def with_last(df: DataFrame, col: str, *order, name: str) -> DataFrame:
+    """Adds the last non-null value of ``col`` in this row or before it: an
+    as-of match after marks and queries have been put in one order."""
+    frame = _dealt(df, list(order))
+    lasts = sorted((tuple(r) for r in frame.groupBy(_part().alias("p")).agg(
+        F.max_by(col, F.when(F.col(col).isNotNull(), F.col("__at")))).collect()), key=lambda r: r[0])
+    rows, carried = [], None
+    for p, value in lasts:
+        rows.append((p, carried))
+        carried = carried if value is None else value
+    out = _by_part(frame, rows, T.StructType([T.StructField("__part", T.LongType()), T.StructField("__carried", df.schema[col].dataType)]))
+    inside = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    return out.withColumn(name, F.coalesce(F.last(col, ignorenulls=True).over(inside), F.col("__carried"))).select(*df.columns, name)
+
+
 def order_statistics(df: DataFrame, cols: list[str], shares: list[float], by: str | None = None) -> DataFrame:
     """The two order statistics around each share (0 to 1) of the non-null
     values: rows (``by``), column, share (place in ``shares``), low, high,

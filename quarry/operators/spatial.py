@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import written
+
 EARTH_KM = 6371.0088
 
 
@@ -23,25 +25,74 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
 
 def edge_costs(adj: DataFrame, places: DataFrame) -> DataFrame:
     """SP2: cost = distance between the two states' coordinates (0 within a
-    state); coordinates joined from the (small) place table."""
+    state); coordinates joined from the place table."""
     pa = places.select(F.col("place"), F.col("state").alias("sa"), F.col("lat").alias("la"), F.col("lon").alias("oa"))
     pb = places.select(F.col("place").alias("neighbor"), F.col("state").alias("sb"), F.col("lat").alias("lb"),
                        F.col("lon").alias("ob"))
-    j = adj.join(F.broadcast(pa), "place").join(F.broadcast(pb), "neighbor")
+    j = adj.join(pa, "place").join(pb, "neighbor")
     cost = F.when(F.col("sa") == F.col("sb"), F.lit(0.0)).otherwise(haversine_km("la", "oa", "lb", "ob"))
     return j.select("place", "neighbor", cost.alias("cost"))
 
 
-def nearest_goal(places: DataFrame, goals: DataFrame, max_goals: int = 10_000) -> DataFrame:
-    """SP3: distance from every place to its nearest goal. The goal set is a
-    bounded parameter (checked), compiled into the projection: no join."""
-    gl = goals.select("place", "lat", "lon").limit(max_goals + 1).collect()
-    if len(gl) > max_goals:
-        raise ValueError("goal set too large for an inline expression")
-    cands = [F.struct(haversine_km(F.col("lat"), F.col("lon"), F.lit(float(g["lat"])), F.lit(float(g["lon"]))).alias("h"),
-                      F.lit(g["place"]).alias("goal")) for g in gl]
-    best = F.array_min(F.array(*cands))
-    return places.select("place", best["h"].alias("h"), best["goal"].alias("nearest_goal"))
+#: Goals in a cell of the finest grid, and the finest grid there is (2 ^ 20 cells along each axis).
+GOALS_PER_CELL, DEEPEST = 16, 20
+
+
+def _on_sphere(df: DataFrame) -> DataFrame:
+    """Adds x, y, z: the point on the unit sphere."""
+    lat, lon = F.radians("lat"), F.radians("lon")
+    return df.withColumns({"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)})
+
+
+def _cell(level: int, axis: str) -> Column:
+    return F.least(F.floor((F.col(axis) + 1) / 2 * float(1 << level)), F.lit((1 << level) - 1)).cast("long")
+
+
+def _key(shift: int) -> Column:
+    """The cell that many levels above, as one number."""
+    up = [F.shiftright(c, shift) for c in ("cx", "cy", "cz")]
+    return F.shiftleft(up[0], 40).bitwiseOR(F.shiftleft(up[1], 20)).bitwiseOR(up[2])
+
+
+def _square(*parts: Column) -> Column:
+    return parts[0] * parts[0] + parts[1] * parts[1] + parts[2] * parts[2]
+
+
+def nearest_goal(places: DataFrame, goals: DataFrame) -> DataFrame:
+    """SP3: distance from every place to its nearest goal (ties: name); null
+    where there is no goal or no coordinate.
+
+    Goals lie in the cubes of a grid around the sphere. From the whole grid down,
+    level by level, a place keeps the non-empty cubes that can hold its nearest
+    goal: those that begin no further than one goal of some cube lies. At the
+    finest level, where a cube has few goals, these are compared. All joins are
+    on cubes; a place keeps a few of them whatever the number of goals."""
+    g = goals.where("lat IS NOT NULL AND lon IS NOT NULL").groupBy("lat", "lon").agg(F.min("place").alias("goal"))
+    g = written(_on_sphere(g))
+    depth = 0
+    while depth < DEEPEST:
+        fullest = g.groupBy(*[_cell(depth, c).alias(f"c{c}") for c in "xyz"]).count().agg(F.max("count")).first()[0] or 0
+        if fullest <= GOALS_PER_CELL:
+            break
+        depth += 1
+    g = g.withColumns({f"c{c}": _cell(depth, c) for c in "xyz"})
+    asked = places.select("place", "lat", "lon").distinct()
+    near = _on_sphere(asked.where("lat IS NOT NULL AND lon IS NOT NULL")).withColumn("cell", F.lit(0).cast("long"))
+    one = Window.partitionBy("place", "lat", "lon")
+    for level in range(1, depth + 1):
+        width, shift = 2.0 / (1 << level), depth - level
+        cubes = g.groupBy(_key(shift + 1).alias("cell"), _key(shift).alias("inner"), *[F.shiftright(f"c{c}", shift).alias(f"i{c}") for c in "xyz"]).agg(
+            F.min(F.struct("goal", F.col("x").alias("gx"), F.col("y").alias("gy"), F.col("z").alias("gz"))).alias("some"))
+        both = near.join(cubes, "cell")
+        low = {c: F.col(f"i{c}") * width - 1 for c in "xyz"}
+        begins = _square(*[F.greatest(low[c] - F.col(c), F.col(c) - low[c] - width, F.lit(0.0)) for c in "xyz"])
+        reaches = F.min(_square(*[F.col(c) - F.col(f"some.g{c}") for c in "xyz"])).over(one)
+        both = both.withColumn("begins", begins).withColumn("reaches", reaches).where(F.col("begins") <= F.col("reaches") * (1 + 1e-9) + 1e-15)
+        near = written(both.select("place", "lat", "lon", "x", "y", "z", F.col("inner").alias("cell")))
+    ends = g.select(_key(0).alias("cell"), "goal", F.col("lat").alias("glat"), F.col("lon").alias("glon"))
+    h = haversine_km(F.col("lat"), F.col("lon"), F.col("glat"), F.col("glon"))
+    best = near.join(ends, "cell").groupBy("place", "lat", "lon").agg(F.min(F.struct(h.alias("h"), "goal")).alias("b"))
+    return asked.join(best, ["place", "lat", "lon"], "left").select("place", F.col("b.h").alias("h"), F.col("b.goal").alias("nearest_goal"))
 
 
 def shortest_paths(costs: DataFrame, starts: DataFrame,
@@ -84,7 +135,7 @@ def path_to_nearest_goal(paths: DataFrame, starts: DataFrame, goals: DataFrame)
     'No path found.'"""
     g = goals.select(F.col("place").alias("node"), F.col("colour").alias("gc"))
     s = starts.select(F.col("place").alias("start"), F.col("colour").alias("sc"))
-    j = paths.join(F.broadcast(g), "node").join(F.broadcast(s), "start").filter(F.col("gc") == F.col("sc"))
+    j = paths.join(g, "node").join(s, "start").filter(F.col("gc") == F.col("sc"))
     key = F.struct("cost", "hops", F.array_join("path", "|"))
     b = j.groupBy("start").agg(F.min_by(F.struct("node", "cost", "hops", "path"), key).alias("b"))
     out = s.join(b, "start", "left")
@@ -99,7 +150,7 @@ def greedy_descent(costs: DataFrame, h: DataFrame, starts: DataFrame, goals: Dat
     cur = starts.select(F.col("place").alias("start"), F.col("place").alias("node"), F.array(F.col("place")).alias("path"))
     hh = h.select(F.col("place").alias("neighbor"), F.col("h").alias("hn"))
     while True:  # every step lengthens a path of distinct places, so it ends
-        act = cur.join(F.broadcast(gs), "node", "left").filter(F.col("is_goal").isNull()).drop("is_goal")
+        act = cur.join(gs, "node", "left").filter(F.col("is_goal").isNull()).drop("is_goal")
         step = (act.join(costs.select(F.col("place").alias("node"), "neighbor"), "node")
                 .filter(~F.array_contains("path", F.col("neighbor"))).join(hh, "neighbor"))
         mv = step.groupBy("start").agg(F.min_by("neighbor", F.struct("hn", "neighbor")).alias("nxt")).checkpoint(eager=True)
@@ -109,7 +160,7 @@ def greedy_descent(costs: DataFrame, h: DataFrame, starts: DataFrame, goals: Dat
                .select("start", F.coalesce("nxt", "node").alias("node"),
                        F.when(F.col("nxt").isNotNull(), F.array_append("path", F.col("nxt"))).otherwise(F.col("path"))
                        .alias("path"))).checkpoint(eager=True)
-    return cur.join(F.broadcast(gs), "node", "left").select(
+    return cur.join(gs, "node", "left").select(
         "start", "node", F.coalesce("is_goal", F.lit(False)).alias("reached_goal"),
         F.array_join("path", " -> ").alias("route"))
 
@@ -121,7 +172,7 @@ def neighbour_weights(costs: DataFrame, h: DataFrame, goals: DataFrame, temperat
     hn = h.select(F.col("place").alias("neighbor"), F.col("h").alias("hn"))
     hp = h.select("place", F.col("h").alias("hp"))
     g = goals.select(F.col("place").alias("neighbor")).withColumn("ng", F.lit(1))
-    j = costs.select("place", "neighbor").join(hn, "neighbor").join(hp, "place").join(F.broadcast(g), "neighbor", "left")
+    j = costs.select("place", "neighbor").join(hn, "neighbor").join(hp, "place").join(g, "neighbor", "left")
     w = Window.partitionBy("place")
     any_goal = F.max(F.coalesce("ng", F.lit(0))).over(w)
     raw = F.exp(-(F.col("hn") - F.col("hp")) / F.lit(temperature))

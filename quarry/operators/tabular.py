@@ -13,7 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ranks import quantiles, with_rank
+from quarry.operators.ranks import quantiles, with_last, with_rank
+from quarry.session import written
 
 # ---------------------------------------------------------------- statistics
 
@@ -358,7 +359,7 @@ def knn_impute(df: DataFrame, id_col: str, cols: list[str] | None = None, k: int
     return out
 
 
-#: Donors per grid cell that the first search radius aims at.
+#: Donors in a cell of the search.
 DONORS_PER_CELL = 32
 
 
@@ -370,7 +371,7 @@ def _knn_fill(df, id_col, target, coords, k, mean_value):
     """Fill values per receiver id. Receivers with equal coordinates are one
     query; donors with equal coordinates are reduced to k. Each pair of
     present-column patterns (at most 4^coordinates, those that occur) is
-    searched on a numeric grid over their first shared coordinate."""
+    searched in cells of donors ranked by their first shared coordinate."""
     receivers = df.filter(F.col(target).isNull())
     if not coords:
         return receivers.select(id_col, F.lit(mean_value).alias("__fill"))
@@ -401,43 +402,45 @@ def _knn_fill(df, id_col, target, coords, k, mean_value):
 
 def _nearest(queries, donors, n_coords, both, k):
     """The k nearest donors of every query over the shared coordinates, exact.
-    Cells are plain arithmetic on one coordinate, so the plan does not grow with
-    the data; a query is done when its k-th distance is below the distance to
-    the edge of the searched cells, else the radius doubles."""
+    Donors are ranked by the first shared coordinate and cut into cells of equal
+    numbers, so an outlier widens its own cell only, and a value that many
+    donors share fills several. A query starts in the cells at its value and is
+    done when its k-th distance is below the distance to the nearest donor
+    outside the cells that it has searched; else it searches four times as many
+    to either side."""
     x, d = f"__q{both[0]}", f"__d{both[0]}"
     keys = [c for c in queries.columns if c.startswith("__q")]
-    m = donors.agg(F.min(d).alias("a"), F.max(d).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    width = (m["b"] - m["a"]) * DONORS_PER_CELL / m["n"] or 1.0
-    last = int((m["b"] - m["a"]) // width)
-
-    def cell(c):
-        return F.greatest(F.lit(-1), F.least(F.lit(last + 1), F.floor((F.col(c) - F.lit(m["a"])) / F.lit(width)))).cast("long")
-    donors = donors.withColumn("__cell", cell(d)).drop("__p")
-    pending = queries.drop("__p").withColumn("__at", cell(x))
+    donors = written(with_rank(donors.drop("__p"), d, "__id", name="__at").withColumn("__cell", F.floor(F.col("__at") / DONORS_PER_CELL).cast("long")).drop("__at"))
+    ends = written(donors.groupBy("__cell").agg(F.min(d).alias("__low"), F.max(d).alias("__high")))
+    last = ends.agg(F.max("__cell")).first()[0]
+    # the last cell that starts at or below the query, by merging both in order
+    marks = ends.select(F.col("__low").alias("__x"), F.lit(0).alias("__kind"), F.col("__cell").alias("__c"), *[F.lit(None).cast("double").alias(c) for c in keys])
+    asked = queries.drop("__p").select(F.col(x).alias("__x"), F.lit(1).alias("__kind"), F.lit(None).cast("long").alias("__c"), *keys)
+    merged = with_last(marks.unionByName(asked), "__c", "__x", "__kind", "__c", name="__home").where("__kind = 1")
+    pending = written(merged.select(*keys, F.coalesce("__home", F.lit(0)).alias("__home")))
     scale = (n_coords + 1) / len(both)
     square = sum(((F.col(f"__q{i}") - F.col(f"__d{i}")) ** 2 for i in both), F.lit(0.0))
     done, radius = None, 1
     while True:
-        low, high = F.col("__at") - radius, F.col("__at") + radius
-        cells = F.sequence(F.greatest(low, F.lit(0)), F.least(high, F.lit(last)))
-        ask = pending.select("*", F.explode(F.when(F.greatest(low, F.lit(0)) <= F.least(high, F.lit(last)), cells)).alias("__cell"))
+        low, high = F.greatest(F.col("__home") - radius, F.lit(0)), F.least(F.col("__home") + radius, F.lit(last))
+        ask = pending.select("*", low.alias("__from"), high.alias("__to"), F.explode(F.sequence(low, high)).alias("__cell"))
         near = ask.join(donors, "__cell").withColumn("__dist", F.sqrt(square * F.lit(scale)))
         order = Window.partitionBy(*keys).orderBy("__dist", "__id")
         near = near.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= k)
-        # distance to the first unsearched cell on either side; none is left beyond the ends
-        left = F.when(low > 0, F.col(x) - (F.lit(m["a"]) + low * F.lit(width))).otherwise(F.lit(float("inf")))
-        right = F.when(high < last, F.lit(m["a"]) + (high + 1) * F.lit(width) - F.col(x)).otherwise(F.lit(float("inf")))
-        edge = F.least(left, right) * F.lit(scale ** 0.5)
-        all_seen = (low <= 0) & (high >= last)
+        # the nearest donor outside lies at the end of the cell before or at the start of the one after
+        before = ends.select((F.col("__cell") + 1).alias("__from"), F.col("__high").alias("__before"))
+        after = ends.select((F.col("__cell") - 1).alias("__to"), F.col("__low").alias("__after"))
+        far = F.lit(float("inf"))
+        edge = F.least(F.coalesce(F.col(x) - F.col("__before"), far), F.coalesce(F.col("__after") - F.col(x), far)) * F.lit(scale ** 0.5)
         whole = Window.partitionBy(*keys)
-        near = (near.withColumn("__edge", edge).withColumn("__all", all_seen)
+        near = (near.join(before, "__from", "left").join(after, "__to", "left").withColumn("__edge", edge)
                 .withColumn("__n", F.count(F.lit(1)).over(whole)).withColumn("__far", F.max("__dist").over(whole))
-                .filter(F.col("__all") | ((F.col("__n") >= k) & (F.col("__far") < F.col("__edge") * (1 - 1e-9))))
-                .select(*keys, "__dist", "__id", "__v")).checkpoint(eager=True)
+                .filter((F.col("__edge") == far) | ((F.col("__n") >= k) & (F.col("__far") < F.col("__edge") * (1 - 1e-9)))))
+        near = written(near.select(*keys, "__dist", "__id", "__v"))
         done = near if done is None else done.unionByName(near)
         settled = near.select(*keys).distinct()
         match = [F.col(f"p.{c}").eqNullSafe(F.col(f"s.{c}")) for c in keys]
-        pending = pending.alias("p").join(settled.alias("s"), match, "left_anti").checkpoint(eager=True)
+        pending = written(pending.alias("p").join(settled.alias("s"), match, "left_anti"))
         if pending.isEmpty():
             return done
         radius *= 4

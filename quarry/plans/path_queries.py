@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import round_doubles
 from quarry.operators import spatial as SP
 from quarry.plans.catalog import register
+from quarry.session import table
 from quarry.sources import geo as GE
 
 PLACES_SQL = """
@@ -70,6 +71,23 @@ def nearest_goal(spark, sf):
     return round_doubles(SP.nearest_goal(p, p.filter(F.col("key").isin(GE.GOAL_KEYS))))
 
 
+def _point(k: str) -> tuple[str, str]:
+    """Coordinates of a customer or supplier: a rule of its key."""
+    return f"({k} * 37 % 1801) / 10.0 - 90", f"({k} * 101 % 3600) / 10.0 - 180"
+
+
+@register("nearest_supplier", f"""WITH c AS (SELECT c_name AS place, {_point('c_custkey')[0]} AS lat, {_point('c_custkey')[1]} AS lon FROM customer),
+s AS (SELECT s_name AS goal, {_point('s_suppkey')[0]} AS gl, {_point('s_suppkey')[1]} AS go FROM supplier),
+d AS (SELECT place, goal, {hav('lat', 'lon', 'gl', 'go')} AS h FROM c, s)
+SELECT place, round(min(h), 6) AS h, arg_min(goal, (h, goal)) AS nearest_goal FROM d GROUP BY place""")
+def nearest_supplier(spark, sf):
+    """SP3 where places and goals both grow: every customer's nearest supplier."""
+    def points(name, key, label):
+        lat, lon = _point(key)
+        return table(spark, sf, name).select(F.col(label).alias("place"), F.expr(lat).cast("double").alias("lat"), F.expr(lon).cast("double").alias("lon"))
+    return round_doubles(SP.nearest_goal(points("customer", "c_custkey", "c_name"), points("supplier", "s_suppkey", "s_name")))
+
+
 @register("neighbour_weights", f"""WITH {COSTS_SQL},
 g AS (SELECT place AS goal, lat AS gl, lon AS go FROM places WHERE key IN ({GOALS})),
 hh AS (SELECT p.place, min({hav('p.lat', 'p.lon', 'g.gl', 'g.go')}) AS h FROM places p, g GROUP BY p.place),
