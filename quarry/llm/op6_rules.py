@@ -24,12 +24,16 @@ SPACES = b" \t\n\r\x0b\x0c"
 class Bands:
     """Limits: ``whole`` rows are (least bytes, lowest ratio, highest ratio);
     the last row whose byte bound is reached holds, below the first row a text
-    is too short to judge. Chunks of ``chunk_bytes`` (a last one under half of
+    is too short to judge. The lowest ratios lie between prose and noise of the
+    same length: line-wrapped base64 and random letters with digits stay below
+    them at every length, random lower-case words from 2 048 bytes on (shorter
+    ones pack like prose). Chunks of ``chunk_bytes`` (a last one under half of
     that is not judged) use one band; the text fails if more than
     ``chunk_share`` of its judged chunks lie outside."""
-    whole: tuple = ((256, 1.05, 4.0), (1024, 1.2, 4.5), (4096, 1.3, 5.5), (16384, 1.4, 7.0))
+    whole: tuple = ((256, 1.25, 4.0), (384, 1.3, 4.0), (512, 1.37, 4.0), (768, 1.47, 4.0), (1024, 1.58, 4.5), (2048, 1.75, 4.5),
+                    (4096, 1.87, 5.5), (8192, 2.04, 5.5), (16384, 2.15, 7.0))
     chunk_bytes: int = 2048
-    chunk: tuple = (1.2, 5.0)
+    chunk: tuple = (1.7, 5.0)
     chunk_share: float = 0.3
     level: int = 3
 

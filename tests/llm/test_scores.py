@@ -1,5 +1,6 @@
 """op2, op5, op6, op8, op10: brute force where there is one, held-out accuracy else."""
 
+import base64
 import math
 import re
 import zlib
@@ -89,6 +90,18 @@ def test_bands_reject_noise_and_repetition():
     assert not op6_rules.verdict(b"the same words again " * 300, compress, bands)[3]
     half = prose[:4000] + b"again and again " * 500  # fine as a whole text of that length, not in its chunks
     assert not op6_rules.verdict(half, compress, bands)[3]
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+    marks = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", np.uint8)
+
+    def words(alphabet, size):
+        text, gaps = rng.choice(alphabet, size), np.cumsum(rng.integers(3, 10, size))
+        text[gaps[gaps < size]] = 32
+        return text.tobytes()
+    for size in (300, 450, 600, 900, 1500, 3000, 6000, 12000, 40000):
+        wrapped = base64.encodebytes(rng.bytes(size))[:size]
+        assert not op6_rules.verdict(wrapped, compress, bands)[3], size
+        assert not op6_rules.verdict(words(marks, size), compress, bands)[3], size
+        assert size < 2048 or not op6_rules.verdict(words(letters, size), compress, bands)[3], size
     assert op6_rules.verdict(b"", compress, bands)[3]
 
 
