@@ -146,12 +146,27 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         per_slice(run), "doc_id long, lang_pred string, score double, languages array<string>")
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows, all columns unchanged, whose language is not ``und``."""
+def keep_identified(docs: DataFrame, model: Model, languages: list[str] | None = None, least: float = 0.5,
+                    lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """The rows whose predicted language is one of ``languages`` (None: any that
+    the model has learned) and makes up at least ``least`` of the document. A
+    null ``lang_col`` gets the prediction; all other values, columns and their
+    order stay. Null texts, texts without a letter and mixtures without a
+    majority go; repeated rows are judged alike; an empty table, or a model
+    without languages, gives none."""
     schema = docs.schema
+    chosen = np.array([languages is None or name in languages for name in model.languages], dtype=bool)
+    names = pa.array(model.languages, pa.string())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = pc.fill_null(batch.column(batch.schema.get_field_index(text_col)).cast(pa.string()), "")
-        known = np.asarray(pc.match_substring_regex(texts, r"\p{L}"))
-        return batch.filter(pa.array(known & (mixtures(model, texts).sum(axis=1) > 0)))
+        share = mixtures(model, texts)
+        best = share.argmax(axis=1) if len(names) else np.zeros(len(texts), np.int64)
+        fine = np.asarray(pc.match_substring_regex(texts, r"\p{L}")) & (share.max(axis=1, initial=0.0) >= max(least, 1e-12))
+        if len(names):
+            fine &= chosen[best]
+        columns, at = list(batch.columns), batch.schema.get_field_index(lang_col)
+        if at >= 0 and len(names):
+            columns[at] = pc.coalesce(columns[at], names.take(pa.array(best)).cast(columns[at].type))
+        return pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(fine))
     return docs.mapInArrow(per_slice(run, text_col), schema)
