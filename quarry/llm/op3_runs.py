@@ -235,17 +235,49 @@ def _rank_in(values: np.ndarray, low: np.ndarray, high: np.ndarray, x: np.ndarra
     return a - low
 
 
+def occur_again(texts: list[bytes], windows: np.ndarray) -> np.ndarray:
+    """Mask over all windows of the texts that leaves out windows alone of their
+    hash. Equal windows have equal hashes and always stay; a few others stay as
+    well: the hash picks a cell of a table, three times, from other bits."""
+    h = gram_hash(np.frombuffer(b"".join(texts), np.uint8), WINDOW)
+    begin = np.cumsum(windows) - windows
+    at = np.arange(int(windows.sum())) + np.repeat((np.arange(len(texts))) * (WINDOW - 1), windows)
+    h, left = h[at], np.arange(len(at))
+    bits = max(int(len(h)).bit_length() + 1, 8)
+    for k in range(3):
+        cell = ((h[left] >> np.uint64(k * (64 - bits) // 2)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+        left = left[np.bincount(cell, minlength=1 << bits)[cell] > 1]
+    mask = np.zeros(len(h), bool)
+    mask[left] = True
+    # windows between two such are taken along, so that texts are cut where they share nothing
+    own = np.repeat(np.arange(len(texts)), windows)
+    near = np.flatnonzero((np.diff(left) > 1) & (np.diff(left) <= WINDOW) & (own[left[1:]] == own[left[:-1]])) if len(left) else left
+    edge = np.zeros(len(h) + 1, np.int32)
+    edge[left[near] + 1] += 1
+    edge[left[near + 1]] -= 1
+    return mask | (np.cumsum(edge[:-1]) > 0)
+
+
 def smaller_has_window(texts: list[bytes], windows: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Mask over all windows of the segments. Equal segments are indexed and
-    streamed once, under their smallest id."""
+    """Mask over all windows of the segments. Equal segments are one, under their
+    smallest id; stretches whose windows occur again are indexed and streamed."""
     d = pa.array(texts, pa.binary()).dictionary_encode()
     which, distinct = np.asarray(d.indices, dtype=np.int64), d.dictionary.to_pylist()
     low = np.full(len(distinct), np.iinfo(np.int64).max)
     np.minimum.at(low, which, ids)
-    _, label = RunLengthIndex(distinct, low).matches(distinct)
     n = np.fromiter(map(len, distinct), np.int64, len(distinct)) - WINDOW + 1
-    least = np.concatenate([x[:k] for x, k in zip(label, n.tolist())])
     begin = np.cumsum(n) - n
+    least = np.repeat(low, n)
+    again = occur_again(distinct, n)
+    own = np.repeat(np.arange(len(distinct)), n)
+    joint = again & np.append(False, again[:-1] & (own[1:] == own[:-1]))
+    first = np.flatnonzero(again & ~joint)
+    if len(first):
+        count = np.diff(np.append(np.flatnonzero((again & ~joint)[again]), int(again.sum())))
+        place = first - begin[own[first]]
+        pieces = [distinct[t][p:p + k + WINDOW - 1] for t, p, k in zip(own[first].tolist(), place.tolist(), count.tolist())]
+        _, label = RunLengthIndex(pieces, low[own[first]]).matches(pieces)
+        least[again] = np.concatenate([x[:k] for x, k in zip(label, count.tolist())])
     base = np.cumsum(windows) - windows
     at = np.repeat(begin[which] - base, windows) + np.arange(int(windows.sum()))
     return np.repeat(ids, windows) > least[at]

@@ -132,3 +132,29 @@ def test_gram_names_are_exact():
 def test_runs():
     a, b = runs(np.array([True, True, False, True]))
     assert a.tolist() == [0, 3] and b.tolist() == [2, 4]
+
+
+def test_windows_that_occur_again():
+    """Windows of small alphabets, equal texts and single windows against a dictionary of all windows."""
+    import random
+
+    import numpy as np
+    from quarry.llm import op3_runs
+    r = random.Random(0)
+    for _ in range(40):
+        base = ["".join(r.choices("ab ", k=r.randint(60, 300))) for _ in range(4)]
+        texts = []
+        for _ in range(r.randint(1, 25)):
+            b = r.choice(base)
+            a = r.randint(0, len(b) - 55)
+            ends = ["".join(r.choices("abc", k=r.choice([0, 5, 80]))) for _ in range(2)]
+            texts.append((ends[0] + b[a:a + r.randint(50, 300)] + ends[1]).encode())
+        texts = [t for t in texts if len(t) >= 50] or [b"x" * 50]
+        ids, windows = np.array([r.randint(0, 9) for _ in texts]), np.array([len(t) - 49 for t in texts])
+        every = [t[k:k + 50] for t in texts for k in range(len(t) - 49)]
+        least, often = {}, {}
+        for w, i in zip(every, np.repeat(ids, windows).tolist()):
+            least[w], often[w] = min(least.get(w, 99), i), often.get(w, 0) + 1
+        again = op3_runs.occur_again(texts, windows)
+        assert all(again[k] for k, w in enumerate(every) if often[w] > 1)
+        assert op3_runs.smaller_has_window(texts, windows, ids).tolist() == [i > least[w] for w, i in zip(every, np.repeat(ids, windows).tolist())]
