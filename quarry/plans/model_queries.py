@@ -78,6 +78,48 @@ def residuals(spark, sf):
                      F.round(O._resid_expr(f), 3).alias("resid"))
 
 
+def _single() -> str:
+    return f"""{SQ.feat_sql()},
+f AS (SELECT * FROM feat WHERE {SQ._notnull_sql(SQ.FEATURE_COLS)} AND date BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}'),
+c AS (SELECT regr_intercept(volume, csad) AS b0, regr_slope(volume, csad) AS b1, avg(csad) AS mx, regr_sxx(volume, csad) AS sxx, count(*) AS n FROM f),
+r AS (SELECT date, volume - (b0 + b1 * csad) AS e FROM f, c)"""
+
+
+@register("regression_table_single", lambda: f"""WITH {_single()},
+s AS (SELECT sum(e * e) / (max(n) - 2) AS s2 FROM r, c)
+SELECT 'Intercept' AS term, round(b0, 4) AS coef, round(sqrt(s2 * (1.0 / n + mx * mx / sxx)), 4) AS std_err, round(b0 / sqrt(s2 * (1.0 / n + mx * mx / sxx)), 4) AS t FROM c, s
+UNION ALL SELECT 'csad', round(b1, 4), round(sqrt(s2 / sxx), 4), round(b1 / sqrt(s2 / sxx), 4) FROM c, s""")
+def regression_table_single(spark, sf):
+    """R2: coefficients, standard errors and t of the non-robust fit (one predictor)."""
+    df = regression_frame(spark, sf)
+    f = O.fit_from_gram(O.gram(df, ["csad"], Y), Y, ["csad"])
+    return spark.createDataFrame([(r[0], *(round(v, 4) for v in r[1:4])) for r in O.coef_table(f)], "term string, coef double, std_err double, t double")
+
+
+@register("residual_diagnostics", lambda: f"""WITH {_single()},
+d AS (SELECT e, e - lag(e) OVER (ORDER BY date) AS de FROM r),
+m AS (SELECT count(*) AS n, sum(de * de) / sum(e * e) AS dw, avg(e) AS mu FROM d),
+k AS (SELECT avg((e - mu) ** 2) AS m2, avg((e - mu) ** 3) AS m3, avg((e - mu) ** 4) AS m4 FROM d, m),
+x AS (SELECT n, dw, m3 / m2 ** 1.5 AS skew, m4 / m2 ** 2 AS kurt FROM m, k)
+SELECT round(dw, 6) AS durbin_watson, round(skew, 6) AS skew, round(kurt, 6) AS kurtosis, round(n / 6.0 * (skew ** 2 + (kurt - 3) ** 2 / 4), 4) AS jarque_bera FROM x""")
+def residual_diagnostics(spark, sf):
+    """R9 + W8: Durbin-Watson by the residual before, skewness, kurtosis, Jarque-Bera (one predictor)."""
+    df = regression_frame(spark, sf)
+    d = O.residual_diagnostics(df, O.fit_from_gram(O.gram(df, ["csad"], Y), Y, ["csad"]))
+    return spark.createDataFrame([(*(round(d[c], 6) for c in ("durbin_watson", "skew", "kurtosis")), round(d["jarque_bera"], 4))],
+                                 "durbin_watson double, skew double, kurtosis double, jarque_bera double")
+
+
+@register("vif_pair", lambda: f"""WITH {_single()},
+v AS (SELECT 1 / (1 - corr(csad, volatility) ** 2) AS vif FROM f)
+SELECT unnest(['csad', 'volatility']) AS feature, round(vif, 6) AS vif FROM v""")
+def vif_pair(spark, sf):
+    """Variance inflation of two predictors."""
+    df = regression_frame(spark, sf)
+    rows = O.vif(O.gram(df, ["csad", "volatility"], Y), ["csad", "volatility"])
+    return spark.createDataFrame([(n, round(v, 6)) for n, v in rows if n != "Intercept"], "feature string, vif double")
+
+
 @register("regression_summary")
 def regression_summary(spark, sf):
     """Fit statistics, residual diagnostics, Breusch-Pagan."""
