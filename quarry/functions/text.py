@@ -56,12 +56,14 @@ def _fold_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
 def fold_accents(c) -> Column:                      # T3
     """NFKD + drop non-ASCII, as a JVM expression (no Python UDF)."""
     src, dst, multi = _fold_table()
-    col = F.translate(_c(c), src, dst)
+    given = _c(c)
+    col = F.translate(given, src, dst)
     table = F.create_map(*[F.lit(x) for pair in multi for x in pair])
     letters = F.transform(F.regexp_extract_all(col, F.lit("(?s)."), 0), lambda x: F.coalesce(F.try_element_at(table, x), x))
     # the multi-character replacements only run on the rare rows that need them
     col = F.when(col.rlike("[" + "".join(ch for ch, _ in multi) + "]"), F.concat_ws("", letters)).otherwise(col)
-    return F.regexp_replace(col, NON_ASCII_RE, "")
+    # plain ASCII, most texts, is looked at once and left alone
+    return F.when(given.rlike(NON_ASCII_RE), F.regexp_replace(col, NON_ASCII_RE, "")).otherwise(given)
 
 
 def remove_control(c, replacement: str = "") -> Column:   # T4 (Q18: default joins words)

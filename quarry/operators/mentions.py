@@ -27,13 +27,14 @@ def alias_table(entities: list[tuple[str, list[str]]] | None = None,
 
 
 def mentions_expr(text, table: list[tuple[str, list[str]]] | None = None,
-                  match: str = "substring") -> Column:
+                  match: str = "substring", lowered: bool = False) -> Column:
     """Sorted array of distinct entities named in ``text``.
 
     ``match='substring'`` reproduces case-insensitive substring hits (Q4);
     ``match='word'`` requires word boundaries."""
     table = alias_table() if table is None else table
-    low = F.lower(F.col(text) if isinstance(text, str) else text)
+    low = F.col(text) if isinstance(text, str) else text
+    low = low if lowered else F.lower(low)
     hits = []
     for ent, aliases in sorted(table, key=lambda x: x[0]):
         if match == "word":
@@ -49,7 +50,9 @@ def mentions_expr(text, table: list[tuple[str, list[str]]] | None = None,
 
 
 def with_mentions(units: DataFrame, **kw) -> DataFrame:
-    return units.withColumn("mentions", mentions_expr("text", **kw))
+    """Adds ``mentions``; the text is lowered once, as a column of its own."""
+    low = units.withColumn("__low", F.lower("text"))
+    return low.withColumn("mentions", mentions_expr("__low", lowered=True, **kw)).drop("__low")
 
 
 def mention_rows(units: DataFrame, **kw) -> DataFrame:
