@@ -94,7 +94,7 @@ def truncated_svd(counts: DataFrame, keys: list[str], k: int = 5, extra: int = 8
         v = written(_times(z, keys, "term", cols, {g: _orthonormal(m) for g, m in _small(z, keys, cols).items()}))
     turned = {g: np.linalg.eigh(m)[1][:, ::-1] for g, m in inner.items()}
     final = _times(v, keys, "term", cols, turned)
-    found = [(*g, i, float(s)) for g, values in before.items() for i, s in enumerate(values) if s > 1e-9 * values.max()]
+    found = [(*g, i, float(s)) for g, values in before.items() for i, s in enumerate(values) if s > 1e-7 * values.max()]  # roots of sums: exact to about 1e-8
     names = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in counts.select(*keys).schema.fields), "topic int, value double"])
     singular = counts.sparkSession.createDataFrame(found, names)
     stacked = F.array(*[F.struct(F.lit(i).alias("topic"), F.col(cols[i]).alias("weight")) for i in range(k)])
