@@ -1,13 +1,16 @@
-"""Substring dedup by minimiser groups and exact window names.
-
-Every position has the hash of a variable-length prefix: the shortest run of
-words that holds ``PREFIX_BYTES`` bytes, at most ``PREFIX_WORDS`` words, so
-common short words make longer prefixes. The smallest hash inside a window of
-``window`` words names its group (see ``segments``). In a group every window has
-an exact name (names of 1, 2, 4, 8 .. words, joined pairwise). This stands in
-for a suffix tree: there is one depth, ``window``, and there are no inner nodes.
-A name with two documents or more is a repeat; neighbouring repeats of a
-document join into maximal ones."""
+"""Substring dedup by prefix-partitioned suffix trees.
+
+Every position has the hash of a variable-length prefix of its suffix: the
+shortest run of words that holds ``PREFIX_BYTES`` bytes, at most
+``PREFIX_WORDS`` words, so common short words make longer prefixes. Suffixes
+that start with one prefix are one group. A suffix is not shipped for each of
+its words: of the suffixes inside a window of ``window`` words, the one with the
+smallest hash places the window, so equal windows always meet and neighbouring
+ones travel together (see ``segments``). A group that is too large is split by
+the longest prefix of use, the whole window. A group's suffix tree (see
+``suffix_tree``) has the repeats as its inner nodes of ``window`` words or more:
+a suffix loses as many words as its deepest such node with a leaf of a smaller
+document has."""
 
 from __future__ import annotations
 
@@ -18,8 +21,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import codes_of, gram_names, words_of
+from quarry.llm.common import codes_of, words_of
 from quarry.llm.segments import Method, Units, applied, mixed, unit_mask, with_spans
+from quarry.llm.suffix_tree import leaves, shared_with_smaller
 
 WINDOW = 13
 PREFIX_WORDS = 5
@@ -55,17 +59,20 @@ def cut_words(text: str, starts: list[int], ends: list[int]) -> list[bytes]:
 
 
 def smaller_has_window(texts: list[bytes], windows: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Mask over all windows of the segments: a smaller document has a window of
-    the same name."""
+    """Mask over all windows of the segments: a smaller document has the window.
+    The suffixes are those that begin a window; a deep node of d words marks the
+    windows inside its words."""
     counts, flat = words_of(pa.array(texts, pa.binary()).cast(pa.string()))
-    names = gram_names(codes_of(flat)[0], WINDOW)
-    first = np.cumsum(counts) - counts
-    base = np.cumsum(windows) - windows
-    at = np.repeat(first - base, windows) + np.arange(int(windows.sum()))
-    leaf, owner = names[at], np.repeat(ids, windows)
-    least = np.full(int(leaf.max()) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(least, leaf, owner)
-    return owner > least[leaf]
+    total = int(windows.sum())
+    at = np.repeat(np.cumsum(counts) - counts - (np.cumsum(windows) - windows), windows) + np.arange(total)
+    order, common = leaves(codes_of(flat)[0], counts, at)
+    deep = np.zeros(total, np.int64)
+    deep[order] = shared_with_smaller(np.repeat(ids, windows)[order], common, WINDOW)
+    hit = np.flatnonzero(deep)
+    edge = np.zeros(total + 1, np.int32)
+    np.add.at(edge, hit, 1)
+    np.add.at(edge, hit + deep[hit] - WINDOW + 1, -1)
+    return np.cumsum(edge[:-1]) > 0
 
 
 WORDS = Method(WINDOW, PREFIX_WORDS, word_units, cut_words, word_groups, smaller_has_window, most_windows=32)

@@ -6,7 +6,7 @@ from dataclasses import replace
 import numpy as np
 import pytest
 
-from quarry.llm import op1_substrings, op3_runs, segments
+from quarry.llm import op1_substrings, op3_runs, segments, suffix_tree
 from quarry.llm.common import gram_names, runs
 
 
@@ -158,3 +158,64 @@ def test_windows_that_occur_again():
         again = op3_runs.occur_again(texts, windows)
         assert all(again[k] for k, w in enumerate(every) if often[w] > 1)
         assert op3_runs.smaller_has_window(texts, windows, ids).tolist() == [i > least[w] for w, i in zip(every, np.repeat(ids, windows).tolist())]
+
+
+def word_sequences(seed, letters, longest):
+    rng = random.Random(seed)
+    return [[rng.randrange(letters) for _ in range(rng.randint(0, longest))] for _ in range(rng.randint(1, 12))]
+
+
+@pytest.mark.parametrize("seed, letters, longest", [(s, k, n) for s in range(12) for k, n in ((1, 20), (2, 30), (5, 44))])
+def test_suffix_tree_leaves_and_inner_nodes(seed, letters, longest):
+    seqs = word_sequences(seed, letters, longest)
+    counts = np.array([len(s) for s in seqs])
+    words = np.array([w for s in seqs for w in s], dtype=np.int64)
+    suffixes = [tuple(s[k:]) for s in seqs for k in range(len(s))]
+    order, common = suffix_tree.leaves(words, counts, np.arange(len(words)))
+    in_order = [suffixes[i] for i in order]
+    assert in_order == sorted(suffixes)
+
+    def shared(a, b):
+        return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    assert common.tolist() == [shared(a, b) for a, b in zip(in_order, in_order[1:])]
+    # an inner node: words that at least two suffixes begin with and not all of these go on with alike
+    nodes = {(d, in_order[a][:d], b - a) for d, first, end in suffix_tree.inner_nodes(common, 2) for a, b in zip(first.tolist(), end.tolist())}
+    want = set()
+    for x in {s[:d] for s in suffixes for d in range(2, len(s) + 1)}:
+        have = [s for s in suffixes if s[:len(x)] == x]
+        if len(have) > 1 and len({s[len(x)] if len(s) > len(x) else ("end", i) for i, s in enumerate(have)}) > 1:
+            want.add((len(x), x, len(have)))
+    assert nodes == want
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_suffix_tree_depths_and_maximal_repeats(seed):
+    seqs = word_sequences(seed, 3, 40)
+    counts = np.array([len(s) for s in seqs])
+    words = np.array([w for s in seqs for w in s], dtype=np.int64)
+    places = [(i, k) for i, s in enumerate(seqs) for k in range(len(s))]
+    order, common = suffix_tree.leaves(words, counts, np.arange(len(words)))
+    ids = np.array([i % 4 for i, _ in places], dtype=np.int64)
+    got = np.zeros(len(words), np.int64)
+    got[order] = suffix_tree.shared_with_smaller(ids[order], common, 4)
+
+    def depth(p, q):
+        (i, a), (j, b) = places[p], places[q]
+        x, y = seqs[i][a:], seqs[j][b:]
+        return next((k for k, (u, v) in enumerate(zip(x, y)) if u != v), min(len(x), len(y)))
+    for p in range(len(words)):
+        best = max([depth(p, q) for q in range(len(words)) if ids[q] < ids[p]], default=0)
+        assert got[p] == (best if best >= 4 else 0)
+    # maximal: no longer common string on either side
+    found = {(n, tuple(at.tolist())) for n, at in suffix_tree.maximal_repeats(words, counts, 4)}
+    where = {}
+    for p, (i, k) in enumerate(places):
+        for n in range(4, len(seqs[i]) - k + 1):
+            where.setdefault(tuple(seqs[i][k:k + n]), []).append(p)
+    want = set()
+    for x, at in where.items():
+        left = {seqs[places[p][0]][places[p][1] - 1] if places[p][1] else ("begin", p) for p in at}
+        right = {seqs[places[p][0]][places[p][1] + len(x)] if places[p][1] + len(x) < len(seqs[places[p][0]]) else ("end", p) for p in at}
+        if len(at) > 1 and len(left) > 1 and len(right) > 1:
+            want.add((len(x), tuple(at)))
+    assert found == want
