@@ -19,6 +19,7 @@ CONTROL_RE = r"[\x00-\x1f\x7f-\x9f]"
 NON_WORD_RE = r"[^\w\s\.,!?'\"\-]"
 NON_ASCII_RE = r"[^\x00-\x7f]"
 TOKEN_RE = r"\b[a-z_]+\b"
+LEMMA_TOKEN_RE = r"\w+|[^\w\s]"
 
 
 def _c(c) -> Column:
@@ -78,16 +79,20 @@ def collapse_ws(c) -> Column:                       # T6
     return F.trim(F.regexp_replace(_c(c), r"\s+", " "))
 
 
-def normalize_text(c, legacy: bool = False) -> Column:     # T7
-    """Full cleaning chain in the reference order. ``legacy`` skips the
-    e-mail / URL steps like the older variant."""
+def normalize_text(c, legacy: bool = False, symbols: list[tuple[str, str]] | None = None,
+                   lemmas: list[tuple[str, str]] | None = None) -> Column:     # T7
+    """Full cleaning chain in the reference order: symbols to names, e-mails,
+    URLs, accents, control characters, other signs, white space, lemmas. Symbol
+    and lemma tables are the caller's; without one its step is left out.
+    ``legacy`` skips the e-mail / URL steps and both tables like the older variant."""
     col = _c(c)
     if not legacy:
-        col = remove_urls(remove_emails(col))
+        col = remove_urls(remove_emails(replace_table(col, symbols or [])))
     col = fold_accents(col)
     col = remove_control(col)
     col = keep_word_chars(col)
-    return collapse_ws(col)
+    col = collapse_ws(col)
+    return lemmatize_text(col, lemmas) if lemmas and not legacy else col
 
 
 def replace_aliases(c, lookup: list[tuple[str, str]] | None = None) -> Column:  # T10
@@ -180,6 +185,14 @@ def replace_table(c, pairs: list[tuple[str, str]]) -> Column:
     return col
 
 
+def lemmatize_text(c, lemmas: list[tuple[str, str]]) -> Column:
+    """T9 on a text: words and single punctuation marks, each word by its lemma
+    (looked up in lower case; other words stay as they are), joined by a space."""
+    parts = F.regexp_extract_all(_c(c), F.lit(LEMMA_TOKEN_RE), 0)
+    m = F.create_map(*[F.lit(x) for pair in lemmas for x in pair])
+    return F.array_join(F.transform(parts, lambda w: F.coalesce(F.try_element_at(m, F.lower(w)), w)), " ")
+
+
 def lemmatize_tokens(tokens, lemmas: list[tuple[str, str]]) -> Column:
     """T9 (re-aimed lemmatiser): map each token through a caller-supplied
     (form, lemma) table compiled into a literal map; unknown forms stay."""

@@ -68,6 +68,17 @@ def most_common_words(stats: DataFrame, n: int = 50,
                     "avg_sentiment"))
 
 
+def word_list_weights(words: DataFrame, stats: DataFrame, n: int = 200) -> DataFrame:
+    """Weights of a supplied word list, one row (period, token) for each
+    time a word is in it: its n most frequent words (ties: token ascending) with
+    their mean sentiment in ``stats``, 0 for a word that the texts do not have."""
+    w = Window.partitionBy("period").orderBy(F.col("count").desc(), F.col("token"))
+    top = (words.groupBy("period", "token").agg(F.count("*").cast("bigint").alias("count"))
+           .withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= n))
+    return (top.join(stats.select("period", "token", "avg_sentiment"), ["period", "token"], "left")
+            .select("period", "rank", "token", "count", F.coalesce("avg_sentiment", F.lit(0.0)).alias("avg_sentiment")))
+
+
 def sentiment_extremes(stats: DataFrame, n: int = 10,
                        min_freq: int = params.MIN_WORD_FREQ) -> DataFrame:
     """N lowest and n highest mean-sentiment words above min frequency."""

@@ -45,12 +45,28 @@ LEXICON: list[tuple[str, float]] = [
     ("ha", 0.9), ("nd", -0.8), ("ea", 0.4), ("ly", -0.3),
 ]
 
-NEGATIONS: list[str] = ["not", "nicht", "pas", "never", "ohne", "sin", "nie"]
+NEGATIONS: list[str] = ["not", "nicht", "pas", "never", "ohne", "sin", "nie", "thhe"]
 
 # VADER's published constants: compound = s / sqrt(s*s + alpha); a negated
-# word has its valence multiplied by the negation scalar.
+# word has its valence multiplied by the negation scalar; a booster moves the
+# valence by 0.293, less one and two words further away; capitals by 0.733; an
+# exclamation mark adds 0.292, two or three question marks 0.18 each, more 0.96.
 VADER_ALPHA = 15.0
 NEGATION_SCALAR = -0.74
+BOOST = 0.293
+FADE = (1.0, 0.95, 0.9)
+CAPS = 0.733
+SHOUT = 0.292
+ASK = 0.18
+ASK_MOST = 0.96
+
+# Booster and contrast words for the generated test tables (words
+# of their languages and frequent invented ones).
+BOOSTERS: list[tuple[str, float]] = [
+    ("very", BOOST), ("sehr", BOOST), ("trop", BOOST), ("muy", BOOST), ("that", BOOST), ("thou", BOOST), ("erea", BOOST),
+    ("slightly", -BOOST), ("kaum", -BOOST), ("peu", -BOOST), ("thed", -BOOST), ("onre", -BOOST),
+]
+CONTRAST: list[str] = ["but", "aber", "mais", "pero", "thor"]
 
 # name, start (inclusive), end (inclusive, midnight of the last day; Q3)
 PERIODS: list[tuple[str, str, str]] = [
@@ -119,3 +135,9 @@ LEMMAS: list[tuple[str, str]] = [
     ("things", "thing"), ("erings", "ering"), ("tions", "tion"), ("eas", "ea"),
     ("thes", "the"), ("ered", "er"), ("ering", "er"),
 ]
+
+# A small (symbol, name) table for the re-aimed emoji names.
+SYMBOLS: list[tuple[str, str]] = [
+    ("\U0001F600", "grinning_face"), ("\U0001F44D", "thumbs_up"), ("\u2764", "red_heart"),
+    ("\u00df", "sharp_s"), ("&", "ampersand"), ("%", "percent_sign"), ("$", "dollar_sign"),
+]

@@ -111,16 +111,24 @@ def _paths(spark, sf):
     return p, c, starts, goals
 
 
-def _sp_sql(beam=None):
-    return f"""WITH {COSTS_SQL},
-sp AS (WITH RECURSIVE r(start, node, cost, hops, path) USING KEY (start, node) AS (
+HEURISTIC_SQL = f"""
+g AS (SELECT place AS goal, lat AS gl, lon AS go FROM places WHERE key IN ({GOALS})),
+hh AS (SELECT p.place, min({hav('p.lat', 'p.lon', 'g.gl', 'g.go')}) AS h FROM places p, g GROUP BY p.place),
+near AS (SELECT c.place, c.neighbor, c.cost, hh.h, row_number() OVER (PARTITION BY c.place ORDER BY hh.h, c.neighbor) AS r
+         FROM costs c JOIN hh ON hh.place = c.neighbor)"""
+
+
+def _paths_ctes(edges="costs"):
+    """``sp``: least-cost paths over ``edges``; ``st``, ``gl``, ``best``: starts,
+    goals and each start's best path to a goal of its colour."""
+    return f"""sp AS (WITH RECURSIVE r(start, node, cost, hops, path) USING KEY (start, node) AS (
     SELECT place, place, 0.0::DOUBLE, 0, [place] FROM places WHERE key IN ({STARTS})
     UNION
     (SELECT start, node, b.cost, b.hops, b.path FROM (
         SELECT f.start, c.neighbor AS node,
                arg_min({{'cost': f.cost + c.cost, 'hops': f.hops + 1, 'path': list_append(f.path, c.neighbor)}},
                        (f.cost + c.cost, f.hops + 1, array_to_string(list_append(f.path, c.neighbor), '|'))) AS b
-        FROM r f JOIN costs c ON c.place = f.node
+        FROM r f JOIN {edges} c ON c.place = f.node
         WHERE NOT list_contains(f.path, c.neighbor)
         GROUP BY f.start, c.neighbor) x
      WHERE NOT EXISTS (SELECT 1 FROM recurring.r q WHERE q.start = x.start AND q.node = x.node
@@ -129,13 +137,17 @@ sp AS (WITH RECURSIVE r(start, node, cost, hops, path) USING KEY (start, node) A
 st AS (SELECT place AS start, colour AS sc FROM places WHERE key IN ({STARTS})),
 gl AS (SELECT place AS node, colour AS gc FROM places WHERE key IN ({GOALS})),
 best AS (SELECT sp.start, arg_min({{'node': sp.node, 'cost': cost, 'hops': hops, 'path': path}}, (cost, hops, array_to_string(path, '|'))) AS b
-         FROM sp JOIN gl ON gl.node = sp.node JOIN st ON st.start = sp.start WHERE gc = sc GROUP BY sp.start)
+         FROM sp JOIN gl ON gl.node = sp.node JOIN st ON st.start = sp.start WHERE gc = sc GROUP BY sp.start)"""
+
+
+def _routes_sql(ctes):
+    return f"""WITH {ctes}
 SELECT st.start, b.node AS goal, round(b.cost, 6) AS cost, b.hops AS hops,
        coalesce(array_to_string(b.path, ' -> '), 'No path found.') AS route
 FROM st LEFT JOIN best USING (start)"""
 
 
-@register("nearest_goal_paths", _sp_sql)
+@register("nearest_goal_paths", lambda: _routes_sql(f"{COSTS_SQL}, {_paths_ctes()}"))
 def nearest_goal_paths(spark, sf):
     """SP4: least-cost path from each start to the nearest same-colour goal."""
     p, c, starts, goals = _paths(spark, sf)
@@ -143,7 +155,8 @@ def nearest_goal_paths(spark, sf):
     return round_doubles(SP.path_to_nearest_goal(paths, starts, goals))
 
 
-@register("beam_paths")
+@register("beam_paths", lambda: _routes_sql(
+    f"{COSTS_SQL}, {HEURISTIC_SQL}, three AS (SELECT place, neighbor, cost FROM near WHERE r <= 3), {_paths_ctes('three')}"))
 def beam_paths(spark, sf):
     """SP5: beam search (k = 3 neighbours nearest a goal per expansion)."""
     p, c, starts, goals = _paths(spark, sf)
@@ -151,14 +164,26 @@ def beam_paths(spark, sf):
     return round_doubles(SP.path_to_nearest_goal(paths, starts, goals))
 
 
-@register("greedy_paths")
+@register("greedy_paths", f"""WITH {COSTS_SQL}, {HEURISTIC_SQL},
+walk AS (WITH RECURSIVE w(start, node, path) AS (
+    SELECT place, place, [place] FROM places WHERE key IN ({STARTS})
+    UNION ALL
+    (SELECT w.start, arg_min(n.neighbor, (n.h, n.neighbor)), list_append(w.path, arg_min(n.neighbor, (n.h, n.neighbor)))
+     FROM w JOIN near n ON n.place = w.node
+     WHERE w.node NOT IN (SELECT goal FROM g) AND NOT list_contains(w.path, n.neighbor) GROUP BY w.start, w.path))
+  SELECT * FROM w)
+SELECT start, arg_max(node, len(path)) AS node, arg_max(node, len(path)) IN (SELECT goal FROM g) AS reached_goal,
+       array_to_string(arg_max(path, len(path)), ' -> ') AS route FROM walk GROUP BY start""")
 def greedy_paths(spark, sf):
     """SP6 (SP5 shares the kernel): greedy descent toward the nearest goal."""
     p, c, starts, goals = _paths(spark, sf)
     return SP.greedy_descent(c, SP.nearest_goal(p, goals), starts, goals)
 
 
-@register("aligned_paths")
+@register("aligned_paths", lambda: f"""WITH {COSTS_SQL}, {_paths_ctes()},
+longest AS (SELECT max(len(b.path)) AS n FROM best)
+SELECT start, CAST(step AS INTEGER) AS step, b.path[least(step, len(b.path))] AS place
+FROM (SELECT start, b, unnest(range(1, n + 1)) AS step FROM best, longest)""")
 def aligned_paths(spark, sf):
     """SP8: step-aligned routes (last place repeated)."""
     p, c, starts, goals = _paths(spark, sf)

@@ -26,22 +26,59 @@ def normalize(x: str) -> str:
     return f"trim(regexp_replace({e}, '\\s+', ' ', 'g'))"
 
 
+def symbol_names(x: str) -> str:
+    for sym, name in params.SYMBOLS:
+        x = f"replace({x}, {S(sym)}, {S(name)})"
+    return x
+
+
+def lemmatized(x: str) -> str:
+    lemma = "MAP {" + ", ".join(f"{S(a)}: {S(b)}" for a, b in params.LEMMAS) + "}"
+    return f"array_to_string(list_transform(regexp_extract_all({x}, {S(T.LEMMA_TOKEN_RE)}), lambda w: coalesce({lemma}[lower(w)], w)), ' ')"
+
+
 def period_case(ts: str) -> str:
     parts = [f"WHEN {ts} BETWEEN TIMESTAMP {S(lo)} AND TIMESTAMP {S(hi)} THEN {S(n)}"
              for n, lo, hi in params.PERIODS]
     return "CASE " + " ".join(parts) + " END"
 
 
-def lex_map() -> str:
-    return "MAP {" + ", ".join(f"{S(w)}: CAST({v!r} AS DOUBLE)" for w, v in params.LEXICON) + "}"
+def word_map(pairs) -> str:
+    return "MAP {" + ", ".join(f"{S(w)}: CAST({v!r} AS DOUBLE)" for w, v in pairs) + "}"
+
+
+def let(name: str, value: str, body: str) -> str:
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
 
 
 def sentiment(x: str) -> str:
-    toks = f"regexp_extract_all(lower({x}), '[a-z]+')"
-    negs = params.sql_list(params.NEGATIONS)
-    s = (f"coalesce(list_sum(list_transform({toks}, lambda t, i: coalesce({lex_map()}[t], 0.0::DOUBLE) * "
-         f"CASE WHEN i > 1 AND list_contains({negs}, {toks}[i-1]) THEN {params.NEGATION_SCALAR}::DOUBLE ELSE 1.0::DOUBLE END)), 0.0::DOUBLE)")
-    return f"round({s} / sqrt({s} * {s} + {params.VADER_ALPHA}::DOUBLE), 4)"
+    """The word rules, one word at a time: w words, t lower-cased, m capitals and
+    others, k place of the first contrast word (0: none)."""
+    lex, boost, p = word_map(params.LEXICON), word_map(params.BOOSTERS), params
+    in_lex, in_boost = params.sql_list([w for w, _ in p.LEXICON]), params.sql_list([w for w, _ in p.BOOSTERS])
+    at = "i - CAST(d AS INTEGER)"
+    sign = "CASE WHEN v < 0 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END"
+    fade = "[" + ", ".join(f"{f}::DOUBLE" for f in p.FADE) + "][CAST(d AS INTEGER)]"
+    strength = f"({boost}[t[{at}]] + CASE WHEN m AND w[{at}] = upper(w[{at}]) THEN {p.CAPS}::DOUBLE ELSE 0.0::DOUBLE END)"
+    moved = f"(v + CASE WHEN list_contains({in_boost}, t[{at}]) THEN {sign} * {strength} * {fade} ELSE 0.0::DOUBLE END)"
+    step = (f"CASE WHEN {at} < 1 OR list_contains({in_lex}, t[{at}]) THEN v "
+            f"WHEN list_contains({params.sql_list(p.NEGATIONS)}, t[{at}]) THEN {moved} * {p.NEGATION_SCALAR}::DOUBLE ELSE {moved} END")
+    own = let("v", f"{lex}[a]", f"v + CASE WHEN m AND w[i] = upper(w[i]) THEN ({sign}) * {p.CAPS}::DOUBLE ELSE 0.0::DOUBLE END")
+    weight = "CASE WHEN k > 0 AND i < k THEN 0.5::DOUBLE WHEN k > 0 AND i > k THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END"
+    value = (f"CASE WHEN list_contains({in_lex}, a) AND NOT list_contains({in_boost}, a) THEN "
+             f"list_reduce([1.0::DOUBLE, 2.0::DOUBLE, 3.0::DOUBLE], lambda v, d: {step}, {own}) * {weight} ELSE 0.0::DOUBLE END")
+    total = f"coalesce(list_sum(list_transform(t, lambda a, i: {value})), 0.0::DOUBLE)"
+    but = f"coalesce(list_position(list_transform(t, lambda a: list_contains({params.sql_list(p.CONTRAST)}, a)), true), 0)"
+    up = "len(list_filter(w, lambda a: a = upper(a)))"
+    total = let("k", but, total)
+    total = let("m", f"{up} > 0 AND {up} < len(w)", total)
+    total = let("t", "list_transform(w, lambda a: lower(a))", total)
+    total = let("w", f"regexp_extract_all({x}, '[A-Za-z]+')", total)
+    n = {c: f"(length({x}) - length(replace({x}, '{c}', '')))" for c in "!?"}
+    marks = (f"(least({n['!']}, 4) * {p.SHOUT}::DOUBLE + CASE WHEN {n['?']} > 3 THEN {p.ASK_MOST}::DOUBLE "
+             f"WHEN {n['?']} > 1 THEN {n['?']} * {p.ASK}::DOUBLE ELSE 0.0::DOUBLE END)")
+    stressed = let("v", total, f"CASE WHEN v = 0 THEN v ELSE v + ({sign}) * {marks} END")
+    return let("v", stressed, f"round(v / sqrt(v * v + {p.VADER_ALPHA}::DOUBLE), 4)")
 
 
 def polarity(x: str, th: float = params.SENTIMENT_THRESHOLD) -> str:

@@ -8,12 +8,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry import params
-from quarry.functions.text import explode_nonempty, replace_aliases, rnd, round_doubles, tokenize
+from quarry.functions.sentiment import with_compound_joined
+from quarry.functions.text import (alpha_tokens, explode_nonempty, normalize_text, replace_aliases, replace_table, rnd,
+                                   round_doubles, tokenize)
 from quarry.operators import topics_tables as TT
 from quarry.operators import words as W
 from quarry.plans import sql as Q
 from quarry.plans.catalog import register
-from quarry.session import written
+from quarry.session import table, written
 from quarry.sources import bindings as B
 
 
@@ -70,6 +72,47 @@ def word_cloud_weights(spark, sf):
     return W.most_common_words(s, 200)
 
 
+@register("word_list_weights", lambda: f"""WITH {Q.terms_ctes()},
+l AS (SELECT period, unnest(list_filter(string_split(lower(text), ' '), lambda w: regexp_full_match(w, '[a-z]+') AND length(w) >= 3)) AS token
+      FROM units WHERE kind = 'title'),
+c AS (SELECT period, token, count(*) AS count FROM l GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY period ORDER BY count DESC, token) AS rank FROM c)
+SELECT period, rank, token, r.count, coalesce(avg_sentiment, 0.0) AS avg_sentiment
+FROM r LEFT JOIN word_stats USING (period, token) WHERE rank <= 200""")
+def word_list_weights(spark, sf):
+    """Weights of a supplied word list (here the words of the titles) with
+    the mean sentiment of their texts."""
+    u, s = _stats(spark, sf, again=True)
+    titles = u.filter("kind = 'title'").withColumn("words", alpha_tokens("text", 3))
+    return W.word_list_weights(explode_nonempty(titles, "words", "token", "period"), s)
+
+
+@register("normalized_texts", lambda: f"""WITH {Q.UNITS_RAW}
+SELECT unit_id, {Q.lemmatized(Q.normalize(Q.symbol_names('raw_text')))} AS text FROM units_raw""")
+def normalized_texts(spark, sf):
+    """The whole cleaning chain with its symbol (T8) and lemma (T9) tables."""
+    chain = normalize_text("raw_text", symbols=params.SYMBOLS, lemmas=params.LEMMAS)
+    return B.post_units_raw(spark, sf).select("unit_id", chain.alias("text"))
+
+
+@register("symbol_names", lambda: f"""SELECT doc_id, md5({Q.symbol_names('text')}) AS text_md5,
+       {" + ".join(f"length(text) - length(replace(text, {Q.S(a)}, ''))" for a, _ in params.SYMBOLS)} AS n_symbols FROM documents""")
+def symbol_names(spark, sf):
+    """Symbols of a caller's table replaced by their names, in whole documents."""
+    text = F.col("text")
+    n = sum((F.length(text) - F.length(F.replace(text, F.lit(a), F.lit(""))) for a, _ in params.SYMBOLS), F.lit(0))
+    return table(spark, sf, "documents").select("doc_id", F.md5(replace_table(text, params.SYMBOLS)).alias("text_md5"), n.cast("bigint").alias("n_symbols"))
+
+
+@register("lexicon_table_sentiment", lambda: f"""WITH {Q.units_ctes()}
+SELECT unit_id, sentiment FROM units""")
+def lexicon_table_sentiment(spark, sf):
+    """The same scores with the lexicon as a table, joined word by word."""
+    u = B.units(spark, sf).select("unit_id", "text")
+    lexicon = spark.createDataFrame(params.LEXICON, "word string, valence double")
+    return with_compound_joined(u, "unit_id", "text", lexicon).select("unit_id", "sentiment")
+
+
 @register("sentiment_extremes", lambda: f"""WITH {Q.terms_ctes()},
 f AS (SELECT * FROM word_stats WHERE count >= {params.MIN_WORD_FREQ}),
 n AS (SELECT *, 'most_negative' AS kind, row_number() OVER (PARTITION BY period ORDER BY avg_sentiment, token) AS rank FROM f),
