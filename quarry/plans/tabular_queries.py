@@ -344,7 +344,46 @@ def train_test_split(spark, sf):
     return train.select("id", F.lit("train").alias("part")).unionByName(test.select("id", F.lit("test").alias("part")))
 
 
-@register("insurance_features")
+def _bins_ctes(name, source, col, n=3, log=False):
+    """``qe_name``: the inner quantile edges (one list) of ``x``, the column of
+    ``source`` or its shifted log; ``qx_name``: id and x;
+    ``qb_name``: id and bin."""
+    shift = f"(SELECT CASE WHEN min({col}) <= 0 THEN abs(min({col})) + 1 ELSE 0 END FROM {source})"
+    return f"""
+qx_{name} AS (SELECT id, CAST({f"ln({col} + {shift})" if log else col} AS DOUBLE) AS x FROM {source}),
+qv_{name} AS (SELECT list(x ORDER BY x) AS l, least({n}, count(DISTINCT x)) AS bins FROM qx_{name} WHERE x IS NOT NULL),
+qk_{name} AS (SELECT k, l, pos, CAST(floor(pos) AS BIGINT) + 1 AS i, CAST(ceil(pos) AS BIGINT) + 1 AS j, pos - floor(pos) AS w
+      FROM (SELECT l, k, (k * (100.0::DOUBLE / bins)) / 100 * (len(l) - 1) AS pos FROM (SELECT l, bins, unnest(range(bins + 1)) AS k FROM qv_{name} WHERE bins > 1))),
+qa_{name} AS (SELECT k, high FROM (SELECT *, lag(high) OVER (ORDER BY k) AS before FROM
+      (SELECT k, CASE WHEN w < 0.5 THEN l[i] + (l[j] - l[i]) * w ELSE l[j] - (l[j] - l[i]) * (1 - w) END AS high FROM qk_{name})) WHERE high - before > 1e-8),
+qe_{name} AS (SELECT coalesce(list(high), []) AS e FROM qa_{name} WHERE k < (SELECT max(k) FROM qa_{name})),
+qb_{name} AS (SELECT id, CASE WHEN x IS NOT NULL THEN CAST(len(list_filter(e, lambda h: x >= h)) AS INTEGER) END AS bin FROM qx_{name}, qe_{name})"""
+
+
+def _insurance_sql():
+    """The chain step by step, each step over the table of the one before."""
+    knn = _knn_sql()
+    filled = knn.index("SELECT t.id, round(")
+    codes = ["vehicle_type", "married", "children"]
+    coded = ", ".join(f"c_{c} AS (SELECT {c}, CAST(dense_rank() OVER (ORDER BY min(id)) - 1 AS INTEGER) AS code FROM tab GROUP BY {c})" for c in codes)
+    bins = [("credit_score", "credit_score", False), ("mileage_experience_ratio", "mileage_experience_ratio", True), ("annual_mileage", "annual_mileage", False),
+            ("experience_quality", "experience_quality", True), ("speeding_violations", "speeding_violations", True), ("past_accidents", "past_accidents", True)]
+    return f"""{knn[:filled].rstrip()},
+filled AS (SELECT t.* EXCLUDE (credit_score, annual_mileage), coalesce(t.credit_score, fc.fill, mean.mc) AS credit_score,
+                  coalesce(t.annual_mileage, fm.fill, mean.mm) AS annual_mileage
+           FROM tab t LEFT JOIN f_credit_score fc ON fc.id = t.id LEFT JOIN f_annual_mileage fm ON fm.id = t.id, mean),
+fixed AS (SELECT * REPLACE (CASE WHEN age - driving_experience < 16 THEN age - 16 ELSE driving_experience END AS driving_experience) FROM filled),
+{coded},
+ratios AS (SELECT *, annual_mileage / (1 + driving_experience) AS mileage_experience_ratio, driving_experience / (1 + past_accidents) AS experience_quality,
+                  CASE WHEN age <= 24 THEN 3 WHEN age <= 65 THEN 1 ELSE 2 END AS aw, CASE WHEN driving_experience <= 2 THEN 3 WHEN driving_experience <= 8 THEN 2 ELSE 1 END AS ew FROM fixed),
+{", ".join(_bins_ctes(n, "ratios", c, log=log).strip() for n, c, log in bins)}
+SELECT r.id, aw AS age, ew AS driving_experience, {", ".join(f"qb_{n}.bin AS {n}" for n, _, _ in bins)}, {", ".join(f"c_{c}.code AS {c}" for c in codes)}, outcome,
+       CASE WHEN risk <= 4 THEN 1 WHEN risk <= 6 THEN 2 ELSE 3 END AS driver_risk_index
+FROM (SELECT *, 0.4::DOUBLE * speeding_violations + 0.4::DOUBLE * past_accidents + 0.2::DOUBLE * ew * aw AS risk FROM ratios) r
+{" ".join(f"JOIN qb_{n} ON qb_{n}.id = r.id" for n, _, _ in bins)} {" ".join(f"JOIN c_{c} ON c_{c}.{c} IS NOT DISTINCT FROM r.{c}" for c in codes)}"""
+
+
+@register("insurance_features", _insurance_sql)
 def insurance_features(spark, sf):
     """full insurance pre-processing chain."""
     return TB.insurance_features(tab(spark, sf))
