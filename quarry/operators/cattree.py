@@ -166,20 +166,21 @@ def chi2_prune(tree: DataFrame, alpha: float = 0.05, mode: str = "contingency")
                     "n", "n_pos", "majority", leaf.alias("is_leaf"), "ordinal"))
 
 
-def predict(df: DataFrame, tree: DataFrame, id_col: str) -> DataFrame:
-    """D5 (Q11 fixed): walk rows down the node table level by level with
+def predict(df: DataFrame, tree: DataFrame, id_col: str, *keep: str) -> DataFrame:
+    """D5 (Q11 fixed): one row (id, the columns ``keep``, prediction) for each
+    row, also of repeated ids. Walk rows down the node table level by level with
     joins; an unseen branch value stops at the node and takes its majority."""
     t = written(tree)
     attrs = sorted(r[0] for r in t.select("split_attr").distinct().collect() if r[0])
     splits = t.select(F.col("node").alias("__n"), F.col("split_attr").alias("__s"))
     children = (t.filter(F.col("parent").isNotNull()).join(splits, F.col("parent") == F.col("__n"))
                 .select("parent", F.col("__s").alias("split_attr"), "branch_value", "node"))
-    cur = df.select(id_col, *attrs).withColumn("node", F.lit("root"))
+    cur = df.select(id_col, *keep, *attrs).withColumn("node", F.lit("root"))
     done = None
     while True:
         moved = written(_step(cur, children, attrs, "left"))
         stay = moved.filter(F.col("child").isNull()).join(t.select("node", "majority"), "node")
-        stay = stay.select(id_col, F.col("majority").alias("prediction"))
+        stay = stay.select(id_col, *keep, F.col("majority").alias("prediction"))
         done = stay if done is None else done.unionByName(stay)
         cur = moved.filter(F.col("child").isNotNull()).drop("node").withColumnRenamed("child", "node")
         if cur.isEmpty():
@@ -211,7 +212,7 @@ def kfold_error(df: DataFrame, attrs: list[str], label: str, id_col: str, k: int
     for i in range(k):
         train, test = f.filter(F.col("fold") != i), f.filter(F.col("fold") == i)
         tree = chi2_prune(grow(train, attrs, label, max_depth=max_depth))
-        pred = predict(test, tree, id_col).join(test.select(id_col, label), id_col)
+        pred = predict(test, tree, id_col, label)
         err = pred.agg(F.avg((F.col("prediction") != F.col(label)).cast("double"))).first()[0]
         out.append((i, None if err is None else float(err)))
     return df.sparkSession.createDataFrame(out, "fold int, error double")
