@@ -1,6 +1,7 @@
 """Categorical multiway decision tree, grown level by level.
 
-All open nodes of a level are expanded at once: one unpivot of the
+Equal rows are one row with a weight, so the input is read once however deep
+the tree is. All open nodes of a level are expanded at once: one unpivot of the
 attributes and a single ``groupBy(node, attribute, value, label)`` count
 give every node's information gain; rows then move to their child through
 a join with the split table. Pruning, prediction and printing are joins on
@@ -16,10 +17,15 @@ from quarry.functions import distributions as D
 from quarry.session import written
 
 
-def _long(df: DataFrame, attrs: list[str], label: str) -> DataFrame:
+def _number(weight: str | None) -> F.Column:
+    """How many rows there are, each counted ``weight`` times."""
+    return F.count("*") if weight is None else F.sum(weight)
+
+
+def _long(df: DataFrame, attrs: list[str], label: str, *keep: str) -> DataFrame:
     st = F.explode(F.array(*[F.struct(F.lit(i).alias("ai"), F.lit(a).alias("attr"), F.col(a).cast("string").alias("value"))
                              for i, a in enumerate(attrs)])).alias("kv")
-    return df.select("node", F.col(label).alias("y"), st).select("node", "y", "kv.ai", "kv.attr", "kv.value")
+    return df.select("node", F.col(label).alias("y"), *keep, st).select("node", "y", *keep, "kv.ai", "kv.attr", "kv.value")
 
 
 def entropy_col(counts: str, total: str) -> F.Column:
@@ -28,23 +34,23 @@ def entropy_col(counts: str, total: str) -> F.Column:
     return -p * F.log2(p)
 
 
-def node_entropy(df: DataFrame, keys: list[str], label: str) -> DataFrame:
+def node_entropy(df: DataFrame, keys: list[str], label: str, weight: str | None = None) -> DataFrame:
     """Base-2 entropy of ``label`` per group."""
-    c = df.groupBy(*keys, label).agg(F.count("*").alias("n"))
+    c = df.groupBy(*keys, label).agg(_number(weight).alias("n"))
     t = c.withColumn("tot", F.sum("n").over(Window.partitionBy(*keys)))
     return t.groupBy(*keys).agg(F.sum(entropy_col("n", "tot")).alias("entropy"), F.first("tot").alias("n"))
 
 
-def attribute_gains(rows: DataFrame, attrs: list[str], label: str, mode: str = "standard") -> DataFrame:
+def attribute_gains(rows: DataFrame, attrs: list[str], label: str, mode: str = "standard", weight: str | None = None) -> DataFrame:
     """Information gain of each attribute at each node. ``standard`` =
     H(Y) - sum p_v H(Y|v); ``reference`` = m*H(Y) - 2*sum p_v H(Y|v) (Q9,
-    m = number of values)."""
-    lg = _long(rows, attrs, label)
-    cv = lg.groupBy("node", "ai", "attr", "value", "y").agg(F.count("*").alias("n"))
+    m = number of values). A row counts ``weight`` times."""
+    lg = _long(rows, attrs, label, *([weight] if weight else []))
+    cv = lg.groupBy("node", "ai", "attr", "value", "y").agg(_number(weight).alias("n"))
     wv = Window.partitionBy("node", "ai", "value")
     cv = cv.withColumn("nv", F.sum("n").over(wv))  # two label counts per value
     hv = cv.groupBy("node", "ai", "attr", "value").agg(F.sum(entropy_col("n", "nv")).alias("hv"), F.first("nv").alias("nv"))
-    base = node_entropy(rows, ["node"], label).withColumnRenamed("n", "nn").withColumnRenamed("entropy", "h")
+    base = node_entropy(rows, ["node"], label, weight).withColumnRenamed("n", "nn").withColumnRenamed("entropy", "h")
     j = hv.join(base, "node")
     agg = j.groupBy("node", "ai", "attr", "h", "nn").agg(
         F.sum(F.col("nv") / F.col("nn") * F.col("hv")).alias("cond"), F.count("*").alias("m"))
@@ -85,19 +91,21 @@ def grow(df: DataFrame, attrs: list[str], label: str, mode: str = "standard",
     depth, split_attr, n, n_pos, majority, is_leaf, ordinal). A node id is its
     path of attribute indexes and value ordinals ("root/2:1/0:3"), which also
     says which attributes are used up. A null attribute value is a branch of
-    its own; rows with a null label are left out."""
+    its own; rows with a null label are left out. Rows that agree in all
+    attributes and the label go the same way: they are counted first."""
     limit = len(attrs) if max_depth is None else min(max_depth, len(attrs))
-    rows = written(df.filter(F.col(label).isNotNull()).select(*attrs, label).withColumn("node", F.lit("root")))
+    rows = df.filter(F.col(label).isNotNull()).groupBy(*attrs, label).agg(F.count("*").alias("__w"))
+    rows = written(rows.withColumn("node", F.lit("root")))
     born = df.sparkSession.createDataFrame([("root", None, None)], "node string, parent string, branch_value string")
     out = None
     for depth in range(limit + 1):
-        st = rows.groupBy("node").agg(F.count("*").alias("n"), F.sum(F.col(label)).cast("long").alias("n_pos"))
+        st = rows.groupBy("node").agg(F.sum("__w").alias("n"), F.sum(F.col(label) * F.col("__w")).cast("long").alias("n_pos"))
         st = st.withColumn("majority", F.when(F.col("n_pos") > F.col("n") - F.col("n_pos"), 1).otherwise(0))
         leaf = (F.col("n_pos") == 0) | (F.col("n_pos") == F.col("n")) | F.lit(depth >= limit)
         st = written(st.withColumn("is_leaf", leaf))
         open_nodes = st.filter(~F.col("is_leaf")).select("node")
         live = rows.join(open_nodes, "node", "left_semi")
-        g = attribute_gains(live, attrs, label, mode)
+        g = attribute_gains(live, attrs, label, mode, "__w")
         g = g.filter(~F.col("node").contains(F.concat(F.lit("/"), F.col("ai"), F.lit(":"))))
         w = Window.partitionBy("node").orderBy(F.round("gain", 12).desc(), F.col("ai"))
         best = g.withColumn("r", F.row_number().over(w)).filter("r = 1").select("node", F.col("attr").alias("split_attr"))
@@ -168,23 +176,28 @@ def chi2_prune(tree: DataFrame, alpha: float = 0.05, mode: str = "contingency")
 
 def predict(df: DataFrame, tree: DataFrame, id_col: str, *keep: str) -> DataFrame:
     """D5 (Q11 fixed): one row (id, the columns ``keep``, prediction) for each
-    row, also of repeated ids. Walk rows down the node table level by level with
-    joins; an unseen branch value stops at the node and takes its majority."""
+    row, also of repeated ids. Distinct attribute values walk down the node table
+    level by level with joins, and every row takes what its values got; an
+    unseen branch value stops at the node and takes its majority."""
     t = written(tree)
     attrs = sorted(r[0] for r in t.select("split_attr").distinct().collect() if r[0])
     splits = t.select(F.col("node").alias("__n"), F.col("split_attr").alias("__s"))
     children = (t.filter(F.col("parent").isNotNull()).join(splits, F.col("parent") == F.col("__n"))
                 .select("parent", F.col("__s").alias("split_attr"), "branch_value", "node"))
-    cur = df.select(id_col, *keep, *attrs).withColumn("node", F.lit("root"))
+    rows = df.select(id_col, *keep, *attrs)
+    cur = rows.select(*attrs, F.lit("root").alias("node")).distinct()
+    names = [F.col(a).alias(f"__k{i}") for i, a in enumerate(attrs)]
     done = None
     while True:
         moved = written(_step(cur, children, attrs, "left"))
         stay = moved.filter(F.col("child").isNull()).join(t.select("node", "majority"), "node")
-        stay = stay.select(id_col, *keep, F.col("majority").alias("prediction"))
+        stay = stay.select(*names, F.col("majority").alias("prediction"))
         done = stay if done is None else done.unionByName(stay)
         cur = moved.filter(F.col("child").isNotNull()).drop("node").withColumnRenamed("child", "node")
         if cur.isEmpty():
-            return done
+            same = [F.col(a).eqNullSafe(F.col(f"__k{i}")) for i, a in enumerate(attrs)]
+            # a tree without a split has one prediction for all
+            return (rows.join(done, same) if same else rows.crossJoin(F.broadcast(done))).select(id_col, *keep, "prediction")
 
 
 def fold_of(df: DataFrame, label: str, id_col: str, k: int, seed: int = 42) -> DataFrame:

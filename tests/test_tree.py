@@ -145,3 +145,18 @@ def test_predictions_match_plain_recursion(spark, cat_rows):
     right = [plain_predict(tree, r) == r["label"] for r in cat_rows if r["row_id"] in held]
     n, accuracy = tree_queries.tree_predictions(spark, SF).first()
     assert n == len(right) > 100 and abs(accuracy - sum(right) / n) < 1e-12
+
+
+def test_equal_rows_are_grown_and_predicted_as_one(monkeypatch, spark):
+    gains, step, seen = CT.attribute_gains, CT._step, []
+    monkeypatch.setattr(CT, "attribute_gains", lambda rows, *a, **k: (seen.append(rows.count()), gains(rows, *a, **k))[1])
+    monkeypatch.setattr(CT, "_step", lambda rows, *a, **k: (seen.append(rows.count()), step(rows, *a, **k))[1])
+    df = frame(spark)
+    many = df.unionByName(df).unionByName(df)
+    tree = CT.grow(many, ATTRS, "y")
+    assert {r["node"]: (r["n"], r["n_pos"]) for r in tree.collect()} == {r["node"]: (3 * r["n"], 3 * r["n_pos"]) for r in CT.grow(df, ATTRS, "y").collect()}
+    got = Counter((r["id"], r["y"], r["prediction"]) for r in CT.predict(many, tree, "id", "y").collect())
+    assert got == {(i, y, y): 3 for i, _, _, y in ROWS}
+    assert max(seen) == len({r[1:] for r in ROWS})
+    leaf = CT.grow(many, ATTRS, "y", max_depth=0)
+    assert CT.predict(many, leaf, "id").count() == 3 * len(ROWS)
