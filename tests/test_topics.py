@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from quarry.operators import topics as TP
 from quarry.operators import topics_tables as TT
 
 
@@ -91,3 +92,13 @@ def test_coherence(spark):
     top = spark.createDataFrame([("g", t, w) for t, ws in topics.items() for w in ws], "g string, topic int, token string")
     got = {r["topic"]: r["coherence"] for r in TT.coherence(tokens, ["g"], "doc", top, window=8).collect()}
     assert got == {t: pytest.approx(by_definition(docs, list(ws), 8)) for t, ws in topics.items()}
+
+
+def test_tfidf_analyses_texts_once_and_joins_group_sizes_by_broadcast(spark):
+    docs = spark.createDataFrame([("g", 1, "apple pear apple"), ("g", 2, "pear plum"), ("h", 3, "plum")], "g string, doc long, text string")
+    top = TP.tfidf_top(docs, ["g"], "doc", "text", [], 1, 5)
+    plan = top._jdf.queryExecution().toString()
+    assert "regexp_extract_all" not in plan  # terms and document numbers come from one analysis
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert "BroadcastHashJoin [g#" in physical
+    assert {(r["g"], r["term"]) for r in top.collect()} == {("g", "apple"), ("g", "pear"), ("g", "plum"), ("h", "plum")}
