@@ -26,6 +26,8 @@ SEED = 42
 DISTANCE = 4
 SEGMENTS = 3
 BLOCK = 2048
+#: Shingles whose bits are counted at once.
+GRAMS = 1 << 14
 
 
 def simhash(counts: np.ndarray, flat: pa.Array, shingle: int) -> np.ndarray:
@@ -42,12 +44,17 @@ def simhash(counts: np.ndarray, flat: pa.Array, shingle: int) -> np.ndarray:
     at = np.repeat(first - base, grams) + np.arange(int(grams.sum()))
     last = at + np.repeat(np.minimum(counts, shingle), grams) - 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(data[a:b], SEED) for a, b in zip(starts[at].tolist(), ends[last].tolist())), np.uint64, len(at))
     out = np.zeros(len(counts), np.uint64)
     has = np.flatnonzero(grams)
-    if len(has):
+    first = base[has]
+    ones = np.zeros((len(has), 64), np.int64)
+    for low in range(0, len(at), GRAMS):  # a block's bits take 64 counters each
+        a, b = starts[at[low:low + GRAMS]].tolist(), ends[last[low:low + GRAMS]].tolist()
+        hashes = np.fromiter((digest(data[i:j], SEED) for i, j in zip(a, b)), np.uint64, len(a))
         bits = np.unpackbits(hashes.astype(">u8").view(np.uint8)).reshape(-1, 64)
-        ones = np.add.reduceat(bits, base[has], axis=0, dtype=np.int64)
+        lo, hi = np.searchsorted(first, low, side="right") - 1, np.searchsorted(first, low + len(a), side="left")
+        ones[lo:hi] += np.add.reduceat(bits, np.maximum(first[lo:hi] - low, 0), axis=0, dtype=np.int64)
+    if len(has):
         out[has] = np.packbits(2 * ones > grams[has, None], axis=1).view(">u8").ravel()
     return out
 

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -149,3 +150,19 @@ def test_without_contaminated(spark, odd):
     out = op9_winnow.without_contaminated(odd, bench)
     bad = [r for r in op9_winnow.decontaminate(odd, bench).collect() if r["contaminated"]]
     assert out.columns == odd.columns and out.count() == odd.count() - len(bad) and bad
+
+
+def test_fingerprints_count_bits_in_blocks(monkeypatch):
+    import tracemalloc
+    r = random.Random(5)
+    texts = pa.array([" ".join(f"w{r.randrange(9999)}" for _ in range(n)) for n in (0, 1, 3, 4, 5, 40, 0, 200_000, 7)])
+    counts, flat = op7_simhash.words_of(texts, lower=True)
+    tracemalloc.start()
+    got = op7_simhash.simhash(counts, flat, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20  # 64 counters a shingle would take 100 MiB
+    monkeypatch.setattr(op7_simhash, "GRAMS", 5)
+    small = pa.array([t.as_py() for t in texts if len(t.as_py()) < 2000])
+    few = op7_simhash.simhash(*op7_simhash.words_of(small, lower=True), 4)
+    assert few.tolist() == [f for f, t in zip(got.tolist(), texts) if len(t.as_py()) < 2000]
