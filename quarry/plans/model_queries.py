@@ -273,18 +273,27 @@ def tree_grid(spark, sf):
                                       "feature string, importance double, best boolean, place int")
 
 
+#: Splits that are fitted at a time, so that the tasks of one fill the gaps of another.
+STUDY_JOBS = 6
+
+
 @register("split_ratio_study")
 def split_ratio_study(spark, sf):
     """ML2 + A29: mean accuracy per train ratio over repeated seeded splits."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
     from pyspark.ml.classification import DecisionTreeClassifier
     a, _ = _ml_frame(spark, sf)
-    rows = []
-    for ratio in [0.1 * i for i in range(1, 10)]:
-        for rep in range(10):
-            tr, te = a.randomSplit([ratio, 1 - ratio], seed=rep)
-            m = DecisionTreeClassifier(labelCol="label", maxDepth=5, seed=42).fit(tr)
-            acc = ML.accuracy(m.transform(te)).first()["accuracy"]
-            rows.append((round(ratio, 1), rep, float(acc)))
+
+    def one(case):
+        ratio, rep = case
+        tr, te = a.randomSplit([ratio, 1 - ratio], seed=rep)
+        m = DecisionTreeClassifier(labelCol="label", maxDepth=5, seed=42).fit(tr)
+        acc = ML.accuracy(m.transform(te)).first()["accuracy"]
+        return round(ratio, 1), rep, float(acc)
+    with ThreadPool(STUDY_JOBS) as jobs:
+        rows = jobs.map(inheritable_thread_target(spark)(one), [(0.1 * i, rep) for i in range(1, 10) for rep in range(10)], chunksize=1)
     df = spark.createDataFrame(rows, "ratio double, repeat int, accuracy double")
     mean = df.groupBy("ratio").agg(F.avg("accuracy").alias("mean_accuracy"))
     top = TB.best_by(mean, "mean_accuracy").select(F.col("ratio").alias("best_ratio"))  # ML13: one row
