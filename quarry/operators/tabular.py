@@ -9,11 +9,17 @@ so no unpartitioned window or join appears in the plan.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quarry.operators.ranks import quantiles, with_last, with_rank
+from quarry.operators.ranks import quantiles, with_rank
 from quarry.session import written
 
 # ---------------------------------------------------------------- statistics
@@ -359,8 +365,8 @@ def knn_impute(df: DataFrame, id_col: str, cols: list[str] | None = None, k: int
     return out
 
 
-#: Donors in a cell of the search.
-DONORS_PER_CELL = 32
+#: Most donors in a cell of the search, and the halvings of an axis after which a cell is not cut any more.
+DONORS_PER_CELL, HALVINGS = 1000, 48
 
 
 def _present(coords: list[str]) -> Column:
@@ -369,9 +375,9 @@ def _present(coords: list[str]) -> Column:
 
 def _knn_fill(df, id_col, target, coords, k, mean_value):
     """Fill values per receiver id. Receivers with equal coordinates are one
-    query; donors with equal coordinates are reduced to k. Each pair of
-    present-column patterns (at most 4^coordinates, those that occur) is
-    searched in cells of donors ranked by their first shared coordinate."""
+    query; donors with equal coordinates are reduced to k. All pairs of
+    present-column patterns (at most 4^coordinates, those that occur) are
+    searched side by side over the coordinates that they share."""
     receivers = df.filter(F.col(target).isNull())
     if not coords:
         return receivers.select(id_col, F.lit(mean_value).alias("__fill"))
@@ -382,16 +388,13 @@ def _knn_fill(df, id_col, target, coords, k, mean_value):
               .select(_present(coords).alias("__p"), F.col(id_col).alias("__id"), F.col(target).cast("double").alias("__v"),
                       *[F.col(c).cast("double").alias(f"__d{i}") for i, c in enumerate(coords)])).checkpoint(eager=True)
     asked, given = ([r[0] for r in x.select("__p").distinct().collect()] for x in (queries, donors))
-    found = None
-    for p in asked:
-        for q in given:
-            both = [i for i in range(len(coords)) if p[i] == q[i] == "1"]
-            if both:
-                near = _nearest(queries.filter(F.col("__p") == p), donors.filter(F.col("__p") == q), len(coords), both, k)
-                found = near if found is None else found.unionByName(near)
-    keys = [f"__q{i}" for i in range(len(coords))]
-    if found is None:
+    pairs = [(p, q, [a == b == "1" for a, b in zip(p, q)]) for p in asked for q in given]
+    pairs = [(i, p, q, both, (len(coords) + 1) / sum(both)) for i, (p, q, both) in enumerate(pairs) if any(both)]
+    if not pairs:
         return receivers.select(id_col, F.lit(mean_value).alias("__fill"))
+    pairs = df.sparkSession.createDataFrame(pairs, "__pair int, __p string, __g string, __both array<boolean>, __scale double")
+    found = _nearest(queries, donors, F.broadcast(pairs), len(coords), k)
+    keys = [f"__q{i}" for i in range(len(coords))]
     best = Window.partitionBy(*keys).orderBy("__dist", "__id")
     fills = (found.withColumn("__r", F.row_number().over(best)).filter(F.col("__r") <= k)
              .groupBy(*keys).agg(F.avg("__v").alias("__fill")))
@@ -400,50 +403,84 @@ def _knn_fill(df, id_col, target, coords, k, mean_value):
     return rows.select(id_col, F.coalesce("__fill", F.lit(mean_value)).alias("__fill"))
 
 
-def _nearest(queries, donors, n_coords, both, k):
-    """The k nearest donors of every query over the shared coordinates, exact.
-    Donors are ranked by the first shared coordinate and cut into cells of equal
-    numbers, so an outlier widens its own cell only, and a value that many
-    donors share fills several. A query starts in the cells at its value and is
-    done when its k-th distance is below the distance to the nearest donor
-    outside the cells that it has searched; else it searches four times as many
-    to either side."""
-    x, d = f"__q{both[0]}", f"__d{both[0]}"
-    keys = [c for c in queries.columns if c.startswith("__q")]
-    donors = written(with_rank(donors.drop("__p"), d, "__id", name="__at").withColumn("__cell", F.floor(F.col("__at") / DONORS_PER_CELL).cast("long")).drop("__at"))
-    ends = written(donors.groupBy("__cell").agg(F.min(d).alias("__low"), F.max(d).alias("__high")))
-    last = ends.agg(F.max("__cell")).first()[0]
-    # the last cell that starts at or below the query, by merging both in order
-    marks = ends.select(F.col("__low").alias("__x"), F.lit(0).alias("__kind"), F.col("__cell").alias("__c"), *[F.lit(None).cast("double").alias(c) for c in keys])
-    asked = queries.drop("__p").select(F.col(x).alias("__x"), F.lit(1).alias("__kind"), F.lit(None).cast("long").alias("__c"), *keys)
-    merged = with_last(marks.unionByName(asked), "__c", "__x", "__kind", "__c", name="__home").where("__kind = 1")
-    pending = written(merged.select(*keys, F.coalesce("__home", F.lit(0)).alias("__home")))
-    scale = (n_coords + 1) / len(both)
-    square = sum(((F.col(f"__q{i}") - F.col(f"__d{i}")) ** 2 for i in both), F.lit(0.0))
-    done, radius = None, 1
+def _cells(points, donors, xs, k):
+    """Cuts the space of every pair until no cell holds more than
+    DONORS_PER_CELL donors, by halving all axes alike, so cells are small where
+    donors are dense and an outlier widens its own cell only. Returns the cells
+    with the box of their donors, the donors with their cell, and the points
+    with ``__reach``, the squared distance to the far corner of the least box
+    around them that holds k donors."""
+    cs = [f"__c{i}" for i in range(len(xs))]
+    lows = [F.min(x).alias(f"__o{i}") for i, x in enumerate(xs)]
+    span = F.greatest(*[F.max(x) - F.min(x) for x in xs], F.lit(0.0))
+    grid = F.broadcast(written(donors.groupBy("__pair").agg(*lows, F.when(span > 0, span).otherwise(1.0).alias("__span"))))
+    left, ask = donors.join(grid, "__pair"), points.withColumn("__reach", F.lit(float("inf"))).join(grid, "__pair")
+    cells, placed, reached, level = [], [], [], 0
     while True:
-        low, high = F.greatest(F.col("__home") - radius, F.lit(0)), F.least(F.col("__home") + radius, F.lit(last))
-        ask = pending.select("*", low.alias("__from"), high.alias("__to"), F.explode(F.sequence(low, high)).alias("__cell"))
-        near = ask.join(donors, "__cell").withColumn("__dist", F.sqrt(square * F.lit(scale)))
-        order = Window.partitionBy(*keys).orderBy("__dist", "__id")
-        near = near.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= k)
-        # the nearest donor outside lies at the end of the cell before or at the start of the one after
-        before = ends.select((F.col("__cell") + 1).alias("__from"), F.col("__high").alias("__before"))
-        after = ends.select((F.col("__cell") - 1).alias("__to"), F.col("__low").alias("__after"))
-        far = F.lit(float("inf"))
-        edge = F.least(F.coalesce(F.col(x) - F.col("__before"), far), F.coalesce(F.col("__after") - F.col(x), far)) * F.lit(scale ** 0.5)
-        whole = Window.partitionBy(*keys)
-        near = (near.join(before, "__from", "left").join(after, "__to", "left").withColumn("__edge", edge)
-                .withColumn("__n", F.count(F.lit(1)).over(whole)).withColumn("__far", F.max("__dist").over(whole))
-                .filter((F.col("__edge") == far) | ((F.col("__n") >= k) & (F.col("__far") < F.col("__edge") * (1 - 1e-9)))))
-        near = written(near.select(*keys, "__dist", "__id", "__v"))
-        done = near if done is None else done.unionByName(near)
-        settled = near.select(*keys).distinct()
-        match = [F.col(f"p.{c}").eqNullSafe(F.col(f"s.{c}")) for c in keys]
-        pending = written(pending.alias("p").join(settled.alias("s"), match, "left_anti"))
-        if pending.isEmpty():
-            return done
-        radius *= 4
+        steps = float(2 ** level)
+        at = [F.floor(F.least(F.greatest((F.col(x) - F.col(f"__o{i}")) / F.col("__span") * steps, F.lit(0.0)), F.lit(steps - 1))).cast("long") for i, x in enumerate(xs)]
+        left = left.withColumn("__level", F.lit(level)).withColumns(dict(zip(cs, at)))
+        ask = ask.withColumns(dict(zip(cs, at)))
+        counted = written(left.groupBy("__pair", "__level", *cs).agg(
+            F.count(F.lit(1)).alias("__n"), *[f(x).alias(f"__{e}{i}") for i, x in enumerate(xs) for e, f in (("l", F.min), ("h", F.max))]))
+        full = F.col("__n") > (DONORS_PER_CELL if level < HALVINGS else float("inf"))
+        cells.append(counted.where(~full))
+        placed.append(left.join(counted.where(~full), ["__pair", *cs], "left_semi"))
+        corner = sum((F.greatest(F.abs(F.col(x) - F.col(f"__l{i}")), F.abs(F.col(f"__h{i}") - F.col(x))) ** 2 for i, x in enumerate(xs)), F.lit(0.0))
+        reach = F.least("__reach", F.when(F.col("__n") >= k, corner))
+        ask = written(ask.join(counted.drop("__level"), ["__pair", *cs], "left").withColumns({"__reach": reach, "__on": F.coalesce(full, F.lit(False))})
+                      .select(*points.columns, "__span", *[f"__o{i}" for i in range(len(xs))], "__reach", "__on"))
+        reached.append(ask.where("NOT __on").select(*points.columns, "__reach"))
+        if counted.where(full).isEmpty():
+            return tuple(reduce(DataFrame.unionByName, x) for x in (cells, placed, reached))
+        left = written(left.join(counted.where(full), ["__pair", *cs], "left_semi").drop("__level", *cs))
+        ask = ask.where("__on").drop("__on")
+        level += max(1, 4 // len(xs))
+
+
+def _nearest(queries, donors, pairs, n_coords, k):
+    """The k nearest donors of every query for each of the ``pairs`` of
+    patterns, exact: donors are put in cells of any bounded number, a query goes
+    to the cells whose box is no farther than k donors surely are, and a task
+    compares the queries and donors of a cell. A coordinate that a pair does not
+    share is 0 on both sides."""
+    xs, cs = [f"__x{i}" for i in range(n_coords)], [f"__c{i}" for i in range(n_coords)]
+    shared = lambda name: [F.when(F.col("__both")[i], F.col(f"{name}{i}")).otherwise(0.0).alias(x) for i, x in enumerate(xs)]
+    asked = written(queries.join(pairs, "__p").select("__pair", "__scale", *shared("__q"), *[f"__q{i}" for i in range(n_coords)]))
+    alike = Window.partitionBy("__pair", *xs).orderBy("__id")
+    given = donors.join(pairs, donors["__p"] == pairs["__g"]).select("__pair", "__id", "__v", *shared("__d"))
+    given = written(given.withColumn("__r", F.row_number().over(alike)).where(F.col("__r") <= k).drop("__r"))
+    cells, placed, points = _cells(asked.select("__pair", "__scale", *xs).distinct(), given, xs, k)
+    box = sum((F.greatest(F.col(f"__l{i}") - F.col(x), F.col(x) - F.col(f"__h{i}"), F.lit(0.0)) ** 2 for i, x in enumerate(xs)), F.lit(0.0))
+    near = points.join(F.broadcast(cells), "__pair").where(box <= F.col("__reach") * (1 + 1e-9)).select("__pair", "__level", *cs, "__scale", *xs)
+    donor = placed.select("__pair", "__level", *cs, "__id", "__v", *xs)
+    key = ["__pair", "__level", *cs]
+
+    def best(points: pa.Table, donors: pa.Table) -> pa.Table:
+        donors = donors.take(pc.sort_indices(donors, sort_keys=[("__id", "ascending")], null_placement="at_start"))
+        out, many = [], min(k, donors.num_rows)
+        for start in range(0, points.num_rows if many else 0, 1000):
+            some = points.slice(start, 1000)
+            square = np.zeros((some.num_rows, donors.num_rows))
+            for x in xs:
+                apart = some[x].to_numpy()[:, None] - donors[x].to_numpy()[None, :]
+                square += apart * apart
+            dist = np.sqrt(square * some["__scale"].to_numpy()[:, None])
+            rows, at = np.nonzero(~(dist > np.partition(dist, many - 1, axis=1)[:, many - 1:many]))
+            order = np.lexsort((at, dist[rows, at], rows))
+            rows, at = rows[order], at[order]
+            first = np.searchsorted(rows, rows)
+            keep = np.arange(len(rows)) - first < k  # equal distances by id
+            rows, at = rows[keep], at[keep]
+            found = some.select(["__pair", *xs]).take(rows)
+            found = found.append_column("__dist", pa.array(dist[rows, at]))
+            out.append(found.append_column("__id", donors["__id"].take(at)).append_column("__v", donors["__v"].take(at)))
+        return pa.concat_tables(out) if out else empty.empty_table()
+
+    schema = StructType([*points.select("__pair", *xs).schema, StructField("__dist", DoubleType()), *donors.select("__id", "__v").schema])
+    empty = to_arrow_schema(schema)
+    found = near.groupBy(*key).cogroup(donor.groupBy(*key)).applyInArrow(best, schema)
+    return asked.drop("__scale").join(found, ["__pair", *xs]).select(*[f"__q{i}" for i in range(n_coords)], "__dist", "__id", "__v")
 
 
 def insurance_features(df: DataFrame, id_col: str = "id") -> DataFrame:

@@ -75,3 +75,20 @@ def test_cells_hold_equal_numbers_of_donors(spark):
     d = spark.range(1000).select(F.when(F.col("id") == 999, 1e12).when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id") / 10).alias("d"), "id")
     cells = ranks.with_rank(d, "d", "id", name="at").select(F.floor(F.col("at") / TB.DONORS_PER_CELL).alias("c"))
     assert max(Counter(x["c"] for x in cells.collect()).values()) == TB.DONORS_PER_CELL
+
+
+def test_a_wide_second_coordinate_makes_few_pairs(spark, monkeypatch):
+    """The first coordinate says little: donors compared with a query do not grow with the table."""
+    monkeypatch.setattr(TB, "DONORS_PER_CELL", 20)
+    r = random.Random(5)
+    rows = [(i, r.uniform(0, 1), r.choice([None, round(r.uniform(0, 3000), 1)]), r.uniform(0, 9) if i % 4 else None) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double").repartition(4)
+    got = {x["id"]: x["__fill"] for x in TB._knn_fill(df, "id", "c", ["a", "b"], 5, 0.0).collect()}
+    assert got == {i: pytest.approx(v) for i, v in fill_by_hand(rows, 5).items()}
+    points = spark.createDataFrame([(0, x, y) for _, x, y, c in rows if c is None and y is not None], "__pair int, __x0 double, __x1 double")
+    donors = spark.createDataFrame([(0, i, c, x, y) for i, x, y, c in rows if c is not None and y is not None], "__pair int, __id long, __v double, __x0 double, __x1 double")
+    cells, placed, reached = TB._cells(points, donors, ["__x0", "__x1"], 5)
+    assert placed.count() == donors.count() and reached.count() == points.count()
+    assert cells.agg(F.max("__n")).first()[0] <= 20 and cells.agg(F.sum("__n")).first()[0] == donors.count()
+    inside = ((F.col("__x0") >= F.col("__l0")) & (F.col("__x0") <= F.col("__h0")) & (F.col("__x1") >= F.col("__l1")) & (F.col("__x1") <= F.col("__h1")))
+    assert reached.where("__reach > 300 * 300").isEmpty() and cells.join(donors, "__pair").where(inside).count() == donors.count()
