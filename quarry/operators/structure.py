@@ -26,6 +26,12 @@ def _on(left: str, right: str, keys: list[str], a: str, b: str):
     return reduce(lambda x, y: x & y, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys], F.col(f"{left}.{a}") == F.col(f"{right}.{b}"))
 
 
+def _dealt(frame: DataFrame, name: str) -> DataFrame:
+    """The right side of a join that grows with the nodes: both sides are dealt
+    by the key, so none is sent through the driver, however small its file."""
+    return frame.alias(name).hint("merge")
+
+
 def connected(sym: DataFrame, keys: list[str]) -> DataFrame:
     """``(keys, node, component)``, the component named by its smallest
     node, for :func:`both_ways` edges. Hooking and shortcutting: in each round a
@@ -35,15 +41,15 @@ def connected(sym: DataFrame, keys: list[str]) -> DataFrame:
     cols = [F.col(f"n.{k}").alias(k) for k in keys]
     f = written(sym.select(*keys, F.col("src").alias("node")).distinct().withColumn("parent", F.col("node")))
     while True:
-        up = (f.alias("n").join(f.alias("p"), _on("n", "p", keys, "parent", "node"))
+        up = (f.alias("n").join(_dealt(f, "p"), _on("n", "p", keys, "parent", "node"))
               .select(*cols, F.col("n.node").alias("node"), F.col("n.parent").alias("parent"), F.col("p.parent").alias("grand")))
         up = written(up)
-        near = (sym.alias("n").join(up.alias("p"), _on("n", "p", keys, "dst", "node"))
+        near = (sym.alias("n").join(_dealt(up, "p"), _on("n", "p", keys, "dst", "node"))
                 .groupBy(*cols, F.col("n.src").alias("node")).agg(F.min("p.grand").alias("low")))
-        hook = (up.alias("n").join(near.alias("p"), _on("n", "p", keys, "node", "node"))
+        hook = (up.alias("n").join(_dealt(near, "p"), _on("n", "p", keys, "node", "node"))
                 .select(*cols, F.explode(F.array("n.node", "n.parent")).alias("node"), F.col("p.low").alias("low")))
         low = (hook.unionByName(up.select(*keys, "node", F.col("grand").alias("low"))).groupBy(*keys, "node").agg(F.min("low").alias("low")))
-        new = written(f.alias("n").join(low.alias("p"), _on("n", "p", keys, "node", "node"))
+        new = written(f.alias("n").join(_dealt(low, "p"), _on("n", "p", keys, "node", "node"))
                       .select(*cols, F.col("n.node").alias("node"), F.least("n.parent", "p.low").alias("parent"), (F.col("p.low") < F.col("n.parent")).alias("moved")))
         f = new.drop("moved")
         if new.where("moved").isEmpty():
@@ -58,10 +64,10 @@ def search_forest(sym: DataFrame, keys: list[str]) -> list[DataFrame]:
     comp = connected(sym, keys)
     levels = [written(comp.where("node = component").select(*keys, "node", F.lit(None).cast(comp.schema["node"].dataType).alias("parent")))]
     while True:
-        found = (levels[-1].alias("n").join(sym.alias("e"), _on("n", "e", keys, "node", "src"))
+        found = (levels[-1].alias("n").join(_dealt(sym, "e"), _on("n", "e", keys, "node", "src"))
                  .groupBy(*[F.col(f"n.{k}").alias(k) for k in keys], F.col("e.dst").alias("node")).agg(F.min("e.src").alias("parent")))
         for seen in levels[-2:]:
-            found = found.alias("n").join(seen.alias("p"), _on("n", "p", keys, "node", "node"), "left_anti")
+            found = found.alias("n").join(_dealt(seen, "p"), _on("n", "p", keys, "node", "node"), "left_anti")
         found = written(found.select(*keys, "node", "parent"))
         if found.isEmpty():
             return levels
@@ -88,7 +94,7 @@ def blocks(edges: DataFrame, keys: list[str]) -> DataFrame:
         size = F.lit(1).cast("long")
         frame = level.alias("n")
         for deeper in below:
-            frame = frame.join(_children(deeper, keys, F.sum("size").alias("size")).alias("p"), _on("n", "p", keys, "node", "node"), "left")
+            frame = frame.join(_dealt(_children(deeper, keys, F.sum("size").alias("size")), "p"), _on("n", "p", keys, "node", "node"), "left")
             size = F.lit(1) + F.coalesce("p.size", F.lit(0))
         sized.append(written(frame.select(*same, "n.node", "n.parent", size.alias("size"))))
     sized.reverse()
@@ -96,34 +102,34 @@ def blocks(edges: DataFrame, keys: list[str]) -> DataFrame:
     numbered = [written(sized[0].withColumn("number", F.lit(0).cast("long")))]
     for level in sized[1:]:
         placed = with_sum_before(level, "size", [*keys, "parent"], "node", name="before")
-        numbered.append(written(placed.alias("n").join(numbered[-1].alias("p"), _on("n", "p", keys, "parent", "node"))
+        numbered.append(written(placed.alias("n").join(_dealt(numbered[-1], "p"), _on("n", "p", keys, "parent", "node"))
                                 .select(*same, "n.node", "n.parent", "n.size", (F.col("p.number") + 1 + F.col("n.before")).alias("number"))))
     every = written(reduce(DataFrame.unionByName, numbered))
     name = every.select(*keys, "node", "parent", "number")
-    reach = (sym.alias("n").join(name.alias("p"), _on("n", "p", keys, "src", "node")).select(*same, "n.src", "n.dst", "p.parent")
-             .where("parent IS NULL OR dst <> parent").alias("n").join(name.alias("p"), _on("n", "p", keys, "dst", "node"))
+    reach = (sym.alias("n").join(_dealt(name, "p"), _on("n", "p", keys, "src", "node")).select(*same, "n.src", "n.dst", "p.parent")
+             .where("parent IS NULL OR dst <> parent").alias("n").join(_dealt(name, "p"), _on("n", "p", keys, "dst", "node"))
              .groupBy(*same, F.col("n.src").alias("node")).agg(F.min("p.number").alias("low"), F.max("p.number").alias("high")))
-    own = written(every.alias("n").join(reach.alias("p"), _on("n", "p", keys, "node", "node"), "left")
+    own = written(every.alias("n").join(_dealt(reach, "p"), _on("n", "p", keys, "node", "node"), "left")
                   .select(*same, "n.node", F.least("n.number", "p.low").alias("low"), F.greatest("n.number", "p.high").alias("high")))
     reached: list[DataFrame] = []
     for level in reversed(levels):
-        frame = level.alias("n").join(own.alias("o"), _on("n", "o", keys, "node", "node"))
+        frame = level.alias("n").join(_dealt(own, "o"), _on("n", "o", keys, "node", "node"))
         low, high = F.col("o.low"), F.col("o.high")
         for deeper in reached[-1:]:
             more = _children(deeper, keys, F.min("low").alias("low"), F.max("high").alias("high"))
-            frame = frame.join(more.alias("p"), _on("n", "p", keys, "node", "node"), "left")
+            frame = frame.join(_dealt(more, "p"), _on("n", "p", keys, "node", "node"), "left")
             low, high = F.least("o.low", "p.low"), F.greatest("o.high", "p.high")
         reached.append(written(frame.select(*same, "n.node", "n.parent", low.alias("low"), high.alias("high"))))
     # an edge of the graph outside the forest joins two subtrees, neither inside the other
     tree = every.where("parent IS NOT NULL").select(*keys, F.col("node").alias("a"), F.col("parent").alias("b"))
     tree = tree.unionByName(tree.select(*keys, F.col("b").alias("a"), F.col("a").alias("b")))
-    across = (sym.where("src < dst").alias("n").join(tree.alias("p"), _on("n", "p", keys, "src", "a") & (F.col("n.dst") == F.col("p.b")), "left_anti")
+    across = (sym.where("src < dst").alias("n").join(_dealt(tree, "p"), _on("n", "p", keys, "src", "a") & (F.col("n.dst") == F.col("p.b")), "left_anti")
               .select(*same, "n.src", "n.dst"))
-    beyond = (reduce(DataFrame.unionByName, reached).alias("n").join(every.where("parent IS NOT NULL").alias("p"), _on("n", "p", keys, "parent", "node"))
+    beyond = (reduce(DataFrame.unionByName, reached).alias("n").join(_dealt(every.where("parent IS NOT NULL"), "p"), _on("n", "p", keys, "parent", "node"))
               .where((F.col("n.low") < F.col("p.number")) | (F.col("n.high") >= F.col("p.number") + F.col("p.size")))
               .select(*same, F.col("n.node").alias("src"), F.col("n.parent").alias("dst")))
     joined = connected(both_ways(across.unionByName(beyond), keys), keys)
-    return written(every.where("parent IS NOT NULL").alias("n").join(joined.alias("p"), _on("n", "p", keys, "node", "node"), "left")
+    return written(every.where("parent IS NOT NULL").alias("n").join(_dealt(joined, "p"), _on("n", "p", keys, "node", "node"), "left")
                    .select(*same, "n.node", "n.parent", F.coalesce("p.component", "n.node").alias("block")))
 
 

@@ -145,3 +145,11 @@ def test_sums_before_cross_partitions(spark):
         want[i] = so_far[g]
         so_far[g] += n
     assert got == want
+
+
+def test_no_table_of_nodes_goes_through_the_driver(spark, monkeypatch):
+    plans, real = [], structure.written
+    monkeypatch.setattr(structure, "written", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (4, 5)], "src long, dst long")
+    assert [tuple(r) for r in structure.bridges(edges, []).orderBy("src").collect()] == [(3, 4), (4, 5)]
+    assert plans and not [p for p in plans if "Broadcast" in p and "__part" not in p]  # sums before: a row for each partition
