@@ -5,16 +5,25 @@ the driver are matrices of topics x topics. Several corpora (one per value of
 
 from __future__ import annotations
 
+import pickle
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quarry.operators.countblocks import (added, blocks_of, corpora, looked_up, per_document, per_term, places, rows_of, summed,
+                                          to_slices)
 from quarry.operators.ranks import with_rank
 from quarry.operators.topics import vocab_pruned
 from quarry.session import written
 
+#: Rounds between reliable checkpoints.
+SAVED = 5
+
 
 def _total(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts)
@@ -38,28 +47,6 @@ def counts_with_ids(occurrences: DataFrame, keys: list[str], doc: str, token: st
 # ---------------------------------------------------------------- LSA
 
 
-def _small(rows: DataFrame, keys: list[str], cols: list[str]) -> dict[tuple, np.ndarray]:
-    """Products of the columns, cols x cols numbers for each key."""
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    out = {}
-    for r in rows.groupBy(*keys).agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g{i}_{j}") for i, j in pairs]).collect():
-        m = np.zeros((len(cols), len(cols)))
-        for i, j in pairs:
-            m[i, j] = m[j, i] = r[f"g{i}_{j}"] or 0.0
-        out[tuple(r[k] for k in keys)] = m
-    return out
-
-
-def _times(rows: DataFrame, keys: list[str], id_col: str, cols: list[str], by: dict[tuple, np.ndarray]) -> DataFrame:
-    """The rows' vectors times the small matrix of their key."""
-    schema = rows.select(*keys).schema
-    flat = [(*k, m.T.ravel().tolist()) for k, m in by.items()]
-    names = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), "__m array<double>"])
-    frame = rows.join(F.broadcast(rows.sparkSession.createDataFrame(flat, names)), keys)
-    n = len(cols)
-    return frame.select(*keys, id_col, *[_total([F.col(c) * F.col("__m")[i * n + j] for j, c in enumerate(cols)]).alias(cols[i]) for i in range(n)])
-
-
 def _orthonormal(gram: np.ndarray) -> np.ndarray:
     """The matrix that makes vectors of this Gram matrix orthonormal; directions
     that they do not have become zero."""
@@ -78,25 +65,102 @@ def truncated_svd(counts: DataFrame, keys: list[str], k: int = 5, extra: int = 8
     of lower rank has fewer topics."""
     width = k + extra
     cols = _like(width, "v")
-    start = counts.select(*keys, "term").distinct()
-    v = start.select(*keys, "term", *[(F.pmod(F.xxhash64("term", F.lit(i)), F.lit(1 << 20)) / float(1 << 20) - 0.5).alias(c) for i, c in enumerate(cols)])
-    v = written(_times(v, keys, "term", cols, {g: _orthonormal(m) for g, m in _small(v, keys, cols).items()}))
-    before: dict[tuple, np.ndarray] = {}
-    for _ in range(rounds):
-        y = (counts.join(v, [*keys, "term"]).groupBy(*keys, "doc").agg(*[F.sum(F.col("n") * F.col(c)).alias(c) for c in cols]))
-        y = written(y)
-        inner = _small(y, keys, cols)
-        values = {g: np.sqrt(np.maximum(np.linalg.eigvalsh(m)[::-1][:k], 0)) for g, m in inner.items()}
-        if before.keys() == values.keys() and all(np.abs(values[g] - before[g]).max() <= tolerance * values[g].max() for g in values):
+    numbers, _, rows = corpora(counts, keys)
+    blocks = blocks_of(counts, keys, numbers, rows).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = blocks.getNumPartitions()
+
+    def asked(p, its):  # the terms that a part will ask for; rows without a document count for the values
+        kept: dict[int, list] = {}
+        for _, (c, _, _, terms, *_) in its:
+            kept.setdefault(c, []).append(terms)
+        for c, found in kept.items():
+            terms = np.unique(np.concatenate(found))
+            for s, (_, _, t, _) in to_slices(c, terms, terms[None, :], parts, p):
+                yield s, (c, t, p)
+    routes = blocks.mapPartitionsWithIndex(asked).partitionBy(parts, int).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def started(batches):
+        for b in batches:
+            c, terms, drawn = b.column(0).to_numpy(), b.column(1).to_numpy(), np.stack([x.to_numpy() for x in b.columns[2:]])
+            for one in np.unique(c):
+                yield pa.RecordBatch.from_pydict({"vectors": pa.array([pickle.dumps((int(one), terms[c == one], drawn[:, c == one]))], pa.binary())})
+
+    def met(its):  # vectors of a slice's terms by corpus; sums without terms go on as they are
+        kept: dict[int, list] = {}
+        for s, (p, c, terms, x) in its:
+            if terms is None:
+                yield s, (c, None, x)
+            else:
+                kept.setdefault(c, []).append((p, s, terms, x))
+        for c, found in kept.items():
+            found.sort(key=lambda m: m[0])
+            yield found[0][1], (c, *added([m[2:] for m in found]))
+
+    def products(its):
+        for _, (c, terms, x) in its:
+            yield ((c, "values"), x) if terms is None else ((c, "gram"), x @ x.T)
+
+    def sent(by):
+        def run(its):  # first the vectors of the slice, then who asks for them
+            kept: dict[int, tuple] = {}
+            for _, (c, terms, x) in its:
+                if terms is None:
+                    continue
+                if not isinstance(x, int):
+                    kept[c] = terms, by[c].T @ x
+                elif c in kept:
+                    at, there = places(kept[c][0], terms)
+                    yield x, (c, terms[there], kept[c][1][:, at[there]])
+        return run
+
+    def multiplied(p, its):  # first the vectors of the part's terms, then its blocks
+        vectors: dict[int, list] = {}
+        ready, back, inner = None, {}, {}
+        for _, (c, *m) in its:
+            if len(m) == 2:
+                vectors.setdefault(c, []).append(tuple(m))
+                continue
+            ready = looked_up(vectors) if ready is None else ready
+            if c not in ready:
+                continue
+            docs, starts, terms, at, n, _ = m
+            place, there = places(ready[c][0], terms)
+            y, of = per_document(starts, n * (ready[c][1][:, place] * there)[:, at])
+            inner[c] = inner.get(c, 0.0) + y @ y.T
+            if docs is not None:
+                back.setdefault(c, []).append((terms, per_term(at, n * y[:, of], len(terms))))
+        for c, found in back.items():
+            yield from to_slices(c, *added(found), parts, p)
+        for c, m in inner.items():
+            yield p, (p, c, None, m)
+    start = counts.where("term IS NOT NULL").join(F.broadcast(numbers), keys).select("__c", "term").distinct()
+    drawn = start.select("__c", "term", *[(F.pmod(F.xxhash64("term", F.lit(i)), F.lit(1 << 20)) / float(1 << 20) - 0.5).alias(c) for i, c in enumerate(cols)])
+    vectors = (drawn.mapInArrow(started, "vectors binary").rdd.flatMap(lambda r: to_slices(*(m := pickle.loads(r[0])), parts, int(m[1][0])))
+               .partitionBy(parts, int).mapPartitions(met, preservesPartitioning=True).persist(StorageLevel.MEMORY_AND_DISK))
+    by = {c: _orthonormal(m) for (c, _), m in summed(vectors.mapPartitions(products)).items()}
+    before: dict[int, np.ndarray] = {}
+    inner: dict[int, np.ndarray] = {}
+    for i in range(rounds):
+        come = vectors.union(routes).mapPartitions(sent(by)).partitionBy(parts, int)
+        new = (come.union(blocks).mapPartitionsWithIndex(multiplied).partitionBy(parts, int)
+               .mapPartitions(met, preservesPartitioning=True).persist(StorageLevel.MEMORY_AND_DISK))
+        if i % SAVED == SAVED - 1:
+            new.checkpoint()
+        found = summed(new.mapPartitions(products))
+        inner = {c: m for (c, kind), m in found.items() if kind == "values"}
+        values = {c: np.sqrt(np.maximum(np.linalg.eigvalsh(m)[::-1][:k], 0)) for c, m in inner.items()}
+        if before.keys() == values.keys() and all(np.abs(values[c] - before[c]).max() <= tolerance * values[c].max() for c in values):
             break
         before = values
-        z = written(counts.join(y, [*keys, "doc"]).groupBy(*keys, "term").agg(*[F.sum(F.col("n") * F.col(c)).alias(c) for c in cols]))
-        v = written(_times(z, keys, "term", cols, {g: _orthonormal(m) for g, m in _small(z, keys, cols).items()}))
-    turned = {g: np.linalg.eigh(m)[1][:, ::-1] for g, m in inner.items()}
-    final = _times(v, keys, "term", cols, turned)
-    found = [(*g, i, float(s)) for g, values in before.items() for i, s in enumerate(values) if s > 1e-7 * values.max()]  # roots of sums: exact to about 1e-8
-    names = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in counts.select(*keys).schema.fields), "topic int, value double"])
-    singular = counts.sparkSession.createDataFrame(found, names)
+        vectors.unpersist()
+        vectors, by = new, {c: _orthonormal(m) for (c, kind), m in found.items() if kind == "gram"}
+    turned = {c: by[c] @ np.linalg.eigh(m)[1][:, ::-1] for c, m in inner.items() if c in by}
+    final = vectors.filter(lambda m: m[1][1] is not None and m[1][0] in turned).mapValues(lambda m: (m[0], m[1], turned[m[0]].T @ m[2]))
+    final = written(rows_of(final, counts, k, cols[:k])).join(F.broadcast(numbers.drop("terms")), "__c")
+    for kept in (blocks, routes, vectors):
+        kept.unpersist()
+    found = [(c, j, float(s)) for c, values in before.items() for j, s in enumerate(values) if s > 1e-7 * values.max()]  # roots of sums: exact to about 1e-8
+    singular = counts.sparkSession.createDataFrame(found, "__c int, topic int, value double").join(F.broadcast(numbers), "__c").select(*keys, "topic", "value")
     stacked = F.array(*[F.struct(F.lit(i).alias("topic"), F.col(cols[i]).alias("weight")) for i in range(k)])
     long = final.select(*keys, "term", F.explode(stacked).alias("s")).select(*keys, "s.topic", "term", "s.weight")
     return singular, long.join(F.broadcast(singular.drop("value")), [*keys, "topic"])
@@ -125,37 +189,86 @@ def lda(counts: DataFrame, keys: list[str], k: int, rounds: int = 15, seed: int
     own part. Returns topic-term weights ``(keys, topic, term, weight)`` and
     document mixtures ``(keys, doc, topic, weight)``; both sum to 1 over the
     terms of a topic and the topics of a document."""
-    g, d, t, s = _like(k, "g"), _like(k, "d"), _like(k, "t"), _like(k, "s")
+    d, t = _like(k, "d"), _like(k, "t")
     prior = 1.0 / k
-    raw = [(F.pmod(F.xxhash64(*keys, "doc", "term", F.lit(seed), F.lit(i)), F.lit(1 << 20)) / float(1 << 20) + 0.1) for i in range(k)]
-    state = counts.select(*keys, "doc", "term", "n", *[x.alias(c) for x, c in zip(raw, g)])
-    state = written(state.select(*keys, "doc", "term", "n", *[(F.col(c) / _total([F.col(x) for x in g])).alias(c) for c in g]))
-    size = counts.groupBy(*keys).agg(F.count_distinct("term").alias("terms"))
-    size = written(size)
-
-    def sums(frame, by, names):
-        return frame.groupBy(*by).agg(*[F.sum(F.col("n") * F.col(a)).alias(b) for a, b in zip(g, names)])
-
-    def beside(frame, other):  # one row a corpus
-        return frame.join(F.broadcast(other), keys)
-    for _ in range(rounds):
-        terms = written(sums(state, [*keys, "term"], t))
-        topics = terms.groupBy(*keys).agg(*[F.sum(a).alias(b) for a, b in zip(t, s)])
-        docs = sums(state, [*keys, "doc"], d)
-        frame = beside(beside(state.join(docs, [*keys, "doc"]).join(terms, [*keys, "term"]), topics), size)
-        own = [F.col("n") * F.col(c) for c in g]
-        new = [F.greatest(F.col(a) - o + prior, F.lit(1e-12)) * F.greatest(F.col(b) - o + prior, F.lit(1e-12)) / F.greatest(F.col(c) - o + prior * F.col("terms"), F.lit(1e-12))
-               for a, b, c, o in zip(d, t, s, own)]
-        frame = frame.select(*keys, "doc", "term", "n", *[x.alias(c) for x, c in zip(new, g)])
-        state = written(frame.select(*keys, "doc", "term", "n", *[(F.col(c) / _total([F.col(x) for x in g])).alias(c) for c in g]))
+    numbers, size, rows = corpora(counts, keys)
+    raw = [F.pmod(F.xxhash64(*keys, "doc", "term", F.lit(seed), F.lit(i)), F.lit(1 << 20)).cast("int") for i in range(k)]
+    blocks = blocks_of(counts, keys, numbers, rows, raw)
+    parts = blocks.getNumPartitions()
+
+    def shared(new):
+        return new / reduce(np.add, new)
+
+    def sums(p, its):  # a part's sums over each of its terms
+        kept: dict[int, list] = {}
+        for _, (c, _, _, terms, at, n, g) in its:
+            kept.setdefault(c, []).append((terms, per_term(at, n * g, len(terms))))
+        for c, found in kept.items():
+            yield from to_slices(c, *added(found), parts, p)
+
+    def met(s, its):  # sums over a slice's terms: back to the parts that have them, and over all terms
+        kept: dict[int, list] = {}
+        for _, (p, c, terms, x) in its:
+            kept.setdefault(c, []).append((p, terms, x))
+        for c, found in kept.items():
+            found.sort(key=lambda m: m[0])
+            terms, x = added([m[1:] for m in found])
+            yield s, (c, None, x.sum(axis=1))
+            for p, some, _ in found:
+                yield p, (c, some, x[:, places(terms, some)[0]])
+
+    def renewed(topics):
+        def run(its):  # first the sums of the part's terms, then its blocks
+            came: dict[int, list] = {}
+            ready = None
+            for p, (c, *m) in its:
+                if len(m) == 2:
+                    if m[0] is not None:
+                        came.setdefault(c, []).append(tuple(m))
+                    continue
+                ready = looked_up(came) if ready is None else ready
+                docs, starts, terms, at, n, g = m
+                if docs is None:  # rows without a document count in the first sums only
+                    continue
+                own = n * g
+                of_docs, of = per_document(starts, own)
+                of_terms = ready[c][1][:, places(ready[c][0], terms)[0]]
+                new = (np.maximum(of_docs[:, of] - own + prior, 1e-12) * np.maximum(of_terms[:, at] - own + prior, 1e-12)
+                       / np.maximum(topics[c][:, None] - own + prior * size[c], 1e-12))
+                yield p, (c, docs, starts, terms, at, n, shared(new))
+        return run
+
+    def in_documents(its):
+        for _, (c, docs, starts, _, _, n, g) in its:
+            yield from zip([c] * len(starts), [None] if docs is None else docs.to_pylist(), *per_document(starts, n * g)[0].tolist())
+    state = blocks.mapValues(lambda m: (*m[:-1], shared(m[-1] / float(1 << 20) + 0.1))).persist(StorageLevel.MEMORY_AND_DISK)
+    for i in range(rounds):
+        come = state.mapPartitionsWithIndex(sums).partitionBy(parts, int).mapPartitionsWithIndex(met).partitionBy(parts, int)
+        topics = summed(come.filter(lambda m: m[1][1] is None).map(lambda m: (m[1][0], m[1][2])))
+        if i:
+            before.unpersist()  # the state has been made from it
+        before, state = state, come.union(state).mapPartitions(renewed(topics), preservesPartitioning=True).persist(StorageLevel.MEMORY_AND_DISK)
+        if i % SAVED == SAVED - 1 and i + 1 < rounds:
+            state.checkpoint()
+
+    def whole_sums(s, its):
+        kept: dict[int, list] = {}
+        for _, (p, c, terms, x) in its:
+            kept.setdefault(c, []).append((p, terms, x))
+        for c, found in kept.items():
+            found.sort(key=lambda m: m[0])
+            yield s, (c, *added([m[1:] for m in found]))
+    last = state.mapPartitionsWithIndex(sums).partitionBy(parts, int).mapPartitionsWithIndex(whole_sums)
+    terms = written(rows_of(last, counts, k, t)).join(F.broadcast(numbers), "__c")
 
     def shares(frame, by, names, over):
         stacked = F.array(*[F.struct(F.lit(i).alias("topic"), F.col(c).alias("w")) for i, c in enumerate(names)])
         return frame.select(*by, *over, F.explode(stacked).alias("x")).select(*by, *over, "x.topic", "x.w")
-    terms = shares(beside(sums(state, [*keys, "term"], t), size), [*keys, "term"], t, ["terms"])
+    terms = shares(terms, [*keys, "term"], t, ["terms"])
     whole = terms.groupBy(*keys, "topic").agg((F.sum("w") + prior * F.first("terms")).alias("whole"))
     topic_terms = terms.join(F.broadcast(whole), [*keys, "topic"]).select(*keys, "topic", "term", ((F.col("w") + prior) / F.col("whole")).alias("weight"))
-    docs = sums(state, [*keys, "doc"], d)
+    schema = T.StructType([T.StructField("__c", T.IntegerType()), counts.schema["doc"], *[T.StructField(c, T.DoubleType()) for c in d]])
+    docs = counts.sparkSession.createDataFrame(state.mapPartitions(in_documents), schema, verifySchema=False).join(F.broadcast(numbers), "__c")
     total = _total([F.col(c) for c in d]) + 1.0  # k priors of 1 / k
     mixtures = shares(docs.select(*keys, "doc", *[((F.col(c) + prior) / total).alias(c) for c in d]), [*keys, "doc"], d, [])
     return topic_terms, mixtures.withColumnRenamed("w", "weight")
