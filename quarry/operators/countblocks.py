@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import ensure_checkpoint_dir
+
 #: Rows in a block (more if one document has more), and in a part.
 BLOCK, PART = 1 << 17, 1 << 21
 
@@ -40,6 +42,7 @@ def blocks_of(counts: DataFrame, keys: list[str], numbers: DataFrame, rows: int,
     (None: the rows without one), where their rows start, the distinct terms,
     each row's place among them and count, and the columns ``x``, one row each."""
     sc = counts.sparkSession.sparkContext
+    ensure_checkpoint_dir(counts.sparkSession)  # the models save their rounds there
     parts = max(sc.defaultParallelism, -(-rows // PART))
     flat = counts.where("term IS NOT NULL").join(F.broadcast(numbers.drop("terms")), keys).repartition(parts, "__c", "doc")
     flat = flat.sortWithinPartitions("__c", "doc", "term")  # equal sums whatever order the rows came in

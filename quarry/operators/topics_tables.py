@@ -98,7 +98,7 @@ def truncated_svd(counts: DataFrame, keys: list[str], k: int = 5, extra: int = 8
 
     def products(its):
         for _, (c, terms, x) in its:
-            yield ((c, "values"), x) if terms is None else ((c, "gram"), x @ x.T)
+            yield ((c, 0), x) if terms is None else ((c, 1), x @ x.T)  # 0: of the documents, 1: of the terms
 
     def sent(by):
         def run(its):  # first the vectors of the slice, then who asks for them
@@ -147,17 +147,17 @@ def truncated_svd(counts: DataFrame, keys: list[str], k: int = 5, extra: int = 8
         if i % SAVED == SAVED - 1:
             new.checkpoint()
         found = summed(new.mapPartitions(products))
-        inner = {c: m for (c, kind), m in found.items() if kind == "values"}
+        inner = {c: m for (c, kind), m in found.items() if kind == 0}
         values = {c: np.sqrt(np.maximum(np.linalg.eigvalsh(m)[::-1][:k], 0)) for c, m in inner.items()}
         if before.keys() == values.keys() and all(np.abs(values[c] - before[c]).max() <= tolerance * values[c].max() for c in values):
             break
         before = values
         vectors.unpersist()
-        vectors, by = new, {c: _orthonormal(m) for (c, kind), m in found.items() if kind == "gram"}
+        vectors, by = new, {c: _orthonormal(m) for (c, kind), m in found.items() if kind == 1}
     turned = {c: by[c] @ np.linalg.eigh(m)[1][:, ::-1] for c, m in inner.items() if c in by}
     final = vectors.filter(lambda m: m[1][1] is not None and m[1][0] in turned).mapValues(lambda m: (m[0], m[1], turned[m[0]].T @ m[2]))
     final = written(rows_of(final, counts, k, cols[:k])).join(F.broadcast(numbers.drop("terms")), "__c")
-    for kept in (blocks, routes, vectors):
+    for kept in (blocks, routes, vectors, new):
         kept.unpersist()
     found = [(c, j, float(s)) for c, values in before.items() for j, s in enumerate(values) if s > 1e-7 * values.max()]  # roots of sums: exact to about 1e-8
     singular = counts.sparkSession.createDataFrame(found, "__c int, topic int, value double").join(F.broadcast(numbers), "__c").select(*keys, "topic", "value")
@@ -260,6 +260,8 @@ def lda(counts: DataFrame, keys: list[str], k: int, rounds: int = 15, seed: int
             yield s, (c, *added([m[1:] for m in found]))
     last = state.mapPartitionsWithIndex(sums).partitionBy(parts, int).mapPartitionsWithIndex(whole_sums)
     terms = written(rows_of(last, counts, k, t)).join(F.broadcast(numbers), "__c")
+    if rounds:
+        before.unpersist()  # the last state stays for the mixtures
 
     def shares(frame, by, names, over):
         stacked = F.array(*[F.struct(F.lit(i).alias("topic"), F.col(c).alias("w")) for i, c in enumerate(names)])
