@@ -1,6 +1,6 @@
-"""Topic models as tables (M5-M8): the vocabulary, the topic weights and the
-responsibilities are keyed frames, updated by joins and aggregates. What reaches
-the driver are matrices of topics x topics. Several corpora (one per value of
+"""Topic models as tables (M5-M8): the vocabulary and the topic weights are keyed
+frames; the rounds go over blocks of counts (``countblocks``). What reaches the
+driver are matrices of topics x topics. Several corpora (one per value of
 ``keys``, at least one column) are fitted side by side."""
 
 from __future__ import annotations
